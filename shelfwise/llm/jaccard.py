@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, cut, flat_utf8, mix64, segment_sums, table, texts
+from .common import BLOCK_BYTES, WordHashes, blocks, cut, flat_utf8, mix64, segment_sums, table, texts
 from .merging import ranges
 
 WORDS = 3
@@ -176,19 +176,41 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 SKETCH = [f"s{k}" for k in range(SKETCH_LONGS)]
 
 
-def _described(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """One row per document: size, class hashes, sketch and signatures."""
-    names = ["doc_id", "n", "h1", "h2", *SKETCH, "signatures"]
+def _described(docs: DataFrame, words: int) -> DataFrame:
+    """One row per document: size, class hashes and sketch."""
+    names = ["doc_id", "n", "h1", "h2", *SKETCH]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, sign = Shingler(words), Signer(num, den)
+        shingle, sign = Shingler(words), Signer()
         for batch in batches:
             for part in blocks(batch):
                 code, sizes = shingle(part["text"])
                 h1, h2 = sign.classes(code, sizes)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T), _lists(*sign.signatures(code, sizes))], names)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T)], names)
+
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(id, sig): all signatures of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, sign = Shingler(words), Signer(num, den)
+        for batch in batches:
+            for part in blocks(batch, limit=BLOCK_BYTES // 4):
+                code, counts = sign.signatures(*shingle(part["text"]))
+                yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(np.repeat(np.arange(len(counts)), counts))), pa.array(code)], ["id", "sig"])
+
+    return docs.mapInArrow(run, "id long, sig long")
+
+
+#: Lists of ids or signatures with at most so many rows are broadcast (16 bytes a row); longer ones are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
 
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", signatures array<long>")
+def _bounded(keys: DataFrame) -> DataFrame:
+    """A one-column table of keys, broadcast if a count shows that it is small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
@@ -242,18 +264,18 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     component is null.
     """
     plain = texts(docs, id_col, text_col)
-    described = cut(_described(plain, words, num, den))
+    described = cut(_described(plain, words))
     real = described.where("n > 0 AND doc_id IS NOT NULL")
     groups = real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"))
-    sets = real.join(groups.select(F.col("id").alias("rep"), F.col("n").alias("rn"), F.col("h1").alias("r1"), F.col("h2").alias("r2")), (F.col("doc_id") == F.col("rep")) & (F.col("n") == F.col("rn")) & (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")), "left_semi")
-    signed = sets.select(F.col("doc_id").alias("id"), F.explode("signatures").alias("sig"))
-    # buckets with two members or more, from partial minima and maxima
-    shared = cut(signed.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"))
-    lite = sets.select(F.col("doc_id").alias("id"), "n", *SKETCH)
-    members = cut(signed.join(shared.select("sig"), "sig", "left_semi").distinct())
-    used = members.select("id").distinct()
-    lite = cut(lite.join(used, "id", "left_semi"))
-    shingles = cut(_sets(plain.join(used, plain["doc_id"] == used["id"], "left_semi"), words))
+    homes_of = real.select("doc_id", "n", "h1", "h2").join(groups, ["n", "h1", "h2"]).select("doc_id", "id")
+    copies = cut(homes_of.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("id")).alias("own"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("NOT own OR lo < hi"))
+    signed = _signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den)
+    # buckets with two members or more: counted from partial counts, then their members
+    shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
+    members = cut(signed.join(_bounded(shared), "sig", "left_semi").distinct())
+    used = cut(members.select("id").distinct())
+    lite = cut(real.select(F.col("doc_id").alias("id"), "n", *SKETCH).join(_bounded(used), "id", "left_semi"))
+    shingles = cut(_sets(plain.join(_bounded(used.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi"), words))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among candidate pairs (a, b), exactly."""
@@ -266,13 +288,13 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
         x, y = lite.alias("x"), lite.alias("y")
         return pairs.distinct().join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & _may_link("x", "y", num, den)).select("a", "b")
 
-    stars = members.join(shared, "sig").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
+    ends = members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    stars = members.join(ends, "sig").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
     # an id with several texts ties their classes together
-    many = cut(real.groupBy("doc_id").count().where("count > 1").select("doc_id"))
     ties = None
-    if not many.isEmpty():
-        classes_of = real.join(many, "doc_id", "left_semi").join(groups, ["n", "h1", "h2"]).select("doc_id", "id")
-        ties = classes_of.groupBy("doc_id").agg(F.min("id").alias("a")).join(classes_of, "doc_id").select("a", F.col("id").alias("b")).where("a < b").distinct()
+    several = copies.where("lo < hi")
+    if not several.isEmpty():
+        ties = several.join(homes_of, "doc_id").select(F.col("lo").alias("a"), F.col("id").alias("b")).where("a < b").distinct()
     links = verified(plausible(stars))
     links = cut(links.unionByName(ties) if ties is not None else links)
     found = components(links)
