@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, WordHashes, blocks, cut, flat_utf8, mix64, segment_sums, table, texts
+from .common import BLOCK_BYTES, WordHashes, blocks, cut, flat_utf8, fresh, mix64, segment_sums, table, texts
 from .merging import ranges
 
 WORDS = 3
@@ -315,8 +315,9 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs``, all columns, with one document of each component: the one with the smallest id.  Rows without id stay."""
-    gone = near_groups(docs, words, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    key = fresh(docs, "_gone")
+    gone = cut(near_groups(docs, words, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
+    return docs.join(_bounded(gone), docs["doc_id"] == F.col(key), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,6 +106,8 @@ class Chain:
 
     @staticmethod
     def train(names: list[str], vocabulary: dict[str, int], x: np.ndarray, y: np.ndarray, folds: int = FOLDS) -> Chain:
+        if not len(x):  # nothing is known of any category
+            return Chain(names, vocabulary, [np.append(np.zeros(x.shape[1] + k), -30.0) for k in range(len(names))])
         fold = np.arange(len(x)) % folds
         weights, earlier = [], np.zeros((len(x), 0))
         for k in range(len(names)):
@@ -138,7 +140,7 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None = None, limit: int = MAX_LABELLED) -> Chain:
-    """A chain trained on labelled documents; without any, or with one class only, it gives each category's share."""
+    """A chain trained on labelled documents; with one class only it gives about that class's share, without any document 0."""
     categories = categories or CATEGORIES
     sample = _sample(docs, labels, categories, limit)
     vocabulary = {f: k for k, f in enumerate(_choose(sample, len(categories), MAX_FEATURES))}
