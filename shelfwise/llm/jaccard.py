@@ -49,24 +49,42 @@ def bands(limit: int, num: int = NUM, den: int = DEN) -> np.ndarray:
     return np.array(ends)
 
 
-def allocate(upper: int, num: int = NUM, den: int = DEN) -> tuple[int, int]:
-    """(segments, how many of them also index one-deletion neighbourhoods) for a band whose smaller sets have at most ``upper`` shingles.
+#: One-deletion neighbourhoods are considered only for segments of so many shingles, which are hardly ever empty.
+DELETION_SIZE = 12
+
+
+def allocate(lower: int, upper: int, num: int = NUM, den: int = DEN) -> tuple[int, int, int]:
+    """(segments, how many of them also index one-deletion neighbourhoods, spare) for a band whose smaller sets have ``lower`` to ``upper`` shingles.
 
     The cost of a choice is its signatures and, for each segment, the chance
     partners it would find; those fall quickly with the shingles in a segment.
+
+    Empty segments would tie unrelated sets together.  With ``spare`` segments
+    more than the pigeonhole principle needs, ``spare + 1`` segments of a
+    linked pair are equal.  So a set with at most ``spare`` empty segments
+    needs no signature of them: one of the equal ones isn't empty.  Only the
+    very few sets with more empty segments index those, too.
     """
     larger = upper * den // num
     differ = (den - num) * (upper + larger) // (den + num)
     if differ == 0:
-        return 0, 0  # only equal sets link
+        return 0, 0, 0  # only equal sets link
     best = None
     for deletions in range((differ + 1) // 2 + 1):
         segments = differ + 1 - deletions
         size = larger / segments
+        if deletions and lower / segments < DELETION_SIZE:
+            break
         cost = (segments - deletions) * (1 + 64 * 2.0 ** -size) + deletions * (1 + size) * (1 + 64 * 2.0 ** -(size - 1))
         if best is None or cost < best[0]:
             best = (cost, segments, deletions)
-    return best[1], best[2]
+    _, segments, deletions = best
+    spare = 0
+    if not deletions:
+        for _ in range(3):  # more segments are smaller, so more of them are empty
+            mean = (segments + spare) * (1 - 1 / (segments + spare)) ** lower if segments + spare > 1 else 0.0
+            spare = int(np.ceil(mean + 3 * mean**0.5))
+    return segments + spare, deletions, spare
 
 
 class Shingler:
@@ -118,12 +136,18 @@ class Signer:
     def __init__(self, num: int = NUM, den: int = DEN) -> None:
         self.num, self.den = num, den
         self.ends = bands(1 << 10, num, den)
-        self.plans = [allocate(int(e), num, den) for e in self.ends]
+        self._plan()
 
     def _grow(self, size: int) -> None:
+        if self.ends[-1] >= size:
+            return
         while self.ends[-1] < size:
             self.ends = bands(int(self.ends[-1]) * 4, self.num, self.den)
-            self.plans = [allocate(int(e), self.num, self.den) for e in self.ends]
+        self._plan()
+
+    def _plan(self) -> None:
+        lower = [1, *(self.ends[:-1] + 1)]
+        self.plans = [allocate(int(a), int(b), self.num, self.den) for a, b in zip(lower, self.ends)]
 
     def classes(self, code: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -145,7 +169,7 @@ class Signer:
         for step in (0, 1):  # as the smaller set of a pair, and as the larger one
             band = own - step
             for b in np.unique(band[(band >= 0) & (sizes > 0)]).tolist():
-                segments, deletions = self.plans[b]
+                segments, deletions, spare = self.plans[b]
                 if not segments:
                     continue
                 sets = np.flatnonzero((band == b) & (sizes > 0))
@@ -154,10 +178,14 @@ class Signer:
                 segment = (segment_hash[rows] % np.uint64(segments)).astype(np.int64)
                 cell = owner * segments + segment
                 order = np.argsort(cell, kind="stable")
-                sums = segment_sums(term[rows][order], np.searchsorted(cell[order], np.arange(len(sets) * segments + 1)), np.uint64)
+                bounds = np.searchsorted(cell[order], np.arange(len(sets) * segments + 1))
+                sums = segment_sums(term[rows][order], bounds, np.uint64)
                 salt = mix64(np.arange(segments).astype(np.uint64) + np.uint64((b + 1) << 32))
-                parts.append(mix64(sums + np.tile(salt, len(sets))))
-                owners.append(np.repeat(sets, segments))
+                filled = np.diff(bounds) > 0
+                lacking = segments - filled.reshape(-1, segments).sum(axis=1)
+                emit = filled | np.repeat(lacking > spare, segments)
+                parts.append(mix64(sums + np.tile(salt, len(sets)))[emit])
+                owners.append(np.repeat(sets, segments)[emit])
                 near = np.flatnonzero(segment < deletions)
                 if len(near):
                     parts.append(mix64(sums[cell[near]] - term[rows][near] + salt[segment[near]]))
