@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, WordHashes, blocks, cut, flat_utf8, fresh, mix64, segment_sums, table, texts
+from .common import WordHashes, blocks, cut, flat_utf8, fresh, mix64, segment_sums, table, texts
 from .merging import ranges
 
 WORDS = 3
 #: T = NUM / DEN
 NUM, DEN = 90, 100
 SKETCH_LONGS = 8
+#: Tasks shingle blocks of about so many bytes of text.
+SHINGLE_BYTES = 1 << 20
 
 
 def bands(limit: int, num: int = NUM, den: int = DEN) -> np.ndarray:
@@ -211,7 +213,7 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, sign = Shingler(words), Signer()
         for batch in batches:
-            for part in blocks(batch):
+            for part in blocks(batch, limit=SHINGLE_BYTES):
                 code, sizes = shingle(part["text"])
                 h1, h2 = sign.classes(code, sizes)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T)], names)
@@ -225,7 +227,7 @@ def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, sign = Shingler(words), Signer(num, den)
         for batch in batches:
-            for part in blocks(batch, limit=BLOCK_BYTES // 4):
+            for part in blocks(batch, limit=SHINGLE_BYTES):
                 code, counts = sign.signatures(*shingle(part["text"]))
                 yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(np.repeat(np.arange(len(counts)), counts))), pa.array(code)], ["id", "sig"])
 
@@ -245,7 +247,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
         for batch in batches:
-            for part in blocks(batch):
+            for part in blocks(batch, limit=SHINGLE_BYTES):
                 code, sizes = shingle(part["text"])
                 yield pa.RecordBatch.from_arrays([part["doc_id"], _lists(code.astype(np.int64), sizes)], ["id", "shingles"])
 
