@@ -50,12 +50,12 @@ def stream_insert_ignore(spark: SparkSession, rows: DataFrame, path: str, checkp
 
 def first_within_watermark(rows: DataFrame, keys: Sequence[str], at: str = "ts", delay: str = "1 day") -> DataFrame:
     """Insert-ignore with bounded state: repeats within the delay are dropped."""
-    return rows.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
+    return rows.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_credits(calls: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Credits of each key and UTC day; a day is given out when the watermark passes it, later calls are dropped."""
-    windowed = calls.withWatermark("ts", delay).groupBy("key_id", F.window("ts", "1 day").alias("w")).agg(F.sum(F.col("credits").cast("long")).alias("credits"), F.count(F.lit(1)).alias("calls"))
+    windowed = calls.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).groupBy("key_id", F.window("ts", "1 day").alias("w")).agg(F.sum(F.col("credits").cast("long")).alias("credits"), F.count(F.lit(1)).alias("calls"))
     return windowed.select("key_id", F.to_date("w.start").alias("day"), "credits", "calls")
 
 

@@ -108,17 +108,17 @@ def test_sources_and_sinks(spark, tmp_path):
 
 
 def test_embedding_errors_are_rows(spark, tmp_path):
-    for name, content in (("a.bin", b"\x01\x02\x02"), ("b.bin", b"")):
+    for name, content in (("a.bin", b"\x01\x02\x02"), ("b.bin", b"\xff")):
         (tmp_path / name).write_bytes(content)
 
     def histogram(contents):
-        if not all(contents):
-            raise ValueError("empty")
+        if any(c == b"\xff" for c in contents):
+            raise ValueError("not an image")
         return np.stack([np.bincount(np.frombuffer(c, np.uint8), minlength=4)[:4] for c in contents]).astype(float)
 
     rows = {r["item_id"]: r for r in embedding.embed_assets(landing.read_assets(spark, str(tmp_path), "*.bin"), histogram).collect()}
     assert rows["a"]["ok"] and abs(sum(x * x for x in rows["a"]["vector"]) - 1) < 1e-6
-    assert not rows["b"]["ok"] and "empty" in rows["b"]["error"]
+    assert not rows["b"]["ok"] and "not an image" in rows["b"]["error"]
 
 
 def test_anchors(spark):
