@@ -19,7 +19,8 @@ exactly, and the links found are closed into components.  Then only members
 outside a bucket's main component meet the members of other components.
 A pair is dropped before verification only where it cannot link: by the
 sets' sizes, or by more differing bits of their parity sketches (each shingle
-flips one of 512 bits) than they may differ in shingles.
+flips one of 512 bits, and in sets of more than 512 also one of a number of
+bits that grows with the set) than they may differ in shingles.
 """
 
 from __future__ import annotations
@@ -161,6 +162,20 @@ class Signer:
         odd = np.bincount(owner * 64 * SKETCH_LONGS + bit, minlength=len(sizes) * 64 * SKETCH_LONGS).astype(np.uint8) & 1
         return np.packbits(odd.reshape(len(sizes), -1), axis=1, bitorder="little").view("<i8")
 
+    def wide_sketches(self, code: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """Lists of longs with one bit or more for each shingle, always a power of two; empty for sets that SKETCH_LONGS can tell apart."""
+        least = 2 * SKETCH_LONGS
+        longs = np.where(sizes > 64 * SKETCH_LONGS, 2 ** np.ceil(np.log2(np.maximum(sizes / 64, least))).astype(np.int64), 0)
+        offsets, begin = np.cumsum(sizes) - sizes, np.cumsum(longs) - longs
+        out = np.zeros(int(longs.sum()), np.int64)
+        for n in np.unique(longs[longs > 0]).tolist():
+            sets = np.flatnonzero(longs == n)
+            owner = np.repeat(np.arange(len(sets)), sizes[sets])
+            bit = (mix64(code[ranges(offsets[sets], sizes[sets])] + np.uint64(0x3C)) & np.uint64(64 * n - 1)).astype(np.int64)
+            odd = np.bincount(owner * 64 * n + bit, minlength=len(sets) * 64 * n).astype(np.uint8) & 1
+            out[ranges(begin[sets], longs[sets])] = np.packbits(odd, bitorder="little").view("<i8")
+        return _lists(out, longs)
+
     def signatures(self, code: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All signatures, and how many each set has."""
         self._grow(int(sizes.max(initial=1)))
@@ -207,7 +222,7 @@ SKETCH = [f"s{k}" for k in range(SKETCH_LONGS)]
 
 
 def _described(docs: DataFrame, words: int) -> DataFrame:
-    """One row per document: size, class hashes and sketch."""
+    """One row per document: size, class hashes and sketches."""
     names = ["doc_id", "n", "h1", "h2", *SKETCH]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,9 +231,9 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
             for part in blocks(batch, limit=SHINGLE_BYTES):
                 code, sizes = shingle(part["text"])
                 h1, h2 = sign.classes(code, sizes)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T)], names)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T), sign.wide_sketches(code, sizes)], [*names, "wide"])
 
-    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", wide array<long>")
 
 
 def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -261,6 +276,21 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     return (F.least(x("n"), y("n")) * den >= F.greatest(x("n"), y("n")) * num) & (differing * (den + num) <= (x("n") + y("n")) * (den - num))
 
 
+def _may_link_wide(a: str, b: str, num: int, den: int) -> Column:
+    """False only for pairs that cannot link by their wide sketches; the longer one of two is folded to the other's length."""
+    p, q = F.col(f"{a}.wide"), F.col(f"{b}.wide")
+
+    def fold(w: Column) -> Column:
+        half = F.shiftright(F.size(w), 1)
+        return F.zip_with(F.slice(w, F.lit(1), half), F.slice(w, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+
+    def differing(v: Column, w: Column) -> Column:
+        return F.aggregate(F.zip_with(v, w, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+
+    bits = F.when(F.size(p) == F.size(q), differing(p, q)).when(F.size(p) == 2 * F.size(q), differing(fold(p), q)).when(F.size(q) == 2 * F.size(p), differing(p, fold(q))).otherwise(0)
+    return bits * (den + num) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (den - num)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of the ids in ``links`` (a, b): the smallest id reachable, by alternating large and small stars.
 
@@ -304,19 +334,23 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
     members = cut(signed.join(_bounded(shared), "sig", "left_semi").distinct())
     used = cut(members.select("id").distinct())
-    lite = cut(real.select(F.col("doc_id").alias("id"), "n", *SKETCH).join(_bounded(used), "id", "left_semi"))
-    shingles = cut(_sets(plain.join(_bounded(used.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi"), words))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The links among candidate pairs (a, b), exactly."""
-        left, right = shingles.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), shingles.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        return pairs.join(left, "a").join(right, "b").where(both * den >= num * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
+    lite = cut(real.select(F.col("doc_id").alias("id"), "n", *SKETCH, "wide").join(_bounded(used), "id", "left_semi"))
 
     def plausible(pairs: DataFrame) -> DataFrame:
         """Distinct candidate pairs (a, b) that sizes and sketches allow."""
         x, y = lite.alias("x"), lite.alias("y")
-        return pairs.distinct().join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & _may_link("x", "y", num, den)).select("a", "b")
+        fits = (F.col("b") == F.col("y.id")) & _may_link("x", "y", num, den) & _may_link_wide("x", "y", num, den)
+        return pairs.distinct().join(x, F.col("a") == F.col("x.id")).join(y, fits).select("a", "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The links among distinct candidate pairs (a, b), exactly; only sets of their members are built and sent."""
+        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        sets = cut(_sets(plain.join(_bounded(wanted), "doc_id", "left_semi"), words))
+        firsts, seconds = (_bounded(cut(pairs.select(F.col(k).alias("id")).distinct())) for k in ("a", "b"))
+        left = sets.join(firsts, "id", "left_semi").select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        right = sets.join(seconds, "id", "left_semi").select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        both = F.size(F.array_intersect("sa", "sb"))
+        return pairs.join(left, "a").join(right, "b").where(both * den >= num * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
     ends = members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     stars = members.join(ends, "sig").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
@@ -325,16 +359,18 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     several = copies.where("lo < hi")
     if not several.isEmpty():
         ties = several.join(homes_of, "doc_id").select(F.col("lo").alias("a"), F.col("id").alias("b")).where("a < b").distinct()
-    links = verified(plausible(stars))
+    checked = cut(plausible(stars))
+    links = verified(checked)
     links = cut(links.unionByName(ties) if ties is not None else links)
     found = components(links)
     placed = members.join(found, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("c"))
     mixed = placed.groupBy("sig").agg(F.min("c").alias("main"), F.max("c").alias("other")).where("main < other")
-    open_ = cut(placed.join(mixed.select("sig", "main"), "sig").join(lite, "id"))
+    open_ = cut(placed.join(mixed.select("sig", "main"), "sig").join(lite.drop("wide"), "id"))
     x, y = open_.where("c <> main").alias("x"), open_.alias("y")
     rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") > F.col("y.c")) & _may_link("x", "y", num, den))
-    more = verified(rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
-    more = cut(more)
+    # pairs that the first round found not to link need no second check
+    open_pairs = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
+    more = cut(verified(cut(plausible(open_pairs))))
     if not more.isEmpty():
         found = components(links.unionByName(more))
     homes = groups.join(found, "id", "left").select("n", "h1", "h2", F.coalesce("component", "id").alias("home"))

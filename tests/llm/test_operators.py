@@ -323,7 +323,7 @@ def near_rows():
     """Groups of near copies, chains, and one group that shares most of its words."""
     rng = np.random.default_rng(9)
     rows = []
-    for size in (1, 2, 3, 9, 18, 30, 60, 150, 400):
+    for size in (1, 2, 3, 9, 18, 30, 60, 150, 400, 520, 1030, 2100):
         base = [f"w{rng.integers(0, 4000)}" for _ in range(size)]
         for copy in range(7):
             words = list(base)
@@ -350,6 +350,28 @@ def test_jaccard(spark, odd, docs, size, num, monkeypatch):
     assert left.columns == odd.columns
 
 
+def test_wide_sketches_differ_in_no_more_bits_than_sets_do(spark):
+    rng = np.random.default_rng(4)
+    sign, pairs = jaccard.Signer(80, 100), []
+    for size in (1, 500, 512, 513, 1000, 1024, 1025, 1200, 5000):
+        for larger in (size, int(size * 1.02) + 1, int(size * 1.2)):
+            pairs += [(rng.integers(0, 1 << 62, size).astype(np.uint64), None, larger)]
+    rows = []
+    for k, (a, _, larger) in enumerate(pairs):
+        for changed in (0, 3, len(a) // 9, len(a)):
+            b = np.unique(np.concatenate([a[changed:], rng.integers(0, 1 << 62, larger - len(a) + changed).astype(np.uint64)]))
+            code, sizes = np.concatenate([a, b]), np.array([len(a), len(b)])
+            x, y = sign.wide_sketches(code, sizes).to_pylist()
+            assert all(len(w) == 0 if n <= 512 else len(w) * 64 >= n for w, n in zip((x, y), sizes))
+            common = len(np.intersect1d(a, b))
+            rows.append((k, x, y, len(a), len(b), 100 * common >= 80 * (len(a) + len(b) - common), common == 0))
+    df = spark.createDataFrame(rows, "k int, xw array<long>, yw array<long>, xn int, yn int, link boolean, apart boolean")
+    df = df.select("link", "apart", F.struct(F.col("xw").alias("wide"), F.col("xn").alias("n")).alias("x"), F.struct(F.col("yw").alias("wide"), F.col("yn").alias("n")).alias("y"))
+    got = df.select("link", "apart", "x.n", jaccard._may_link_wide("x", "y", 80, 100).alias("may")).collect()
+    assert all(r["may"] for r in got if r["link"]) and any(r["link"] for r in got)
+    assert not any(r["may"] for r in got if r["apart"] and r["n"] > 1025)
+
+
 def test_allocation_holds_the_pigeonhole():
     for num in (80, 90):
         for upper in range(1, 3000, 7):
