@@ -13,6 +13,8 @@ import numpy as np
 from .common import WordHashes, mix64
 
 NONE = np.int64(1) << 40
+#: ``distinct_words`` takes ranges of more bytes as distinct, without a hash.
+LONG_BYTES = 256
 
 
 class BatchMerger:
@@ -123,10 +125,12 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def distinct_words(flat: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For byte ranges: the place of one range of each distinct word, every range's number among them, and their hashes.
 
-    Equality is that of 64-bit hashes and lengths; ranges over 256 bytes count as distinct.
+    Equality is that of 64-bit hashes and lengths; ranges over ``LONG_BYTES``
+    count as distinct.  The value that stands for such a range's hash is made
+    from its place: it means nothing outside this call.
     """
     key = hashes(flat, start, end)
-    long = np.flatnonzero(end - start > 256)
+    long = np.flatnonzero(end - start > LONG_BYTES)
     key[long] = mix64(start[long].astype(np.uint64) + np.uint64(1 << 63))
     found, one, number = np.unique(key, return_index=True, return_inverse=True)
     return one, number, found

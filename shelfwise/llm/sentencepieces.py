@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import WordHashes, blocks, segment_sums, table, texts
-from .merging import BatchMerger, distinct_words
+from .merging import LONG_BYTES, BatchMerger, distinct_words
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
-#: Words (by hash) whose ids a worker remembers.
+#: Words (by hash) of up to ``LONG_BYTES`` whose ids a worker remembers.
 REMEMBERED = 400_000
 
 
@@ -108,8 +108,8 @@ class AgendaEncoder:
             out[k] = [j for i in out[k] for j in ([i] if i >= 0 else [self.bytes[b] for b in chr(-2 - i).encode()])]
         return out
 
-    def _learn(self, keys: list[int], words: list[str]) -> None:
-        """Remember (how many ids, the ids in decimal, decoded text) of new words, after a look at the library's ids."""
+    def _entries(self, words: list[str]) -> list[tuple[int, str, str]]:
+        """(how many ids, the ids in decimal, decoded text) of new words, after a look at the library's ids."""
         found = self._encode(words)
         if self.check:  # the library puts a mark before every text but the empty one
             some = [k for k, w in enumerate(words) if w not in (MARK, " ")]
@@ -118,8 +118,7 @@ class AgendaEncoder:
                     self.differing += 1
                     found[k] = ids
         name = self.decimal.__getitem__
-        for key, ids in zip(keys, found):
-            self.known[key] = (len(ids), ",".join(map(name, ids)), self.decode(ids))
+        return [(len(ids), ",".join(map(name, ids)), self.decode(ids)) for ids in found]
 
     def __call__(self, documents: list[str]) -> list[tuple[int, str, str]]:
         """(n_tokens, decimal ids joined by commas, decoded text) of each document."""
@@ -141,10 +140,16 @@ class AgendaEncoder:
         keys = keys.tolist()
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [k for k, key in enumerate(keys) if key not in self.known]
+        # keys of long words hold in this block only: those words are neither looked up nor remembered
+        long = (place[stop] - place[at])[one] > LONG_BYTES
+        entries = [None if apart else self.known.get(key) for key, apart in zip(keys, long.tolist())]
+        new = [k for k, entry in enumerate(entries) if entry is None]
         begin, end = at[one].tolist(), stop[one].tolist()
-        self._learn([keys[k] for k in new], [whole[begin[k] : end[k]] for k in new])
-        counts, text, shown = zip(*map(self.known.__getitem__, keys))
+        for k, entry in zip(new, self._entries([whole[begin[k] : end[k]] for k in new])):
+            entries[k] = entry
+            if not long[k]:
+                self.known[keys[k]] = entry
+        counts, text, shown = zip(*entries)
         sizes = np.array(counts, np.int64)[number]
         cuts = np.searchsorted(at, np.concatenate([[0], ends]))
         totals, number = segment_sums(sizes, cuts).tolist(), number.tolist()

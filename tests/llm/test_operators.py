@@ -179,6 +179,15 @@ def test_sentencepiece(odd, docs):
     assert encoder._encode([" hello", "▁tion"]) == [library.encode("hello"), library.encode("tion")]
 
 
+def test_sentencepiece_long_words_of_other_blocks():
+    encoder = sentencepieces.AgendaEncoder(open(public_tokenizers.path(sentencepieces.VOCABULARY), "rb").read())
+    for word in ("abc" * 100, "xyz" * 100, "漢字仮名" * 50, "語" * 200):  # each first in its block
+        (n, ids, shown), other = encoder([word, "a b"])
+        assert shown == word and other[2] == "a b"
+        assert list(map(int, ids.split(","))) == encoder.library.encode(word) and n == len(encoder.library.encode(word))
+    assert encoder.differing == 0
+
+
 # ------------------------------------------------------------------ 4, 10
 
 
