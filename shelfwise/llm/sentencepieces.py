@@ -5,7 +5,9 @@ vocabulary can merge wait by score, then by place; the best pair is merged and
 its new neighbours join the agenda.  No entry of such a vocabulary holds the
 word mark after another character, so no merge crosses the start of a word, and
 each distinct word of a block (with the marks before it) is encoded once; the
-agendas of many words advance together, a merge a round (``BatchMerger``).
+agendas of many words advance together, a merge a round (``BatchMerger``).  A
+round costs as much as the word is long, so words over ``HEAP_LENGTH``
+characters get an agenda of their own, a heap.
 Words that a worker hasn't met before are checked against the sentencepiece
 library, in batches; its ids would be used if they differed.
 """
@@ -28,6 +30,8 @@ VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 #: Words (by hash) of up to ``LONG_BYTES`` whose ids a worker remembers.
 REMEMBERED = 400_000
+#: Words of more characters than this are encoded one by one over a heap.
+HEAP_LENGTH = 256
 
 
 class AgendaEncoder:
@@ -65,6 +69,7 @@ class AgendaEncoder:
 
     def word(self, text: str) -> list[int]:
         """The agenda: (score, place, length of both) of mergeable neighbours; entries whose symbols have changed are passed over."""
+        text = text.replace(" ", MARK)
         scores, symbols, n = self.scores, list(text), len(text)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [(s[0], k, 2) for k in range(n - 1) if (s := scores.get(text[k : k + 2]))]
@@ -99,6 +104,10 @@ class AgendaEncoder:
         return b"".join([self.byte_of.get(k) or self.surface[k].encode() for k in ids]).decode("utf-8", "replace")
 
     def _encode(self, words: list[str]) -> list[list[int]]:
+        batch = iter(self._encode_many([w for w in words if len(w) <= HEAP_LENGTH]))
+        return [next(batch) if len(w) <= HEAP_LENGTH else self.word(w) for w in words]
+
+    def _encode_many(self, words: list[str]) -> list[list[int]]:
         flat = self.symbol[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         ids, counts = self.merge(flat, np.fromiter(map(len, words), np.int64, len(words)))
         odd = np.unique(np.repeat(np.arange(len(words)), counts)[ids < 0]).tolist()

@@ -188,6 +188,21 @@ def test_sentencepiece_long_words_of_other_blocks():
     assert encoder.differing == 0
 
 
+def test_sentencepiece_heap_for_very_long_words(monkeypatch):
+    encoder = sentencepieces.AgendaEncoder(open(public_tokenizers.path(sentencepieces.VOCABULARY), "rb").read(), check=False)
+    batched, many = [], encoder._encode_many
+    monkeypatch.setattr(encoder, "_encode_many", lambda words: batched.extend(words) or many(words))
+    rng = np.random.default_rng(8)
+    letters = np.array(list("etaoinshr▁é漢😀ß=\n.0"))
+    texts = ["".join(rng.choice(letters, n)) for n in (257, 300, 1000, 5000)] + ["x" * 5000, "▁" * 700 + "a", " " * 400 + "the" * 300, "the" * 100_000]
+    for text, (n, ids, shown) in zip(texts, encoder(texts)):
+        want = encoder.library.encode(text)
+        assert (n, ids, shown) == (len(want), ",".join(map(str, want)), encoder.library.decode(want))
+    assert max(map(len, batched)) <= sentencepieces.HEAP_LENGTH
+    for text in texts[:-1]:  # both ways agree
+        assert [encoder.word(" " + text.replace(" ", "").replace("▁", ""))] == many([" " + text.replace(" ", "").replace("▁", "")])
+
+
 # ------------------------------------------------------------------ 4, 10
 
 
