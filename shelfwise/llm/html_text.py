@@ -5,7 +5,9 @@ in, tags by their name; the weights are log-odds learned from labelled pages,
 which mark their article themselves with one <article> or <main> element.  One
 linear scan finds the contiguous region with the highest sum.  Within it, the
 elements that are never part of an article (menus, adverts, comments, forms,
-scripts and so on) are left out, and the rest becomes blocks of text.
+scripts and so on) are left out, and the rest becomes blocks of text.  Such an
+element scores as its opening tag alone, however long it is, so that it doesn't
+part an article in two.
 """
 
 from __future__ import annotations
@@ -111,11 +113,10 @@ class Weights:
         return Weights({f: min(TAG_COST, w) if f.startswith("tag:") else (max(LEAST_GAIN, w) if counts[f][0] > counts[f][1] else w) for f, w in odds.items()})
 
     def __call__(self, token: Token) -> float:
+        if not token.inside:  # left out of the text later: only the tag that opens such an element costs something
+            return 0.0
         if token.words:
-            known = self.by.get(token.feature)
-            if known is None:  # an element that no labelled page has
-                known = -1.0 if token.feature == "word:outside" else 0.5
-            return known * token.words
+            return self.by.get(token.feature, 0.5) * token.words  # 0.5: an element that no labelled page has
         return max(-4.0, self.by.get(token.feature, -0.1)) if token.feature.startswith("tag:") else 0.0
 
 

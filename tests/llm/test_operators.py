@@ -275,6 +275,16 @@ def test_html(spark, sf_dir):
     assert html_text.extract_pages(empty(odd), html_text.learn_weights(empty(odd))).count() == 0
 
 
+def test_html_keeps_both_sides_of_long_outside_elements(spark, sf_dir):
+    weights = html_text.learn_weights(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    prose = lambda n, w: " ".join(f"{w}{k}" for k in range(n))
+    menu = '<nav><ul><li><a href="/">Home</a></li></ul></nav><div class="sidebar">' + prose(90, "side") + "</div>"
+    for between in (f'<div class="ad">{prose(100, "buy")}</div>', f"<aside>{prose(40, 'note')}</aside>", "<form>" + f"<p>{prose(9, 'ask')}</p>" * 40 + "</form>", '<div class="comments">' + f"<div><a>{prose(30, 'nice')}</a></div>" * 20 + "</div>"):
+        for first, last in ((20, 200), (200, 20)):
+            page = f"<html><body>{menu}<article><h1>The title</h1><p>{prose(first, 'a')}</p>{between}<p>{prose(last, 'b')}</p></article><footer>{prose(60, 'foot')}</footer></body></html>"
+            assert html_text.extract(page, weights) == f"The title\n{prose(first, 'a')}\n{prose(last, 'b')}"
+
+
 def test_best_region():
     rng = np.random.default_rng(3)
     for _ in range(50):
