@@ -35,8 +35,13 @@ TAG_COST, LEAST_GAIN = -0.02, 0.05
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas title".split())
+#: Of these, what browsers read as raw text up to the end tag; and what may be self-closed.
+RAW_TEXT = frozenset("script style noscript textarea iframe title".split())
+FOREIGN = frozenset("svg math".split())
 OUTSIDE = frozenset("nav header footer aside form button select dialog menu head".split())
 OUTSIDE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer header menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion related share sharing sidebar social sponsor sponsored subscribe widget".split())
+#: Words that only say where or what kind of box, beside an outside word in one class.
+PLACE_WORDS = frozenset("area bar block body bottom box btn button buttons column container fixed form global group holder inner item items left link links list main mobile outer overlay page panel placeholder post posts primary right row secondary section signup site slot sticky text title toolbar top unit wrap wrapper zone".split())
 #: Elements whose end tag is often left out: a new one of the second group ends an open one of the first.
 IMPLIED = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
@@ -57,30 +62,51 @@ class Token:
     marked: bool = False  # within the page's own <article> or <main>
 
 
-def _outside(name: str, attributes: str) -> bool:
-    if name in OUTSIDE:
-        return True
-    return "=" in attributes and any(not OUTSIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", "".join(m.groups("")).lower())) for m in NAMED.finditer(attributes))
+def _outside_class(attributes: str) -> bool:
+    """Whether a class, id or role names such an element: each of its parts is an outside or a place word, one an outside word.
+
+    So ``site-footer`` does, but ``no-sidebar`` and ``has-comments`` speak of another element.
+    """
+    if "=" not in attributes:
+        return False
+    for m in NAMED.finditer(attributes):
+        for name in "".join(m.groups("")).lower().split():
+            parts = {p for p in re.split(r"[^a-z]+", name) if p}
+            if not parts.isdisjoint(OUTSIDE_WORDS) and parts <= OUTSIDE_WORDS | PLACE_WORDS:
+                return True
+    return False
 
 
 def tokens(page: str) -> list[Token]:
-    """Tags and texts of a page in order; a tag that isn't closed, or closed twice, does no harm."""
+    """Tags and texts of a page in order; a tag that isn't closed, or closed twice, does no harm.
+
+    No class, id or role puts <html>, <body>, <main>, the page's first
+    <article> or an element around one of them outside.
+    """
+    found, around = _tokens(page, frozenset())
+    return _tokens(page, around)[0] if around else found
+
+
+def _tokens(page: str, spared: frozenset[int]) -> tuple[list[Token], frozenset[int]]:
+    """The tokens, and where the elements start that their class puts outside though they are around one that never is; those in ``spared`` aren't."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside an article, within the marked one
-    place = 0
+    stack: list[tuple[str, bool, bool, int]] = []  # name, outside an article, within the marked one, place if outside by its class or else -1
+    around: set[int] = set()
+    ends: dict[str, re.Match | None] = {}  # of RAW elements, the last one looked up
+    place, articles = 0, 0
     while m := TOKEN.match(page, place):
         place = m.end()
         closing, name, attributes, text = m.groups()
-        outside, marked = stack[-1][1:] if stack else (False, False)
+        outside, marked = stack[-1][1:3] if stack else (False, False)
         if text is not None:
             words = len(text.split())
             if words or text:
-                inner = next((n for n, _, _ in reversed(stack) if n in BLOCK or n == "a"), "body")
+                inner = next((n for n, *_ in reversed(stack) if n in BLOCK or n == "a"), "body")
                 out.append(Token(f"word:{'outside' if outside else inner}", words, text, False, not outside, marked))
         elif name:
             name = name.lower()
             if closing:
-                if any(n == name for n, _, _ in stack):
+                if any(n == name for n, *_ in stack):
                     while stack.pop()[0] != name:
                         pass
                 marked = stack[-1][2] if stack else False
@@ -88,17 +114,41 @@ def tokens(page: str) -> list[Token]:
                 while stack and name in IMPLIED.get(stack[-1][0], ()):
                     stack.pop()
                 if name in BLOCK:  # an open <p> ends even below inline elements that were never closed
-                    opened = [k for k, (n, _, _) in enumerate(stack) if n in BLOCK]
+                    opened = [k for k, (n, *_) in enumerate(stack) if n in BLOCK]
                     if opened and stack[opened[-1]][0] == "p" and name in IMPLIED["p"]:
                         del stack[opened[-1] :]
-                outside, marked = stack[-1][1:] if stack else (False, False)
+                outside, marked = stack[-1][1:3] if stack else (False, False)
+                articles += name == "article"
+                never = name in ("html", "body", "main") or name == "article" and articles == 1
+                if never:
+                    around.update(at for *_, at in stack if at >= 0)
                 if name not in VOID and not attributes.endswith("/"):
-                    stack.append((name, outside or _outside(name, attributes), marked or name in ("article", "main")))
-                if name in RAW:  # up to its end tag nothing is text
-                    end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, place)
-                    place = end.start() if end else len(page)
+                    by_class = not never and m.start() not in spared and _outside_class(attributes)
+                    stack.append((name, outside or name in OUTSIDE or by_class, marked or name in ("article", "main"), m.start() if by_class else -1))
+                if name in RAW:
+                    place = _raw_end(page, place, name, attributes, ends)
             out.append(Token(f"tag:{'/' if closing else ''}{name}", 0, "", name in BLOCK, not outside, marked))
-    return out
+    return out, frozenset(around)
+
+
+def _raw_end(page: str, place: int, name: str, attributes: str, ends: dict[str, re.Match | None]) -> int:
+    """Where a RAW element that starts before ``place`` ends: up to its end tag nothing is text.
+
+    Empty are a self-closed <svg> or <math>; another self-closed one without
+    an end tag of its own; and without an end tag, all that browsers don't
+    read as raw text.
+    """
+    closed = attributes.endswith("/")
+    if closed and name in FOREIGN:
+        return place
+    if name not in ends or ((end := ends[name]) and end.start() < place):
+        ends[name] = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, place)
+    end = ends[name]
+    if end is None:
+        return place if closed or name not in RAW_TEXT else len(page)
+    if closed and re.compile(rf"<{re.escape(name)}[\s/>]", re.I).search(page, place, end.start()):  # that end tag is another one's
+        return place
+    return end.start()
 
 
 @dataclass

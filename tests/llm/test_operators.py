@@ -285,6 +285,21 @@ def test_html_keeps_both_sides_of_long_outside_elements(spark, sf_dir):
             assert html_text.extract(page, weights) == f"The title\n{prose(first, 'a')}\n{prose(last, 'b')}"
 
 
+def test_html_classes_and_self_closed_elements(spark, sf_dir):
+    weights = html_text.learn_weights(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    inner, want = "<h1>The title</h1><p>First words of the text<p>and the last ones of it", "The title\nFirst words of the text\nand the last ones of it"
+    article = f"<article>{inner}</article>"
+    for page in (
+        f"<body class='no-sidebar'>{article}</body>", f"<body class='sidebar widget'>{article}</body>", f"<html class=menu><body id='page'><div id='page' class='has-menu'>{article}</div></body>", f"<div class='menu share'><div class=widget>{article}</div></div>",
+        f"<body><article class='post has-comments'>{inner}</article></body>", f"<body><article class='share'>{inner}</article></body>", f"<body><main class='share-enabled'>{inner}</main></body>", f"<body><div class='sidebar'><main class='widget'>{inner}</main></div></body>",
+        f'<body><svg width="5"/>{article}</body>', f"<body><math/>{article}<svg></svg></body>", f"<body><svg/>{article}<svg><path/></svg></body>", f"<body><canvas/>{article}</body>", f"<body><canvas/>{article}<canvas></canvas></body>", f"<body><script src='a.js'/>{article}<script>x</script></body>",
+        f"<body>{article}<div class='comment-list'><article class='comment'><p>nice one</p></article></div></body>", f"<body><div class='ad-slot'>buy</div>{article}<div class='site-footer'>bye</div><div class='related-posts'><article><p>Other</p></article></div></body>",
+    ):
+        assert html_text.extract(page, weights) == want, page
+    assert html_text.extract("<body><p>Seen<script src='a.js'>x</script><svg><title>t</title><path/></svg> text</p><script>rest", weights) == "Seen text"
+    assert len(html_text.tokens("<svg>" * 20_000 + "<script/>" * 20_000 + "x</script>")) > 40_000
+
+
 def test_best_region():
     rng = np.random.default_rng(3)
     for _ in range(50):
