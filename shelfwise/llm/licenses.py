@@ -5,9 +5,11 @@ any template.  Each text's words stream through it and give, at every word, the
 length of the longest such run that ends there (matching statistics).  Runs of
 ``LEAST_RUN`` words and more are mapped to their place in the templates they
 come from and chained, in order in text and template with few words between,
-into covered spans; a chain that covers enough of its template gives its label.
-Words are found over byte arrays, and only stretches of ``LEAST_RUN`` words
-that all occur in some template reach the automaton.
+into covered spans.  A chain gives its label if it holds a phrase that only that
+licence has, or a large part of a template, or so many words in a row as
+ordinary sentences don't share with it; every such chain is returned.
+Words are found over byte arrays, and only runs of ``LEAST_RUN`` words that
+stand in some template reach the automaton.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +39,26 @@ TEMPLATES = {
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2.0",
     "reserved": "copyright all rights reserved no part of this may be reproduced without permission",
 }
+#: Whole texts of licences, by label: files of the folder ``license_texts``.
+FULL_TEXTS = {"apache-2.0": ["Apache-2.0"], "mit": ["MIT"], "bsd": ["BSD"], "gpl": ["GPL-2", "GPL-3"], "mpl-2.0": ["MPL-2.0"]}
+#: Phrases that stand in no text but those of a licence or its mention.
+MARKS = {
+    "apache-2.0": ["apache license"],
+    "mit": ["mit license", "permission is hereby granted free of charge"],
+    "bsd": ["redistribution and use in source and binary forms"],
+    "gpl": ["gnu general public license"],
+    "cc-by": ["creative commons attribution"],
+    "mpl-2.0": ["mozilla public license"],
+    "reserved": ["all rights reserved"],
+}
 LEAST_RUN = 3
 #: Words that may lie between two runs of one chain, in the text and in the template.
 GAP = 6
-#: A chain gives its label from so many covered words on.
+#: A chain with a mark gives its label from so many covered words on; one without needs
+#: so large a share of its template, or so many words with a run of so many among them.
 LEAST_COVERED = 4
+LEAST_SHARE = 0.55
+LEAST_LONG, LONG_RUN = 12, 6
 
 
 def words_of(text: str) -> list[str]:
@@ -50,6 +68,12 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
 
 
+def all_templates() -> dict[str, list[str]]:
+    """Openings and whole texts, by label."""
+    folder = Path(__file__).parent / "license_texts"
+    return {label: [opening, *((folder / f"{name}.txt").read_text() for name in FULL_TEXTS.get(label, ()))] for label, opening in TEMPLATES.items()}
+
+
 class SuffixAutomaton:
     """Of several word sequences; each state knows one place (sequence, end) where its runs stand."""
 
@@ -117,17 +141,23 @@ class Span:
 
 
 class Scanner:
-    """Scans many texts at once for phrases and templates."""
+    """Scans many texts at once for phrases and templates; a label has one template or several."""
 
-    def __init__(self, phrases: dict[str, str], templates: dict[str, str]) -> None:
+    def __init__(self, phrases: dict[str, str], templates: dict[str, str | Sequence[str]], marks: dict[str, Sequence[str]] = MARKS) -> None:
         self.phrase_words = [words_of(p) for p in phrases]
         self.phrase_labels = list(phrases.values())
-        self.labels = list(templates)
-        sequences = [words_of(t) for t in templates.values()]
+        pairs = [(label, t) for label, several in templates.items() for t in ([several] if isinstance(several, str) else several)]
+        self.labels = [label for label, _ in pairs]
+        sequences = [words_of(t) for _, t in pairs]
         self.vocabulary = sorted({w for s in [*sequences, *self.phrase_words] for w in s})
         number = {w: k for k, w in enumerate(self.vocabulary)}
         self.sizes = [len(s) for s in sequences]
-        self.automaton = SuffixAutomaton([[number[w] for w in s] for s in sequences])
+        coded_sequences = [[number[w] for w in s] for s in sequences]
+        self.automaton = SuffixAutomaton(coded_sequences)
+        parts = [self._threes(np.array(s, np.int64))[1] for s in coded_sequences]
+        self.threes = np.unique(np.concatenate([np.zeros(0, np.int64), *parts]))
+        of = {label: [m for m in map(words_of, marks.get(label, ())) if all(w in number for w in m)] for label in templates}
+        self.marks = {label: [[number[w] for w in m] for m in several] for label, several in of.items()}
         self.phrases = [[number[w] for w in p] for p in self.phrase_words]
         self.hashes = WordHashes()
         coded = [w.encode() for w in self.vocabulary]
@@ -158,28 +188,81 @@ class Scanner:
         found[few[same]] = self.order[at[same]]
         return found, np.searchsorted(start, offsets)
 
+    def _threes(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where LEAST_RUN known words in a row start, and one number for them."""
+        n = max(0, len(words) - LEAST_RUN + 1)
+        columns = [words[k : k + n] for k in range(LEAST_RUN)]
+        at = np.flatnonzero(np.logical_and.reduce([c >= 0 for c in columns]))
+        key = np.zeros(len(at), np.int64)
+        for c in columns:
+            key = key * len(self.vocabulary) + c[at]
+        return at, key
+
+    def _in_templates(self, words: np.ndarray) -> np.ndarray:
+        """Whether a word belongs to a run of LEAST_RUN words that stands in a template."""
+        inside = np.zeros(len(words), bool)
+        at, key = self._threes(words)
+        if len(self.threes) and len(at):
+            at = at[self.threes[np.minimum(np.searchsorted(self.threes, key), len(self.threes) - 1)] == key]
+            for k in range(LEAST_RUN):
+                inside[at + k] = True
+        return inside
+
+    def _passes(self, template: int, words: list[int], first: int, last: int, covered: int, longest: int) -> bool:
+        if covered < LEAST_COVERED:
+            return False
+        if covered >= LEAST_SHARE * self.sizes[template] or covered >= LEAST_LONG and longest >= LONG_RUN:
+            return True
+        return any(words[k : k + len(m)] == m for m in self.marks[self.labels[template]] for k in range(first, last + 2 - len(m)))
+
     def spans(self, words: np.ndarray, base: int) -> list[Span]:
-        """Covered template spans of one stretch of words, the first of which is the text's word ``base``."""
+        """Covered template spans of one stretch of words, the first of which is the text's word ``base``.
+
+        Of chains that lie mostly within the same words the one that covers
+        most of them stands for all; its share is the largest of its label's.
+        """
+        coded = words.tolist()
         runs: list[tuple[int, int, int]] = []  # (last word, length, state) of runs that can't go on
-        stats = list(self.automaton.statistics(words.tolist()))
+        stats = list(self.automaton.statistics(coded))
         for k, (length, state) in enumerate(stats):
             if length >= LEAST_RUN and (k + 1 == len(stats) or stats[k + 1][0] <= length):
                 runs.append((k, length, state))
-        chains: dict[int, list[list[int]]] = defaultdict(list)  # by template: [first, last, covered, last place in it]
+        chains: dict[int, list[list[int]]] = defaultdict(list)  # by template: [first, last, covered, last place in it, longest run]
+        found: list[tuple[int, list[int]]] = []
+
+        def close(template: int, before: float) -> None:
+            """Runs start ever later, so a chain that ends too far before this start can't go on."""
+            for chain in chains[template]:
+                if chain[1] + 1 + GAP < before and self._passes(template, coded, chain[0], chain[1], chain[2], chain[4]):
+                    found.append((template, chain))
+            chains[template] = [c for c in chains[template] if c[1] + 1 + GAP >= before]
+
         for end, length, state in runs:
-            for template, place in self.automaton.places[state]:
-                begin, open_at = end - length + 1, place - length + 1
+            begin = end - length + 1
+            places = self.automaton.places[state]
+            for template in {t for t, _ in places}:
+                close(template, begin)
+            for template, place in sorted(places):
+                open_at = place - length + 1
                 for chain in reversed(chains[template]):
                     if chain[1] < begin <= chain[1] + 1 + GAP and chain[3] < open_at <= chain[3] + 1 + GAP:
-                        chain[1], chain[2], chain[3] = end, chain[2] + length, place
+                        chain[1], chain[2], chain[3], chain[4] = end, chain[2] + length, place, max(chain[4], length)
                         break
                 else:
-                    chains[template].append([begin, end, length, place])
-        out = []
-        for template, found in chains.items():
-            best = max(found, key=lambda c: (c[2], -c[0]))
-            if best[2] >= LEAST_COVERED:
-                out.append(Span(self.labels[template], base + best[0], base + best[1], best[2], best[2] / self.sizes[template]))
+                    chains[template].append([begin, end, length, place, length])
+        for template in list(chains):
+            close(template, float("inf"))
+        out: list[Span] = []
+        owner = np.full(len(coded), -1)
+        for template, (first, last, covered, _, _) in sorted(found, key=lambda f: (-f[1][2], f[1][0], f[0])):
+            label, share, mine = self.labels[template], covered / self.sizes[template], owner[first : last + 1]
+            if 2 * np.count_nonzero(mine >= 0) > len(mine):
+                for k in np.unique(mine[mine >= 0]).tolist():
+                    if out[k].label == label:
+                        out[k].share = max(out[k].share, share)
+                continue
+            mine[mine < 0] = len(out)
+            out.append(Span(label, base + first, base + last, covered, share))
         return out
 
     def __call__(self, column: pa.Array) -> list[tuple[int, list[tuple[int, int]], list[Span]]]:
@@ -197,7 +280,7 @@ class Scanner:
                 text = int(np.searchsorted(bounds, at, side="right")) - 1
                 if at + n <= bounds[text + 1]:
                     places[text].append((number, at - int(bounds[text])))
-        known = np.concatenate([[False], found >= 0, [False]])
+        known = np.concatenate([[False], self._in_templates(found), [False]])
         first = np.flatnonzero(~known[:-1] & known[1:])
         last = np.flatnonzero(known[:-1] & ~known[1:])
         # unknown words between two stretches are no longer than a chain's gap may be: such stretches stay together
@@ -228,17 +311,17 @@ _scanners: dict[int, Scanner] = {}
 SCHEMA = "doc_id long, n_words long, places array<struct<label:string,first_word:long>>, spans array<struct<label:string,first_word:long,last_word:long,covered:long,share:double>>"
 
 
-def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str | Sequence[str]] | None = None, marks: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, phrase places and covered template spans, in the order of the text.
 
     Null and empty texts have no words, places or spans; repeated rows are
     scanned again; other columns play no part.
     """
-    phrases, templates = phrases or PHRASES, templates or TEMPLATES
-    key = hash((tuple(phrases.items()), tuple(templates.items())))
+    phrases, templates, marks = phrases or PHRASES, templates or all_templates(), MARKS if marks is None else marks
+    key = hash((tuple(phrases.items()), repr(templates), repr(marks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = _scanners.get(key) or _scanners.setdefault(key, Scanner(phrases, templates))
+        scanner = _scanners.get(key) or _scanners.setdefault(key, Scanner(phrases, templates, marks))
         types = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64())]))), ("spans", pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("covered", pa.int64()), ("share", pa.float64())])))])
         for batch in batches:
             for part in blocks(batch):

@@ -352,6 +352,28 @@ def test_licenses(spark, odd, docs):
     assert [s["label"] for s in row["spans"]] == ["apache-2.0"] and row["spans"][0]["covered"] >= 15
 
 
+def test_license_labels_need_more_than_ordinary_words():
+    import pyarrow as pa
+
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.all_templates())
+    found = lambda text: scanner(pa.array([text]))[0][2]
+    for text in (
+        "Both sides act under the terms of the agreement.", "He agreed to the terms of the offer.", "Entry is free provided that the following conditions are met.", "Please send a copy of this letter to any person obtaining a copy of this book.", "It is subject to the terms of the contract.",
+        "You may not use this file.", "No part of this may be true.", "This work is licensed under a trade name, and all copies of the work are sold in the course of the year in the form of a book.",
+    ):
+        assert found(text) == [], text
+    short = {"Released under the MIT License.": "mit", "Licensed under the Apache License": "apache-2.0", "Redistribution and use in source and binary forms": "bsd", "no part of this may be reproduced without permission": "reserved"}
+    for text, label in short.items():
+        assert [s.label for s in found(text)] == [label], text
+    texts = licenses.all_templates()
+    warranty = texts["mit"][1][texts["mit"][1].index("THE SOFTWARE IS") :]
+    body = texts["gpl"][2][12000:14000]  # past the openings
+    for text, label in ((warranty, "mit"), (body, "gpl"), (texts["bsd"][1][600:], "bsd"), (texts["mpl-2.0"][1], "mpl-2.0"), (texts["apache-2.0"][1][3000:6000], "apache-2.0")):
+        assert {s.label for s in found("Some words first. " + text)} == {label}
+    notice = licenses.TEMPLATES["mit"] + ". "
+    assert [(s.label, s.first, s.share) for s in found(notice * 3)] == [("mit", 25 * k, 1.0) for k in range(3)]
+
+
 def test_matching_statistics():
     rng = np.random.default_rng(2)
     for _ in range(30):
