@@ -171,7 +171,9 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network:
     """A network from texts and languages of documents that aren't held out.
 
     Bounded: per language at most ``BUCKETS`` documents, the one with the least
-    hash in each bucket, chosen over ids alone; only their texts are then read.
+    hash in each bucket, chosen over ids alone; only their texts are then read,
+    and of each at most ``TRAIN_WINDOWS`` windows of ``TRAIN_LENGTH`` bytes.  A
+    shorter text with a letter is repeated to fill one window.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = usable.select("lang", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id").alias("h"))
@@ -184,6 +186,8 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network:
                 found = []
                 for k, lang, text in zip(part["doc_id"].to_pylist(), part["lang"].to_pylist(), part["text"].to_pylist()):
                     data = text.encode()
+                    if len(data) < TRAIN_LENGTH and LETTER.search(text):  # repeated up to a whole window
+                        data = ((data + b" ") * TRAIN_LENGTH)[:TRAIN_LENGTH]
                     for j in range(min(TRAIN_WINDOWS, len(data) // TRAIN_LENGTH)):
                         at = (len(data) - TRAIN_LENGTH) * j // max(1, TRAIN_WINDOWS - 1)
                         found.append((k, lang, data[at : at + TRAIN_LENGTH]))

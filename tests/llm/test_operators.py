@@ -220,6 +220,15 @@ def test_language(odd, docs):
     assert {r["lang_pred"] for r in language.identify(odd, language.train(empty(odd))).collect()} == {"und"}
 
 
+def test_language_of_short_documents_is_learned(spark):
+    rows = [(k, "de" if k % 2 else "el", f"guten tag {k}" if k % 2 else f"καλη {k}") for k in range(200)] + [(201 + 2 * k, "xx", "12 ...") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    network = language.train(df, steps=60)
+    assert network.languages == ["de", "el"]
+    found = language.identify(df, network).join(df, "doc_id").where("lang <> 'xx'")
+    assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(1)
     network = language.Network.fresh(["a", "b"], hidden=3)
