@@ -37,9 +37,13 @@ def repeated_bits(digests: DataFrame, sha_col: str, n_rows: int) -> tuple[DataFr
     return words, bits
 
 
+def _broadcast(bits: int, max_broadcast_bytes: int) -> bool:
+    return bits // 64 * 16 <= max_broadcast_bytes
+
+
 def mark_possible(df: DataFrame, sha_col: str, words: DataFrame, bits: int, flag: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Pass 2: ``df`` with a boolean ``flag``, false only for texts that are certainly unique."""
-    small = bits // 64 * 16 <= max_broadcast_bytes
+    small = _broadcast(bits, max_broadcast_bytes)
     hits = []
     for k, at in enumerate(_positions(F.col(sha_col), bits)):
         w, b = fresh(df, f"_word{k}"), fresh(df, f"_bits{k}")
@@ -72,7 +76,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Of rows that repeat both, or of a group without ids, one stays.  Certainly
     unique rows don't move; of the others only (text hash, id) decides, and
-    just the rows that stay move once more, one a text.
+    just the rows that stay move once more, one a text.  With a filter too
+    large to broadcast, only (text hash, id) rows are marked, and the texts
+    join what these decide.
     """
     sha, flag = fresh(docs, "_sha"), fresh(docs, "_maybe")
     keyed = docs.withColumn(sha, digest(F.col(text_col)))
@@ -80,7 +86,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words, bits = repeated_bits(narrow, "sha", narrow.count())
     words = cut(words)
     keep_sha, keep_id = fresh(keyed, "_keep_sha"), fresh(keyed, "_keep_id")
-    keepers = mark_possible(narrow, "sha", words, bits, "maybe", max_broadcast_bytes).where("maybe").groupBy(F.col("sha").alias(keep_sha)).agg(F.max("id").alias(keep_id))
+    possible = mark_possible(narrow, "sha", words, bits, "maybe", max_broadcast_bytes).where("maybe")
+    if not _broadcast(bits, max_broadcast_bytes):
+        groups = possible.groupBy(F.col("sha").alias(keep_sha)).agg(F.max("id").alias(keep_id), F.count(F.lit(1)).alias("n")).where("n > 1")
+        # by hash and id, so that no task gets all copies of a text
+        decided = possible.join(groups, F.col("sha") == F.col(keep_sha)).select(F.col("sha").alias(keep_sha), F.col("id").alias(keep_id), F.col("id").eqNullSafe(F.col(keep_id)).alias(flag)).distinct()
+        joined = keyed.join(decided, (F.col(sha) == F.col(keep_sha)) & F.col(id_col).eqNullSafe(F.col(keep_id)), "left").drop(keep_sha, keep_id)
+        return joined.where(F.col(flag).isNull()).drop(sha, flag).unionByName(joined.where(F.col(flag)).dropDuplicates([sha]).drop(sha, flag))
+    keepers = possible.groupBy(F.col("sha").alias(keep_sha)).agg(F.max("id").alias(keep_id))
     marked = mark_possible(keyed, sha, words, bits, flag, max_broadcast_bytes)
     alone = marked.where(~F.col(flag)).drop(sha, flag)
     stay = marked.where(F.col(flag)).join(keepers, (F.col(sha) == F.col(keep_sha)) & F.col(id_col).eqNullSafe(F.col(keep_id)), "left_semi")

@@ -83,6 +83,13 @@ def test_exact_dedup(odd, docs, limit):
         assert all(i == max((j for j, u in rows if (u or "") == t and j is not None), default=None) for i, t in stay)
 
 
+def test_large_filters_never_mark_texts(odd, monkeypatch):
+    marked, mark = [], exact_dedup.mark_possible
+    monkeypatch.setattr(exact_dedup, "mark_possible", lambda df, *a: marked.append(df.columns) or mark(df, *a))
+    assert exact_dedup.drop_exact_copies(odd, max_broadcast_bytes=0).count() == exact_dedup.drop_exact_copies(odd).count()
+    assert marked[0] == ["sha", "id"] and [c for c in marked if "text" in c] == [[*odd.columns, marked[-1][-1]]]
+
+
 def test_dedup_plan_is_native(odd):
     assert "Python" not in exact_dedup.exact_groups(odd)._jdf.queryExecution().toString()
 
