@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,7 +77,40 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: A key is hot with more than one of so many parts of all rows, and more than so many rows.
+HOT_KEYS = 200
+HOT_ROWS = 500
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, written once as Parquet to the shared checkpoint folder: for tables that several jobs read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], count: str, total: int) -> DataFrame | None:
+    """(keys, _parts) of the keys that more than 1 / HOT_KEYS of ``total`` rows share, and more than HOT_ROWS, or None without any.
+
+    They are at most HOT_KEYS, and their parts at most 2 * HOT_KEYS.
+    """
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= limit:
+        return None
+    hot = cut(counts.where(F.col(count) > limit).select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_parts")))
+    return None if hot.isEmpty() else hot
+
+
+def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+    """``rows`` joined with ``side`` on ``keys``; the rows of a hot key are dealt over several tasks, which all get the side's rows of that key."""
+    if hot is None:
+        return rows.join(side, keys)
+    hot = F.broadcast(hot)
+    others = [c for c in rows.columns if c not in keys]
+    dealt = rows.join(hot, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*others), F.coalesce("_parts", F.lit(1)))).drop("_parts")
+    copied = side.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1))).drop("_parts")
+    return dealt.join(copied, [*keys, "_part"]).drop("_part")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -89,26 +124,41 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes:
-    """64-bit hashes of many byte ranges of one array, by differences of a polynomial's prefix sums.
+def word_array(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.LargeBinaryArray:
+    """Byte ranges of one array as an Arrow array of their own."""
+    size = end - start
+    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(size, dtype=np.int64)])
+    packed = flat[np.arange(int(offsets[-1])) + np.repeat(start - offsets[:-1], size)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(packed))])
 
-    The hash of bytes b_0 .. b_k-1 is sum (b_j + 1) * R^-j mod 2^64, mixed with
-    the length; it doesn't depend on where the range stands.
-    """
 
-    R = 0x9E3779B97F4A7C15 | 1
+#: Longer byte ranges are hashed one by one, with BLAKE2b.
+LANE_BYTES = 64
+KEYS = [(np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)), (np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3))]
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def _powers(self, n: int) -> None:
-        if len(self.up) < n:
-            inverse = pow(self.R, -1, 1 << 64)
-            size = 1 << int(n).bit_length()
-            self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, r, np.uint64)]), dtype=np.uint64) for r in (self.R, inverse))
+def word_hashes(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes of many byte ranges of one array, as two arrays of 64 bits.
 
-    def __call__(self, flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        self._powers(len(flat) + 1)
-        terms = (flat.astype(np.uint64) + np.uint64(1)) * self.down[: len(flat)]
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-        return mix64((prefix[end] - prefix[start]) * self.up[start] + (end - start).astype(np.uint64) * _MIX)
+    Two chains run over a range's eight-byte lanes; each lane goes through a
+    multiplication and a finaliser with keys of its chain, so neither
+    depends on the other.  Ranges over ``LANE_BYTES`` get a BLAKE2b digest.
+    """
+    size = end - start
+    out = [mix64(size.astype(np.uint64) * key + other) for key, other in KEYS]
+    padded = np.concatenate([flat, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(flat) + 1,), "<u8", padded, 0, (1,))
+    active = np.flatnonzero((size > 0) & (size <= LANE_BYTES))
+    for at in range(0, LANE_BYTES, 8):
+        active = active[size[active] > at]
+        if not len(active):
+            break
+        lane = lanes[start[active] + at]
+        short = np.minimum(size[active] - at, 8)
+        lane &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - (short * 8).astype(np.uint64))
+        for h, (key, other) in zip(out, KEYS):
+            h[active] = mix64((h[active] ^ lane) * key + other)
+    for k in np.flatnonzero(size > LANE_BYTES).tolist():
+        digest = hashlib.blake2b(flat[start[k] : end[k]].tobytes(), digest_size=16).digest()
+        out[0][k], out[1][k] = np.frombuffer(digest, "<u8")
+    return out[0], out[1]

@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join by partitioning the universe of shingles.
 
-Documents are sets of hashed word shingles; sets link when their Jaccard
-similarity is at least T.  Two sets of sizes a <= c that link differ in at most
+Documents are sets of word shingles, each known by a 128-bit digest of its
+words; sets link when their Jaccard similarity is at least T.  Two sets of sizes a <= c that link differ in at most
 (1 - T) / (1 + T) * (a + c) shingles, which is at most H for all pairs whose
 smaller set lies in one size band.  A hash deals all shingles to m segments.
 A segment either indexes its subset alone (it finds partners that don't differ
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, cut, flat_utf8, fresh, mix64, segment_sums, table, texts
+from .common import HOT_ROWS, KEYS, blocks, cut, flat_utf8, fresh, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes, written
 from .merging import ranges
 
 WORDS = 3
@@ -91,10 +91,10 @@ def allocate(lower: int, upper: int, num: int = NUM, den: int = DEN) -> tuple[in
 
 
 class Shingler:
-    """Shingle sets of many texts at once, as sorted distinct 64-bit hashes."""
+    """Shingle sets of many texts at once, as distinct 128-bit digests in two arrays."""
 
     def __init__(self, words: int = WORDS) -> None:
-        self.words, self.hashes = words, WordHashes()
+        self.words = words
         low = np.arange(256, dtype=np.uint8)
         low[65:91] += 32
         self.low = low
@@ -102,8 +102,8 @@ class Shingler:
         blank[[32, *range(9, 14)]] = True
         self.blank = blank
 
-    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All sets in one array, and each text's size; shorter texts have one shingle, those without words none."""
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both halves of all sets' digests, and each text's size; shorter texts have one shingle, those without words none."""
         flat, offsets = flat_utf8(column)
         flat = self.low[flat]
         inside = ~self.blank[flat]
@@ -112,25 +112,28 @@ class Shingler:
         before = np.concatenate([[False], inside[:-1]]) if len(flat) else inside
         start = np.flatnonzero(inside & (begins[:-1] | ~before))
         end = np.flatnonzero(inside & np.concatenate([begins[1:-1] | ~inside[1:], [True]])) + 1 if len(flat) else start
-        word = self.hashes(flat, start, end)
+        halves = word_hashes(flat, start, end)
         bounds = np.searchsorted(start, offsets)
         n = np.diff(bounds)
         owner = np.repeat(np.arange(len(n)), n)
         # a shingle starts at each word that has enough after it, or at the first one of a short text
-        place = np.arange(len(word)) - bounds[:-1][owner]
-        starts = (place + self.words <= n[owner]) | (place == 0)
-        code = np.zeros(len(word), np.uint64)
+        place = np.arange(len(start)) - bounds[:-1][owner]
+        starts = np.flatnonzero((place + self.words <= n[owner]) | (place == 0))
+        left = (n[owner] - place)[starts]  # words from there on
+        codes = [np.zeros(len(starts), np.uint64) for _ in halves]
         for k in range(self.words):
-            later = np.zeros(len(word), np.uint64)
-            valid = np.flatnonzero(place + k < n[owner])
-            later[valid] = word[valid + k] + np.uint64(k + 1)
-            code = mix64(code * np.uint64(0x9E3779B97F4A7C15) + later + np.uint64(1))
-        code, owner = code[starts], owner[starts]
-        order = np.lexsort((code, owner))
-        code, owner = code[order], owner[order]
-        keep = np.ones(len(code), bool)
-        keep[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-        return code[keep], np.bincount(owner[keep], minlength=len(n))
+            have = np.flatnonzero(left > k)
+            for code, half, (key, other) in zip(codes, halves, KEYS):
+                code[have] = mix64((code[have] ^ half[starts[have] + k]) * key + other)
+        first, second, owner = *codes, owner[starts]
+        order = np.lexsort((first, owner))
+        same = (first[order][1:] == first[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+        if (same & (second[order][1:] != second[order][:-1])).any():  # half a digest in common
+            order = np.lexsort((second, first, owner))
+        first, second, owner = first[order], second[order], owner[order]
+        keep = np.ones(len(first), bool)
+        keep[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (owner[1:] != owner[:-1])
+        return first[keep], second[keep], np.bincount(owner[keep], minlength=len(n))
 
 
 class Signer:
@@ -152,9 +155,11 @@ class Signer:
         lower = [1, *(self.ends[:-1] + 1)]
         self.plans = [allocate(int(a), int(b), self.num, self.den) for a, b in zip(lower, self.ends)]
 
-    def classes(self, code: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def classes(self, first: np.ndarray, second: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A 128-bit digest of every set, a sum over its shingles' digests each."""
         offsets = np.concatenate([[0], np.cumsum(sizes)])
-        return (mix64(segment_sums(mix64(code + np.uint64(salt)), offsets, np.uint64)).astype(np.int64) for salt in (0x51, 0xA7))
+        parts = (mix64(first ^ mix64(second + np.uint64(0x51))), mix64(second ^ mix64(first + np.uint64(0xA7))))
+        return tuple(mix64(segment_sums(p, offsets, np.uint64)).astype(np.int64) for p in parts)
 
     def sketches(self, code: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -229,8 +234,8 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
         shingle, sign = Shingler(words), Signer()
         for batch in batches:
             for part in blocks(batch, limit=SHINGLE_BYTES):
-                code, sizes = shingle(part["text"])
-                h1, h2 = sign.classes(code, sizes)
+                code, second, sizes = shingle(part["text"])
+                h1, h2 = sign.classes(code, second, sizes)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T), sign.wide_sketches(code, sizes)], [*names, "wide"])
 
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", wide array<long>")
@@ -243,14 +248,15 @@ def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
         shingle, sign = Shingler(words), Signer(num, den)
         for batch in batches:
             for part in blocks(batch, limit=SHINGLE_BYTES):
-                code, counts = sign.signatures(*shingle(part["text"]))
+                code, _, sizes = shingle(part["text"])
+                code, counts = sign.signatures(code, sizes)
                 yield pa.RecordBatch.from_arrays([part["doc_id"].take(pa.array(np.repeat(np.arange(len(counts)), counts))), pa.array(code)], ["id", "sig"])
 
     return docs.mapInArrow(run, "id long, sig long")
 
 
-#: Lists of ids or signatures with at most so many rows are broadcast (16 bytes a row); longer ones are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Lists of ids or signatures with at most so many rows are broadcast (some 40 bytes a row in memory); longer ones are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def _bounded(keys: DataFrame) -> DataFrame:
@@ -263,10 +269,10 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
         shingle = Shingler(words)
         for batch in batches:
             for part in blocks(batch, limit=SHINGLE_BYTES):
-                code, sizes = shingle(part["text"])
-                yield pa.RecordBatch.from_arrays([part["doc_id"], _lists(code.astype(np.int64), sizes)], ["id", "shingles"])
+                first, second, sizes = shingle(part["text"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *(_lists(h.astype(np.int64), sizes) for h in (first, second))], ["id", "first", "second"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.mapInArrow(run, "id long, first array<long>, second array<long>")
 
 
 def _may_link(a: str, b: str, num: int, den: int) -> Column:
@@ -294,66 +300,87 @@ def _may_link_wide(a: str, b: str, num: int, den: int) -> Column:
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of the ids in ``links`` (a, b): the smallest id reachable, by alternating large and small stars.
 
-    Neighbourhoods are only aggregated to their smallest id and joined back,
-    so a hub with very many links is no burden to one task.
+    Neighbourhoods are aggregated to their smallest id and joined back; the
+    links of a hub are dealt over several tasks.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    before, n_links = None, edges.count()
+
+    def with_least(rows: DataFrame, total: int) -> DataFrame:
+        """(a, b, m): each link with the smallest neighbour of a, or a itself."""
+        least = rows.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        if total > HOT_ROWS:
+            least = cut(least)
+        return spread_join(rows, least.select("a", "m"), ["a"], hot_keys(least, ["a"], "n", total))
+
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         # large star: larger neighbours are tied to the smallest of the neighbourhood
-        edges = both.join(least, both["a"] == least["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        edges = cut(with_least(both, 2 * n_links).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small star: smaller neighbours and the node itself are, too
-        least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
-        edges = cut(edges.join(least, edges["a"] == least["u"]).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct())
+        edges = cut(with_least(edges, n_links).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             break
-        before = tuple(now)
+        before, n_links = tuple(now), now[0]
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
-    Two documents link when den * |intersection| >= num * |union|.  Null and
+    Two documents link when den * |intersection| >= num * |union|.  Shingles
+    count as equal when the 128-bit digests of their words are.  Null and
     empty texts, and those without a word, have no shingles, link with nothing
     and are components of their own.  Rows that share an id are one document
     with the links of each; a row without id links with nothing and its
-    component is null.
+    component is null.  Texts of any length count whole.  An empty table gives
+    no rows; columns other than id and text play no part.
     """
     plain = texts(docs, id_col, text_col)
     described = cut(_described(plain, words))
     real = described.where("n > 0 AND doc_id IS NOT NULL")
-    groups = real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"))
-    homes_of = real.select("doc_id", "n", "h1", "h2").join(groups, ["n", "h1", "h2"]).select("doc_id", "id")
+    same = ["n", "h1", "h2"]
+    groups = cut(real.groupBy(*same).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")))
+    hot_sets = hot_keys(groups, same, "copies", real.count())
+    homes_of = spread_join(real.select("doc_id", *same), groups.drop("copies"), same, hot_sets).select("doc_id", "id")
     copies = cut(homes_of.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("id")).alias("own"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("NOT own OR lo < hi"))
-    signed = _signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den)
+    signed = written(_signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den))
     # buckets with two members or more: counted from partial counts, then their members
     shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
     members = cut(signed.join(_bounded(shared), "sig", "left_semi").distinct())
+    buckets = cut(members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi"))
+    hot_buckets = hot_keys(buckets, ["sig"], "size", members.count())
     used = cut(members.select("id").distinct())
     lite = cut(real.select(F.col("doc_id").alias("id"), "n", *SKETCH, "wide").join(_bounded(used), "id", "left_semi"))
 
+    def hubs(pairs: DataFrame) -> list[DataFrame | None]:
+        """The hot ids among the first, and among the second members of pairs."""
+        total = pairs.count()
+        return [hot_keys(pairs.groupBy(k).agg(F.count(F.lit(1)).alias("degree")), [k], "degree", total) for k in ("a", "b")]
+
     def plausible(pairs: DataFrame) -> DataFrame:
         """Distinct candidate pairs (a, b) that sizes and sketches allow."""
-        x, y = lite.alias("x"), lite.alias("y")
-        fits = (F.col("b") == F.col("y.id")) & _may_link("x", "y", num, den) & _may_link_wide("x", "y", num, den)
-        return pairs.distinct().join(x, F.col("a") == F.col("x.id")).join(y, fits).select("a", "b")
+        pairs = cut(pairs.distinct())
+        x, y = (lite.select(F.col("id").alias(k), F.struct("n", *SKETCH, "wide").alias(s)) for k, s in (("a", "x"), ("b", "y")))
+        hot_a, hot_b = hubs(pairs)
+        met = spread_join(spread_join(pairs, x, ["a"], hot_a), y, ["b"], hot_b)
+        return met.where(_may_link("x", "y", num, den) & _may_link_wide("x", "y", num, den)).select("a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among distinct candidate pairs (a, b), exactly; only sets of their members are built and sent."""
         wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
         sets = cut(_sets(plain.join(_bounded(wanted), "doc_id", "left_semi"), words))
         firsts, seconds = (_bounded(cut(pairs.select(F.col(k).alias("id")).distinct())) for k in ("a", "b"))
-        left = sets.join(firsts, "id", "left_semi").select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        right = sets.join(seconds, "id", "left_semi").select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        return pairs.join(left, "a").join(right, "b").where(both * den >= num * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
-
-    ends = members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    stars = members.join(ends, "sig").select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
+        left = sets.join(firsts, "id", "left_semi").select(F.col("id").alias("a"), F.col("first").alias("a1"), F.col("second").alias("a2"))
+        right = sets.join(seconds, "id", "left_semi").select(F.col("id").alias("b"), F.col("first").alias("b1"), F.col("second").alias("b2"))
+        # by both halves of the digests: neither can count a shingle that the sets don't share unless it collides
+        both = F.least(F.size(F.array_intersect("a1", "b1")), F.size(F.array_intersect("a2", "b2")))
+        hot_a, hot_b = hubs(pairs)
+        met = spread_join(spread_join(pairs, left, ["a"], hot_a), right, ["b"], hot_b)
+        return met.where(both * den >= num * (F.size("a1") + F.size("b1") - both)).select("a", "b").distinct()
+
+    stars = spread_join(members, buckets.select("sig", "lo", "hi"), ["sig"], hot_buckets).select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
     # an id with several texts ties their classes together
     ties = None
     several = copies.where("lo < hi")
@@ -363,18 +390,19 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     links = verified(checked)
     links = cut(links.unionByName(ties) if ties is not None else links)
     found = components(links)
-    placed = members.join(found, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("c"))
+    placed = cut(members.join(found, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("c")))
     mixed = placed.groupBy("sig").agg(F.min("c").alias("main"), F.max("c").alias("other")).where("main < other")
-    open_ = cut(placed.join(mixed.select("sig", "main"), "sig").join(lite.drop("wide"), "id"))
-    x, y = open_.where("c <> main").alias("x"), open_.alias("y")
-    rest = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.c") > F.col("y.c")) & _may_link("x", "y", num, den))
+    open_ = cut(spread_join(placed, mixed.select("sig", "main"), ["sig"], hot_buckets).join(lite.drop("wide"), "id"))
+    x = open_.where("c <> main").select("sig", F.struct("id", "c", "n", *SKETCH).alias("x"))
+    y = open_.select("sig", F.struct("id", "c", "n", *SKETCH).alias("y"))
+    rest = spread_join(y, x, ["sig"], hot_buckets).where((F.col("x.c") > F.col("y.c")) & _may_link("x", "y", num, den))
     # pairs that the first round found not to link need no second check
     open_pairs = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
     more = cut(verified(cut(plausible(open_pairs))))
     if not more.isEmpty():
         found = components(links.unionByName(more))
-    homes = groups.join(found, "id", "left").select("n", "h1", "h2", F.coalesce("component", "id").alias("home"))
-    linked = real.select("doc_id", "n", "h1", "h2").join(homes, ["n", "h1", "h2"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("home").alias("component_id"))
+    homes = groups.join(found, "id", "left").select(*same, F.coalesce("component", "id").alias("home"))
+    linked = spread_join(real.select("doc_id", *same), homes, same, hot_sets).select("doc_id", F.col("n").alias("n_shingles"), F.col("home").alias("component_id"))
     alone = described.where("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 

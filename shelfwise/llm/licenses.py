@@ -21,10 +21,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, flat_utf8, table, texts
+from .common import blocks, flat_utf8, table, texts, word_array
 
 #: Phrases and their labels, found wherever their words stand consecutively.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -159,12 +160,8 @@ class Scanner:
         of = {label: [m for m in map(words_of, marks.get(label, ())) if all(w in number for w in m)] for label in templates}
         self.marks = {label: [[number[w] for w in m] for m in several] for label, several in of.items()}
         self.phrases = [[number[w] for w in p] for p in self.phrase_words]
-        self.hashes = WordHashes()
-        coded = [w.encode() for w in self.vocabulary]
-        ends = np.cumsum([len(c) for c in coded])
-        hashed = self.hashes(np.frombuffer(b"".join(coded), np.uint8), np.concatenate([[0], ends[:-1]]), ends)
-        self.order = np.argsort(hashed)
-        self.sorted = hashed[self.order]
+        self.values = pa.array([w.encode() for w in self.vocabulary], pa.large_binary())
+        self.longest = max((len(w.encode()) for w in self.vocabulary), default=0)
         low = np.arange(256, dtype=np.uint8)
         low[65:91] += 32
         self.low = low
@@ -181,11 +178,8 @@ class Scanner:
         start = np.flatnonzero(inside & (begins[:-1] | ~np.concatenate([[False], inside[:-1]])))
         end = np.flatnonzero(inside & np.concatenate([begins[1:-1] | ~inside[1:], [True]])) + 1 if len(flat) else start
         found = np.full(len(start), -1, np.int64)
-        few = np.flatnonzero(end - start <= max(map(len, map(str.encode, self.vocabulary))))
-        hashed = self.hashes(flat, start[few], end[few])
-        at = np.minimum(np.searchsorted(self.sorted, hashed), len(self.sorted) - 1)
-        same = self.sorted[at] == hashed
-        found[few[same]] = self.order[at[same]]
+        few = np.flatnonzero(end - start <= self.longest)
+        found[few] = pc.index_in(word_array(flat, start[few], end[few]), self.values).fill_null(-1).to_numpy(zero_copy_only=False)
         return found, np.searchsorted(start, offsets)
 
     def _threes(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -9,12 +9,11 @@ that of an agenda by score.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
-from .common import WordHashes, mix64
+from .common import mix64, word_array
 
 NONE = np.int64(1) << 40
-#: ``distinct_words`` takes ranges of more bytes as distinct, without a hash.
-LONG_BYTES = 256
 
 
 class BatchMerger:
@@ -122,15 +121,10 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(starts - (total - counts), counts)
 
 
-def distinct_words(flat: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For byte ranges: the place of one range of each distinct word, every range's number among them, and their hashes.
-
-    Equality is that of 64-bit hashes and lengths; ranges over ``LONG_BYTES``
-    count as distinct.  The value that stands for such a range's hash is made
-    from its place: it means nothing outside this call.
-    """
-    key = hashes(flat, start, end)
-    long = np.flatnonzero(end - start > LONG_BYTES)
-    key[long] = mix64(start[long].astype(np.uint64) + np.uint64(1 << 63))
-    found, one, number = np.unique(key, return_index=True, return_inverse=True)
-    return one, number, found
+def distinct_words(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """For byte ranges: the place of the first range of each distinct word, every range's number among them, and their bytes."""
+    coded = word_array(flat, start, end).dictionary_encode()
+    number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    one = np.zeros(len(coded.dictionary), np.int64)
+    one[number[::-1]] = np.arange(len(number))[::-1]
+    return one, number, coded.dictionary

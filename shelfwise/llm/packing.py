@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, blocks, table, texts
+from .common import blocks, table, texts
 from .merging import BatchMerger, distinct_words, ranges
 from .token_counts import NUMBER, SPACE, byte_alphabet, character_classes
 
@@ -202,7 +202,7 @@ class WordIds:
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             pairs[vocab[left], vocab[right]] = (rank, vocab[left + right])
-        self.merge, self.hashes = BatchMerger(pairs), WordHashes()
+        self.merge = BatchMerger(pairs)
         self.kinds = np.frombuffer(kinds, np.uint8)
         # Latin letters, dashes and quotes, and Han characters compose with nothing of their own kind
         self.lower = np.zeros(0x110000, np.uint32)
@@ -239,7 +239,7 @@ class WordIds:
         place = np.concatenate([[0], np.cumsum(width)])
         flat = np.frombuffer(points.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
         lo, hi = place[at], place[stop]
-        one, number, _ = distinct_words(flat, lo, hi, self.hashes)
+        one, number, _ = distinct_words(flat, lo, hi)
         lo, size = lo[one], (hi - lo)[one]
         symbols = self.symbol[flat[ranges(lo, size)]]
         tails = np.cumsum(size) - 1

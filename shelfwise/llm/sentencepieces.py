@@ -23,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import WordHashes, blocks, segment_sums, table, texts
-from .merging import LONG_BYTES, BatchMerger, distinct_words
+from .common import blocks, segment_sums, table, texts
+from .merging import BatchMerger, distinct_words
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
-#: Words (by hash) of up to ``LONG_BYTES`` whose ids a worker remembers.
+#: A worker remembers the ids of so many words, by their bytes; longer words than this aren't remembered.
 REMEMBERED = 400_000
+LONG_BYTES = 256
 #: Words of more characters than this are encoded one by one over a heap.
 HEAP_LENGTH = 256
 
@@ -57,14 +58,14 @@ class AgendaEncoder:
             for j in range(1, len(p)):
                 if p[:j] in self.scores and p[j:] in self.scores:
                     pairs[self.scores[p[:j]][1], self.scores[p[j:]][1]] = (order[s], k)
-        self.merge, self.hashes = BatchMerger(pairs), WordHashes()
+        self.merge = BatchMerger(pairs)
         self.symbol = -2 - np.arange(0x110000)  # characters outside the vocabulary: kept apart, bytes later
         for p, (_, k) in self.scores.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = k
         self.symbol[32] = self.symbol[ord(MARK)]
         self.decimal = [str(k) for k in range(size)]
-        self.known: dict[int, tuple[int, str, str]] = {}
+        self.known: dict[bytes, tuple[int, str, str]] = {}
         self.differing = 0
 
     def word(self, text: str) -> list[int]:
@@ -145,19 +146,16 @@ class AgendaEncoder:
         stop = np.concatenate([at[1:], [len(points)]])
         width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
         place = np.concatenate([[0], np.cumsum(width)])
-        one, number, keys = distinct_words(np.frombuffer(whole.encode(), np.uint8), place[at], place[stop], self.hashes)
-        keys = keys.tolist()
+        _, number, words = distinct_words(np.frombuffer(whole.encode(), np.uint8), place[at], place[stop])
+        words = words.to_pylist()
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        # keys of long words hold in this block only: those words are neither looked up nor remembered
-        long = (place[stop] - place[at])[one] > LONG_BYTES
-        entries = [None if apart else self.known.get(key) for key, apart in zip(keys, long.tolist())]
+        entries = [self.known.get(word) for word in words]
         new = [k for k, entry in enumerate(entries) if entry is None]
-        begin, end = at[one].tolist(), stop[one].tolist()
-        for k, entry in zip(new, self._entries([whole[begin[k] : end[k]] for k in new])):
+        for k, entry in zip(new, self._entries([words[k].decode() for k in new])):
             entries[k] = entry
-            if not long[k]:
-                self.known[keys[k]] = entry
+            if len(words[k]) <= LONG_BYTES:
+                self.known[words[k]] = entry
         counts, text, shown = zip(*entries)
         sizes = np.array(counts, np.int64)[number]
         cuts = np.searchsorted(at, np.concatenate([[0], ends]))

@@ -1,6 +1,8 @@
 """The operators against brute force, the libraries, and on nulls, empty and long texts, ties, repeats and clashing columns."""
 
+import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -10,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import exact_dedup, html_text, jaccard, language, licenses, packing, sentencepieces, token_counts, topk, toxicity
+from shelfwise.llm import common, exact_dedup, html_text, jaccard, language, licenses, packing, sentencepieces, token_counts, topk, toxicity
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 ODD = [
@@ -150,8 +152,6 @@ def test_token_counts(odd, docs):
 
 
 def test_transducer_on_random_texts_and_small_chunks():
-    import random
-
     from tokenizers import Tokenizer
 
     source = open(public_tokenizers.path(token_counts.VOCABULARY)).read()
@@ -188,11 +188,19 @@ def test_sentencepiece(odd, docs):
 
 def test_sentencepiece_long_words_of_other_blocks():
     encoder = sentencepieces.AgendaEncoder(open(public_tokenizers.path(sentencepieces.VOCABULARY), "rb").read())
-    for word in ("abc" * 100, "xyz" * 100, "漢字仮名" * 50, "語" * 200):  # each first in its block
+    random.seed(8)
+    words = ["abc" * 100, "xyz" * 100, "漢字仮名" * 50, "語" * 200, base64.b64encode(random.randbytes(700)).decode(), thue_morse(1024), thue_morse(1024, True), thue_morse(200), thue_morse(200, True), "これは空白のない長い文章です。" * 30]
+    for word in words:  # each first in its block
         (n, ids, shown), other = encoder([word, "a b"])
         assert shown == word and other[2] == "a b"
         assert list(map(int, ids.split(","))) == encoder.library.encode(word) and n == len(encoder.library.encode(word))
+    letters = [*"etaoin shrdlu", " ", "  ", "漢", "é", "😀", "the ", "▁", "\n"]
+    for _ in range(60):  # many blocks through one encoder
+        texts = ["".join(random.choices(letters, k=random.randint(0, 400))) for _ in range(5)]
+        want = [encoder.library.encode(t) for t in texts]
+        assert [f[:2] for f in encoder(texts)] == [(len(w), ",".join(map(str, w))) for w in want]
     assert encoder.differing == 0
+    assert sentencepieces.AgendaEncoder(open(public_tokenizers.path(sentencepieces.VOCABULARY), "rb").read(), check=False)(words) == encoder(words)
 
 
 def test_sentencepiece_heap_for_very_long_words(monkeypatch):
@@ -423,9 +431,11 @@ def near_rows():
 
 @pytest.mark.parametrize(("size", "num"), [(3, 90), (5, 80)])
 def test_jaccard(spark, odd, docs, size, num, monkeypatch):
-    for limit in (jaccard.BROADCAST_ROWS, 0):
+    for limit, hot in ((jaccard.BROADCAST_ROWS, jaccard.HOT_ROWS), (0, 2)):  # nothing broadcast, nearly every key dealt
         monkeypatch.setattr(jaccard, "BROADCAST_ROWS", limit)
-        rows = near_rows()
+        monkeypatch.setattr(jaccard, "HOT_ROWS", hot)
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        rows = near_rows() + [(2000 + k, near_rows()[5][1]) for k in range(12)]
         df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit(1))
         got = jaccard.near_groups(df, size, num, 100).select("doc_id", "n_shingles", "component_id").collect()
         assert sorted(map(tuple, got), key=repr) == brute_components(rows, size, num, 100)
@@ -433,8 +443,36 @@ def test_jaccard(spark, odd, docs, size, num, monkeypatch):
     got = jaccard.near_groups(odd, size, num, 100).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=repr) == brute_components(rows, size, num, 100)
     assert jaccard.near_groups(empty(odd), size, num, 100).count() == 0
+    left = jaccard.drop_near_copies(df, size, num, 100)
+    want = brute_components(near_rows() + [(2000 + k, near_rows()[5][1]) for k in range(12)], size, num, 100)
+    assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == sorted(i for i, _, c in want if i == c)
     left = jaccard.drop_near_copies(odd, size, num, 100)
     assert left.columns == odd.columns
+    assert jaccard.drop_near_copies(empty(odd), size, num, 100).count() == 0
+
+
+def thue_morse(n, swap=False):
+    """n letters that polynomials modulo powers of two can't tell from their complement."""
+    return "".join("ab"[(bin(k).count("1") + swap) % 2] for k in range(n))
+
+
+def test_jaccard_tells_structured_words_apart(spark):
+    rows = [(k, thue_morse(n, swap)) for k, (n, swap) in enumerate((n, swap) for n in (16, 63, 64, 65, 256, 1024, 4096) for swap in (False, True))]
+    rows += [(100, "\x01" * 8 + " " + "\x01" * 9), (101, "\x01" * 9 + " " + "\x01" * 8), (102, "a" * 8 + " b"), (103, "a" * 7 + " ab")]
+    got = jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == sorted((i, 1, i) for i, _ in rows)
+
+
+def test_word_hashes_depend_on_the_bytes_alone():
+    rng = np.random.default_rng(6)
+    flat = rng.integers(0, 3, 4000).astype(np.uint8)
+    start = rng.integers(0, 3900, 3000)
+    end = start + rng.integers(1, 100, 3000)
+    first, second = common.word_hashes(flat, start, end)
+    seen = {}
+    for a, b, x, y in zip(start, end, first.tolist(), second.tolist()):
+        assert seen.setdefault(flat[a:b].tobytes(), (x, y)) == (x, y)
+    assert len(set(seen.values())) == len(seen) and len({x for x, _ in seen.values()}) == len({y for _, y in seen.values()}) == len(seen)
 
 
 def test_wide_sketches_differ_in_no_more_bits_than_sets_do(spark):
