@@ -1,23 +1,31 @@
 """Exact deduplication with a two-pass Bloom filter, in DataFrame functions only.
 
-Pass 1 gives every text two positions in a bit array and sets the bits that
-two or more rows ask for.  Pass 2 sends a row to the shuffle only if both of
-its bits are set; any other text is certainly unique and passes straight
-through.  The rows that shuffle are grouped by SHA-256, so the filter's false
-positives cost work but never change a result.
+Rows stay where they are, at any size of the table: they are written once,
+bucketed by the input partition that holds them, so what is joined to them by
+partition moves alone.
+
+Pass 1 gives every text two positions in a bit array.  A partition names each
+of its positions once, with a count; these shuffle by position, and a bit is
+set where two rows or more want it.  Each partition gets its part of the array
+back, folded to what its set bits need.  Pass 2 tests both bits of every row:
+a row with one that isn't set is certainly unique and passes straight through.
+Only the others shuffle, and of equal texts only one line a partition does
+until their largest id and their number are known.  False positives of the
+filter cost work but never change a result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, table
+from .common import cut, ensure_checkpoint_dir, fresh, table
 
 #: Bits of the filter for each row; two positions a row give about 1.4 % false positives.
 BITS_PER_ROW = 16
-#: A larger filter isn't broadcast, but joined by word.
-MAX_BROADCAST_BYTES = 64 << 20
+SHA, PLACE, ROW = "sha_", "place_", "row_"
 
 
 def digest(text: Column) -> Column:
@@ -25,79 +33,99 @@ def digest(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def _positions(sha: Column, bits: int) -> tuple[Column, Column]:
+def positions(sha: Column, bits: int) -> tuple[Column, Column]:
     return F.pmod(F.xxhash64(sha), F.lit(bits)), F.pmod(F.xxhash64(sha, F.lit(7)), F.lit(bits))
 
 
-def repeated_bits(digests: DataFrame, sha_col: str, n_rows: int) -> tuple[DataFrame, int]:
-    """Pass 1: (word, bits) of the positions wanted by two rows or more, and the filter's size in bits."""
-    bits = max(1 << 16, 1 << (max(1, n_rows * BITS_PER_ROW) - 1).bit_length())
-    wanted = digests.select(F.explode(F.array(*_positions(F.col(sha_col), bits))).alias("at")).groupBy("at").count().where("count > 1")
-    words = wanted.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits"))
-    return words, bits
+def filter_bits(n_rows: int) -> int:
+    return max(1 << 16, 1 << (max(1, n_rows * BITS_PER_ROW) - 1).bit_length())
+
+
+def settled(rows: DataFrame, place: str) -> DataFrame:
+    """``rows`` as a table in the shared folder, bucketed by ``place``, the partition that holds them: no row moves for it, or for a join on it."""
+    spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    name = f"settled_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.write.bucketBy(buckets, place).format("parquet").option("path", f"{spark.sparkContext.getCheckpointDir()}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
+def bit_arrays(marks: DataFrame, places: DataFrame, place: str, words: int) -> DataFrame:
+    """(place, words): for every place an array of ``words`` longs with the bits ``at`` of its marks (place, at) set."""
+    word = F.shiftright("at", 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
+    given = marks.select(place, word.alias("word"), bit.alias("bits"))
+    none = places.select(place, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(words - 1).cast("long"))).alias("word"), F.lit(0).cast("long").alias("bits"))
+    filled = given.unionByName(none).groupBy(place, "word").agg(F.bit_or("bits").alias("bits"))
+    return filled.groupBy(place).agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words"))
+
+
+def has_bit(words: str, at: Column) -> Column:
+    return F.getbit(F.element_at(words, (F.shiftright(at, 6) + 1).cast("int")), (at % 64).cast("int")) == 1
 
 
-def _broadcast(bits: int, max_broadcast_bytes: int) -> bool:
-    return bits // 64 * 16 <= max_broadcast_bytes
+def at_place(rows: DataFrame, side: DataFrame, place: str) -> DataFrame:
+    """``rows`` with the array of their place; the rows don't move."""
+    key = fresh(rows, "at_")
+    return rows.join(side.withColumnRenamed(place, key).hint("shuffle_hash"), F.col(place) == F.col(key)).drop(key)
 
 
-def mark_possible(df: DataFrame, sha_col: str, words: DataFrame, bits: int, flag: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Pass 2: ``df`` with a boolean ``flag``, false only for texts that are certainly unique."""
-    small = _broadcast(bits, max_broadcast_bytes)
-    hits = []
-    for k, at in enumerate(_positions(F.col(sha_col), bits)):
-        w, b = fresh(df, f"_word{k}"), fresh(df, f"_bits{k}")
-        side = words.select(F.col("word").alias(w), F.col("bits").alias(b))
-        df = df.join(F.broadcast(side) if small else side, F.shiftright(at, 6) == F.col(w), "left").drop(w)
-        hits.append((b, F.coalesce(F.getbit(F.col(b), (at % 64).cast("int")) == 1, F.lit(False))))
-    return df.withColumn(flag, hits[0][1] & hits[1][1]).drop(*(b for b, _ in hits))
+def possible(rows: DataFrame, sha: str, place: str, flag: str, bits: int | None = None) -> DataFrame:
+    """Both passes over settled ``rows``: the same with a boolean ``flag``, false only for texts that are certainly unique."""
+    bits = bits or filter_bits(rows.count())
+    wanted = rows.select(place, F.explode(F.array(*positions(F.col(sha), bits))).alias("at")).groupBy(place, "at").agg(F.count(F.lit(1)).alias("n"))
+    everywhere = wanted.select(place, "at", F.sum("n").over(Window.partitionBy("at")).alias("n"))
+    marks = cut(everywhere.where("n > 1").select(place, "at"))
+    most = marks.groupBy(place).count().agg(F.max("count")).first()[0] or 0
+    folded = min(bits, max(64, 1 << (most * BITS_PER_ROW - 1).bit_length()) if most else 64)
+    arrays = cut(bit_arrays(marks.select(place, (F.col("at") % folded).alias("at")), rows.select(place).distinct(), place, max(1, folded // 64)))
+    first, second = (at % folded for at in positions(F.col(sha), bits))
+    words = fresh(rows, "words_")
+    return at_place(rows, arrays.withColumnRenamed("words", words), place).withColumn(flag, has_bit(words, first) & has_bit(words, second)).drop(words)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of equal texts the largest doc_id stays.  A null text equals the empty
     one.  Rows that repeat both id and text count in group_size and share one
     fate.  A row without id is kept only if its whole group has none (keep_id
-    is then null).  An empty table gives no rows.
+    is then null).  An empty table gives no rows; texts of any length count
+    whole; columns other than id and text play no part.
     """
-    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("text_sha256")))
-    words, bits = repeated_bits(rows, "text_sha256", rows.count())
-    marked = mark_possible(rows, "text_sha256", cut(words), bits, "maybe", max_broadcast_bytes)
-    alone = marked.where(~F.col("maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
-    shared = marked.where("maybe").select("doc_id", "text_sha256")
-    groups = shared.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    joined = shared.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    rows = settled(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias(SHA), F.spark_partition_id().alias(PLACE)), PLACE)
+    marked = possible(rows, SHA, PLACE, "maybe", bits)
+    alone = marked.where("NOT maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col(SHA).alias("text_sha256"))
+    shared = marked.where("maybe").select("doc_id", SHA, PLACE)
+    by_text = Window.partitionBy(SHA)
+    mine = shared.groupBy(PLACE, SHA).agg(F.max("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    groups = mine.select(PLACE, SHA, F.max("id").over(by_text).alias("keep_id"), F.sum("n").over(by_text).alias("group_size"))
+    joined = shared.join(groups, [PLACE, SHA]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col(SHA).alias("text_sha256"))
     return alone.unionByName(joined)
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """``docs`` with one row of each text, that of the largest doc_id, and all its columns.
 
-    Of rows that repeat both, or of a group without ids, one stays.  Certainly
-    unique rows don't move; of the others only (text hash, id) decides, and
-    just the rows that stay move once more, one a text.  With a filter too
-    large to broadcast, only (text hash, id) rows are marked, and the texts
-    join what these decide.
+    Of rows that repeat both, or of a group without ids, one stays.  The whole
+    rows are written once and never shuffle: each partition gets a bit for
+    every row that it has to drop.
     """
-    sha, flag = fresh(docs, "_sha"), fresh(docs, "_maybe")
-    keyed = docs.withColumn(sha, digest(F.col(text_col)))
-    narrow = cut(keyed.select(F.col(sha).alias("sha"), F.col(id_col).alias("id")))
-    words, bits = repeated_bits(narrow, "sha", narrow.count())
-    words = cut(words)
-    keep_sha, keep_id = fresh(keyed, "_keep_sha"), fresh(keyed, "_keep_id")
-    possible = mark_possible(narrow, "sha", words, bits, "maybe", max_broadcast_bytes).where("maybe")
-    if not _broadcast(bits, max_broadcast_bytes):
-        groups = possible.groupBy(F.col("sha").alias(keep_sha)).agg(F.max("id").alias(keep_id), F.count(F.lit(1)).alias("n")).where("n > 1")
-        # by hash and id, so that no task gets all copies of a text
-        decided = possible.join(groups, F.col("sha") == F.col(keep_sha)).select(F.col("sha").alias(keep_sha), F.col("id").alias(keep_id), F.col("id").eqNullSafe(F.col(keep_id)).alias(flag)).distinct()
-        joined = keyed.join(decided, (F.col(sha) == F.col(keep_sha)) & F.col(id_col).eqNullSafe(F.col(keep_id)), "left").drop(keep_sha, keep_id)
-        return joined.where(F.col(flag).isNull()).drop(sha, flag).unionByName(joined.where(F.col(flag)).dropDuplicates([sha]).drop(sha, flag))
-    keepers = possible.groupBy(F.col("sha").alias(keep_sha)).agg(F.max("id").alias(keep_id))
-    marked = mark_possible(keyed, sha, words, bits, flag, max_broadcast_bytes)
-    alone = marked.where(~F.col(flag)).drop(sha, flag)
-    stay = marked.where(F.col(flag)).join(keepers, (F.col(sha) == F.col(keep_sha)) & F.col(id_col).eqNullSafe(F.col(keep_id)), "left_semi")
-    return alone.unionByName(stay.dropDuplicates([sha]).drop(sha, flag))
+    sha, place, row, gone = (fresh(docs, c) for c in (SHA, PLACE, ROW, "gone_"))
+    number = F.monotonically_increasing_id() % (1 << 33)  # within the partition
+    whole = settled(docs.withColumns({sha: digest(F.col(text_col)), place: F.spark_partition_id(), row: number}), place)
+    rows = whole.select(F.col(id_col).cast("long").alias("id"), F.col(row).alias(ROW), F.col(sha).alias(SHA), F.col(place).alias(PLACE))
+    # within a partition, then over all of them: the largest id (null before any), and of its rows one
+    shared = possible(rows, SHA, PLACE, "maybe", bits).where("maybe").select(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), ROW, SHA, PLACE)
+    mine = shared.groupBy(PLACE, SHA).agg(F.max("id").alias("id"), F.max_by(ROW, "id").alias("of"))
+    best = F.max(F.struct("id", PLACE, "of")).over(Window.partitionBy(SHA))
+    stays = mine.select(PLACE, SHA, best.alias("best"))
+    drop = shared.join(stays, [PLACE, SHA]).where((F.col(PLACE) != F.col(f"best.{PLACE}")) | (F.col(ROW) != F.col("best.of")))
+    most = rows.agg(F.max(ROW)).first()[0] or 0
+    arrays = cut(bit_arrays(drop.select(PLACE, F.col(ROW).alias("at")), rows.select(PLACE).distinct(), PLACE, most // 64 + 1))
+    marked = at_place(whole, arrays.select(F.col(PLACE).alias(place), F.col("words").alias(gone)), place)
+    return marked.where(~has_bit(gone, F.col(row))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

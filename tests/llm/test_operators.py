@@ -5,7 +5,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -72,24 +72,31 @@ def brute_dedup(rows):
     return sorted(((i, keep[t or ""], len(groups[t or ""]), i == keep[t or ""], hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows), key=repr)
 
 
-@pytest.mark.parametrize("limit", [exact_dedup.MAX_BROADCAST_BYTES, 0])
-def test_exact_dedup(odd, docs, limit):
-    for df in (odd, docs, empty(odd)):
+@pytest.mark.parametrize("bits", [None, 64])
+def test_exact_dedup(odd, docs, bits):
+    for df in (odd, docs, odd.union(odd).repartition(7), empty(odd)):  # with 64 bits nearly all are set
         rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
-        got = exact_dedup.exact_groups(df, max_broadcast_bytes=limit).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+        got = exact_dedup.exact_groups(df, bits=bits).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
         assert sorted(map(tuple, got.collect()), key=repr) == brute_dedup(rows)
-        left = exact_dedup.drop_exact_copies(df, max_broadcast_bytes=limit)
+        left = exact_dedup.drop_exact_copies(df, bits=bits)
         assert left.columns == df.columns
         stay = [(r["doc_id"], r["text"] or "") for r in left.collect()]
         assert sorted(t for _, t in stay) == sorted({t or "" for _, t in rows})
         assert all(i == max((j for j, u in rows if (u or "") == t and j is not None), default=None) for i, t in stay)
 
 
-def test_large_filters_never_mark_texts(odd, monkeypatch):
-    marked, mark = [], exact_dedup.mark_possible
-    monkeypatch.setattr(exact_dedup, "mark_possible", lambda df, *a: marked.append(df.columns) or mark(df, *a))
-    assert exact_dedup.drop_exact_copies(odd, max_broadcast_bytes=0).count() == exact_dedup.drop_exact_copies(odd).count()
-    assert marked[0] == ["sha", "id"] and [c for c in marked if "text" in c] == [[*odd.columns, marked[-1][-1]]]
+def test_rows_that_pass_never_shuffle(docs):
+    """Below every exchange of the plan stands the filter of the possibly repeated rows, or an aggregate."""
+    for df in (exact_dedup.exact_groups(docs), exact_dedup.drop_exact_copies(docs)):
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert not any("text#" in line for line in lines if "Exchange" in line)
+        for k, line in enumerate(lines):
+            if "Exchange" in line:
+                below = next(x for x in lines[k + 1 :] if "Project" not in x and "Filter isnotnull" not in x)
+                assert any(part in below for part in ("getbit(", "HashAggregate", "Window", "Scan ExistingRDD")), lines[k : k + 4]
+    flags = exact_dedup.possible(exact_dedup.settled(docs.select(exact_dedup.digest(F.col("text")).alias("sha"), F.spark_partition_id().alias("p")), "p"), "sha", "p", "f")
+    repeated = sum(n for n in Counter(r["text"] or "" for r in docs.collect()).values() if n > 1)
+    assert repeated <= flags.where("f").count() <= repeated + 0.05 * docs.count() + 3
 
 
 def test_dedup_plan_is_native(odd):
