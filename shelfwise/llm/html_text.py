@@ -3,11 +3,14 @@
 A page is a sequence of words and tags.  Words score by the element they stand
 in, tags by their name; the weights are log-odds learned from labelled pages,
 which mark their article themselves with one <article> or <main> element.  One
-linear scan finds the contiguous region with the highest sum.  Within it, the
-elements that are never part of an article (menus, adverts, comments, forms,
-scripts and so on) are left out, and the rest becomes blocks of text.  Such an
-element scores as its opening tag alone, however long it is, so that it doesn't
-part an article in two.
+linear scan finds the contiguous region with the highest sum.
+
+Within the region, menus, adverts, comments, forms and the like are left out.
+Whether an element is one of these is a linear model over its name and the words
+of its class, id and role: weights start from the fixed values below and are
+fitted to where such elements stand on the labelled pages.  An element that is
+left out scores as its opening tag alone, however long it is, so that it doesn't
+part an article in two.  The rest becomes blocks of text.
 """
 
 from __future__ import annotations
@@ -30,18 +33,21 @@ MAX_LABELLED = 800
 #: Tags always cost something, words in an element that labels favour always gain.
 TAG_COST, LEAST_GAIN = -0.02, 0.05
 
-#: Elements that end a block of text, that have no end tag, that hold no
-#: text of the page, that aren't part of an article, and class or id words of such elements.
+#: Elements that end a block of text, that have no end tag, and that hold no text of the page.
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas title".split())
 #: Of these, what browsers read as raw text up to the end tag; and what may be self-closed.
 RAW_TEXT = frozenset("script style noscript textarea iframe title".split())
 FOREIGN = frozenset("svg math".split())
-OUTSIDE = frozenset("nav header footer aside form button select dialog menu head".split())
-OUTSIDE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer header menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion related share sharing sidebar social sponsor sponsored subscribe widget".split())
-#: Words that only say where or what kind of box, beside an outside word in one class.
+#: What speaks for (above 0) or against an element as part of an article before any page is seen:
+#: its name, then words that say what an element is, and words that say where, or what kind of box, it is.
+BIAS = 1.0
+NAME_WEIGHTS = {"article": 6.0, "main": 6.0, "h1": 3.0, "h2": 1.5, "h3": 1.5, "h4": 1.5, "h5": 1.5, "h6": 1.5, "p": 1.0, "nav": -7.0, "footer": -5.0, "header": -5.0, "aside": -5.0, "form": -7.0, "button": -7.0, "select": -7.0, "dialog": -7.0, "menu": -7.0, "head": -9.0}
+WORD_WEIGHTS = {w: -3.0 for w in "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion related share sharing sidebar social sponsor sponsored subscribe widget".split()} | {"header": -2.0}
 PLACE_WORDS = frozenset("area bar block body bottom box btn button buttons column container fixed form global group holder inner item items left link links list main mobile outer overlay page panel placeholder post posts primary right row secondary section signup site slot sticky text title toolbar top unit wrap wrapper zone".split())
+#: How firmly weights of names, and of words, hold to their start while they are fitted.
+FIRM_NAME, FIRM_WORD = 200.0, 1.0
 #: Elements whose end tag is often left out: a new one of the second group ends an open one of the first.
 IMPLIED = {"p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
@@ -50,7 +56,7 @@ NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 SPACE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Token:
     """A tag, or the text between two tags, with what holds where it stands."""
 
@@ -60,74 +66,159 @@ class Token:
     block: bool = False  # a block ends here
     inside: bool = True  # not within an element that is never part of an article
     marked: bool = False  # within the page's own <article> or <main>
+    features: tuple[str, ...] = ()  # of an element that opens and isn't within one that is left out
 
 
-def _outside_class(attributes: str) -> bool:
-    """Whether a class, id or role names such an element: each of its parts is an outside or a place word, one an outside word.
+class Containers:
+    """Which elements are no part of an article: those whose weights sum to less than 0."""
 
-    So ``site-footer`` does, but ``no-sidebar`` and ``has-comments`` speak of another element.
-    """
-    if "=" not in attributes:
-        return False
-    for m in NAMED.finditer(attributes):
-        for name in "".join(m.groups("")).lower().split():
-            parts = {p for p in re.split(r"[^a-z]+", name) if p}
-            if not parts.isdisjoint(OUTSIDE_WORDS) and parts <= OUTSIDE_WORDS | PLACE_WORDS:
-                return True
-    return False
+    def __init__(self, weights: dict[str, float] | None = None) -> None:
+        self.weights = weights or {}
+        self.known: dict[tuple[str, str], bool] = {}
+
+    @staticmethod
+    def start(feature: str) -> float:
+        return NAME_WEIGHTS.get(feature[5:], 0.0) if feature.startswith("name:") else WORD_WEIGHTS.get(feature[5:], 0.0)
 
+    @staticmethod
+    def features(name: str, attributes: str) -> tuple[str, ...]:
+        """The element's name, and what its class, id and role say that it is.
+
+        A class counts by its parts if each says what or where an element is,
+        one of them what: so ``site-footer`` gives ``footer``.  Any other, such
+        as ``no-sidebar``, is a word of its own.
+        """
+        found = {f"name:{name}"}
+        if "=" in attributes:
+            for m in NAMED.finditer(attributes):
+                for said in "".join(m.groups("")).lower().split():
+                    parts = {p for p in re.split(r"[^a-z]+", said) if p}
+                    what = parts & WORD_WEIGHTS.keys()
+                    found |= {f"word:{p}" for p in what} if what and parts <= WORD_WEIGHTS.keys() | PLACE_WORDS else {f"word:{said}"}
+        return tuple(sorted(found))
+
+    def score(self, features: tuple[str, ...]) -> float:
+        """Of several words only the one that speaks loudest counts."""
+        words = [self.weights.get(f, self.start(f)) for f in features if f.startswith("word:")]
+        names = [self.weights.get(f, self.start(f)) for f in features if f.startswith("name:")]
+        return BIAS + sum(names) + (max(words, key=abs) if words else 0.0)
+
+    def outside(self, name: str, attributes: str) -> bool:
+        key = (name, attributes)
+        if key not in self.known:
+            if len(self.known) > 50_000:
+                self.known.clear()
+            self.known[key] = self.score(self.features(name, attributes)) < 0.0
+        return self.known[key]
 
-def tokens(page: str) -> list[Token]:
+    @staticmethod
+    def fit(counts: dict[tuple[str, ...], tuple[float, float]], steps: int = 60) -> Containers:
+        """Logistic regression on elements within and outside labelled articles; weights are drawn back to their start."""
+        names = sorted({f for features in counts for f in features})
+        start = {f: Containers.start(f) for f in names}
+        fitted = Containers(dict(start))
+        firm = {f: FIRM_NAME if f.startswith("name:") else FIRM_WORD for f in names}
+        for _ in range(steps):
+            slope = {f: firm[f] * (fitted.weights[f] - start[f]) for f in names}
+            curve = dict(firm)
+            for features, (within, without) in counts.items():
+                p = 1.0 / (1.0 + math.exp(-fitted.score(features)))
+                words = [f for f in features if f.startswith("word:")]
+                loudest = [max(words, key=lambda f: abs(fitted.weights[f]))] if words else []
+                for f in [f for f in features if f.startswith("name:")] + loudest:
+                    slope[f] += (within + without) * p - within
+                    curve[f] += (within + without) * p * (1.0 - p)
+            for f in names:
+                fitted.weights[f] -= 0.5 * slope[f] / curve[f]
+        return fitted
+
+
+def tokens(page: str, containers: Containers | None = None) -> list[Token]:
     """Tags and texts of a page in order; a tag that isn't closed, or closed twice, does no harm.
 
-    No class, id or role puts <html>, <body>, <main>, the page's first
-    <article> or an element around one of them outside.
+    <html>, <body>, <main> and the page's first <article> are never left out,
+    nor is an element around one of them.
     """
-    found, around = _tokens(page, frozenset())
-    return _tokens(page, around)[0] if around else found
+    containers = containers or Containers()
+    found, around = _tokens(page, containers, frozenset())
+    return _tokens(page, containers, around)[0] if around else found
+
+
+@dataclass(slots=True)
+class Open:
+    """An open element: what it is, what holds within, and the place on the stack of the nearest block element, itself included."""
 
+    name: str
+    outside: bool
+    marked: bool
+    place: int  # in the page, if it is left out, or else -1
+    block: int
+    inner: str  # the nearest block element or anchor
 
-def _tokens(page: str, spared: frozenset[int]) -> tuple[list[Token], frozenset[int]]:
-    """The tokens, and where the elements start that their class puts outside though they are around one that never is; those in ``spared`` aren't."""
+
+def _tokens(page: str, containers: Containers, spared: frozenset[int]) -> tuple[list[Token], frozenset[int]]:
+    """The tokens, and where the elements start that are left out though they are around one that never is; those in ``spared`` aren't.
+
+    Every step looks at the top of the stack alone, and each element leaves it once.
+    """
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # name, outside an article, within the marked one, place if outside by its class or else -1
+    stack: list[Open] = []
+    opened: Counter[str] = Counter()
+    left_out: list[int] = []  # places on the stack of elements that are left out
     around: set[int] = set()
     ends: dict[str, re.Match | None] = {}  # of RAW elements, the last one looked up
     place, articles = 0, 0
+
+    def pop() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        if left_out and left_out[-1] == len(stack):
+            left_out.pop()
+        return name
+
     while m := TOKEN.match(page, place):
         place = m.end()
         closing, name, attributes, text = m.groups()
-        outside, marked = stack[-1][1:3] if stack else (False, False)
         if text is not None:
-            words = len(text.split())
-            if words or text:
-                inner = next((n for n, *_ in reversed(stack) if n in BLOCK or n == "a"), "body")
-                out.append(Token(f"word:{'outside' if outside else inner}", words, text, False, not outside, marked))
+            top = stack[-1] if stack else None
+            outside = top is not None and top.outside
+            inner = top.inner if top else "body"
+            out.append(Token(f"word:{'outside' if outside else inner}", len(text.split()), text, False, not outside, top is not None and top.marked))
         elif name:
-            name = name.lower()
+            name, features = name.lower(), ()
+            outside, marked = (stack[-1].outside, stack[-1].marked) if stack else (False, False)
             if closing:
-                if any(n == name for n, *_ in stack):
-                    while stack.pop()[0] != name:
+                if opened[name]:
+                    while pop() != name:
                         pass
-                marked = stack[-1][2] if stack else False
+                marked = stack[-1].marked if stack else False
             else:
-                while stack and name in IMPLIED.get(stack[-1][0], ()):
-                    stack.pop()
-                if name in BLOCK:  # an open <p> ends even below inline elements that were never closed
-                    opened = [k for k, (n, *_) in enumerate(stack) if n in BLOCK]
-                    if opened and stack[opened[-1]][0] == "p" and name in IMPLIED["p"]:
-                        del stack[opened[-1] :]
-                outside, marked = stack[-1][1:3] if stack else (False, False)
+                while stack and name in IMPLIED.get(stack[-1].name, ()):
+                    pop()
+                if name in IMPLIED["p"] and stack and stack[-1].block >= 0 and stack[stack[-1].block].name == "p":
+                    at = stack[-1].block  # an open <p> ends even below inline elements that were never closed
+                    while len(stack) > at:
+                        pop()
+                outside, marked = (stack[-1].outside, stack[-1].marked) if stack else (False, False)
                 articles += name == "article"
                 never = name in ("html", "body", "main") or name == "article" and articles == 1
                 if never:
-                    around.update(at for *_, at in stack if at >= 0)
+                    around.update(stack[k].place for k in left_out)
                 if name not in VOID and not attributes.endswith("/"):
-                    by_class = not never and m.start() not in spared and _outside_class(attributes)
-                    stack.append((name, outside or name in OUTSIDE or by_class, marked or name in ("article", "main"), m.start() if by_class else -1))
+                    left = not never and m.start() not in spared and containers.outside(name, attributes)
+                    if not outside and not never:
+                        features = containers.features(name, attributes)
+                    marked = marked or name in ("article", "main")
+                    block = len(stack) if name in BLOCK else stack[-1].block if stack else -1
+                    inner = name if name in BLOCK or name == "a" else stack[-1].inner if stack else "body"
+                    if left:
+                        left_out.append(len(stack))
+                    outside = outside or left
+                    stack.append(Open(name, outside, marked, m.start() if left else -1, block, inner))
+                    opened[name] += 1
                 if name in RAW:
                     place = _raw_end(page, place, name, attributes, ends)
-            out.append(Token(f"tag:{'/' if closing else ''}{name}", 0, "", name in BLOCK, not outside, marked))
+            out.append(Token(f"tag:{'/' if closing else ''}{name}", 0, "", name in BLOCK, not outside, marked, features))
     return out, frozenset(around)
 
 
@@ -154,13 +245,16 @@ def _raw_end(page: str, place: int, name: str, attributes: str, ends: dict[str,
 @dataclass
 class Weights:
     by: dict[str, float] = field(default_factory=dict)
+    containers: Containers = field(default_factory=Containers)
 
     @staticmethod
     def learn(counts: dict[str, tuple[float, float]]) -> Weights:
-        """From each feature's counts within and outside labelled articles."""
+        """From each feature's counts within and outside labelled articles; several names joined by blanks are those of an element."""
+        elements = {tuple(f.split(" ")[1:]): c for f, c in counts.items() if f.startswith("element ")}
+        counts = {f: c for f, c in counts.items() if not f.startswith("element ")}
         within, without = (max(1.0, sum(c[k] for c in counts.values())) for k in (0, 1))
         odds = {f: math.log(((a + 0.5) / within) / ((b + 0.5) / without)) for f, (a, b) in counts.items()}
-        return Weights({f: min(TAG_COST, w) if f.startswith("tag:") else (max(LEAST_GAIN, w) if counts[f][0] > counts[f][1] else w) for f, w in odds.items()})
+        return Weights({f: min(TAG_COST, w) if f.startswith("tag:") else (max(LEAST_GAIN, w) if counts[f][0] > counts[f][1] else w) for f, w in odds.items()}, Containers.fit(elements))
 
     def __call__(self, token: Token) -> float:
         if not token.inside:  # left out of the text later: only the tag that opens such an element costs something
@@ -184,7 +278,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str, weights: Weights) -> str:
     """The main text of a page: blocks joined by a line break, white space within a block turned into one blank."""
-    found = tokens(page)
+    found = tokens(page, weights.containers)
     lo, hi = best_region([weights(t) for t in found])
     lines: list[str] = []
     parts: list[str] = []
@@ -207,31 +301,39 @@ def extract(page: str, weights: Weights) -> str:
 
 
 def learn_weights(pages: DataFrame, limit: int = MAX_LABELLED) -> Weights:
-    """Weights from at most ``limit`` pages with one <article> or <main> element; those of no page are none at all."""
+    """Weights from at most ``limit`` pages with one <article> or <main> element; those of no page are the fixed ones.
+
+    The driver gets one line for each name, class or set of them on these pages, and all of them count.
+    """
     has = F.lower(F.col("html")).rlike(r"<(article|main)[\s>]")
     drawn = pages.where(has).select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(limit).select(F.col("page_id").alias("_drawn")).distinct()
     sample = pages.select("page_id", "html").join(F.broadcast(drawn), F.col("page_id") == F.col("_drawn"), "left_semi").where(has)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        within, without = Counter(), Counter()
         for batch in batches:
-            for page in batch["html"].to_pylist():
-                found = tokens(page or "")
-                if sum(t.feature in ("tag:article", "tag:main") for t in found) == 1:
-                    for t in found:
-                        (within if t.marked and t.inside else without)[t.feature] += t.words or 1
-        names = sorted(within.keys() | without.keys())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in (within, without))], ["feature", "within", "without"])
+            for part in blocks(batch, column="html"):
+                within, without = Counter(), Counter()
+                for page in part["html"].to_pylist():
+                    found = tokens(page or "")
+                    if sum(t.feature in ("tag:article", "tag:main") for t in found) == 1:
+                        for t in found:
+                            (within if t.marked and t.inside else without)[t.feature] += t.words or 1
+                            if t.features:
+                                (within if t.marked else without)["element " + " ".join(t.features)] += 1
+                names = sorted(within.keys() | without.keys())
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in (within, without))], ["feature", "within", "without"])
 
-    counted = sample.mapInArrow(count, "feature string, within long, without long").groupBy("feature").agg(F.sum("within").alias("a"), F.sum("without").alias("b"))
-    return Weights.learn({r["feature"]: (float(r["a"]), float(r["b"])) for r in counted.orderBy(F.desc(F.col("a") + F.col("b")), "feature").limit(2000).collect()})
+    counted = sample.select("html").mapInArrow(count, "feature string, within long, without long").groupBy("feature").agg(F.sum("within").alias("a"), F.sum("without").alias("b"))
+    return Weights.learn({r["feature"]: (float(r["a"]), float(r["b"])) for r in counted.orderBy("feature").collect()})
 
 
 def extract_pages(pages: DataFrame, weights: Weights) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text.
 
     Null or empty html, and pages where no region scores above 0, give the
-    empty text; repeated rows give equal texts; other columns play no part.
+    empty text; repeated rows give equal texts; pages of any length count
+    whole, in time proportional to it; other columns play no part.  An empty
+    table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -331,6 +331,42 @@ def test_html_classes_and_self_closed_elements(spark, sf_dir):
     assert len(html_text.tokens("<svg>" * 20_000 + "<script/>" * 20_000 + "x</script>")) > 40_000
 
 
+#: Pages as sites write them, and the text that a reader marked by hand.
+LABELLED = [
+    ("<html><body class='no-sidebar'><div id='nav'><a href='/'>Home</a> <a href='/a'>About us</a></div><div id='content'><h1 class='section-header'>Tides</h1><div class='entry'>The sea rises twice a day.<br>Then it falls again, and so on.</div><div class='share-buttons'><a>Share</a></div></div><div id='footer'>All rights reserved by the owner</div></body></html>", "Tides\nThe sea rises twice a day. Then it falls again, and so on."),
+    ("<body><header><a href='/'>Daily News</a><form>Search <input></form></header><main><h2>Rain &amp; wind</h2><p>It rained\n for  days.</p><aside>Read more here</aside><p class='lead'>People stayed in their houses.</p></main><footer>Imprint</footer></body>", "Rain & wind\nIt rained for days.\nPeople stayed in their houses."),
+    ("<body class='home has-navigation'><article><h1 class='section-header'>One</h1><p>First part of it.</p><div class='ad-slot'>Buy now and save much money today</div><p>Second part of it.</p><section id='comments'><h3>2 comments</h3><p>Great text, thank you</p></section></article></body>", "One\nFirst part of it.\nSecond part of it."),
+    ("<body><ul class='menu'><li><a href='/'>Start</a><li><a href='/b'>Board</a></ul><div><div><p>Some words about the old bridge over the river.<p>More words on who built it, and when.</div></div><div class='cookie-notice'>We use cookies</div></body>", "Some words about the old bridge over the river.\nMore words on who built it, and when."),
+    ("<form id='aspnetForm'><div class='widget'><a>Log in</a></div><main><h1>Report</h1><table><tr><td>Year<td>2020</tr></table><blockquote>So they said to us.</blockquote></main></form>", "Report\nYear\n2020\nSo they said to us."),
+]
+
+
+def test_html_pages_labelled_by_hand(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    for weights in (html_text.learn_weights(pages), html_text.learn_weights(empty(pages))):
+        for page, want in LABELLED:
+            assert html_text.extract(page, weights) == want
+
+
+def test_html_time_is_linear_in_nesting():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        began = time.perf_counter()
+        assert len(html_text.tokens("<b>" * n + "<div>x" * n + "</b>" * n + "</i>" * n)) == 5 * n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0]
+
+
+def test_html_containers_are_fitted_to_pages():
+    counts = {("name:div", "word:share"): (400.0, 2.0), ("name:div", "word:teaser"): (0.0, 300.0), ("name:div",): (50.0, 40.0), ("name:p", "word:ad"): (0.0, 90.0)}
+    fitted = html_text.Containers.fit(counts)
+    asked = {a: fitted.outside("div", f"class='{a}'") for a in ("share", "teaser", "plain", "ad", "no-sidebar")}
+    assert asked == {"share": False, "teaser": True, "plain": False, "ad": True, "no-sidebar": False}
+    assert html_text.Containers().outside("div", "class='share'") and not html_text.Containers().outside("div", "class='teaser'")
+
+
 def test_best_region():
     rng = np.random.default_rng(3)
     for _ in range(50):
