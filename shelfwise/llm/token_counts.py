@@ -7,14 +7,15 @@ Its state holds what later merges can depend on: for each place from which a
 vocabulary entry may still run on, the token that ended there and the count up
 to there.  Each transition carries the change of the token count, so the counts
 of a text are a plain sum over its bytes.  States are made when first reached
-(subset construction on demand) and kept in a dense table.
-
-A block of texts is cut into chunks of equal size that run in lock-step.  A
-chunk's state map sends any entry state to an exit state and a count; from the
-first pre-token start on, it is the same for all entry states, so that part
-runs for all chunks at once.  A scan over the chunks then composes the maps:
-the exit state of one is the entry state of the next, for which the few bytes
-before the first start remain to be run.
+(subset construction on demand) and kept in a dense table; when it is full, it
+starts anew, within a text too, with only the states that are in use.
+
+A block of texts is cut into chunks of equal size that run in lock-step, as if
+a pre-token started with each.  A chunk's state map sends any entry state to an
+exit state and a count; it is the same for all entry states from the first
+pre-token start on, and from where a run from the true entry state meets the
+first run.  A scan over the chunks then composes the maps: the exit state of one
+is the entry state of the next, for which the few bytes up to there are run.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from .common import BLOCK_BYTES, blocks, segment_sums, table, texts
 
 VOCABULARY = "byte_bpe_50k.json"
 CHUNK = 512
-#: States of one worker's table; when they are used up, the table starts anew.
+#: States of one worker's table; when they are used up, the table starts anew with those in use (at most one a chunk of a block).
 MAX_STATES = 240_000
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
@@ -106,10 +107,14 @@ def pre_token_starts(points: np.ndarray, first: np.ndarray, kinds: np.ndarray) -
     return start
 
 
+def pairs_of(merges: list, plain) -> list[tuple[bytes, bytes]]:
+    return [(plain(a), plain(b)) for a, b in merges]
+
+
 class Transducer:
     """The machine over the bytes of pre-tokens, with states made on demand."""
 
-    ROOT, DEAD = 0, 1
+    ROOT = 0
 
     def __init__(self, tokenizer_json: str, max_states: int = MAX_STATES) -> None:
         model = json.loads(tokenizer_json)["model"]
@@ -117,9 +122,10 @@ class Transducer:
         plain = lambda s: bytes(alphabet[c] for c in s)
         self.tokens = {plain(t) for t in model["vocab"] if all(c in alphabet for c in t)}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
-        self.rank = {(plain(a), plain(b)): k for k, (a, b) in enumerate(pairs)}
+        self.rank = {pair: k for k, pair in enumerate(pairs_of(pairs, plain))}
         self.prefixes = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
         self.tokens |= {bytes([b]) for b in range(256)}
+        self.parts = {a + b: (k, a, b) for k, (a, b) in reversed(list(enumerate(pairs_of(pairs, plain))))}
         self.agree: dict[tuple[bytes, bytes], bool] = {}
         self.max_states, self.full = max_states, False
         self.reset()
@@ -131,8 +137,6 @@ class Transducer:
         self.width, self.used = 128, 0
         self.table = np.full((4096, self.width), -1, np.int32)
         self._intern((b"", (0, None, 0)))
-        self._intern((b"dead",))
-        self.table[self.DEAD] = self.DEAD * 32 + 16
         self.full = False
 
     def _intern(self, key: tuple) -> int:
@@ -151,30 +155,41 @@ class Transducer:
         for b in seen[self.column[seen] < 0]:
             if self.used == self.width:
                 self.table = np.concatenate([self.table, np.full_like(self.table, -1)], axis=1)
-                self.table[self.DEAD] = self.DEAD * 32 + 16
                 self.width *= 2
             self.column[b] = self.used
             self.used += 1
         return self.column[flat]
 
-    def _merged(self, text: bytes) -> list[bytes]:
-        parts = [text[k : k + 1] for k in range(len(text))]
-        while len(parts) > 1:
-            rank, k = min((self.rank.get(pair, 1 << 30), k) for k, pair in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 30:
-                break
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return parts
-
     def _adjacent(self, a: bytes, b: bytes) -> bool:
-        """Whether tokens a and b can stand side by side: their bytes are encoded as just these two."""
+        """Whether tokens a and b can stand side by side: their bytes are encoded as just these two.
+
+        Merges are undone from the last one back, on either side of the border
+        between a and b; if at any time the two symbols there can merge before
+        the side that is longer comes about, they would have.
+        """
         known = self.agree.get((a, b))
         if known is None:
             if len(self.agree) > 400_000:
                 self.agree.clear()
-            known = self.agree[a, b] = self._merged(a + b) == [a, b]
+            known = self.agree[a, b] = self._stay(a, b)
         return known
 
+    def _stay(self, left: bytes, right: bytes) -> bool:
+        """Both sides are merged in the order of ranks, from the left; a merge over the border must never come first."""
+        until = 1 << 30  # the symbols at the border stand side by side until the merge of this rank
+        after = False  # ... and at that rank, too: of equal ranks the left one is merged first
+        while True:
+            rank = self.rank.get((left, right))
+            if rank is not None and (rank < until or rank == until and after):
+                return False
+            l_rank, r_rank = (self.parts[x][0] if len(x) > 1 else -1 for x in (left, right))
+            if l_rank < 0 and r_rank < 0:
+                return True
+            if l_rank > r_rank:
+                until, after, left = l_rank, False, self.parts[left][2]
+            else:  # of two equal merges the left one came first
+                until, after, right = r_rank, True, self.parts[right][1]
+
     def step(self, state: int, byte: int) -> int:
         """Make the transition: the next state times 32, plus 16, plus the change of the count."""
         text, *open_at = self.keys[state]
@@ -191,6 +206,18 @@ class Transducer:
         state_to = self._intern(((text + add)[len(text) + 1 - longest :], *key))
         return state_to * 32 + 16 + change
 
+    def _renew(self, *live: np.ndarray) -> None:
+        """Start the table anew with the states in ``live``, whose numbers are changed there."""
+        keys, column, used = self.keys, self.column, self.used
+        width = self.width
+        self.reset()
+        self.column, self.used, self.width = column, used, width
+        self.table = np.full((4096, width), -1, np.int32)
+        for states in live:
+            old, where = np.unique(states, return_inverse=True)
+            states[...] = np.array([self._intern(keys[k]) for k in old.tolist()], np.int64)[where].reshape(states.shape)
+        self.full = False
+
     def _run(self, state: np.ndarray, column: np.ndarray, byte: np.ndarray) -> np.ndarray:
         at = state * self.width + column
         moved = self.table.ravel().take(at)
@@ -203,41 +230,50 @@ class Transducer:
             moved = self.table.ravel().take(at)
         return moved
 
+    def _one(self, state: int, column: int, byte: int) -> int:
+        moved = int(self.table[state, column])
+        if moved < 0:
+            moved = self.step(state, byte)
+            self.table[state, column] = moved
+        return moved
+
     def changes(self, flat: np.ndarray, start: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
         """The change of the token count at each byte; ``start`` marks the bytes where pre-tokens start."""
-        if self.full:
-            self.reset()
         n = len(flat)
         lanes = -(-n // chunk)
         grid = lambda a, fill: np.ascontiguousarray(np.concatenate([a, np.full(lanes * chunk - n, fill, a.dtype)]).reshape(lanes, chunk).T)
         column, byte, begins = grid(self.columns(flat), 0), grid(flat, 0), grid(start, False)
-        out = np.zeros((chunk, lanes), np.int8)
-        # the part of every chunk's state map that is the same for all entry states
-        state = np.full(lanes, self.DEAD, np.int64)
+        out, path = np.zeros((chunk, lanes), np.int8), np.empty((chunk, lanes), np.int32)
+        # every chunk as if a pre-token started with it
+        state = np.full(lanes, self.ROOT, np.int64)
         for k in range(chunk):
+            if self.full:
+                self._renew(state)
+                path[:k] = -1  # states of the table before
             moved = self._run(np.where(begins[k], self.ROOT, state), column[k], byte[k])
-            state = moved >> 5
-            out[k] = (moved & 31) - 16
-        # the scan: chunk after chunk gets its entry state; rounds are needed only for chunks without any start
+            state = (moved >> 5).astype(np.int64)
+            out[k], path[k] = (moved & 31) - 16, state
+        # the scan: a chunk's true entry state is followed up to its first start, or to where it meets the first run
         has = begins.any(axis=0)
-        head = np.where(has, begins.argmax(axis=0), chunk)
-        leaves, known = state, has.copy()
-        todo = np.flatnonzero(head > 0)
-        todo = todo[todo > 0]
-        while len(todo):
-            ready = todo[known[todo - 1]]
-            state = leaves[ready - 1]
-            length = head[ready]
-            for k in range(int(length.max())):
-                going = np.flatnonzero(length > k)
-                at = ready[going]
-                moved = self._run(state[going], column[k, at], byte[k, at])
-                state[going] = moved >> 5
+        head = np.where(has, begins.argmax(axis=0), chunk).tolist()
+        for at in np.flatnonzero(~begins[0]).tolist():
+            if not at:
+                continue
+            now, met = int(state[at - 1]), False
+            for k in range(head[at]):
+                if self.full:
+                    live = np.array([now])
+                    self._renew(live, state)
+                    now = int(live[0])
+                    path[:] = -1
+                moved = self._one(now, int(column[k, at]), int(byte[k, at]))
+                now = moved >> 5
                 out[k, at] = (moved & 31) - 16
-            through = ~has[ready]
-            leaves[ready[through]] = state[through]
-            known[ready] = True
-            todo = np.setdiff1d(todo, ready, assume_unique=True)
+                if path[k, at] == now:
+                    met = True
+                    break
+            if not met and not has[at]:
+                state[at] = now
         return out.T.ravel()[:n]
 
 
@@ -285,7 +321,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """doc_id, n_bytes and n_tokens of every row, as the tokenizers library counts them for a byte-level BPE file.
 
     Null and empty texts have no tokens; repeated rows are counted again; the
-    order, ids and other columns play no part.
+    order, ids and other columns play no part.  Texts of any length count
+    whole, with bounded memory beside the text.  An empty table gives no rows.
     """
     source = Path(tokenizer_path).read_text()
     kinds = character_classes()

@@ -173,7 +173,45 @@ def test_transducer_on_random_texts_and_small_chunks():
     start = np.zeros(len(flat), bool)
     start[::37] = True
     start[0] = True
-    assert machine.changes(flat, start, chunk=16).sum() == machine.changes(flat, start, chunk=1000).sum()
+    whole = token_counts.Transducer(source).changes(flat, start, chunk=100_000)
+    for chunk in (16, 1000):
+        assert (machine.changes(flat, start, chunk=chunk) == whole).all()
+
+
+def test_transducer_keeps_to_its_states_within_a_text():
+    from tokenizers import Tokenizer
+
+    source = open(public_tokenizers.path(token_counts.VOCABULARY)).read()
+    library, machine = Tokenizer.from_str(source), token_counts.Transducer(source, max_states=1500)
+    random.seed(9)
+    for text in ("".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=30_000)), base64.b64encode(random.randbytes(9000)).decode()):
+        pieces = re.findall(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]+", text)  # the pre-tokens of such texts
+        start = np.zeros(len(text), bool)
+        start[np.cumsum([0, *map(len, pieces[:-1])])] = True
+        for chunk in (64, 512):
+            assert machine.changes(np.frombuffer(text.encode(), np.uint8), start, chunk).sum() == len(library.encode(text).ids)
+            assert len(machine.keys) <= 1500 + 2 * len(text) // chunk + 100
+
+
+def test_adjacent_tokens_by_brute_force():
+    machine = token_counts.Transducer(open(public_tokenizers.path(token_counts.VOCABULARY)).read())
+
+    def merged(text):
+        parts = [text[k : k + 1] for k in range(len(text))]
+        while len(parts) > 1:
+            rank, k = min((machine.rank.get(pair, 1 << 30), k) for k, pair in enumerate(zip(parts, parts[1:])))
+            if rank == 1 << 30:
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        return parts
+
+    random.seed(3)
+    every = sorted(machine.tokens)
+    short = [t for t in every if len(t) <= 4]
+    some = [(random.choice(pool), random.choice(pool)) for pool in (every, short) for _ in range(4000)] + [(bytes([c]) * i, bytes([c]) * j) for c in b"aeos -=" for i in range(1, 9) for j in range(1, 9)]
+    for a, b in some:
+        if a in machine.tokens and b in machine.tokens and merged(a) == [a] and merged(b) == [b]:
+            assert machine._adjacent(a, b) == (merged(a + b) == [a, b])
 
 
 def test_sentencepiece(odd, docs):
