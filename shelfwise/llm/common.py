@@ -98,8 +98,9 @@ def hot_keys(counts: DataFrame, keys: list[str], count: str, total: int) -> Data
     limit = max(HOT_ROWS, total // HOT_KEYS)
     if total <= limit:
         return None
-    hot = cut(counts.where(F.col(count) > limit).select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_parts")))
-    return None if hot.isEmpty() else hot
+    hot = counts.where(F.col(count) > limit).select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_parts"))
+    rows = hot.collect()
+    return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
 def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:

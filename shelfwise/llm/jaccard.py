@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import HOT_ROWS, KEYS, blocks, cut, flat_utf8, fresh, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes, written
+from .common import KEYS, blocks, cut, flat_utf8, fresh, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes, written
 from .merging import ranges
 
 WORDS = 3
@@ -255,12 +255,12 @@ def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, sig long")
 
 
-#: Lists of ids or signatures with at most so many rows are broadcast (some 40 bytes a row in memory); longer ones are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Lists of ids or signatures with at most so many rows are broadcast (some 40 bytes a row in memory, so 80 MB each, and at most three in one job); longer ones are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 
 
 def _bounded(keys: DataFrame) -> DataFrame:
-    """A one-column table of keys, broadcast if a count shows that it is small."""
+    """A table of one key and flags, broadcast if a count shows that it is small."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
@@ -270,9 +270,9 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             for part in blocks(batch, limit=SHINGLE_BYTES):
                 first, second, sizes = shingle(part["text"])
-                yield pa.RecordBatch.from_arrays([part["doc_id"], *(_lists(h.astype(np.int64), sizes) for h in (first, second))], ["id", "first", "second"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["is_a"], part["is_b"], *(_lists(h.astype(np.int64), sizes) for h in (first, second))], ["id", "is_a", "is_b", "first", "second"])
 
-    return docs.mapInArrow(run, "id long, first array<long>, second array<long>")
+    return docs.mapInArrow(run, "id long, is_a boolean, is_b boolean, first array<long>, second array<long>")
 
 
 def _may_link(a: str, b: str, num: int, den: int) -> Column:
@@ -309,8 +309,6 @@ def components(links: DataFrame) -> DataFrame:
     def with_least(rows: DataFrame, total: int) -> DataFrame:
         """(a, b, m): each link with the smallest neighbour of a, or a itself."""
         least = rows.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select("a", F.least("a", "m").alias("m"), "n")
-        if total > HOT_ROWS:
-            least = cut(least)
         return spread_join(rows, least.select("a", "m"), ["a"], hot_keys(least, ["a"], "n", total))
 
     while True:
@@ -369,11 +367,11 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among distinct candidate pairs (a, b), exactly; only sets of their members are built and sent."""
-        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-        sets = cut(_sets(plain.join(_bounded(wanted), "doc_id", "left_semi"), words))
-        firsts, seconds = (_bounded(cut(pairs.select(F.col(k).alias("id")).distinct())) for k in ("a", "b"))
-        left = sets.join(firsts, "id", "left_semi").select(F.col("id").alias("a"), F.col("first").alias("a1"), F.col("second").alias("a2"))
-        right = sets.join(seconds, "id", "left_semi").select(F.col("id").alias("b"), F.col("first").alias("b1"), F.col("second").alias("b2"))
+        sides = F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.lit(True).alias("left")), F.struct(F.col("b").alias("doc_id"), F.lit(False).alias("left"))))
+        wanted = cut(pairs.select(sides.alias("s")).select("s.*").groupBy("doc_id").agg(F.bool_or("left").alias("is_a"), F.bool_or(~F.col("left")).alias("is_b")))
+        sets = cut(_sets(plain.join(_bounded(wanted), "doc_id"), words))
+        left = sets.where("is_a").select(F.col("id").alias("a"), F.col("first").alias("a1"), F.col("second").alias("a2"))
+        right = sets.where("is_b").select(F.col("id").alias("b"), F.col("first").alias("b1"), F.col("second").alias("b2"))
         # by both halves of the digests: neither can count a shingle that the sets don't share unless it collides
         both = F.least(F.size(F.array_intersect("a1", "b1")), F.size(F.array_intersect("a2", "b2")))
         hot_a, hot_b = hubs(pairs)
@@ -390,7 +388,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     links = verified(checked)
     links = cut(links.unionByName(ties) if ties is not None else links)
     found = components(links)
-    placed = cut(members.join(found, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("c")))
+    placed = members.join(found, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("c"))
     mixed = placed.groupBy("sig").agg(F.min("c").alias("main"), F.max("c").alias("other")).where("main < other")
     open_ = cut(spread_join(placed, mixed.select("sig", "main"), ["sig"], hot_buckets).join(lite.drop("wide"), "id"))
     x = open_.where("c <> main").select("sig", F.struct("id", "c", "n", *SKETCH).alias("x"))
@@ -398,9 +396,9 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     rest = spread_join(y, x, ["sig"], hot_buckets).where((F.col("x.c") > F.col("y.c")) & _may_link("x", "y", num, den))
     # pairs that the first round found not to link need no second check
     open_pairs = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct().join(checked, ["a", "b"], "left_anti")
-    more = cut(verified(cut(plausible(open_pairs))))
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
+    open_pairs = cut(plausible(open_pairs))
+    if not open_pairs.isEmpty():
+        found = components(links.unionByName(verified(open_pairs)))
     homes = groups.join(found, "id", "left").select(*same, F.coalesce("component", "id").alias("home"))
     linked = spread_join(real.select("doc_id", *same), homes, same, hot_sets).select("doc_id", F.col("n").alias("n_shingles"), F.col("home").alias("component_id"))
     alone = described.where("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

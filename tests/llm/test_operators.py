@@ -512,9 +512,8 @@ def near_rows():
 
 @pytest.mark.parametrize(("size", "num"), [(3, 90), (5, 80)])
 def test_jaccard(spark, odd, docs, size, num, monkeypatch):
-    for limit, hot in ((jaccard.BROADCAST_ROWS, jaccard.HOT_ROWS), (0, 2)):  # nothing broadcast, nearly every key dealt
+    for limit, hot in ((jaccard.BROADCAST_ROWS, common.HOT_ROWS), (0, 2)):  # nothing broadcast, nearly every key dealt
         monkeypatch.setattr(jaccard, "BROADCAST_ROWS", limit)
-        monkeypatch.setattr(jaccard, "HOT_ROWS", hot)
         monkeypatch.setattr(common, "HOT_ROWS", hot)
         rows = near_rows() + [(2000 + k, near_rows()[5][1]) for k in range(12)]
         df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit(1))
