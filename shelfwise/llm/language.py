@@ -3,24 +3,27 @@
 The network is trained in numpy by backpropagation through time and labels
 every byte position from both sides; a document's probabilities are the mean
 over all its positions.  Texts run in windows of ``WINDOW`` bytes, many in
-lock-step; all windows of the whole text count.
+lock-step, and both directions start ``CONTEXT`` bytes before their window, so
+that no position is labelled without what surrounds it; all positions of the
+whole text count once.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import blocks, flat_utf8, table, texts
 from .merging import ranges
 
-WINDOW = 192
+WINDOW = 256
+CONTEXT = 24
 HIDDEN = 8
 #: Training reads at most one document of each of so many hash buckets per language,
 #: and of each at most this many windows of this length.
@@ -29,7 +32,8 @@ TRAIN_WINDOWS = 4
 TRAIN_LENGTH = 40
 STEPS = 160
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters are characters of Unicode's categories L*.
+LETTER = regex.compile(r"\p{L}")
 PAD = 256
 
 
@@ -152,17 +156,16 @@ class Network:
         count = -(-sizes // WINDOW)
         owner = np.repeat(np.arange(len(sizes)), count)
         start = offsets[:-1][owner] + WINDOW * ranges(np.zeros(len(sizes), np.int64), count)
-        length = np.minimum(WINDOW, offsets[1:][owner] - start)
+        stop = np.minimum(start + WINDOW, offsets[1:][owner])
+        begin, end = np.maximum(start - CONTEXT, offsets[:-1][owner]), np.minimum(stop + CONTEXT, offsets[1:][owner])
         total = np.zeros((len(sizes), len(self.languages)))
-        by_length = np.argsort(length, kind="stable")
+        by_length = np.argsort(end - begin, kind="stable")
         for lo in range(0, len(start), lanes):
             part = by_length[lo : lo + lanes]
-            longest = int(length[part].max())
-            at = start[part][None, :] + np.arange(longest)[:, None]
-            valid = np.arange(longest)[:, None] < length[part][None, :]
-            rows = np.where(valid, flat[np.minimum(at, len(flat) - 1)], PAD).astype(np.int64)
+            at = begin[part][None, :] + np.arange(int((end - begin)[part].max()))[:, None]
+            rows = np.where(at < end[part][None, :], flat[np.minimum(at, len(flat) - 1)].astype(np.int64), PAD)
             p = self.probabilities(rows)
-            p *= valid[:, :, None]
+            p *= ((at >= start[part][None, :]) & (at < stop[part][None, :]))[:, :, None]
             np.add.at(total, owner[part], p.sum(axis=0, dtype=np.float64))
         return total / np.maximum(sizes, 1)[:, None]
 
@@ -173,7 +176,9 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network:
     Bounded: per language at most ``BUCKETS`` documents, the one with the least
     hash in each bucket, chosen over ids alone; only their texts are then read,
     and of each at most ``TRAIN_WINDOWS`` windows of ``TRAIN_LENGTH`` bytes.  A
-    shorter text with a letter is repeated to fill one window.
+    shorter text with a letter is repeated to fill one window.  So what the
+    driver gets grows with the number of languages, not with the documents.
+    Without any such document the network knows no language.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = usable.select("lang", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id").alias("h"))
@@ -219,7 +224,9 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score.
 
     Only the text is read; null texts and those without a letter are ``und``
-    with score 0.  Repeated rows get equal values.
+    with score 0.  Repeated rows get equal values.  Texts of any length count
+    whole; an empty table gives no rows; columns other than id and text play
+    no part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -276,6 +276,7 @@ def test_language(odd, docs):
     assert [rows[k]["lang_pred"] for k in (1, 2, 3, 13)] == ["und"] * 4 and all(0 <= r["score"] <= 1 for r in rows.values())
     kept = language.keep_identified(odd, network, 0.35)
     assert kept.columns == odd.columns and not {1, 2, 3} & {r["doc_id"] for r in kept.collect()}
+    assert language.identify(empty(odd), network).count() == language.keep_identified(empty(odd), network, 0.35).count() == 0
     assert language.train(empty(odd)).languages == []
     assert {r["lang_pred"] for r in language.identify(odd, language.train(empty(odd))).collect()} == {"und"}
 
@@ -289,6 +290,29 @@ def test_language_of_short_documents_is_learned(spark):
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
 
 
+def test_letters_are_those_of_unicode():
+    network = language.Network.fresh(["a", "b"])
+    import pyarrow as pa
+
+    names, score = language.label_texts(network, pa.array(["²½①", "_1", "ª", "漢", "x", "", None, "٣", "\u0301"]))
+    assert [n == "und" for n in names] == [True, True, False, False, False, True, True, True, True] and all((s == 0) == (n == "und") for n, s in zip(names, score))
+
+
+def test_language_equals_one_position_at_a_time():
+    from brute import language_probabilities
+
+    rng = np.random.default_rng(5)
+    network = language.Network.fresh(["a", "b", "c"], hidden=4)
+    for p in network.parameters():
+        p[...] = rng.normal(0, 0.6, p.shape)
+    for g in network.gates:
+        g[language.PAD] = [60.0] * 4 + [0.0] * 8
+    texts = [b"x", b"hello", "漢字 и ß".encode(), rng.integers(0, 256, 255).astype(np.uint8).tobytes(), rng.integers(0, 256, 256).astype(np.uint8).tobytes(), rng.integers(0, 256, 1700).astype(np.uint8).tobytes(), b""]
+    got = network.documents(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), lanes=3)
+    for text, p in zip(texts, got):
+        assert np.allclose(p, language_probabilities(network, text), atol=1e-4)
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(1)
     network = language.Network.fresh(["a", "b"], hidden=3)
@@ -325,6 +349,27 @@ def test_toxicity(spark, sf_dir, odd, docs):
     assert toxicity.score(odd, none).where("toxic").count() == 0
 
 
+def test_toxicity_by_brute_force(spark, sf_dir, odd):
+    """The chosen features and the chain's probabilities, a document at a time."""
+    from brute import best_features, chain_probabilities
+
+    docs, labels = (spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/{t}.parquet").where("doc_id < 400") for t in ("documents", "labels"))
+    twice = docs.union(docs.limit(3)).withColumn("quality", F.lit("clash"))  # repeated ids and texts
+    chain = toxicity.train(twice, labels)
+    marks = {r["doc_id"]: (int(r["quality"] == 0), int(r["toxic"] == 1), int(r["toxic"] == 1 and r["quality"] == 0)) for r in labels.dropna().collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert set(chain.vocabulary) == best_features([(texts[i], y) for i, y in marks.items() if i in texts])
+    for table in (docs, odd, empty(odd)):
+        rows = table.select("doc_id", "text").collect()
+        want = sorted(((r["doc_id"], *(round(p, 9) for p in chain_probabilities(chain, r["text"] or ""))) for r in rows), key=repr)
+        got = toxicity.score(table, chain)
+        assert sorted(((r[0], *(round(p, 9) for p in r[1:-1])) for r in got.collect()), key=repr) == want
+        assert got.where("toxic <> (p_toxic >= 0.5)").count() == 0
+    long = chain_probabilities(chain, "word " * 400_000 + texts[min(marks)])
+    assert np.allclose(chain(["word " * 400_000 + texts[min(marks)]])[0], long)
+    assert toxicity.score(odd, toxicity.train(empty(docs), empty(labels))).where("toxic").count() == 0
+
+
 # ------------------------------------------------------------------ 5
 
 
