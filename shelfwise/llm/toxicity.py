@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, table, texts
+from .common import blocks, cut, table, texts
 
 #: Categories in the order of the chain, as conditions over the labels' columns.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1", "severe": "toxic = 1 AND quality = 0"}
@@ -46,7 +46,8 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: dict[str, str], limi
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.expr(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories.values()))).dropna()
     marks = marks.groupBy("doc_id").agg(*(F.max(f"y{k}").alias(f"y{k}") for k in range(len(categories))))
     drawn = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # at most ``limit`` small rows
-    return texts(docs).join(F.broadcast(drawn), "doc_id")
+    # an id with several texts teaches the least of them, so the bound holds
+    return texts(docs).join(F.broadcast(drawn), "doc_id").groupBy(*drawn.columns).agg(F.min("text").alias("text"))
 
 
 def _choose(sample: DataFrame, n_categories: int, max_features: int) -> list[str]:
@@ -62,17 +63,20 @@ def _choose(sample: DataFrame, n_categories: int, max_features: int) -> list[str
     ys = [f"y{k}" for k in range(n_categories)]
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *(F.sum(y).alias(y) for y in ys)).first()
     counted = sample.mapInArrow(words, "feature string, " + ", ".join(f"{y} int" for y in ys)).groupBy("feature").agg(F.count(F.lit(1)).alias("n"), *(F.sum(y).alias(y) for y in ys)).where("n >= 3")
-    chosen: dict[str, None] = {}
-    for y in ys:
-        n, pos = float(totals["n"]), float(totals[y] or 0)
-        if not 0 < pos < n:
-            continue
-        have, lack = F.col("n"), n - F.col("n")
-        cells = ((F.col(y), have * (pos / n)), (have - F.col(y), have * (1 - pos / n)), (pos - F.col(y), lack * (pos / n)), (lack - pos + F.col(y), lack * (1 - pos / n)))
-        g2 = sum((F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells), F.lit(0.0))
-        ranked = counted.select("feature", g2.alias("g2")).where(F.col("g2") >= LEAST_G2).orderBy(F.desc("g2"), "feature").limit(max_features)
-        chosen |= dict.fromkeys(r["feature"] for r in ranked.collect())
-    return list(chosen)
+    n, scored = float(totals["n"]), []
+    for k, y in enumerate(ys):
+        pos = float(totals[y] or 0)
+        if 0 < pos < n:
+            have, lack = F.col("n"), n - F.col("n")
+            cells = ((F.col(y), have * (pos / n)), (have - F.col(y), have * (1 - pos / n)), (pos - F.col(y), lack * (pos / n)), (lack - pos + F.col(y), lack * (1 - pos / n)))
+            g2 = sum((F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells), F.lit(0.0))
+            scored.append(F.struct(F.lit(k).alias("category"), g2.alias("g2")))
+    if not scored:
+        return []
+    rows = counted.select("feature", F.explode(F.array(*scored)).alias("s")).select("feature", "s.*").where(F.col("g2") >= LEAST_G2)
+    place = F.row_number().over(Window.partitionBy("category").orderBy(F.desc("g2"), "feature"))
+    best = rows.withColumn("place", place).where(F.col("place") <= max_features).select("category", "place", "feature").collect()
+    return list(dict.fromkeys(r["feature"] for r in sorted(best)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 12) -> np.ndarray:
@@ -142,14 +146,15 @@ class Chain:
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None = None, limit: int = MAX_LABELLED) -> Chain:
     """A chain trained on labelled documents; with one class only it gives about that class's share, without any document 0."""
     categories = categories or CATEGORIES
-    sample = _sample(docs, labels, categories, limit)
+    sample = cut(_sample(docs, labels, categories, limit))
     vocabulary = {f: k for k, f in enumerate(_choose(sample, len(categories), MAX_FEATURES))}
     ys = [f"y{k}" for k in range(len(categories))]
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = [sorted(vocabulary[f] for f in features(t) & vocabulary.keys()) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(hits, pa.list_(pa.int32())), *(batch[y] for y in ys)], ["doc_id", "hits", *ys])
+            for part in blocks(batch):
+                hits = [sorted(vocabulary[f] for f in features(t) & vocabulary.keys()) for t in part["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(hits, pa.list_(pa.int32())), *(part[y] for y in ys)], ["doc_id", "hits", *ys])
 
     rows = sample.mapInArrow(match, "doc_id long, hits array<int>, " + ", ".join(f"{y} int" for y in ys)).toArrow().sort_by("doc_id")
     x, y = np.zeros((rows.num_rows, len(vocabulary))), np.stack([rows[c].to_numpy() for c in ys], axis=1).astype(float)
@@ -161,8 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | None
 def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD, deciding: str = DECIDING) -> DataFrame:
     """One row per row of ``docs``: doc_id, a probability p_<category> each, and ``toxic``.
 
-    Whole texts count; a null or empty text has no feature and gets the
-    intercepts' probabilities; repeated rows get the same values.
+    Whole texts count, however long; a null or empty text has no feature and
+    gets the intercepts' probabilities; repeated rows get the same values;
+    columns other than id and text play no part.  An empty table gives no rows.
     """
     names = ["doc_id", *(f"p_{n}" for n in chain.names), "toxic"]
     at = chain.names.index(deciding)
