@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ensure_checkpoint_dir, fresh, table
+from .common import bit_arrays, cut, ensure_checkpoint_dir, fresh, has_bit, table
 
 #: Bits of the filter for each row; two positions a row give about 1.4 % false positives.
 BITS_PER_ROW = 16
@@ -51,20 +51,6 @@ def settled(rows: DataFrame, place: str) -> DataFrame:
     return spark.table(name)
 
 
-def bit_arrays(marks: DataFrame, places: DataFrame, place: str, words: int) -> DataFrame:
-    """(place, words): for every place an array of ``words`` longs with the bits ``at`` of its marks (place, at) set."""
-    word = F.shiftright("at", 6)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
-    given = marks.select(place, word.alias("word"), bit.alias("bits"))
-    none = places.select(place, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(words - 1).cast("long"))).alias("word"), F.lit(0).cast("long").alias("bits"))
-    filled = given.unionByName(none).groupBy(place, "word").agg(F.bit_or("bits").alias("bits"))
-    return filled.groupBy(place).agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words"))
-
-
-def has_bit(words: str, at: Column) -> Column:
-    return F.getbit(F.element_at(words, (F.shiftright(at, 6) + 1).cast("int")), (at % 64).cast("int")) == 1
-
-
 def at_place(rows: DataFrame, side: DataFrame, place: str) -> DataFrame:
     """``rows`` with the array of their place; the rows don't move."""
     key = fresh(rows, "at_")

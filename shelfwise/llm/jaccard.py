@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEYS, blocks, cut, flat_utf8, fresh, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes, written
+from .common import KEYS, bit_arrays, blocks, cut, flat_utf8, fresh, has_bit, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes, written
 from .merging import ranges
 
 WORDS = 3
@@ -255,8 +255,11 @@ def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, sig long")
 
 
-#: Lists of ids or signatures with at most so many rows are broadcast (some 40 bytes a row in memory, so 80 MB each, and at most three in one job); longer ones are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Lists of ids with at most so many rows are broadcast (some 40 bytes a row in memory, and one in a job); longer ones are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+#: Bits of the filter of shared signatures, at most; it is broadcast, in so many parts.
+FILTER_BITS = 1 << 29
+FILTER_PARTS = 64
 
 
 def _bounded(keys: DataFrame) -> DataFrame:
@@ -264,6 +267,21 @@ def _bounded(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
+def _shared(signed: DataFrame) -> DataFrame:
+    """The rows whose signature two sets or more have, and few others.
+
+    Signatures are counted from partial counts.  Those that are shared set a
+    bit each in a filter of at most ``FILTER_BITS``; with ever more of them it
+    lets more other rows pass, which are alone in their buckets later.
+    """
+    part, at = F.pmod("sig", F.lit(FILTER_PARTS)).alias("part"), F.xxhash64("sig")
+    shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
+    bits = min(FILTER_BITS, max(1 << 12, 1 << (max(1, shared.count()) * 16 - 1).bit_length())) // FILTER_PARTS
+    parts = shared.sparkSession.range(FILTER_PARTS).select(F.col("id").alias("part"))
+    arrays = cut(bit_arrays(shared.select(part, F.pmod(at, F.lit(bits)).alias("at")), parts, "part", bits // 64))
+    return signed.withColumn("part", part).join(F.broadcast(arrays), "part").where(has_bit("words", F.pmod(at, F.lit(bits)))).select("id", "sig")
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
@@ -344,9 +362,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     homes_of = spread_join(real.select("doc_id", *same), groups.drop("copies"), same, hot_sets).select("doc_id", "id")
     copies = cut(homes_of.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("id")).alias("own"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("NOT own OR lo < hi"))
     signed = written(_signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den))
-    # buckets with two members or more: counted from partial counts, then their members
-    shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
-    members = cut(signed.join(_bounded(shared), "sig", "left_semi").distinct())
+    # buckets with two members or more
+    members = cut(_shared(signed).distinct())
     buckets = cut(members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi"))
     hot_buckets = hot_keys(buckets, ["sig"], "size", members.count())
     used = cut(members.select("id").distinct())

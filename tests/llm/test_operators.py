@@ -471,19 +471,62 @@ def brute_top(rows, k, every):
     return sorted(out)
 
 
+def clustered(rng, n, width, copies):
+    """Vectors of length 1, evenly spread, and ``copies`` near each of the first ten."""
+    v = rng.normal(0, 1, (n, width))
+    v = np.concatenate([v, np.repeat(v[:10], copies, axis=0) + rng.normal(0, 0.02 * width**0.5, (10 * copies, width))])
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
 def test_top_k(spark, sf_dir, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [(int(i), rng.normal(0, 0.4, 8).astype(np.float32).tolist()) for i in range(300)]
     rows += [(300 + i, rows[0][1]) for i in range(60)] + [(400, None), (420, [1.0, None] + [0.0] * 6), (440, [float("nan")] + [0.0] * 7), (460, [float("inf")] + [0.0] * 7), (None, [0.0] * 8)]
-    monkeypatch.setattr(topk, "CANDIDATES", 100)
-    monkeypatch.setattr(topk, "QUERIES", 10)
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit("clash"))
-    assert sorted(map(tuple, topk.top_k(df, 5, 20).collect())) == brute_top(rows, 5, 20)
+    rows += [(1000 + i, v.tolist()) for i, v in enumerate(clustered(rng, 200, 8, 40))]
+    schema = "vec_id long, embedding array<float>"
+    for block, pivots in ((100, 5), (topk.CANDIDATES, topk.PIVOTS)):
+        monkeypatch.setattr(topk, "CANDIDATES", block)
+        monkeypatch.setattr(topk, "QUERIES", 10)
+        monkeypatch.setattr(topk, "PIVOTS", pivots)
+        df = spark.createDataFrame(rows, schema).withColumn("v", F.lit("clash"))
+        assert sorted(map(tuple, topk.top_k(df, 5, 20).collect())) == brute_top(rows, 5, 20)
     assert topk.top_k(empty(df)).count() == 0
     few = df.where("vec_id < 3")
     assert topk.top_k(few).count() == 2
 
 
+def test_top_k_widths_repeats_and_large_numbers(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(0, 1, 3 if i % 3 else 5).tolist()) for i in range(200)] + [(20, [1.0, 0.0, 1.0]), (20, [1.0, 0.0, 1.0]), (500, []), (501, [])]
+    rows += [(600 + i, [float(rng.integers(0, 1 << 24)) + 0.5, 1.0 + i % 2, 3.0, -1.0]) for i in range(60)]  # products beyond 2^53
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 7, 20).collect()
+    sound = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    want = set()
+    for i, v in sound:
+        if i % 20 == 0:
+            some = [(-sum(a * b for a, b in zip(v, w)), j) for j, w in sound if j != i and len(v) == len(w)]
+            want.add((i, tuple(v), tuple(sorted(some)[:7])))
+    for i in {i for i, _, _ in want}:
+        mine = sorted((s for k, v, some in want if k == i for s in some))[:7] if i != 20 else None
+        found = sorted((-r["score"], r["vec_id"]) for r in got if r["query_id"] == i)
+        assert len(found) <= 7 and (mine is None or found == mine)
+
+
+def test_pivots_eliminate_what_they_can():
+    rng = np.random.default_rng(6)
+    v = np.floor(64 * clustered(rng, 3000, 64, 60)).astype(np.int64)
+    ids = np.arange(len(v))
+    pivots = v[rng.choice(len(v), 64, replace=False)].astype(float)
+    for some, least in ((np.arange(10), 0.9), (np.arange(100, 110), 0.0)):  # near copies, and vectors without any
+        counts, score = {}, topk.exact(v, v[some])
+        floors = np.array([np.sort(np.delete(score[:, k], q))[-20] for k, q in enumerate(some)], float)
+        q, found, s = topk.search_block(v[some], some, floors, v, ids, pivots, counts=counts)
+        for k, own in enumerate(some):
+            other = np.flatnonzero(ids != own)
+            assert found[q == k][np.lexsort((found[q == k], -s[q == k]))].tolist() == other[np.lexsort((other, -score[other, k]))][:20].tolist()
+        assert 1 - counts["evaluated"] / counts["there"] >= least
+
+
 # ------------------------------------------------------------------ 7
 
 
@@ -560,6 +603,7 @@ def test_jaccard(spark, odd, docs, size, num, monkeypatch):
     for limit, hot in ((jaccard.BROADCAST_ROWS, common.HOT_ROWS), (0, 2)):  # nothing broadcast, nearly every key dealt
         monkeypatch.setattr(jaccard, "BROADCAST_ROWS", limit)
         monkeypatch.setattr(common, "HOT_ROWS", hot)
+        monkeypatch.setattr(jaccard, "FILTER_BITS", jaccard.FILTER_BITS if limit else 1 << 13)  # nearly all signatures pass
         rows = near_rows() + [(2000 + k, near_rows()[5][1]) for k in range(12)]
         df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit(1))
         got = jaccard.near_groups(df, size, num, 100).select("doc_id", "n_shingles", "component_id").collect()
