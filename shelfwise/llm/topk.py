@@ -1,97 +1,184 @@
 """Exact top-k search by inner product with pivot-table elimination.
 
-Every vector carries its distances to many pivots.  By the triangle inequality
-a candidate's distance to a query is at least the largest difference of the
-two rows of the pivot table, and with the norms that bounds the inner product
-from above.  Candidates stand in cells of near ones; the pivots' ranges over a
-cell bound all of it.  Cells, and in them candidates, are evaluated in the
-order of their bounds, until no bound reaches the score of the k-th best.
-
-Queries and candidates meet in a grid of blocks, so no side is broadcast and
-none meets in one task; each block gives a query's k best of its candidates.
+By the triangle inequality a candidate's distance to a query is at least the
+largest difference of their distances to any pivot, and with the norms that
+bounds the inner product from above.  Candidates stand in cells, by their
+nearest pivot, and cells in blocks.
+
+A query first meets its own block, which gives it a floor: the score of its
+k-th best so far.  A cell is left out if its range of distances says that none
+of its vectors can reach the floor; the query is sent to the other blocks only.
+There the pivots are looked at a few at a time, as long as they eliminate
+candidates; the remaining ones are evaluated in the order of their bounds,
+until no bound reaches the k-th best score.  Where the pivots eliminate hardly
+anything, as among vectors that lie evenly in many dimensions, all of a block's
+candidates are evaluated at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, mix64, table
 
 SCALE = 64
 K = 20
 EVERY = 20
-PIVOTS = 24
-#: About so many candidates and queries of one block, and candidates of one cell.
-CANDIDATES, QUERIES, CELL = 8192, 2048, 64
+#: Pivots of each width of vectors, and how many are looked at together.
+PIVOTS, STEP = 64, 8
+#: About so many candidates and queries of one block.
+CANDIDATES, QUERIES = 8192, 2048
+#: Bounds are floats, scores whole numbers.
+SLACK = 1e-6
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(vec_id, v): floor(scale * x) of each component; vectors that are null, or hold null or non-finite ones, are left out."""
     x = F.col(vector_col)
     sound = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return vectors.where(sound).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("double")).alias("v"))
-
-
-def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> np.ndarray:
-    """Pivots spread out by farthest-first choice from a bounded sample (40 vectors a pivot, by a hash of their ids)."""
-    sample = np.array([r["v"] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(40 * count).collect()], float)
-    if not len(sample):
-        return sample.reshape(0, 0)
-    chosen = [0]
-    nearest = np.linalg.norm(sample - sample[0], axis=1)
-    while len(chosen) < min(count, len(sample)):
-        chosen.append(int(nearest.argmax()))
-        nearest = np.minimum(nearest, np.linalg.norm(sample - sample[chosen[-1]], axis=1))
-    return sample[chosen]
-
-
-def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, pivots: np.ndarray, k: int = K, cell: int = CELL) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's k best vectors but its own, as (query number, id, score); ties go to smaller ids."""
-    distances = lambda a: np.sqrt(np.maximum(0.0, (a * a).sum(1)[:, None] + (pivots * pivots).sum(1)[None] - 2 * a @ pivots.T))
-    t_v, t_q = distances(vectors), distances(queries)
-    n_v, n_q = (vectors * vectors).sum(1), (queries * queries).sum(1)
-    # cells: by the nearest pivot, then by the distance to it
-    near = t_v.argmin(axis=1)
-    order = np.lexsort((ids, t_v[np.arange(len(near)), near], near))
-    vectors, ids, t_v, n_v = vectors[order], ids[order], t_v[order], n_v[order]
-    starts = np.arange(0, len(ids), cell)
-    low, high, heavy = np.minimum.reduceat(t_v, starts), np.maximum.reduceat(t_v, starts), np.maximum.reduceat(n_v, starts)
-    out_q, out_id, out_s = [], [], []
-    slack = 1e-6  # bounds are floats, scores whole numbers
+    return vectors.where(sound).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long")).alias("v"))
+
+
+def choose_pivots(vectors: DataFrame, count: int = PIVOTS) -> dict[int, np.ndarray]:
+    """By width of vectors: pivots spread out by farthest-first choice from a bounded sample (40 vectors a pivot, by a hash of their ids)."""
+    rows = [r["v"] for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(40 * count).collect()]
+    found = {}
+    for width in {len(v) for v in rows}:
+        sample = np.array([v for v in rows if len(v) == width], float)
+        chosen = [0]
+        nearest = np.linalg.norm(sample - sample[0], axis=1)
+        while len(chosen) < min(count, len(sample)):
+            chosen.append(int(nearest.argmax()))
+            nearest = np.minimum(nearest, np.linalg.norm(sample - sample[chosen[-1]], axis=1))
+        found[width] = sample[chosen]
+    return found
+
+
+def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    v = vectors.astype(float)
+    return np.sqrt(np.maximum(0.0, (v * v).sum(1)[:, None] + (pivots * pivots).sum(1)[None] - 2 * v @ pivots.T))
+
+
+def exact(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers; in floats only where those are exact."""
+    if vectors.size and queries.size and float(np.abs(vectors).max()) * float(np.abs(queries).max()) * max(1, vectors.shape[1]) < 2**53:
+        return (vectors.astype(float) @ queries.astype(float).T).astype(np.int64)
+    return vectors @ queries.T
+
+
+def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores, ties to smaller ids."""
+    if len(score) > 4 * k:
+        least = np.partition(score, len(score) - k)[len(score) - k]
+        some = np.flatnonzero(score >= least)
+        return some[np.lexsort((ids[some], -score[some]))[:k]]
+    return np.lexsort((ids, -score))[:k]
+
+
+def search_block(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, vectors: np.ndarray, ids: np.ndarray, pivots: np.ndarray, k: int = K, counts: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k best vectors but its own that reach its floor, as (query number, id, score).
+
+    ``counts``, if given, learns how many candidates were there and evaluated.
+    """
+    t_v, t_q = distances(vectors, pivots), distances(queries, pivots)
+    n_v, n_q = (vectors.astype(float) ** 2).sum(1), (queries.astype(float) ** 2).sum(1)
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    whole, evaluated = [], 0
+
+    def give(q: int, rows: np.ndarray, score: np.ndarray) -> None:
+        out.append((np.full(len(rows), q), ids[rows], score))
+
     for q in range(len(queries)):
-        gap = np.maximum(0.0, np.maximum(t_q[q] - high, low - t_q[q])).max(axis=1)
-        bound = (n_q[q] + heavy - gap * gap) / 2
-        best_s, best_id = np.zeros(0), np.zeros(0, np.int64)
-        floor = -np.inf
-        ranked = np.argsort(-bound, kind="stable")
-        at, step = 0, max(1, 256 // cell)
-        while at < len(ranked) and bound[ranked[at]] + slack >= floor:
-            now = ranked[at : at + step]
-            at, step = at + step, min(step * 2, 64)
-            now = now[bound[now] + slack >= floor]
-            rows = (starts[now][:, None] + np.arange(cell)[None]).ravel()
-            rows = rows[rows < len(ids)]
-            if floor > -np.inf:  # the candidates' own bounds
-                gap_rows = np.abs(t_v[rows] - t_q[q]).max(axis=1)
-                rows = rows[(n_q[q] + n_v[rows] - gap_rows * gap_rows) / 2 + slack >= floor]
-            score = vectors[rows] @ queries[q]
-            other = ids[rows] != query_ids[q]
-            best_s, best_id = np.concatenate([best_s, score[other]]), np.concatenate([best_id, ids[rows][other]])
-            if len(best_s) > k:
-                top = np.lexsort((best_id, -best_s))[:k]
-                best_s, best_id = best_s[top], best_id[top]
-            if len(best_s) == k:
-                floor = best_s.min()
-        out_q.append(np.full(len(best_s), q))
-        out_id.append(best_id)
-        out_s.append(best_s)
-    join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-    return join(out_q, np.int64), join(out_id, np.int64), join(out_s, np.int64)
+        rows, gap = np.arange(len(ids)), np.zeros(len(ids))
+        if floors[q] > -np.inf:
+            for at in range(0, len(pivots), STEP):
+                gap = np.maximum(gap, np.abs(t_v[rows, at : at + STEP] - t_q[q, at : at + STEP]).max(axis=1))
+                keep = (n_q[q] + n_v[rows] - gap * gap) / 2 + SLACK >= floors[q]
+                few = np.count_nonzero(keep) > 0.98 * len(rows)
+                rows, gap = rows[keep], gap[keep]
+                if few:
+                    break
+        if 2 * len(rows) > len(ids):
+            whole.append(q)
+            continue
+        bound = (n_q[q] + n_v[rows] - gap * gap) / 2
+        order = np.argsort(-bound, kind="stable")
+        rows, bound, floor = rows[order], bound[order], floors[q]
+        kept, scores, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 64
+        while at < len(rows) and bound[at] + SLACK >= floor:
+            now = rows[at : at + step]
+            evaluated += len(now)
+            at, step = at + step, step * 2
+            score = exact(vectors[now], queries[q : q + 1])[:, 0]
+            other = ids[now] != query_ids[q]
+            kept, scores = np.concatenate([kept, now[other]]), np.concatenate([scores, score[other]])
+            top = best(scores, ids[kept], k)
+            kept, scores = kept[top], scores[top]
+            if len(scores) == k:
+                floor = max(floor, float(scores.min()))
+        give(q, kept, scores)
+    for lo in range(0, len(whole), 256):
+        part = whole[lo : lo + 256]
+        score = exact(vectors, queries[part])
+        evaluated += score.size
+        for q, column in zip(part, score.T):
+            rows = np.flatnonzero((ids != query_ids[q]) & (column >= floors[q]))
+            top = best(column[rows], ids[rows], k)
+            give(q, rows[top], column[rows[top]])
+    if counts is not None:
+        counts["there"], counts["evaluated"] = counts.get("there", 0) + len(ids) * len(queries), counts.get("evaluated", 0) + evaluated
+    return tuple(np.concatenate([o[j] for o in out]).astype(np.int64) if out else np.zeros(0, np.int64) for j in range(3))
+
+
+@dataclass
+class Cells:
+    """Of one width: each cell's range of distances to its pivot, largest norm, first block and number of blocks."""
+
+    low: np.ndarray
+    high: np.ndarray
+    heavy: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+
+    @staticmethod
+    def of(rows: list, size: int) -> Cells:
+        """Small cells share a block, large ones are dealt over several; ``rows``: (cell, n, low, high, heavy)."""
+        n = 1 + max(r["cell"] for r in rows)
+        cells = Cells(np.full(n, np.inf), np.full(n, -np.inf), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64))
+        block, filled = 0, 0
+        for r in sorted(rows, key=lambda r: r["cell"]):
+            c, parts = r["cell"], -(-r["n"] // size)
+            if filled and filled + r["n"] > size:
+                block, filled = block + 1, 0
+            cells.low[c], cells.high[c], cells.heavy[c], cells.first[c], cells.parts[c] = r["low"], r["high"], r["heavy"], block, parts
+            block, filled = (block, filled + r["n"]) if parts == 1 else (block + parts, 0)
+        return cells
+
+    def block(self, cell: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self.first[cell] + (mix64(ids.astype(np.uint64)) % np.maximum(self.parts[cell], 1).astype(np.uint64)).astype(np.int64)
+
+    def reach(self, t: np.ndarray, norm: float, floor: float) -> np.ndarray:
+        """The blocks of cells that may hold a vector that reaches the floor; ``t``: a query's distances to the pivots."""
+        gap = np.maximum(0.0, np.maximum(t[: len(self.low)] - self.high, self.low - t[: len(self.low)]))
+        some = np.flatnonzero((self.parts > 0) & ((norm + self.heavy - gap * gap) / 2 + SLACK >= floor))
+        return np.unique(np.concatenate([self.first[c] + np.arange(self.parts[c]) for c in some] or [np.zeros(0, np.int64)]))
+
+
+def by_width(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, row numbers, vectors) of each width in a batch."""
+    column = batch["v"]
+    widths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        yield width, rows, column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(rows), width)
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -99,33 +186,81 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
 
     Unsound vectors (see ``quantised``) are neither queries nor candidates.  A
     query never meets its own id, so repeated rows of one id don't find each
-    other; a repeated candidate row counts once per row.  Vectors whose length
-    differs from the most frequent one take no part.
+    other; a repeated candidate row counts once per row, and a repeated query
+    row brings no second result.  Vectors meet those of their own width only.
+    Scores are exact as long as they fit into 64 bits.  Other columns play no
+    part; an empty table gives no rows.
     """
     sound = cut(quantised(vectors, id_col, vector_col))
-    widths = sound.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").limit(1).collect()
-    schema = "query_id long, vec_id long, score long"
-    if not widths:
-        return sound.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    sound, total = sound.where(F.size("v") == widths[0]["w"]), widths[0]["count"]
     pivots = choose_pivots(sound)
-    c_blocks, q_blocks = max(1, -(-total // CANDIDATES)), max(1, -(-total // (every * QUERIES)))
-    queries = sound.where(F.pmod("vec_id", F.lit(every)) == 0)
-    row, column = F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)), F.pmod(F.xxhash64("vec_id"), F.lit(c_blocks))
-    candidates_at = sound.select("vec_id", "v", column.alias("c"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"))
-    queries_at = queries.select("vec_id", "v", row.alias("q"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("c")).withColumn("q", F.col("q").cast("int"))
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for width, rows, v in by_width(batch):
+                part = batch.take(pa.array(rows))
+                t = distances(v, pivots[width]) if width in pivots else np.zeros((len(v), 1))
+                cell = t.argmin(axis=1)
+                numbers = (np.full(len(v), width), cell, t[np.arange(len(v)), cell], (v.astype(float) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays([part["vec_id"], part["v"], *map(pa.array, numbers)], ["vec_id", "v", "w", "cell", "d", "norm"])
+
+    located = cut(sound.mapInArrow(locate, "vec_id long, v array<long>, w long, cell long, d double, norm double"))
+    stats = located.groupBy("w", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("low"), F.max("d").alias("high"), F.max("norm").alias("heavy")).collect()
+    cells = {w: Cells.of([r for r in stats if r["w"] == w], CANDIDATES) for w in {r["w"] for r in stats}}
+    chosen = located.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id", "v"])
+    q_blocks = max(1, -(-chosen.count() // QUERIES))
+    head = "w long, block long, q long, "
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Candidates at their block, once for each block of queries."""
+        for batch in batches:
+            w, cell, ids = (batch[c].to_numpy(zero_copy_only=False) for c in ("w", "cell", "vec_id"))
+            block = np.zeros(len(w), np.int64)
+            for width in np.unique(w).tolist():
+                at = np.flatnonzero(w == width)
+                block[at] = cells[width].block(cell[at], ids[at])
+            for q in range(q_blocks):
+                yield pa.RecordBatch.from_arrays([batch["w"], pa.array(block), pa.array(np.full(len(w), q)), batch["vec_id"], batch["v"]], ["w", "block", "q", "vec_id", "v"])
+
+    def travel(own: bool):
+        """Queries at their own block, or at all others that their floor doesn't rule out."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cell, floor = (batch[c].to_numpy(zero_copy_only=False) for c in ("cell", "floor"))
+                for width, rows, v in by_width(batch):
+                    ids = batch["vec_id"].to_numpy(zero_copy_only=False)[rows]
+                    home = cells[width].block(cell[rows], ids)
+                    t = distances(v, pivots[width]) if width in pivots else np.zeros((len(v), 1))
+                    norm = (v.astype(float) ** 2).sum(1)
+                    goals = [np.array([h]) if own else np.setdiff1d(cells[width].reach(t[k], norm[k], floor[rows[k]]), [h]) for k, h in enumerate(home.tolist())]
+                    at = rows[np.repeat(np.arange(len(rows)), [len(g) for g in goals])]
+                    some = batch.take(pa.array(at))
+                    q = (mix64(some["vec_id"].to_numpy(zero_copy_only=False).astype(np.uint64) + np.uint64(1)) % np.uint64(q_blocks)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), width)), pa.array(np.concatenate([*goals, np.zeros(0, np.int64)]).astype(np.int64)), pa.array(q), some["vec_id"], some["v"], some["floor"]], ["w", "block", "q", "vec_id", "v", "floor"])
+
+        return run
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        left = left.sort_values("vec_id")
-        ids = left["vec_id"].to_numpy()
-        q, found, score = search_block(np.stack(left["v"].to_numpy()), ids, np.stack(right["v"].to_numpy()), right["vec_id"].to_numpy(), pivots, k)
+        ids, width = left["vec_id"].to_numpy(), len(left["v"].iloc[0])
+        stack = lambda v: np.stack(v.to_numpy()).astype(np.int64).reshape(len(v), width)
+        q, found, score = search_block(stack(left["v"]), ids, left["floor"].to_numpy(), stack(right["v"]), right["vec_id"].to_numpy(), pivots.get(width, np.zeros((1, width))), k)
         return pd.DataFrame({"query_id": ids[q], "vec_id": found, "score": score})
 
-    pairs = queries_at.groupBy("q", F.col("c").cast("int").alias("c")).cogroup(candidates_at.groupBy("q", F.col("c").cast("int").alias("c"))).applyInPandas(meet, schema)
+    candidates = located.select("w", "cell", "vec_id", "v").mapInArrow(settle, head + "vec_id long, v array<long>")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def search(queries: DataFrame, own: bool) -> DataFrame:
+        sent = queries.select("vec_id", "v", "cell", "floor").mapInArrow(travel(own), head + "vec_id long, v array<long>, floor double")
+        met = sent.groupBy("w", "block", "q").cogroup(candidates.groupBy("w", "block", "q")).applyInPandas(meet, "query_id long, vec_id long, score long")
+        return met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+
+    first = cut(search(chosen.withColumn("floor", F.lit(float("-inf"))), own=True))
+    floors = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+    again = chosen.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    both = first.drop("rank").unionByName(search(again, own=False).drop("rank"))
+    return both.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
