@@ -2,36 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import blobs
 from ..functions import scalars as S
 from ..operators import html_links, mapping, merging, prices, progress
 from ..sources import landing, publishing
-from .views import view, with_views
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def registered(sql: str | None, *views: str):
-    """Register a query under its function's name; ``sql`` may read the derived ``views``."""
-
-    def add(query):
-        QUERIES[query.__name__] = query
-        if sql is not None:
-            ORACLES[query.__name__] = with_views(sql, *views) if views else sql
-        return query
-
-    return add
-
-
-def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
+from . import mapping_queries  # noqa: F401, registers its own
+from .registry import ORACLES, QUERIES, read, registered  # noqa: F401
+from .views import view
 
 # ---------------------------------------------------------------- sources
 
@@ -43,7 +22,7 @@ PAGE = """concat('{"data":', case p_partkey%3 when 0 then concat('[{"id":"c', ca
 SELECT p_partkey AS page, 1 AS position, concat('c', cast(p_partkey as varchar)) AS id, p_name AS name FROM part WHERE p_partkey%3 < 2
 UNION ALL SELECT p_partkey, 3, concat('d', cast(p_partkey as varchar)), NULL FROM part WHERE p_partkey%3 = 0""")
 def s1_landed_pages(spark, d):
-    pages = _t(spark, d, "part").select(F.col("p_partkey").alias("page"), F.expr(PAGE).alias("body"))
+    pages = read(spark, d, "part").select(F.col("p_partkey").alias("page"), F.expr(PAGE).alias("body"))
     return landing.explode_pages(pages, "struct<id:string,name:string>").select("page", "position", "item.id", "item.name")
 
 
@@ -54,7 +33,7 @@ def s2_read_table(spark, d):
 
 @registered("SELECT p_partkey AS list_id, 1 AS position, p_name AS name FROM part UNION ALL SELECT p_partkey, 2, p_brand FROM part")
 def s3_name_list(spark, d):
-    lists = _t(spark, d, "part").select("p_partkey", F.to_json(F.array("p_name", "p_brand")).alias("value"))
+    lists = read(spark, d, "part").select("p_partkey", F.to_json(F.array("p_name", "p_brand")).alias("value"))
     return lists.select(F.col("p_partkey").alias("list_id"), F.posexplode(F.from_json("value", "array<string>")).alias("p", "name")).select("list_id", (F.col("p") + 1).alias("position"), "name")
 
 
@@ -63,7 +42,7 @@ LOG = "concat('page=', cast(o_orderkey as string), ' cards=250 created=', cast(o
 
 @registered("SELECT o_orderkey AS page, o_custkey%7 AS created, o_custkey%5 AS updated, CAST(0 AS BIGINT) AS skipped, o_orderkey%3 AS failed FROM orders WHERE o_orderstatus <> 'P'")
 def s5_progress_log(spark, d):
-    lines = _t(spark, d, "orders").select(F.expr(f"case when o_orderstatus = 'P' then 'done' else {LOG} end").alias("value"))
+    lines = read(spark, d, "orders").select(F.expr(f"case when o_orderstatus = 'P' then 'done' else {LOG} end").alias("value"))
     return landing.parse_progress_log(lines)
 
 
@@ -75,77 +54,12 @@ def s8_run_state(spark, d):
 
 # ---------------------------------------------------------------- mapping
 
-CARD = """concat('{"id":"', cast(p_partkey as string), '","name":', case when p_partkey%9=0 then 'null' else concat('"', p_name, '"') end, ',"number":"', cast(p_partkey%200 as string), '","set":{"id":"', p_brand, '","name":"', p_type, '","printedTotal":', case when p_partkey%4=0 then 'null' else '180' end,
- '},"rarity":"', p_type, '","hp":"', case when p_partkey%6=0 then 'x' else cast(p_size*10 as string) end, '","types":', case when p_partkey%5=0 then 'null' else '["Fire","Water"]' end, ',"images":{"small":"s', cast(p_partkey as string), '"', case when p_partkey%2=0 then ',"large":"l"' else '' end, '},"market":{"prices":{"holofoil":{"market":',
- case p_partkey%4 when 0 then 'null' when 1 then '"5"' when 2 then '-1' else '0' end, ',"mid":', case when p_partkey%3=0 then 'null' else '2.5' end, '},"normal":{"market":', cast(p_size as string), '}}}}')"""
-MARKET = "CASE WHEN p_partkey%4 IN (0,3) AND p_partkey%3<>0 THEN 2.5 ELSE CAST(p_size AS DOUBLE) END"
-
-
-@registered("""SELECT p_brand AS id, 'set' AS name, CAST(NULL AS VARCHAR) AS series, CAST(p_brand_no AS INTEGER) AS printed_total, CAST(NULL AS INTEGER) AS total, 'sym' AS symbol_url
-FROM (SELECT DISTINCT p_brand, CAST(substr(p_brand,7) AS INT) AS p_brand_no FROM part)""")
-def p1_map_sets_catalog(spark, d):
-    items = _t(spark, d, "part").select("p_brand").distinct().select(F.expr("""concat('{"id":"', p_brand, '","name":"set","printedTotal":', substr(p_brand,7), ',"images":{"symbol":"sym"}}')""").alias("item"))
-    return mapping.map_sets_catalog(items).select("id", "name", "series", "printed_total", "total", "symbol_url")
-
-
-@registered(f"""SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_partkey%9=0 THEN '' ELSE p_name END AS name, p_brand AS set_id, CASE WHEN p_partkey%5=0 THEN '' ELSE 'Fire|Water' END AS types, 0 AS n_rules,
- CASE WHEN p_partkey%2=0 THEN 'l' END AS image_large, {MARKET} AS market_price FROM part""")
-def p2_map_cards_catalog(spark, d):
-    cards = mapping.map_cards_catalog(_t(spark, d, "part").select(F.expr(CARD).alias("item")))
-    return cards.select("id", "name", "set_id", F.array_join("types", "|").alias("types"), F.size("rules").alias("n_rules"), "image_large", "market_price")
-
-
-JA = """concat('{"id":"j', cast(p_partkey as string), '","localId":"', cast(p_partkey%200 as string), '","name":"', p_name, '","stage":"', case when p_partkey%2=0 then 'Basic' else '' end, '","hp":', cast(p_size%5*10 as string), case when p_partkey%3=0 then '' else concat(',"image":"u', cast(p_partkey as string), '"') end, ',"dexId":[', cast(p_partkey%300 as string), ']}')"""
-
-
-@registered("""SELECT p_brand AS id, substr(p_brand,7) AS total, CASE WHEN length(p_brand)=8 THEN 'l.webp' END AS logo_url, 'ja' AS language FROM part GROUP BY p_brand""")
-def p3_map_sets_ja(spark, d):
-    items = _t(spark, d, "part").select("p_brand").distinct().select(F.expr("""concat('{"id":"', p_brand, '","cardCount":{"total":', substr(p_brand,7), '}', case when length(p_brand)=8 then ',"logo":"l"' else '' end, '}')""").alias("item"))
-    return mapping.map_sets_ja(items).select("id", F.col("total").cast("string").alias("total"), "logo_url", "language")
-
-
-@registered("""WITH names AS (SELECT row_number() OVER (ORDER BY n_nationkey) AS position, n_name FROM nation)
-SELECT concat('j', cast(p_partkey as varchar)) AS id, CASE WHEN p_partkey%2=0 THEN 'Basic' ELSE '' END AS stage, CASE WHEN p_size%5=0 THEN NULL ELSE cast(p_size%5*10 as varchar) END AS hp,
- CASE WHEN p_partkey%3=0 THEN NULL ELSE concat('u', cast(p_partkey as varchar), '/low.webp') END AS image_small, n_name AS english_name FROM part LEFT JOIN names ON position = p_partkey%300""")
-def p4_map_cards_ja(spark, d):
-    cards = mapping.map_cards_ja(_t(spark, d, "part").select(F.expr(JA).alias("item")))
-    names = landing.name_list(_t(spark, d, "nation").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda s: s["n_name"])).alias("value")))
-    return merging.english_names(cards, names).select("id", F.array_join("subtypes", "").alias("stage"), "hp", "image_small", "english_name")
-
-
-@registered("SELECT 'english' AS language, p_brand AS tracker_id, CAST(substr(p_brand,7) AS INTEGER) AS card_count, substr(p_brand,7)='11' AS has_price_guide, CAST(NULL AS DATE) AS release_date FROM part GROUP BY p_brand")
-def p5_map_sets_tracker(spark, d):
-    items = _t(spark, d, "part").select("p_brand").distinct().select(F.expr("""concat('{"id":"', p_brand, '","cardCount":', substr(p_brand,7), ',"hasPriceGuide":', case when substr(p_brand,7)='11' then 'true' else 'false' end, ',"releaseDate":null}')""").alias("item"))
-    return mapping.map_sets_tracker(items, "english").select("language", "tracker_id", "card_count", "has_price_guide", "release_date")
-
-
-@registered("""SELECT CASE WHEN p_partkey%10=0 THEN '' ELSE cast(p_partkey as varchar) END AS card_id, CAST(CASE WHEN p_partkey%6=0 THEN NULL ELSE p_size*10 END AS INTEGER) AS hp, p_size AS listings, CASE WHEN p_partkey%3=0 THEN NULL ELSE 'A|B' END AS printings FROM part""")
-def p6_map_cards_tracker(spark, d):
-    items = _t(spark, d, "part").select(F.expr("""concat('{', case when p_partkey%10=0 then '' else concat('"id":', cast(p_partkey as string), ',') end, '"hp":"', case when p_partkey%6=0 then 'x' else cast(p_size*10 as string) end, '","prices":{"market":1.5,"listings":', cast(p_size as string), '},"printingsAvailable":', case when p_partkey%3=0 then '"A"' else '["A","B"]' end, '}')""").alias("item"))
-    return mapping.map_cards_tracker(items, "english").select("card_id", "hp", "listings", F.array_join("printings", "|").alias("printings"))
-
-
-@registered("""SELECT cast(p_partkey as varchar) AS id, CASE WHEN p_partkey%9=0 THEN 'Unknown' ELSE p_name END AS name, CASE WHEN p_partkey%4=0 THEN cast(p_partkey%200 as varchar) ELSE concat(cast(p_partkey%200 as varchar), '/180') END AS card_number,
- CASE WHEN p_partkey%2=0 THEN 'l' ELSE concat('s', cast(p_partkey as varchar)) END AS image_url, CASE WHEN p_partkey%5=0 THEN NULL ELSE 'Fire, Water' END AS types FROM part""")
-def p7_map_cards_offline(spark, d):
-    return mapping.map_cards_offline(_t(spark, d, "part").select(F.expr(CARD).alias("item"))).select("id", "name", "card_number", "image_url", "types")
-
-
 QUANTIZED = "list_transform(embedding, lambda x: CAST(least(greatest(round_even((CAST(x AS DOUBLE)+1.0)*127.5, 0), 0), 255) AS INTEGER))"
 
 
 @registered(f"SELECT vec_id, label, array_to_string({QUANTIZED}, ',') AS quantized FROM embeddings")
 def p8_compact_projection(spark, d):
-    return mapping.compact_projection(_t(spark, d, "embeddings"), ["vec_id", "label"]).withColumn("quantized", F.array_join(F.col("quantized").cast("array<string>"), ","))
-
-
-VARIANTS = """concat('{"id":"', case when p_partkey%7=0 then '' else cast(p_partkey as string) end, '","variants":', case when p_partkey%5=0 then '[1]' else concat('{"Normal":{"marketPrice":', cast(p_size as string), ',"lowPrice":1.5},"Foil":', case when p_partkey%2=0 then '"n/a"' else '{"marketPrice":null,"conditionUsed":"NM"}' end, '}') end, '}')"""
-
-
-@registered("""SELECT cast(p_partkey as varchar) AS card_id, 'Normal' AS printing, CAST(p_size AS DOUBLE) AS market_price, 1.5::DOUBLE AS low_price, CAST(NULL AS VARCHAR) AS condition_used FROM part WHERE p_partkey%7<>0 AND p_partkey%5<>0
-UNION ALL SELECT cast(p_partkey as varchar), 'Foil', NULL, NULL, 'NM' FROM part WHERE p_partkey%7<>0 AND p_partkey%5<>0 AND p_partkey%2<>0""")
-def p9_price_variants(spark, d):
-    return mapping.explode_price_variants(_t(spark, d, "part").select(F.expr(VARIANTS).alias("item")), "english").drop("language")
+    return mapping.compact_projection(read(spark, d, "embeddings"), ["vec_id", "label"]).withColumn("quantized", F.array_join(F.col("quantized").cast("array<string>"), ","))
 
 
 # ---------------------------------------------------------------- filters
@@ -260,7 +174,7 @@ def w2_first_priced_variant(spark, d):
 @registered("""WITH r AS (SELECT p_name AS name, min(p_partkey) AS right_id FROM part WHERE p_size > 30 GROUP BY p_name), l AS (SELECT set_no AS left_id, lower(name) AS a FROM sets)
 SELECT left_id, arg_min(right_id, right_id) AS right_id FROM l JOIN r ON contains(lower(r.name), a) OR contains(a, lower(r.name)) OR contains(a, replace(lower(r.name), ':', '')) GROUP BY left_id""", "sets")
 def j5_match_names(spark, d):
-    right = _t(spark, d, "part").where("p_size > 30").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("right_id")).withColumn("position", F.col("right_id"))
+    right = read(spark, d, "part").where("p_size > 30").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("right_id")).withColumn("position", F.col("right_id"))
     return merging.match_names(view(spark, d, "sets").select(F.col("set_no").alias("left_id"), "name"), right)
 
 
@@ -334,7 +248,7 @@ def a3_sets_with_cards(spark, d):
 
 @registered("SELECT count(*) AS n_rows, count(embedding) AS n_vectors, 64.0::DOUBLE AS avg_bytes, count(vec_id)-count(DISTINCT vec_id) AS repeated_ids, count(*) FILTER (label IS NULL) AS null_names FROM embeddings")
 def a4_validate_package(spark, d):
-    return publishing.validate_package(_t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), blobs.pack_quantized("embedding").alias("tflite_emb_q")))
+    return publishing.validate_package(read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), blobs.pack_quantized("embedding").alias("tflite_emb_q")))
 
 
 @registered(f"""WITH inc AS ({INCOMING}) SELECT count(*) FILTER (coalesce(image_url,'')<>'' AND id%10=0) AS created, count(*) FILTER (coalesce(image_url,'')<>'' AND id%10<>0) AS updated, CAST(0 AS BIGINT) AS skipped, count(*) FILTER (coalesce(image_url,'')='') AS failed, true AS changed FROM inc""", "cards")
@@ -350,7 +264,7 @@ def a6_credits_per_day(spark, d):
 
 @registered("SELECT label, i AS pos, CAST(round(avg(CAST(embedding[i] AS DOUBLE))*1000) AS BIGINT) AS mean_milli FROM embeddings, generate_series(1, 64) s(i) GROUP BY label, i")
 def a7_mean_vectors(spark, d):
-    means = progress.mean_vectors(_t(spark, d, "embeddings"), "label", "embedding", 64)
+    means = progress.mean_vectors(read(spark, d, "embeddings"), "label", "embedding", 64)
     return means.select("label", F.posexplode("mean").alias("p", "m")).select("label", (F.col("p") + 1).cast("long").alias("pos"), F.round(F.col("m") * 1000).cast("long").alias("mean_milli"))
 
 
@@ -362,7 +276,7 @@ def a9_completed_sets(spark, d):
 
 @registered("SELECT l_suppkey, quantile_cont(l_quantity, 0.02) AS low, quantile_cont(l_quantity, 0.98) AS high FROM lineitem GROUP BY l_suppkey")
 def a10_percentile_bounds(spark, d):
-    return progress.percentile_bounds(_t(spark, d, "lineitem"), "l_suppkey", "l_quantity")
+    return progress.percentile_bounds(read(spark, d, "lineitem"), "l_suppkey", "l_quantity")
 
 
 @registered(BACKLOG + " SELECT count(*) FILTER (done) AS sets_done, count(*) FILTER (NOT done) AS sets_open, CAST(sum(CASE WHEN done THEN existing ELSE least(existing, card_count) END) AS BIGINT) AS rows_skipped, bool_and(done) AS complete FROM b", "sets", "cards")
@@ -461,7 +375,7 @@ def m3_normalize_variant(spark, d):
 @registered("SELECT p_partkey, CASE WHEN p_partkey%4=3 OR p_partkey=0 THEN NULL ELSE p_partkey END AS product_id FROM part")
 def m4_product_id(spark, d):
     url = F.expr("case p_partkey%4 when 0 then concat('https://x/product/', p_partkey, '/') when 1 then concat('https://x/a+b?productId=', p_partkey) when 2 then concat('https://r/?u=https%3A%2F%2Fx%2Fproduct%2F', p_partkey) else concat('https://x/%zz/', p_partkey) end")
-    return _t(spark, d, "part").select("p_partkey", S.extract_product_id(url).alias("product_id"))
+    return read(spark, d, "part").select("p_partkey", S.extract_product_id(url).alias("product_id"))
 
 
 @registered("SELECT id, CASE WHEN id%3=0 THEN number WHEN id%5=0 THEN concat(number,'/9') ELSE concat(number,'/180') END AS shown FROM cards", "cards")
@@ -472,19 +386,19 @@ def m5_display_number(spark, d):
 
 @registered("SELECT page_id, CASE WHEN length(e)=0 OR length(e)>4 THEN 'png' ELSE e END AS extension FROM (SELECT page_id, split_part(list_last(string_split(url, '.')), '?', 1) AS e FROM pages)")
 def m7_asset_names(spark, d):
-    return _t(spark, d, "pages").select("page_id", S.asset_extension(F.col("url")).alias("extension"))
+    return read(spark, d, "pages").select("page_id", S.asset_extension(F.col("url")).alias("extension"))
 
 
 @registered("SELECT p_partkey, CASE WHEN p_partkey%3=0 THEN CAST(p_size AS INTEGER) END AS strict, CASE WHEN p_partkey%3<2 THEN CAST(p_size AS INTEGER) END AS lenient FROM part")
 def m8_to_int(spark, d):
     text = F.expr("case p_partkey%3 when 0 then concat(' ', p_size, ' ') when 1 then concat(p_size, '.7hp') else concat('x', p_size) end")
-    return _t(spark, d, "part").select("p_partkey", S.to_int_strict(text).alias("strict"), S.to_int_lenient(text).alias("lenient"))
+    return read(spark, d, "part").select("p_partkey", S.to_int_strict(text).alias("strict"), S.to_int_lenient(text).alias("lenient"))
 
 
 @registered("SELECT p_partkey, CASE WHEN p_partkey%2=0 THEN concat('a|', cast(p_size as varchar)) END AS listed FROM part")
 def m9_text_array(spark, d):
     json = F.expr("""case when p_partkey%2=0 then concat('["a",', p_size, ']') else '"a"' end""")
-    return _t(spark, d, "part").select("p_partkey", F.array_join(S.text_array(json), "|").alias("listed"))
+    return read(spark, d, "part").select("p_partkey", F.array_join(S.text_array(json), "|").alias("listed"))
 
 
 @registered(BACKLOG + " SELECT set_id, CAST(CASE WHEN set_no%3=0 THEN 7 ELSE 0 END AS BIGINT) AS by_checkpoint, CAST(CASE WHEN set_no%3=0 AND set_no%2=0 THEN greatest(existing, 7) ELSE existing END AS BIGINT) AS by_existing FROM b", "sets", "cards")
@@ -495,7 +409,7 @@ def m11_start_offset(spark, d):
 
 @registered("SELECT event_id, CASE WHEN event_id%4=1 THEN 'disabled' WHEN event_id%3=0 THEN 'rate_limited' ELSE 'failed' END AS class FROM events WHERE event_type='error'")
 def m12_classify_failure(spark, d):
-    errors = _t(spark, d, "events").where("event_type = 'error'")
+    errors = read(spark, d, "events").where("event_type = 'error'")
     return errors.select("event_id", S.classify_failure(F.expr("case when event_id%3=0 then 429 else 500 end"), F.expr("case when event_id%4=1 then 'Bad API Key' end")).alias("class"))
 
 
@@ -513,18 +427,18 @@ def m14_rollover_keys(spark, d):
 @registered("SELECT vec_id, CAST(round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))*1000) AS BIGINT) AS norm_milli, true AS unit FROM embeddings")
 def m16_l2_normalize(spark, d):
     square = lambda v: F.aggregate(v, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return _t(spark, d, "embeddings").select("vec_id", F.round(F.sqrt(square(F.col("embedding"))) * 1000).cast("long").alias("norm_milli"), (F.abs(square(S.l2_normalize(F.col("embedding"))) - 1.0) < 1e-9).alias("unit"))
+    return read(spark, d, "embeddings").select("vec_id", F.round(F.sqrt(square(F.col("embedding"))) * 1000).cast("long").alias("norm_milli"), (F.abs(square(S.l2_normalize(F.col("embedding"))) - 1.0) < 1e-9).alias("unit"))
 
 
 @registered(f"SELECT vec_id, list_sum({QUANTIZED})::BIGINT AS total FROM embeddings")
 def m17_quantize(spark, d):
-    return _t(spark, d, "embeddings").select("vec_id", F.aggregate(S.quantize(F.col("embedding")), F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))
+    return read(spark, d, "embeddings").select("vec_id", F.aggregate(S.quantize(F.col("embedding")), F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))
 
 
 @registered("""WITH b AS (SELECT label, quantile_cont(CAST(x AS DOUBLE), 0.02) AS low, quantile_cont(CAST(x AS DOUBLE), 0.98) AS high FROM (SELECT label, unnest(embedding) AS x FROM embeddings) GROUP BY label)
 SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: floor(least(greatest((CAST(x AS DOUBLE)-low)*255.0/(high-low), 0.0), 255.0)))) AS BIGINT) AS total FROM embeddings e JOIN b ON e.label=b.label""")
 def m18_contrast_stretch(spark, d):
-    vectors = _t(spark, d, "embeddings")
+    vectors = read(spark, d, "embeddings")
     bounds = progress.percentile_bounds(vectors.select("label", F.explode("embedding").alias("x")).withColumn("x", F.col("x").cast("double")), "label", "x")
     return vectors.join(bounds, "label").select("vec_id", F.aggregate(S.contrast_stretch(F.col("embedding"), F.col("low"), F.col("high")), F.lit(0.0).cast("double"), lambda s, x: s + x).cast("long").alias("total"))
 
@@ -532,20 +446,20 @@ def m18_contrast_stretch(spark, d):
 @registered("""SELECT vec_id, variant, CAST(list_sum(list_transform(embedding, lambda x: floor(least(abs((CAST(x AS DOUBLE)*255.0)*a+b), 255.0)))) AS BIGINT) AS total FROM embeddings, (VALUES ('original',1.0::DOUBLE,0.0::DOUBLE),('brighter',1.0,30.0),('darker',1.0,-30.0),('contrast',1.2,0.0)) v(variant,a,b)""")
 def m19_photometric_variants(spark, d):
     pixels = F.transform("embedding", lambda x: x.cast("double") * 255.0)
-    variants = _t(spark, d, "embeddings").select("vec_id", F.explode(S.photometric_variants(pixels)).alias("v"))
+    variants = read(spark, d, "embeddings").select("vec_id", F.explode(S.photometric_variants(pixels)).alias("v"))
     return variants.select("vec_id", "v.variant", F.aggregate("v.vector", F.lit(0.0).cast("double"), lambda s, x: s + F.floor(x)).cast("long").alias("total"))
 
 
 @registered("SELECT p_partkey AS id FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), split_part((SELECT lower(min(p_name)) FROM part), ' ', 1))")
 def m20_search_tokens(spark, d):
-    parts = _t(spark, d, "part")
+    parts = read(spark, d, "part")
     word = parts.agg(F.split(F.lower(F.min("p_name")), " ")[0].alias("w")).first()["w"]
     return progress.search_tokens(progress.token_index(parts, "p_partkey", "p_name"), [word])
 
 
 @registered("SELECT token, count(*) AS n FROM (SELECT DISTINCT p_partkey, unnest(string_split_regex(lower(p_name), '[^a-z0-9]+')) AS token FROM part) WHERE token <> '' GROUP BY token")
 def m20_token_index(spark, d):
-    return progress.token_index(_t(spark, d, "part"), "p_partkey", "p_name").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return progress.token_index(read(spark, d, "part"), "p_partkey", "p_name").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- helpers with Python inside
@@ -554,17 +468,17 @@ def m20_token_index(spark, d):
 @registered(f"SELECT vec_id, list_sum({QUANTIZED})::BIGINT AS total FROM embeddings")
 def v1_blob_codec(spark, d):
     """To a float32 blob, back, and to one byte each; the bytes' sum equals that of m17."""
-    blob = _t(spark, d, "embeddings").select("vec_id", blobs.encode_blob("embedding").alias("b")).select("vec_id", blobs.pack_quantized(blobs.decode_blob(64)("b")).alias("q"))
+    blob = read(spark, d, "embeddings").select("vec_id", blobs.encode_blob("embedding").alias("b")).select("vec_id", blobs.pack_quantized(blobs.decode_blob(64)("b")).alias("q"))
     return blob.select("vec_id", F.aggregate(F.sequence(F.lit(1), F.length("q")), F.lit(0).cast("long"), lambda s, k: s + F.conv(F.hex(F.substring("q", k, F.lit(1))), 16, 10).cast("long")).alias("total"))
 
 
 @registered(None)
 def v3_anchors(spark, d):
-    return html_links.extract_anchors(_t(spark, d, "pages"))
+    return html_links.extract_anchors(read(spark, d, "pages"))
 
 
 @registered(None)
 def a11_links_by_href(spark, d):
     """M15 and A11 over V3: of each link its first text and last image, a host's first anchor standing in for the image."""
-    links = html_links.extract_anchors(_t(spark, d, "pages")).select("page_id", "pos", S.normalize_link(F.col("text")).alias("text"), "href", S.absolute_url(F.col("href"), "https://base").alias("img"))
+    links = html_links.extract_anchors(read(spark, d, "pages")).select("page_id", "pos", S.normalize_link(F.col("text")).alias("text"), "href", S.absolute_url(F.col("href"), "https://base").alias("img"))
     return progress.links_by_href(links.withColumn("pos", F.struct("page_id", "pos")).where(~F.startswith("href", F.lit("http")))).select("href", "name", "image")
