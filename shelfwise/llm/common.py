@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Python tasks work through a batch of rows in blocks of about so many bytes of text.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,14 +81,6 @@ HOT_KEYS = 200
 HOT_ROWS = 500
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows, written once as Parquet to the shared checkpoint folder: for tables that several jobs read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def hot_keys(counts: DataFrame, keys: list[str], count: str, total: int) -> DataFrame | None:
     """(keys, _parts) of the keys that more than 1 / HOT_KEYS of ``total`` rows share, and more than HOT_ROWS, or None without any.
 
@@ -103,6 +94,15 @@ def hot_keys(counts: DataFrame, keys: list[str], count: str, total: int) -> Data
     return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
 
+def frequent(rows: DataFrame, key: str, total: int) -> DataFrame | None:
+    """As ``hot_keys``, for one column of ``rows``; counts come from a sketch of each task, so hardly anything shuffles."""
+    if total <= max(HOT_ROWS, total // HOT_KEYS):
+        return None
+    top = rows.agg(F.expr(f"approx_top_k({key}, {2 * HOT_KEYS}, {64 * HOT_KEYS})").alias("top")).select(F.explode("top").alias("t"))
+    counts = rows.sparkSession.createDataFrame(top.select(F.col("t.item").alias(key), F.col("t.count").alias("n")).collect(), f"{key} {dict(rows.dtypes)[key]}, n long")
+    return hot_keys(counts, [key], "n", total)
+
+
 def spread_join(rows: DataFrame, side: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
     """``rows`` joined with ``side`` on ``keys``; the rows of a hot key are dealt over several tasks, which all get the side's rows of that key."""
     if hot is None:
@@ -140,11 +140,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def word_array(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.LargeBinaryArray:
-    """Byte ranges of one array as an Arrow array of their own."""
-    size = end - start
-    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(size, dtype=np.int64)])
-    packed = flat[np.arange(int(offsets[-1])) + np.repeat(start - offsets[:-1], size)]
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(packed))])
+    """Byte ranges of one array, in order and without common bytes, as an Arrow array of their own."""
+    edge = np.zeros(len(flat) + 1, np.int8)
+    edge[start] += 1
+    edge[end] -= 1
+    packed = flat[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(end - start, dtype=np.int64)])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
 
 
 #: Longer byte ranges are hashed one by one, with BLAKE2b.

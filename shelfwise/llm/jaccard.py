@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEYS, bit_arrays, blocks, cut, flat_utf8, fresh, has_bit, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes, written
+from .common import KEYS, bit_arrays, blocks, cut, flat_utf8, frequent, fresh, has_bit, hot_keys, mix64, segment_sums, spread_join, table, texts, word_hashes
 from .merging import ranges
 
 WORDS = 3
@@ -41,7 +41,7 @@ WORDS = 3
 NUM, DEN = 90, 100
 SKETCH_LONGS = 8
 #: Tasks shingle blocks of about so many bytes of text.
-SHINGLE_BYTES = 1 << 20
+SHINGLE_BYTES = 1 << 19
 
 
 def bands(limit: int, num: int = NUM, den: int = DEN) -> np.ndarray:
@@ -361,7 +361,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     hot_sets = hot_keys(groups, same, "copies", real.count())
     homes_of = spread_join(real.select("doc_id", *same), groups.drop("copies"), same, hot_sets).select("doc_id", "id")
     copies = cut(homes_of.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("id")).alias("own"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("NOT own OR lo < hi"))
-    signed = written(_signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den))
+    # signatures are made twice, for the counts and for the members: as a table they take as much disk as the texts
+    signed = _signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den)
     # buckets with two members or more
     members = cut(_shared(signed).distinct())
     buckets = cut(members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi"))
@@ -372,7 +373,7 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     def hubs(pairs: DataFrame) -> list[DataFrame | None]:
         """The hot ids among the first, and among the second members of pairs."""
         total = pairs.count()
-        return [hot_keys(pairs.groupBy(k).agg(F.count(F.lit(1)).alias("degree")), [k], "degree", total) for k in ("a", "b")]
+        return [frequent(pairs, k, total) for k in ("a", "b")]
 
     def plausible(pairs: DataFrame) -> DataFrame:
         """Distinct candidate pairs (a, b) that sizes and sketches allow."""
