@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,20 +24,28 @@ def near_mint(condition: Column) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def _once(value: Column, change: Callable[[Column], Column]) -> Column:
+    """``change`` of a value that is computed once, however often ``change`` reads it."""
+    return F.element_at(F.transform(F.array(value), change), 1)
+
+
 def normalize_variant(name: Column) -> Column:
     """The canonical key of a printing's name; null where no letter or digit is left."""
-    key = F.regexp_replace(F.lower(name), "[^a-z0-9]", "")
-    has = lambda part: F.contains(key, F.lit(part))
-    return (
-        F.when(key == "", F.lit(None))
-        .when(key == "foil", "foil")
-        .when(has("reverse") & has("holo"), "reverseholofoil")
-        .when(has("1stedition") & has("holo"), "1steditionholofoil")
-        .when(has("1stedition"), "1steditionnormal")
-        .when(has("holo"), "holofoil")
-        .when(has("normal") | has("unlimited"), "normal")
-        .otherwise(key)
-    )
+
+    def canonical(key: Column) -> Column:
+        has = lambda part: F.contains(key, F.lit(part))
+        return (
+            F.when(key == "", F.lit(None))
+            .when(key == "foil", "foil")
+            .when(has("reverse") & has("holo"), "reverseholofoil")
+            .when(has("1stedition") & has("holo"), "1steditionholofoil")
+            .when(has("1stedition"), "1steditionnormal")
+            .when(has("holo"), "holofoil")
+            .when(has("normal") | has("unlimited"), "normal")
+            .otherwise(key)
+        )
+
+    return _once(F.regexp_replace(F.lower(name), "[^a-z0-9]", ""), canonical)
 
 
 def best_catalog_price(prices_json: Column, variants: Sequence[str] = CATALOG_VARIANTS) -> Column:
@@ -139,8 +147,8 @@ def grantable(remaining: Column, reserve: int) -> Column:
 
 
 def normalize_link(text: Column) -> Column:
-    """Trimmed, with two blanks turned into one."""
-    return F.trim(F.replace(text, F.lit("  "), F.lit(" ")))
+    """Without white space at its ends, line breaks included, and then with two blanks turned into one."""
+    return F.replace(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit("  "), F.lit(" "))
 
 
 def absolute_url(src: Column, base: str) -> Column:
@@ -162,6 +170,11 @@ def quantize(vector: Column) -> Column:
     return F.transform(vector, lambda x: F.least(F.greatest(F.bround((x.cast("double") + 1.0) * 127.5), F.lit(0.0)), F.lit(255.0)).cast("int"))
 
 
+def pack_bytes(numbers: Column) -> Column:
+    """0 .. 255 each to a byte."""
+    return F.unhex(F.array_join(F.transform(numbers, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+
+
 def contrast_stretch(vector: Column, low: Column, high: Column) -> Column:
     """low .. high to 0 .. 255, cut off and truncated; unchanged unless high is above low."""
     return F.when(high <= low, F.transform(vector, lambda x: x.cast("double"))).otherwise(F.transform(vector, lambda x: F.floor(F.least(F.greatest((x.cast("double") - low) * 255.0 / (high - low), F.lit(0.0)), F.lit(255.0))).cast("double")))

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """The row with the highest ``seq`` of each key; partial maxima, so hot keys cost no sort."""
+def keep_last(df: DataFrame, keys: Sequence[str], seq: str | Column) -> DataFrame:
+    """The row with the highest ``seq`` of each key.
+
+    Each task sends one row a key; whole rows don't fit into a hash aggregate,
+    so Spark sorts within tasks, before and after the shuffle.
+    """
     rest = [c for c in df.columns if c not in keys]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), seq).alias("_last"))
     return last.select(*(F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in df.columns))
@@ -25,7 +29,7 @@ def merge_upsert(base: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> D
     return both.select(*(value(c) if c in patched else F.col(c) for c in have))
 
 
-def insert_ignore(base: DataFrame, incoming: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def insert_ignore(base: DataFrame, incoming: DataFrame, keys: Sequence[str], seq: str | Column) -> DataFrame:
     """Base rows, and of each key that the base lacks the incoming row with the lowest ``seq``."""
     rest = [c for c in incoming.columns if c not in keys]
     first = incoming.groupBy(*keys).agg(F.min_by(F.struct(*rest), seq).alias("_first"))
@@ -72,14 +76,49 @@ def sets_to_scrape(sets: DataFrame, cards: DataFrame, force: bool = False, targe
         if found.isEmpty():
             raise ValueError(f"unknown set {target}")
         return found
-    return sets if force else sets.join(cards.where("set_id IS NOT NULL AND set_id <> ''").select("set_id").distinct(), "set_id", "left_anti")
+    return sets if force else sets.join(sets_with_cards(cards), "set_id", "left_anti")
+
+
+def pending(df: DataFrame, column: str) -> DataFrame:
+    """Rows that lack a value."""
+    return df.where(F.col(column).isNull())
+
+
+def pending_product_ids(cards: DataFrame, set_id: str | None = None, limit: int | None = None) -> DataFrame:
+    """Cards with a URL but without a product id, by id, of one set or all."""
+    rows = cards.where("url IS NOT NULL AND product_id IS NULL")
+    rows = (rows if set_id is None else rows.where(F.col("set_id") == set_id)).orderBy("id")
+    return rows if limit is None else rows.limit(limit)
+
+
+def numbered_sets(sets: DataFrame, language: str, numeric_id: int | None = None) -> DataFrame:
+    """Sets of a language with a numeric id, or the one with that id; an unknown one is an error."""
+    rows = sets.where((F.col("language") == language) & F.col("numeric_id").isNotNull())
+    if numeric_id is None:
+        return rows
+    found = rows.where(F.col("numeric_id") == numeric_id)
+    if found.isEmpty():
+        raise ValueError(f"unknown {language} set {numeric_id}")
+    return found
+
+
+def sets_with_cards(cards: DataFrame) -> DataFrame:
+    return cards.where("set_id IS NOT NULL AND set_id <> ''").select("set_id").distinct()
+
 
+def fan_out_prices(cards: DataFrame, prices: DataFrame, at: Column) -> DataFrame:
+    """Each product's best price, price map and time of the refresh on all cards with that product.
 
-def fan_out_prices(cards: DataFrame, prices: DataFrame) -> DataFrame:
-    """Each product's price on all cards with that product; others keep theirs.  Null products never enter the join."""
-    fresh = prices.select("product_id", F.col("best_price").alias("_price"))
-    priced = cards.where("product_id IS NOT NULL").join(fresh, "product_id", "left").withColumn("price", F.coalesce("_price", "price")).drop("_price")
-    return priced.select(*cards.columns).unionByName(cards.where("product_id IS NULL"))
+    ``prices`` has product_id, prices and best_price.  Cards of other products
+    keep price, prices and scraped_at (null if they have no such columns);
+    null products never enter the join.
+    """
+    new = prices.select("product_id", F.col("best_price").alias("_price"), F.col("prices").alias("_prices"))
+    have = cards.withColumns({c: F.lit(None).cast(t) for c, t in (("prices", prices.schema["prices"].dataType), ("scraped_at", "timestamp")) if c not in cards.columns})
+    joined = have.where("product_id IS NOT NULL").join(new, "product_id", "left")
+    hit = F.col("_price").isNotNull()
+    changed = joined.withColumns({"price": F.coalesce("_price", "price"), "prices": F.when(hit, F.col("_prices")).otherwise(F.col("prices")), "scraped_at": F.when(hit, at).otherwise(F.col("scraped_at"))})
+    return changed.select(*have.columns).unionByName(have.where("product_id IS NULL"))
 
 
 def english_names(cards: DataFrame, names: DataFrame, numbers: str = "dex_ids") -> DataFrame:
@@ -88,38 +127,51 @@ def english_names(cards: DataFrame, names: DataFrame, numbers: str = "dex_ids")
     return cards.join(listed, F.try_element_at(F.col(numbers), F.lit(1)) == F.col("_position"), "left").drop("_position")
 
 
+def _grams(name: str, size: int) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(name) - size + 1), lambda i: F.substring(F.col(name), i, F.lit(size))))
+
+
+def _holding(needles: DataFrame, hays: DataFrame, k: int) -> DataFrame:
+    """(needle, hay): distinct names in which the hay holds the needle; no empty ones.
+
+    A needle of k characters or more meets the hays that share its rarest
+    k-gram, a shorter one those that share it as a gram of its own length.
+    """
+    needles = needles.where("needle <> ''").distinct()
+    short = [r[0] for r in needles.select(F.length("needle")).where(F.length("needle") < k).distinct().collect()]  # at most k - 1 numbers
+    found = None
+    for size in [*sorted(short), k]:
+        grams = hays.where(F.length("hay") >= size).distinct().select("hay", F.explode(_grams("hay", size)).alias("gram"))
+        if size < k:
+            picked = needles.where(F.length("needle") == size).select("needle", F.col("needle").alias("gram"))
+        else:
+            counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+            asked = needles.where(F.length("needle") >= size).select("needle", F.explode(_grams("needle", size)).alias("gram"))
+            picked = asked.join(counts, "gram").groupBy("needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+        part = picked.join(grams, "gram").where(F.contains("hay", "needle")).select("needle", "hay")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def match_names(left: DataFrame, right: DataFrame, k: int = 5) -> DataFrame:
     """(left_id, right_id): loose matches of lower-case names, at most one for each left row, the first in the right's order.
 
-    a matches b if either holds the other, or a holds b without its colons.
-    Left has (left_id, name), right has (right_id, position, name).  A needle
-    of k characters or more is found through k-grams: its first k-gram must be
-    among the hay's, so only rows that share it meet; shorter needles are few
-    and their hays are looked up by shorter grams.
+    a matches b if either holds the other, or b holds a without its colons.
+    Left has (left_id, name), right has (right_id, position, name).
     """
-    a = left.select("left_id", F.lower("name").alias("a"))
-    b = right.select("right_id", "position", F.lower("name").alias("b")).withColumn("bare", F.replace("b", F.lit(":"), F.lit("")))
-
-    def grams_of(hay: str, size: int) -> Column:
-        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(hay) - size + 1), lambda i: F.substring(F.col(hay), i, F.lit(size))))
-
-    def within(needles: DataFrame, needle: str, hays: DataFrame, hay: str) -> DataFrame:
-        """Pairs in which the hay holds the needle."""
-        parts = []
-        for size in range(1, k + 1):
-            some = needles.where(F.length(needle) >= size if size == k else F.length(needle) == size).withColumn("_gram", F.substring(needle, 1, size))
-            grams = hays.where(F.length(hay) >= size).withColumn("_gram", F.explode(grams_of(hay, size)))
-            parts.append(some.join(grams, "_gram").where(F.contains(F.col(hay), F.col(needle))).select("left_id", "right_id", "position"))
-        found = parts[0]
-        for p in parts[1:]:
-            found = found.unionByName(p)
-        return found
-
-    pairs = within(a, "a", b, "b").unionByName(within(b, "b", a, "a")).unionByName(within(b, "bare", a, "a"))
-    # an empty left name lies in every name: it takes the first candidate
-    first = b.agg(F.min(F.struct("position", "right_id")).alias("f")).select("f.right_id", "f.position")
-    empty = a.where("a = ''").select("left_id", F.lit(1).alias("_one")).join(F.broadcast(first.withColumn("_one", F.lit(1))), "_one").select("left_id", "right_id", "position")
-    return pairs.unionByName(empty).groupBy("left_id").agg(F.min(F.struct("position", "right_id")).alias("m")).select("left_id", F.col("m.right_id").alias("right_id"))
+    a = left.select("left_id", F.lower("name").alias("a")).withColumn("bare", F.replace("a", F.lit(":"), F.lit("")))
+    b = right.select("right_id", "position", F.lower("name").alias("b"))
+    order = F.struct("position", "right_id")
+    firsts = b.groupBy("b").agg(F.min(order).alias("first"))  # of candidates with one name only the first can win
+    names_a, names_b = a.select(F.explode(F.array("a", "bare")).alias("needle")), firsts.select(F.col("b").alias("hay"))
+    forward = _holding(names_a, names_b, k).withColumnsRenamed({"needle": "needle_a", "hay": "b"})
+    backward = _holding(firsts.select(F.col("b").alias("needle")), a.select(F.col("a").alias("hay")), k).withColumnsRenamed({"needle": "b", "hay": "a"})
+    by_name = a.select("left_id", F.explode(F.array_distinct(F.array("a", "bare"))).alias("needle_a")).join(forward, "needle_a").select("left_id", "b")
+    pairs = by_name.unionByName(a.join(backward, "a").select("left_id", "b")).join(firsts, "b").select("left_id", "first")
+    # an empty name, or one of colons alone, lies in every name: it takes the first candidate
+    first = b.agg(F.min(order).alias("first")).where("first IS NOT NULL")
+    empty = a.where("bare = ''").select("left_id").crossJoin(F.broadcast(first))  # one row
+    return pairs.unionByName(empty).groupBy("left_id").agg(F.min("first").alias("m")).select("left_id", F.col("m.right_id").alias("right_id"))
 
 
 def backlog(sets: DataFrame, cards: DataFrame, completed: Sequence[int] | None = None) -> DataFrame:
@@ -159,5 +211,16 @@ def usable_keys(keys: DataFrame, states: DataFrame, today: Column) -> DataFrame:
     return joined.where(usable).select(*keys.columns, F.when(other_day, None).otherwise(F.col("remaining")).alias("remaining"))
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
+def rollover_keys(keys: DataFrame, states: DataFrame, today: Column) -> DataFrame:
+    """States of all keys at the start of a day: rate-limited ones of another day, and unknown ones, are active with nothing used.
+
+    States have key_id, status, state_day, credits_used, remaining,
+    rate_limited_at and last_error; ``keys`` has key_id.
+    """
+    known = states.withColumn("_known", F.lit(True))
+    joined = keys.select("key_id").join(known, "key_id", "left")
+    reset = F.coalesce((F.col("status") == "rate_limited") & (F.col("state_day") != today), F.lit(False))
+    fresh = reset | F.col("_known").isNull()
+    cleared = {c: F.when(~reset, F.col(c)) for c in ("remaining", "rate_limited_at", "last_error")}
+    changed = {"status": F.when(fresh, "active").otherwise(F.col("status")), "credits_used": F.when(fresh, 0).otherwise(F.col("credits_used")), "state_day": today}
+    return joined.withColumns(cleared | changed).select(*states.columns)

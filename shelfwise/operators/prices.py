@@ -11,20 +11,25 @@ from ..functions import scalars as S
 def latest_buckets(history: DataFrame) -> DataFrame:
     """The last bucket of each (product, result): by date, and of equal dates the later place.
 
-    History has product_id, result_pos, variant, cond, bucket_date, bucket_pos,
-    market, low.  Partial maxima instead of a sorting window; bad dates (null)
+    History has product_id, result_pos, variant, cond, bucket_date, bucket_pos
+    (0 to 2^44 - 1), market, low.  Date and place make one number, so that hash
+    aggregates keep the maxima, before and after the shuffle; bad dates (null)
     are no buckets.
     """
-    last = F.max_by(F.struct("market", "low", "bucket_date"), F.struct("bucket_date", "bucket_pos"))
-    grouped = history.where("bucket_date IS NOT NULL").groupBy("product_id", "result_pos", "variant", "cond").agg(last.alias("b"))
-    return grouped.select("product_id", "result_pos", "variant", "cond", "b.bucket_date", "b.market", "b.low")
+    days = F.unix_date("bucket_date").cast("long")
+    rows = history.where("bucket_date IS NOT NULL").withColumn("_at", days * (1 << 44) + F.col("bucket_pos"))
+    grouped = rows.groupBy("product_id", "result_pos", "variant", "cond").agg(F.max("bucket_date").alias("bucket_date"), F.max_by("market", "_at").alias("market"), F.max_by("low", "_at").alias("low"))
+    return grouped.select("product_id", "result_pos", "variant", "cond", "bucket_date", "market", "low")
 
 
 def first_priced_variant(latest: DataFrame) -> DataFrame:
-    """Of each product and normalised variant the first near-mint result whose last bucket has a price; a low of 0 or less is null."""
+    """Of each product and normalised variant the first near-mint result whose last bucket has a price; a low of 0 or less is null.
+
+    A product's results have different places (``result_pos``).
+    """
     priced = latest.where(S.near_mint(F.col("cond")) & (F.col("market") > 0)).withColumn("variant_key", S.normalize_variant(F.col("variant"))).where("variant_key IS NOT NULL")
-    first = priced.groupBy("product_id", "variant_key").agg(F.min_by(F.struct("result_pos", "market", "low"), F.struct("result_pos", "variant", "cond")).alias("f"))
-    return first.select("product_id", "variant_key", "f.result_pos", "f.market", F.when(F.col("f.low") > 0, F.col("f.low")).alias("low"))
+    first = priced.groupBy("product_id", "variant_key").agg(F.min("result_pos").alias("result_pos"), F.min_by("market", "result_pos").alias("market"), F.min_by("low", "result_pos").alias("low"))
+    return first.withColumn("low", F.when(F.col("low") > 0, F.col("low")))
 
 
 def price_maps(variants: DataFrame) -> DataFrame:

@@ -50,17 +50,20 @@ def coverage(backlog: DataFrame) -> DataFrame:
     return backlog.agg(F.count_if("done").alias("sets_done"), F.count_if(~F.col("done")).alias("sets_open"), F.sum(skipped).cast("long").alias("rows_skipped"), F.every("done").alias("complete"))
 
 
-def links_by_href(links: DataFrame) -> DataFrame:
-    """Of each href the first text that isn't empty and the last image; only hrefs with both."""
+def links_by_href(links: DataFrame, *within: str) -> DataFrame:
+    """Of each href (``within`` columns such as a page) the first text that isn't empty and the last image; only hrefs with both."""
     text, image = F.when(F.col("text") != "", F.col("text")), F.when(F.col("img") != "", F.col("img"))
-    grouped = links.groupBy("href").agg(F.min_by(text, F.when(text.isNotNull(), F.col("pos"))).alias("name"), F.max_by(image, F.when(image.isNotNull(), F.col("pos"))).alias("image"), F.min("pos").alias("position"))
+    grouped = links.groupBy(*within, "href").agg(F.min_by(text, F.when(text.isNotNull(), F.col("pos"))).alias("name"), F.max_by(image, F.when(image.isNotNull(), F.col("pos"))).alias("image"), F.min("pos").alias("position"))
     return grouped.where("name IS NOT NULL AND image IS NOT NULL")
 
 
-def mean_vectors(df: DataFrame, key: str, vector: str, dimension: int) -> DataFrame:
-    """Element-wise means with one aggregate per component: partial sums only, nothing is exploded."""
-    means = F.array(*(F.avg(F.element_at(vector, k + 1).cast("double")) for k in range(dimension)))
-    return df.groupBy(key).agg(means.alias("mean"))
+def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """Element-wise means, by one aggregate over whole vectors at any width: partial sums only, nothing is exploded."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    whole = array_to_vector(F.transform(vector, lambda x: x.cast("double")))
+    return df.where(F.col(vector).isNotNull()).groupBy(key).agg(Summarizer.mean(whole).alias("mean")).withColumn("mean", vector_to_array("mean"))
 
 
 def percentile_bounds(df: DataFrame, key: str, value: str, low: float = 0.02, high: float = 0.98) -> DataFrame:
@@ -68,16 +71,45 @@ def percentile_bounds(df: DataFrame, key: str, value: str, low: float = 0.02, hi
     return df.groupBy(key).agg(F.percentile(value, F.lit(low)).alias("low"), F.percentile(value, F.lit(high)).alias("high"))
 
 
-def within_budget(requests: DataFrame, cost: str, maximum: Column, order: Sequence[Column], partition: Sequence[str]) -> DataFrame:
-    """Requests in order while the running cost stays within the budget; costs are positive, so the rows are a prefix."""
-    running = F.sum(cost).over(Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return requests.withColumn("used", running).where(F.col("used") <= maximum)
+def running_cost(requests: DataFrame, cost: str, group: str, group_order: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """``requests`` with ``before``, what all requests before cost: groups in their order, requests in theirs within a group.
+
+    Sums are made in two levels: within each group, and over the groups' sums,
+    of which there is one row a group (a set of a catalog).
+    """
+    columns = {f"_o{k}": c for k, c in enumerate(group_order)}
+    marked = requests.withColumns(columns)
+    sums = marked.groupBy(group, *columns).agg(F.sum(cost).alias("_sum"))
+    over_groups = Window.orderBy(*(F.asc_nulls_last(n) for n in columns), group).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col(group).alias("_group"), F.coalesce(F.sum("_sum").over(over_groups), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = requests.join(offsets, F.col(group) == F.col("_group")).drop("_group")
+    return joined.withColumn("before", (F.col("_offset") + F.coalesce(F.sum(cost).over(inside), F.lit(0))).cast("long")).drop("_offset")
+
+
+def within_budget(running: DataFrame, cost: str, maximum: Column, used: Column | None = None, remaining: Column | None = None, reserve: int = 0) -> DataFrame:
+    """The requests of a run that are made, from ``running_cost``, with ``used``, what is used after each.
 
+    A run stops before the first request that would pass the maximum, given
+    what was used before the run, and after one that leaves no more than the
+    reserve of what remained at its start.  Costs are positive, so what is made
+    is a prefix of the run.
+    """
+    start = F.lit(0) if used is None else used
+    rows = running.withColumn("used", (start + F.col("before") + F.col(cost)).cast("long")).where(F.col("used") <= maximum)
+    return (rows if remaining is None else rows.where((F.col("before") == 0) | (remaining - F.col("before") > reserve))).drop("before")
 
-def granted(requests: DataFrame, cost: str, maximum: Column, order: Sequence[Column], partition: Sequence[str]) -> DataFrame:
-    """What each request gets when the last one may be cut short."""
-    running = F.sum(cost).over(Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return requests.withColumn("granted", F.greatest(F.lit(0), F.least(F.col(cost), maximum - (running - F.col(cost)))).cast("long"))
+
+def run_status(requests: DataFrame, made: DataFrame) -> DataFrame:
+    """One row: how many requests were asked for and made, and ``stopped`` unless all were, else ``completed``."""
+    both = requests.select(F.lit(1).alias("asked"), F.lit(0).alias("done")).unionByName(made.select(F.lit(0).alias("asked"), F.lit(1).alias("done")))
+    sums = both.agg(F.coalesce(F.sum("asked"), F.lit(0)).alias("asked"), F.coalesce(F.sum("done"), F.lit(0)).alias("made"))
+    return sums.withColumn("status", F.when(F.col("made") < F.col("asked"), "stopped").otherwise("completed"))
+
+
+def granted(running: DataFrame, cost: str, maximum: Column) -> DataFrame:
+    """What each request of a run gets, from ``running_cost``, when the last one may be cut short."""
+    return running.withColumn("granted", F.greatest(F.lit(0), F.least(F.col(cost), maximum - F.col("before"))).cast("long")).drop("before")
 
 
 def failure_streaks(calls: DataFrame, threshold: int = 15) -> DataFrame:
@@ -89,12 +121,33 @@ def failure_streaks(calls: DataFrame, threshold: int = 15) -> DataFrame:
 
 
 def latest_state(events: DataFrame, keys: Sequence[str], at: str, seq: str) -> DataFrame:
-    """The last event of each key, by partial maxima."""
+    """The last event of each key; each task sends one row a key."""
     rest = [c for c in events.columns if c not in keys]
     last = events.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(at, seq)).alias("_e"))
     return last.select(*keys, *(F.col(f"_e.{c}").alias(c) for c in rest))
 
 
+#: What opens a run, and what closes it.
+RUN_OPENED = ("job_name", "language", "endpoint", "params", "started_at")
+RUN_CLOSED = ("rows_fetched", "rows_upserted", "api_calls_consumed", "daily_remaining", "minute_remaining", "error_message", "finished_at")
+
+
+def open_runs(runs: DataFrame) -> DataFrame:
+    """Events that open runs: run_id and RUN_OPENED, status running, seq 0."""
+    return runs.select("run_id", F.lit(0).cast("long").alias("seq"), F.lit("running").alias("status"), *RUN_OPENED)
+
+
+def close_runs(results: DataFrame) -> DataFrame:
+    """Events that close runs: run_id, status and RUN_CLOSED, seq 1."""
+    return results.select("run_id", F.lit(1).cast("long").alias("seq"), "status", *RUN_CLOSED)
+
+
+def run_states(events: DataFrame) -> DataFrame:
+    """Each run with the last value that any of its events gave for a column."""
+    given = [c for c in events.columns if c not in ("run_id", "seq")]
+    return events.groupBy("run_id").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in given))
+
+
 def in_release_order(sets: DataFrame, limit: int = 10_000) -> DataFrame:
     return sets.orderBy(F.asc_nulls_last("release_year"), "name", "set_id").limit(limit)
 

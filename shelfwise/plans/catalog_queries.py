@@ -33,8 +33,7 @@ def s2_read_table(spark, d):
 
 @registered("SELECT p_partkey AS list_id, 1 AS position, p_name AS name FROM part UNION ALL SELECT p_partkey, 2, p_brand FROM part")
 def s3_name_list(spark, d):
-    lists = read(spark, d, "part").select("p_partkey", F.to_json(F.array("p_name", "p_brand")).alias("value"))
-    return lists.select(F.col("p_partkey").alias("list_id"), F.posexplode(F.from_json("value", "array<string>")).alias("p", "name")).select("list_id", (F.col("p") + 1).alias("position"), "name")
+    return landing.name_list(read(spark, d, "part").select(F.col("p_partkey").alias("list_id"), F.to_json(F.array("p_name", "p_brand")).alias("value")))
 
 
 LOG = "concat('page=', cast(o_orderkey as string), ' cards=250 created=', cast(o_custkey%7 as string), ' updated=', cast(o_custkey%5 as string), ' skipped=0 failed=', cast(o_orderkey%3 as string))"
@@ -46,10 +45,27 @@ def s5_progress_log(spark, d):
     return landing.parse_progress_log(lines)
 
 
-@registered("SELECT event_id % 500 AS run_id, arg_max(outcome, ts_id) AS status, max(ts_id) AS seq FROM (SELECT *, event_id AS ts_id FROM calls) GROUP BY 1", "calls")
-def s8_run_state(spark, d):
-    events = view(spark, d, "calls").select((F.col("event_id") % 500).alias("run_id"), F.col("outcome").alias("status"), F.col("event_id").alias("seq"))
-    return progress.latest_state(events, ["run_id"], "seq", "seq").select("run_id", "status", "seq")
+RUNS = "SELECT event_id % 500 AS run_id, min(event_id) AS first, max(event_id) AS last, count(*) AS n, sum(credits) AS credits FROM calls GROUP BY 1"
+
+
+@registered(
+    f"""WITH r AS ({RUNS})
+SELECT run_id, CASE WHEN run_id % 7 = 0 THEN 'running' WHEN run_id % 2 = 0 THEN 'completed' ELSE 'stopped' END AS status, 'cards' AS job_name,
+ CASE WHEN run_id % 3 = 0 THEN 'ja' ELSE 'en' END AS language, '/cards' AS endpoint, cast(first as varchar) AS params, '2024-01-01' AS started_at,
+ CASE WHEN run_id % 7 <> 0 THEN n END AS rows_fetched, CASE WHEN run_id % 7 <> 0 THEN n - 1 END AS rows_upserted, CAST(CASE WHEN run_id % 7 <> 0 THEN credits END AS BIGINT) AS api_calls_consumed,
+ CAST(NULL AS BIGINT) AS daily_remaining, CASE WHEN run_id % 7 <> 0 THEN 60 END AS minute_remaining, CASE WHEN run_id % 7 <> 0 AND run_id % 2 = 1 THEN 'budget' END AS error_message,
+ CASE WHEN run_id % 7 <> 0 THEN cast(last as varchar) END AS finished_at FROM r""",
+    "calls",
+)
+def s8_run_log(spark, d):
+    """Runs opened, all but some closed, and the state of each."""
+    runs = view(spark, d, "calls").groupBy((F.col("event_id") % 500).alias("run_id")).agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.count(F.lit(1)).alias("n"), F.sum("credits").cast("long").alias("credits"))
+    opened = runs.selectExpr("run_id", "'cards' AS job_name", "CASE WHEN run_id % 3 = 0 THEN 'ja' ELSE 'en' END AS language", "'/cards' AS endpoint", "cast(first as string) AS params", "'2024-01-01' AS started_at")
+    closed = runs.where("run_id % 7 <> 0").selectExpr(
+        "run_id", "CASE WHEN run_id % 2 = 0 THEN 'completed' ELSE 'stopped' END AS status", "n AS rows_fetched", "n - 1 AS rows_upserted", "credits AS api_calls_consumed",
+        "cast(null as bigint) AS daily_remaining", "60 AS minute_remaining", "CASE WHEN run_id % 2 = 1 THEN 'budget' END AS error_message", "cast(last as string) AS finished_at",
+    )
+    return progress.run_states(progress.open_runs(opened).unionByName(progress.close_runs(closed), allowMissingColumns=True))
 
 
 # ---------------------------------------------------------------- mapping
@@ -85,17 +101,31 @@ def f1_classify_incoming(spark, d):
 
 @registered("SELECT id FROM cards WHERE image_url IS NULL", "cards")
 def f2_pending(spark, d):
-    return view(spark, d, "cards").where(F.col("image_url").isNull()).select("id")
+    return merging.pending(view(spark, d, "cards"), "image_url").select("id")
 
 
 @registered("SELECT id, set_id FROM cards WHERE image_url IS NOT NULL AND product_id IS NULL ORDER BY id LIMIT 500", "cards")
 def f3_pending_product_ids(spark, d):
-    return view(spark, d, "cards").where("image_url IS NOT NULL AND product_id IS NULL").select("id", "set_id").orderBy("id").limit(500)
+    return merging.pending_product_ids(view(spark, d, "cards").withColumnRenamed("image_url", "url"), limit=500).select("id", "set_id")
+
+
+@registered("SELECT id FROM cards WHERE image_url IS NOT NULL AND product_id IS NULL AND set_id = 'Brand#13'", "cards")
+def f3_pending_product_ids_of_set(spark, d):
+    return merging.pending_product_ids(view(spark, d, "cards").withColumnRenamed("image_url", "url"), "Brand#13").select("id")
 
 
-@registered("SELECT set_id, card_count FROM sets WHERE card_count > 0", "sets")
+def _numbered(spark, d):
+    return view(spark, d, "sets").withColumn("language", F.expr("CASE WHEN set_no % 2 = 0 THEN 'japanese' ELSE 'english' END")).withColumn("numeric_id", F.expr("CASE WHEN set_no % 5 <> 0 THEN set_no END"))
+
+
+@registered("SELECT set_id, set_no AS numeric_id FROM sets WHERE set_no % 2 = 1 AND set_no % 5 <> 0", "sets")
 def f4_numbered_sets(spark, d):
-    return view(spark, d, "sets").where("card_count > 0").select("set_id", "card_count")
+    return merging.numbered_sets(_numbered(spark, d), "english").select("set_id", "numeric_id")
+
+
+@registered("SELECT set_id, set_no AS numeric_id FROM sets WHERE set_no = 12", "sets")
+def f4_one_set(spark, d):
+    return merging.numbered_sets(_numbered(spark, d), "japanese", 12).select("set_id", "numeric_id")
 
 
 @registered("SELECT cond, count(*) AS n FROM price_history WHERE lower(cond) LIKE '%near mint%' OR lower(cond) LIKE '%nm%' OR lower(cond) LIKE '%unplayed%' GROUP BY cond", "price_history")
@@ -139,21 +169,37 @@ def j2_new_ids(spark, d):
 
 #: The price refresh in SQL: last bucket, near mint, first priced result of a variant, best price.
 REFRESH = """WITH lb AS (SELECT product_id, line_no, variant, cond, arg_max({'m': market, 'l': low}, {'d': bucket_date, 'o': ord, 'm': market, 'l': low}) AS b FROM price_history GROUP BY 1,2,3,4),
-k AS (SELECT product_id, line_no, variant, cond, b.m AS market, b.l AS low, CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key FROM lb WHERE cond <> 'Lightly Played' AND b.m > 0),
-f AS (SELECT product_id, variant_key, line_no AS result_pos, market, CASE WHEN low > 0 THEN low END AS low FROM (SELECT *, row_number() OVER (PARTITION BY product_id, variant_key ORDER BY line_no, variant, cond) AS r FROM k) WHERE r = 1),
-best AS (SELECT product_id, coalesce(max(CASE WHEN variant_key='holofoil' THEN market END), max(CASE WHEN variant_key='normal' THEN market END), max(CASE WHEN variant_key='reverseholofoil' THEN market END), max(CASE WHEN variant_key='1steditionholofoil' THEN market END), arg_min(market, {'p': result_pos, 'v': variant_key}), 0.0) AS best_price,
-  string_agg(variant_key, ',' ORDER BY result_pos, variant_key) AS variants FROM f GROUP BY product_id)"""
+k AS (SELECT product_id, line_no, line_no*64 + list_position(['1st Edition Holofoil','Foil','Non-Holo','Normal','Reverse Holofoil','Unlimited'], variant)*8 + list_position(['Lightly Played','Near Mint','Unopened NM','Unplayed'], cond) AS pos, b.m AS market, b.l AS low, CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key FROM lb WHERE cond <> 'Lightly Played' AND b.m > 0),
+f AS (SELECT product_id, variant_key, line_no AS result_pos, pos, market, CASE WHEN low > 0 THEN low END AS low FROM (SELECT *, row_number() OVER (PARTITION BY product_id, variant_key ORDER BY pos) AS r FROM k) WHERE r = 1),
+best AS (SELECT product_id, coalesce(max(CASE WHEN variant_key='holofoil' THEN market END), max(CASE WHEN variant_key='normal' THEN market END), max(CASE WHEN variant_key='reverseholofoil' THEN market END), max(CASE WHEN variant_key='1steditionholofoil' THEN market END), arg_min(market, pos), 0.0) AS best_price,
+  string_agg(variant_key, ',' ORDER BY pos) AS variants FROM f GROUP BY product_id)"""
+
+
+#: A result is a line number, variant and condition; a product's results get places in this order.
+PLACES = ("1st Edition Holofoil", "Foil", "Non-Holo", "Normal", "Reverse Holofoil", "Unlimited")
+CONDITIONS = ("Lightly Played", "Near Mint", "Unopened NM", "Unplayed")
 
 
 def _history(spark, d):
-    # equal dates of one result are told apart by order and price
-    return view(spark, d, "price_history").withColumn("result_pos", F.col("line_no")).withColumn("bucket_pos", F.struct("ord", "market", "low"))
+    """Places of results, and of buckets: of equal dates the later order, and then the higher price, is later."""
+    place = lambda column, values: F.array_position(F.array(*map(F.lit, values)), F.col(column))
+    result = F.col("line_no") * 64 + place("variant", PLACES) * 8 + place("cond", CONDITIONS)
+    bucket = F.col("ord") * (1 << 25) + F.floor(F.col("market") * 100).cast("long")
+    return view(spark, d, "price_history").withColumn("result_pos", result).withColumn("bucket_pos", bucket)
+
 
+SHOWN_MAP = "string_agg(variant_key || '=' || cast(cast(round(market*100) as bigint) as varchar) || '/' || coalesce(cast(cast(round(low*100) as bigint) as varchar), '-'), ',' ORDER BY pos)"
 
-@registered(REFRESH + " SELECT c.id, c.product_id, coalesce(b.best_price, c.price) AS price FROM cards c LEFT JOIN best b ON c.product_id=b.product_id", "price_history", "cards")
+
+@registered(REFRESH + f""", maps AS (SELECT product_id, {SHOWN_MAP} AS prices FROM f GROUP BY product_id)
+SELECT c.id, c.product_id, coalesce(b.best_price, c.price) AS price, m.prices, CASE WHEN b.product_id IS NOT NULL THEN '2024-06-01 00:00:00' END AS scraped_at
+FROM cards c LEFT JOIN best b ON c.product_id=b.product_id LEFT JOIN maps m ON c.product_id=m.product_id""", "price_history", "cards")
 def price_refresh(spark, d):
-    """J3 over W1, W2, A8 and M2: the whole price refresh."""
-    return merging.fan_out_prices(view(spark, d, "cards"), prices.current_prices(_history(spark, d))).select("id", "product_id", "price")
+    """J3 over W1, W2, A8 and M2: the whole price refresh, with the price map and its time."""
+    rows = merging.fan_out_prices(view(spark, d, "cards"), prices.current_prices(_history(spark, d)), F.lit("2024-06-01").cast("timestamp"))
+    cents = lambda c: F.round(c * 100).cast("long").cast("string")
+    shown = F.transform(F.map_entries("prices"), lambda e: F.concat(e["key"], F.lit("="), cents(e["value"]["market"]), F.lit("/"), F.coalesce(cents(e["value"]["low"]), F.lit("-"))))
+    return rows.select("id", "product_id", "price", F.array_join(shown, ",").alias("prices"), F.col("scraped_at").cast("string").alias("scraped_at"))
 
 
 @registered(REFRESH + " SELECT product_id, variants, best_price FROM best", "price_history")
@@ -163,19 +209,20 @@ def a8_price_maps(spark, d):
 
 @registered("SELECT product_id, line_no, variant, cond, max(bucket_date) AS bucket_date, arg_max(market, {'d': bucket_date, 'o': ord, 'm': market, 'l': low}) AS market FROM price_history GROUP BY 1,2,3,4", "price_history")
 def w1_latest_bucket(spark, d):
-    return prices.latest_buckets(_history(spark, d)).select("product_id", F.col("result_pos").alias("line_no"), "variant", "cond", "bucket_date", "market")
+    return prices.latest_buckets(_history(spark, d)).select("product_id", F.floor(F.col("result_pos") / 64).cast("int").alias("line_no"), "variant", "cond", "bucket_date", "market")
 
 
 @registered(REFRESH + " SELECT product_id, variant_key, result_pos, market, low FROM f", "price_history")
 def w2_first_priced_variant(spark, d):
-    return prices.first_priced_variant(prices.latest_buckets(_history(spark, d)))
+    return prices.first_priced_variant(prices.latest_buckets(_history(spark, d))).withColumn("result_pos", F.floor(F.col("result_pos") / 64).cast("int"))
 
 
-@registered("""WITH r AS (SELECT p_name AS name, min(p_partkey) AS right_id FROM part WHERE p_size > 30 GROUP BY p_name), l AS (SELECT set_no AS left_id, lower(name) AS a FROM sets)
-SELECT left_id, arg_min(right_id, right_id) AS right_id FROM l JOIN r ON contains(lower(r.name), a) OR contains(a, lower(r.name)) OR contains(a, replace(lower(r.name), ':', '')) GROUP BY left_id""", "sets")
+@registered("""WITH r AS (SELECT p_name AS name, min(p_partkey) AS right_id FROM part WHERE p_size > 30 GROUP BY p_name), l AS (SELECT set_no AS left_id, CASE set_no%3 WHEN 0 THEN lower(name) WHEN 1 THEN concat(substr(lower(name), 5, 4), ':', substr(lower(name), 9)) ELSE substr(lower(name), 5, 3) END AS a FROM sets)
+SELECT left_id, arg_min(right_id, right_id) AS right_id FROM l JOIN r ON contains(lower(r.name), a) OR contains(a, lower(r.name)) OR contains(lower(r.name), replace(a, ':', '')) GROUP BY left_id""", "sets")
 def j5_match_names(spark, d):
     right = read(spark, d, "part").where("p_size > 30").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("right_id")).withColumn("position", F.col("right_id"))
-    return merging.match_names(view(spark, d, "sets").select(F.col("set_no").alias("left_id"), "name"), right)
+    name = F.expr("CASE set_no%3 WHEN 0 THEN name WHEN 1 THEN concat(substr(name, 5, 4), ':', substr(name, 9)) ELSE substr(name, 5, 3) END")
+    return merging.match_names(view(spark, d, "sets").select(F.col("set_no").alias("left_id"), name.alias("name")), right)
 
 
 BACKLOG = "WITH b AS (SELECT s.*, coalesce(n, 0) AS existing, (card_count > 0 AND coalesce(n,0) >= card_count) OR set_no IN (15, 22) AS done FROM sets s LEFT JOIN (SELECT set_id, count(*) AS n FROM cards WHERE id%3<>0 OR set_id LIKE '%4' GROUP BY set_id) c ON s.set_id=c.set_id)"
@@ -243,12 +290,12 @@ def a2_distinct_products(spark, d):
 
 @registered("SELECT DISTINCT set_id FROM cards WHERE set_id IS NOT NULL AND set_id <> ''", "cards")
 def a3_sets_with_cards(spark, d):
-    return view(spark, d, "cards").where("set_id IS NOT NULL AND set_id <> ''").select("set_id").distinct()
+    return merging.sets_with_cards(view(spark, d, "cards"))
 
 
 @registered("SELECT count(*) AS n_rows, count(embedding) AS n_vectors, 64.0::DOUBLE AS avg_bytes, count(vec_id)-count(DISTINCT vec_id) AS repeated_ids, count(*) FILTER (label IS NULL) AS null_names FROM embeddings")
 def a4_validate_package(spark, d):
-    return publishing.validate_package(read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), blobs.pack_quantized("embedding").alias("tflite_emb_q")))
+    return publishing.validate_package(read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), S.pack_bytes(S.quantize(F.col("embedding"))).alias("tflite_emb_q")))
 
 
 @registered(f"""WITH inc AS ({INCOMING}) SELECT count(*) FILTER (coalesce(image_url,'')<>'' AND id%10=0) AS created, count(*) FILTER (coalesce(image_url,'')<>'' AND id%10<>0) AS updated, CAST(0 AS BIGINT) AS skipped, count(*) FILTER (coalesce(image_url,'')='') AS failed, true AS changed FROM inc""", "cards")
@@ -264,7 +311,7 @@ def a6_credits_per_day(spark, d):
 
 @registered("SELECT label, i AS pos, CAST(round(avg(CAST(embedding[i] AS DOUBLE))*1000) AS BIGINT) AS mean_milli FROM embeddings, generate_series(1, 64) s(i) GROUP BY label, i")
 def a7_mean_vectors(spark, d):
-    means = progress.mean_vectors(read(spark, d, "embeddings"), "label", "embedding", 64)
+    means = progress.mean_vectors(read(spark, d, "embeddings"), "label", "embedding")
     return means.select("label", F.posexplode("mean").alias("p", "m")).select("label", (F.col("p") + 1).cast("long").alias("pos"), F.round(F.col("m") * 1000).cast("long").alias("mean_milli"))
 
 
@@ -306,14 +353,36 @@ def o4_page_plan(spark, d):
     return _pages(spark, d).select("set_id", "page_start", "page_no", "page_size")
 
 
-@registered(PAGES + " SELECT set_id, page_no, CAST(used AS BIGINT) AS used FROM (SELECT *, sum(page_size) OVER (PARTITION BY set_id ORDER BY page_no) AS used FROM pages) WHERE used <= 120", "sets", "cards")
+RUN = PAGES + ", run AS (SELECT pages.*, CAST(coalesce(sum(page_size) OVER (ORDER BY release_year NULLS LAST, name, pages.set_id, page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM pages JOIN sets ON pages.set_id = sets.set_id)"
+
+
+def _run(spark, d):
+    """The pages of all sets in the order of a run, with what those before cost."""
+    pages = _pages(spark, d)
+    return progress.running_cost(pages, "page_size", "set_id", [F.col("release_year"), F.col("name")], [F.col("page_no")])
+
+
+@registered(RUN + " SELECT set_id, page_no, 30 + before + page_size AS used FROM run WHERE 30 + before + page_size <= 700", "sets", "cards")
 def w4_within_budget(spark, d):
-    return progress.within_budget(_pages(spark, d), "page_size", F.lit(120), [F.col("page_no")], ["set_id"]).select("set_id", "page_no", "used")
+    """A budget over a whole run, which ends within a later set; 30 credits are used before."""
+    return progress.within_budget(_run(spark, d), "page_size", F.lit(700), F.lit(30)).select("set_id", "page_no", "used")
+
+
+@registered(RUN + " SELECT set_id, page_no, before + page_size AS used FROM run WHERE before = 0 OR 500 - before > 100", "sets", "cards")
+def w4_reserve(spark, d):
+    """A run that stops once no more than the reserve remains."""
+    return progress.within_budget(_run(spark, d), "page_size", F.lit(10**9), remaining=F.lit(500), reserve=100).select("set_id", "page_no", "used")
 
 
-@registered(PAGES + " SELECT set_id, page_no, CAST(greatest(0, least(page_size, 120 - (used - page_size))) AS BIGINT) AS granted FROM (SELECT *, sum(page_size) OVER (PARTITION BY set_id ORDER BY page_no) AS used FROM pages)", "sets", "cards")
+@registered(RUN + " SELECT count(*) AS asked, count(*) FILTER (before + page_size <= 700) AS made, CASE WHEN bool_and(before + page_size <= 700) THEN 'completed' ELSE 'stopped' END AS status FROM run", "sets", "cards")
+def w4_run_status(spark, d):
+    run = _run(spark, d)
+    return progress.run_status(run, progress.within_budget(run, "page_size", F.lit(700)))
+
+
+@registered(RUN + " SELECT set_id, page_no, CAST(greatest(0, least(page_size, 700 - before)) AS BIGINT) AS granted FROM run", "sets", "cards")
 def w5_granted(spark, d):
-    return progress.granted(_pages(spark, d), "page_size", F.lit(120), [F.col("page_no")], ["set_id"]).select("set_id", "page_no", "granted")
+    return progress.granted(_run(spark, d), "page_size", F.lit(700)).select("set_id", "page_no", "granted")
 
 
 @registered("""WITH i AS (SELECT *, sum(CASE WHEN outcome='ok' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM calls),
@@ -418,10 +487,24 @@ def m13_key_state(spark, d):
     return _key_states(spark, d).select("key_id", S.key_status_after_call(F.col("remaining"), 10).alias("status"), S.grantable(F.col("remaining"), 10).alias("may_spend"))
 
 
-@registered(f"WITH st AS ({KEY_STATES}) SELECT key_id, CASE WHEN status='rate_limited' AND state_day<>date '2024-01-02' THEN 'active' ELSE status END AS status, CASE WHEN status='rate_limited' AND state_day<>date '2024-01-02' THEN NULL ELSE remaining END AS remaining FROM st", "calls")
+STALE = "status='rate_limited' AND state_day<>date '2024-01-02'"
+
+
+@registered(f"""WITH st AS ({KEY_STATES}), k AS (SELECT DISTINCT key_id FROM calls)
+SELECT k.key_id, CASE WHEN st.key_id IS NULL OR ({STALE}) THEN 'active' ELSE status END AS status, date '2024-01-02' AS state_day, CAST(CASE WHEN st.key_id IS NULL OR ({STALE}) THEN 0 ELSE remaining*2 END AS BIGINT) AS credits_used,
+ CASE WHEN NOT ({STALE}) THEN remaining END AS remaining, CASE WHEN NOT ({STALE}) THEN 'then' END AS rate_limited_at, CASE WHEN NOT ({STALE}) THEN 'error' END AS last_error FROM k LEFT JOIN st ON k.key_id = st.key_id""", "calls")
 def m14_rollover_keys(spark, d):
-    stale = (F.col("status") == "rate_limited") & (F.col("state_day") != F.lit("2024-01-02").cast("date"))
-    return merging.conditional_update(_key_states(spark, d), stale, {"remaining": F.lit(None), "status": F.lit("active")}).select("key_id", "status", "remaining")
+    states = _key_states(spark, d).selectExpr("*", "cast(remaining*2 as bigint) AS credits_used", "'then' AS rate_limited_at", "'error' AS last_error")
+    return merging.rollover_keys(view(spark, d, "calls").select("key_id").distinct(), states, F.lit("2024-01-02").cast("date"))
+
+
+@registered("""SELECT p_partkey, replace(p_name, '  ', ' ') AS name, CASE WHEN p_partkey%2=0 THEN 'https://x/a' ELSE concat('https://base/', p_brand) END AS url, p_partkey%3=0 AS is_link
+FROM (SELECT p_partkey, p_brand, replace(p_name, ' ', '  ') AS p_name FROM part)""")
+def m15_normalize_link(spark, d):
+    parts = read(spark, d, "part").withColumn("text", F.concat(F.lit("\n\t "), F.replace("p_name", F.lit(" "), F.lit("  ")), F.lit(" \r\n")))
+    src = F.expr("CASE WHEN p_partkey%2=0 THEN 'https://x/a' ELSE concat('/', p_brand) END")
+    href = F.expr("CASE p_partkey%3 WHEN 0 THEN '/card/x' WHEN 1 THEN 'https://x/card/x' ELSE '/sets/x' END")
+    return parts.select("p_partkey", S.normalize_link(F.col("text")).alias("name"), S.absolute_url(src, "https://base").alias("url"), S.is_item_link(href).alias("is_link"))
 
 
 @registered("SELECT vec_id, CAST(round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))*1000) AS BIGINT) AS norm_milli, true AS unit FROM embeddings")
@@ -462,7 +545,7 @@ def m20_token_index(spark, d):
     return progress.token_index(read(spark, d, "part"), "p_partkey", "p_name").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-# ---------------------------------------------------------------- helpers with Python inside
+# ---------------------------------------------------------------- blobs and pages
 
 
 @registered(f"SELECT vec_id, list_sum({QUANTIZED})::BIGINT AS total FROM embeddings")
@@ -472,13 +555,25 @@ def v1_blob_codec(spark, d):
     return blob.select("vec_id", F.aggregate(F.sequence(F.lit(1), F.length("q")), F.lit(0).cast("long"), lambda s, k: s + F.conv(F.hex(F.substring("q", k, F.lit(1))), 16, 10).cast("long")).alias("total"))
 
 
-@registered(None)
+#: Anchors of pages, whose hrefs and texts are plain: some get an image, some pages a second anchor without a text.
+IMAGED = "regexp_replace(html, '<a href=\"([^\"]*)\">', '<a href=\"{0}\"><img alt=x src=\"{0}.png\"></a><a href=\"/card{0}\"><img src=\"/last{0}.png\"> '{1})"
+ANCHORS = """anchors AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) AS INTEGER) AS pos, href, text, img FROM (
+ SELECT page_id, i, regexp_extract(a, '^<a href="([^"]*)"', 1) AS href, regexp_replace(a, '<[^>]*>', '', 'g') AS text, regexp_extract(a, 'src="([^"]*)"', 1) AS img
+ FROM (SELECT page_id, generate_subscripts(l, 1) AS i, unnest(l) AS a FROM (SELECT page_id, regexp_extract_all({0}, '<a href="[^"]*">.*?</a>', 0, 's') AS l FROM pages))))"""
+
+
+@registered("WITH " + ANCHORS.format("html") + " SELECT page_id, pos, href, text, img FROM anchors")
 def v3_anchors(spark, d):
     return html_links.extract_anchors(read(spark, d, "pages"))
 
 
-@registered(None)
+@registered("WITH " + ANCHORS.format(IMAGED.format("\\1", ", 'g'")) + """,
+ links AS (SELECT page_id, pos, href, replace(trim(text), '  ', ' ') AS text, CASE WHEN img LIKE 'http%' OR img = '' THEN img ELSE 'https://base' || img END AS img FROM anchors WHERE contains(href, '/card/') AND NOT starts_with(href, 'http'))
+SELECT page_id, href, arg_min(text, pos) FILTER (text <> '') AS name, arg_max(img, pos) FILTER (img <> '') AS image FROM links GROUP BY page_id, href HAVING count(*) FILTER (text <> '') > 0 AND count(*) FILTER (img <> '') > 0""")
 def a11_links_by_href(spark, d):
-    """M15 and A11 over V3: of each link its first text and last image, a host's first anchor standing in for the image."""
-    links = html_links.extract_anchors(read(spark, d, "pages")).select("page_id", "pos", S.normalize_link(F.col("text")).alias("text"), "href", S.absolute_url(F.col("href"), "https://base").alias("img"))
-    return progress.links_by_href(links.withColumn("pos", F.struct("page_id", "pos")).where(~F.startswith("href", F.lit("http")))).select("href", "name", "image")
+    """M15 and A11 over V3: of each item link of a page its first text and last image."""
+    pages = read(spark, d, "pages").select("page_id", F.expr(IMAGED.format("$1", "")).alias("html"))
+    links = html_links.extract_anchors(pages).where(S.is_item_link(F.col("href")))
+    image = F.when(F.col("img") != "", S.absolute_url(F.col("img"), "https://base"))
+    links = links.select("page_id", "pos", "href", S.normalize_link(F.col("text")).alias("text"), image.alias("img"))
+    return progress.links_by_href(links, "page_id").select("page_id", "href", "name", "image")

@@ -35,8 +35,9 @@ def read_table(spark: SparkSession, source: str, columns: list[str], where: str
 
 
 def name_list(lists: DataFrame, json: str = "value") -> DataFrame:
-    """(position from 1, name) of a JSON array of names."""
-    return lists.select(F.posexplode(F.from_json(json, "array<string>")).alias("p", "name")).select((F.col("p") + 1).alias("position"), "name")
+    """(position from 1, name) of a JSON array of names, beside the list's other columns."""
+    keep = [c for c in lists.columns if c != json]
+    return lists.select(*keep, F.posexplode(F.from_json(json, "array<string>")).alias("p", "name")).select(*keep, (F.col("p") + 1).alias("position"), "name")
 
 
 def read_name_list(spark: SparkSession, path: str) -> DataFrame:

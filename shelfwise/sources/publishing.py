@@ -7,15 +7,18 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merging import replace_rows
+from ..operators.merging import keep_last, replace_rows
 
 #: The columns of a compact package.
 COMPACT_COLUMNS = ("id", "name", "set_name", "card_number", "hp", "set_id", "set_code", "image_url", "updated_at", "rarity", "types", "tflite_emb_q")
 
 
 def write_compact(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """One row per id in the fixed columns, laid out by set and number, so that lookups skip files and row groups."""
-    rows = df.select(*COMPACT_COLUMNS).dropDuplicates(["id"])
+    """One row per id in the fixed columns, laid out by set and number, so that lookups skip files and row groups.
+
+    Of rows with one id the last updated stays, of equal ones the greatest by their columns.
+    """
+    rows = keep_last(df.select(*COMPACT_COLUMNS), ["id"], F.struct("updated_at", *(c for c in COMPACT_COLUMNS if c not in ("id", "updated_at"))))
     laid = rows.repartitionByRange(partitions, "set_id", "card_number") if partitions else rows.repartitionByRange("set_id", "card_number")
     laid.sortWithinPartitions("set_id", "card_number").write.mode("overwrite").option("parquet.bloom.filter.enabled#id", "true").parquet(path)
 

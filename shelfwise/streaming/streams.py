@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.merging import insert_ignore, keep_last, merge_upsert
+from ..operators.merging import insert_ignore, keep_last
 
 
 def ingest_landed(spark: SparkSession, landing: str, schema: str, target: str, checkpoint: str) -> None:
@@ -19,33 +19,39 @@ def ingest_landed(spark: SparkSession, landing: str, schema: str, target: str, c
     rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _versioned(spark: SparkSession, path: str, change: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that writes version n + 1 of a table for batch n; a repeated batch writes the same version again."""
+def _append_batches(rows: DataFrame, path: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]) -> None:
+    """Write each micro-batch, reduced to a row a key, to a partition of its own; a repeated batch takes its own place again."""
 
-    def apply(batch: DataFrame, number: int) -> None:
-        before = spark.read.parquet(f"{path}/v{number - 1}") if number else None
-        change(before, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
+    def write(batch: DataFrame, number: int) -> None:
+        reduce(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return apply
+    rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def stream_upsert(spark: SparkSession, rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str) -> None:
-    """Merge-upsert of a stream: of each batch the last row of a key, merged into the table's newest version."""
+def stream_upsert(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str) -> None:
+    """Append the last row of a key of every micro-batch; ``upserted`` reads the table that they make."""
+    _append_batches(rows, path, checkpoint, lambda batch: keep_last(batch, keys, seq))
 
-    def change(before: DataFrame | None, batch: DataFrame) -> DataFrame:
-        last = keep_last(batch, keys, seq)
-        return last if before is None else merge_upsert(before, last, keys)
 
-    rows.writeStream.foreachBatch(_versioned(spark, path, change)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def upserted(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
+    """The last row of each key over all batches."""
+    return keep_last(spark.read.parquet(path), keys, F.struct("batch", seq)).drop("batch")
 
 
-def stream_insert_ignore(spark: SparkSession, rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str) -> None:
-    """Exact insert-ignore of a stream: the first row of a key ever seen stays."""
+def stream_insert_ignore(rows: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str) -> None:
+    """Append the first row of a key of every micro-batch; ``first_inserted`` reads the table that they make."""
+    _append_batches(rows, path, checkpoint, lambda batch: insert_ignore(batch.limit(0), batch, keys, seq))
 
-    def change(before: DataFrame | None, batch: DataFrame) -> DataFrame:
-        return insert_ignore(batch.limit(0) if before is None else before, batch, keys, seq)
 
-    rows.writeStream.foreachBatch(_versioned(spark, path, change)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def first_inserted(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
+    """The first row of each key ever seen, over all batches."""
+    every = spark.read.parquet(path)
+    return insert_ignore(every.limit(0), every, keys, F.struct("batch", seq)).drop("batch")
+
+
+def compact_batches(spark: SparkSession, path: str, target: str, reduce: Callable[[SparkSession, str], DataFrame]) -> None:
+    """Write what ``reduce`` (``upserted``, ``first_inserted``) makes of all batches as the first batch of a new table."""
+    reduce(spark, path).write.mode("errorifexists").parquet(f"{target}/batch=-1")
 
 
 def first_within_watermark(rows: DataFrame, keys: Sequence[str], at: str = "ts", delay: str = "1 day") -> DataFrame:

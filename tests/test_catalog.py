@@ -1,6 +1,7 @@
 """Semantic traps, properties and streams of the catalog jobs, on literal rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions import blobs
@@ -44,6 +45,12 @@ def test_vectors(spark):
     packed = df.where("id = 3").select(blobs.pack_quantized(blobs.decode_blob(2)(blobs.encode_blob("v")))).first()[0]
     assert list(packed) == [0, 255]
     assert df.select(blobs.decode_blob(3)(blobs.encode_blob("v"))).first()[0] is None
+    mixed = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None), (3, []), (4, [0.5])], "id int, v array<float>").coalesce(1)
+    assert [r[1] for r in mixed.select("id", blobs.decode_blob(1)(blobs.encode_blob("v")).alias("v")).orderBy("id").collect()] == [[1.0], None, None, [0.5]]
+    assert [r[1] for r in mixed.select("id", blobs.pack_quantized("v").alias("v")).orderBy("id").collect()] == [b"\xff\xff\xff", None, b"", b"\xbf"]
+    assert [r[1] for r in mixed.select("id", S.pack_bytes(S.quantize(F.col("v"))).alias("v")).orderBy("id").collect()] == [b"\xff\xff\xff", None, b"", b"\xbf"]
+    wide = spark.createDataFrame([(k % 2, [float(k)] * 1280) for k in range(6)], "id int, v array<float>")
+    assert {r["id"]: (len(r["mean"]), r["mean"][7]) for r in progress.mean_vectors(wide, "id", "v").collect()} == {0: (1280, 2.0), 1: (1280, 3.0)}
     dark = df.select(F.explode(S.photometric_variants(F.array(F.lit(10.0)))).alias("v")).select("v.*").where("variant = 'darker'").first()
     assert dark["vector"] == [20.0]
 
@@ -70,23 +77,63 @@ def test_upserts_are_idempotent(spark):
 
 
 def test_match_names_equals_nested_loop(spark):
-    left, right = ["base set", "", "fossil: two", "xy", "z"], ["Set", "Fossil Two", "xyz", "fossil", ":z"]
+    left, right = ["base set", "", "fossil: two", "xy", "z", "Fossil: Tw", ":", "a:b", "Jungle", "ng", "set: y", "nothing at all"], ["Jungles", "Fossil Two Box", "xyz", "fossil", ":z", "ab", "Set", "a very long set name", "set yard", "jungle"]
     a = spark.createDataFrame(list(enumerate(left)), "left_id int, name string")
     b = spark.createDataFrame([(100 + k, k, n) for k, n in enumerate(right)], "right_id int, position int, name string")
     want = {}
     for i, x in enumerate(left):
-        hits = [100 + k for k, y in enumerate(n.lower() for n in right) if x in y or y in x or y.replace(":", "") in x]
+        x = x.lower()
+        hits = [100 + k for k, y in enumerate(n.lower() for n in right) if y in x or x in y or x.replace(":", "") in y]
         if hits:
             want[i] = hits[0]
-    assert dict(map(tuple, merging.match_names(a, b, k=3).collect())) == want
+    for k in (2, 3, 5):
+        assert dict(map(tuple, merging.match_names(a, b, k=k).collect())) == want
+    assert merging.match_names(a.limit(0), b).count() == merging.match_names(a, b.limit(0)).count() == 0
 
 
 def test_budget_and_pages(spark):
     backlog = spark.createDataFrame([("a", 130, 40), ("b", 0, 5), ("c", 10, 10)], "set_id string, card_count int, start_offset long")
     pages = progress.plan_pages(backlog, 50)
     assert sorted(map(tuple, pages.select("set_id", "page_start", "page_size").collect())) == [("a", 40, 50), ("a", 90, 40), ("b", 5, 50)]
-    kept = progress.within_budget(pages, "page_size", F.lit(60), [F.col("page_no")], ["set_id"])
-    assert sorted(r["set_id"] for r in kept.collect()) == ["a", "b"]
+    run = progress.running_cost(pages, "page_size", "set_id", [], [F.col("page_no")])
+    made = lambda *a, **k: sorted((r["set_id"], r["page_start"], r["used"]) for r in progress.within_budget(run, "page_size", *a, **k).collect())
+    assert made(F.lit(100)) == [("a", 40, 50), ("a", 90, 90)]
+    assert made(F.lit(140), F.lit(20)) == [("a", 40, 70), ("a", 90, 110)]
+    assert made(F.lit(999), remaining=F.lit(130), reserve=80) == [("a", 40, 50)]
+    assert [r["granted"] for r in progress.granted(run, "page_size", F.lit(60)).orderBy("set_id", "page_no").collect()] == [50, 10, 0]
+    assert tuple(progress.run_status(run, progress.within_budget(run, "page_size", F.lit(100))).first()) == (3, 2, "stopped")
+    assert tuple(progress.run_status(run, run).first()) == (3, 3, "completed")
+
+
+def test_numbered_sets_and_pending(spark):
+    sets = spark.createDataFrame([("a", "english", 1), ("b", "english", None), ("c", "japanese", 3)], "set_id string, language string, numeric_id int")
+    assert [r["set_id"] for r in merging.numbered_sets(sets, "english").collect()] == ["a"]
+    for unknown in (2, 3):
+        with pytest.raises(ValueError):
+            merging.numbered_sets(sets, "english", unknown)
+
+
+def test_rollover(spark):
+    states = spark.createDataFrame([(1, "rate_limited", "d1", 9, 1, "t", "e"), (2, "rate_limited", "d2", 9, 1, "t", "e"), (3, "disabled", "d1", 9, 1, "t", "e")], "key_id int, status string, state_day string, credits_used int, remaining int, rate_limited_at string, last_error string")
+    keys = spark.createDataFrame([(k,) for k in (1, 2, 3, 4)], "key_id int")
+    got = merging.rollover_keys(keys, states, F.lit("d2")).orderBy("key_id").collect()
+    assert [tuple(r) for r in got] == [(1, "active", "d2", 0, None, None, None), (2, "rate_limited", "d2", 9, 1, "t", "e"), (3, "disabled", "d2", 9, 1, "t", "e"), (4, "active", "d2", 0, None, None, None)]
+
+
+def test_run_log(spark, tmp_path):
+    opened = progress.open_runs(spark.createDataFrame([(1, "j", "en", "/c", "{}", "t0"), (2, "j", "en", "/c", "{}", "t0")], "run_id int, job_name string, language string, endpoint string, params string, started_at string"))
+    closed = progress.close_runs(spark.createDataFrame([(1, "completed", 5, 4, 3, 2, 1, None, "t1")], "run_id int, status string, rows_fetched int, rows_upserted int, api_calls_consumed int, daily_remaining int, minute_remaining int, error_message string, finished_at string"))
+    publishing.append_run_event(opened, str(tmp_path / "log"))
+    publishing.append_run_event(closed, str(tmp_path / "log"))
+    events = spark.read.option("mergeSchema", "true").parquet(str(tmp_path / "log"))
+    got = {r["run_id"]: r for r in progress.run_states(events).collect()}
+    assert (got[1]["status"], got[1]["job_name"], got[1]["rows_upserted"], got[1]["error_message"]) == ("completed", "j", 4, None) and got[2]["status"] == "running"
+
+
+def test_links(spark):
+    texts = [("\n Name  two \t",), ("\u00a0x\u2003",), ("  ",), (None,)]
+    assert values(spark, S.normalize_link(F.col("t")), texts, "t string") == ["Name two", "x", "", None]
+    assert values(spark, S.is_item_link(F.col("h")), [("/card/x",), ("http://y/card/x",), ("/sets",)], "h string") == [True, False, False]
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -103,8 +150,12 @@ def test_sources_and_sinks(spark, tmp_path):
     publishing.write_compact(cards, str(tmp_path / "c"))
     check = publishing.validate_package(spark.read.parquet(str(tmp_path / "c"))).first()
     assert (check["n_rows"], check["avg_bytes"], check["repeated_ids"]) == (20, 2.0, 0)
-    quiet = spark.createDataFrame([(False,)], "changed boolean")
-    assert not publishing.publish_if_changed(quiet, cards, str(tmp_path / "never"))
+    twice = cards.withColumn("updated_at", F.lit("w")).unionByName(cards.withColumn("updated_at", F.lit("y")))
+    publishing.write_compact(twice, str(tmp_path / "c2"), 3)
+    assert {r["updated_at"] for r in spark.read.parquet(str(tmp_path / "c2")).collect()} == {"y"}
+    quiet, loud = (spark.createDataFrame([(c,)], "changed boolean") for c in (False, True))
+    assert not publishing.publish_if_changed(quiet, cards, str(tmp_path / "never")) and not (tmp_path / "never").exists()
+    assert publishing.publish_if_changed(loud, cards, str(tmp_path / "published")) and spark.read.parquet(str(tmp_path / "published")).count() == 20
 
 
 def test_embedding_errors_are_rows(spark, tmp_path):
@@ -125,6 +176,8 @@ def test_anchors(spark):
     pages = spark.createDataFrame([(1, '<a href="/card/x"><img src="/l.png"></a> <a href="/card/x">Na<b>me</b></a><a>no</a>'), (2, None)], "page_id long, html string")
     links = html_links.extract_anchors(pages)
     assert [tuple(r)[2:] for r in links.orderBy("pos").collect()] == [("/card/x", "", "/l.png"), ("/card/x", "Name", "")]
+    more = spark.createDataFrame([(3, "<!-- <a href='/no'>x</a> --><A class=b HREF='/a?x=1&amp;y=2'>A &lt;B&gt;<img src=1.png><IMG alt='' src='2.png'></A><abbr>z</abbr><a data-href='n'>no</a><a href=/c>open<a name=k href=\"/d\">Line\nbreak</a >")], "page_id long, html string")
+    assert [tuple(r)[1:] for r in html_links.extract_anchors(more).orderBy("pos").collect()] == [(1, "/a?x=1&y=2", "A <B>", "2.png"), (2, "/c", "open", ""), (3, "/d", "Line\nbreak", "")]
     assert tuple(progress.links_by_href(links).select("href", "name", "image").first()) == ("/card/x", "Name", "/l.png")
 
 
@@ -136,10 +189,26 @@ def test_streams(spark, tmp_path):
         streams.ingest_landed(spark, landed, schema, target, state)
     assert spark.read.parquet(target).count() == 3
     rows = spark.readStream.schema(schema).json(landed)
-    streams.stream_upsert(spark, rows, str(tmp_path / "up"), str(tmp_path / "cp2"), ["id"], "seq")
-    assert sorted((r["id"], r["price"]) for r in spark.read.parquet(str(tmp_path / "up/v0")).collect()) == [(1, 2.0), (2, 3.0)]
-    streams.stream_insert_ignore(spark, rows, str(tmp_path / "ii"), str(tmp_path / "cp3"), ["id"], "seq")
-    assert sorted((r["id"], r["price"]) for r in spark.read.parquet(str(tmp_path / "ii/v0")).collect()) == [(1, 1.0), (2, 3.0)]
+    up, first = str(tmp_path / "up"), str(tmp_path / "ii")
+    both = lambda: [sorted((r["id"], r["price"]) for r in read(spark, path, ["id"], "seq").collect()) for path, read in ((up, streams.upserted), (first, streams.first_inserted))]
+    for _ in range(2):  # a second run adds nothing
+        streams.stream_upsert(rows, up, str(tmp_path / "cp2"), ["id"], "seq")
+        streams.stream_insert_ignore(rows, first, str(tmp_path / "cp3"), ["id"], "seq")
+        assert both() == [[(1, 2.0), (2, 3.0)], [(1, 1.0), (2, 3.0)]]
+    spark.createDataFrame([(2, 9.0, 0), (3, 7.0, 5)], schema).coalesce(1).write.mode("append").json(landed)
+    streams.stream_upsert(rows, up, str(tmp_path / "cp2"), ["id"], "seq")
+    streams.stream_insert_ignore(rows, first, str(tmp_path / "cp3"), ["id"], "seq")
+    assert both() == [[(1, 2.0), (2, 9.0), (3, 7.0)], [(1, 1.0), (2, 3.0), (3, 7.0)]]
+    streams.compact_batches(spark, up, str(tmp_path / "up2"), lambda s, p: streams.upserted(s, p, ["id"], "seq"))
+    assert spark.read.parquet(str(tmp_path / "up2")).count() == 3
+
+
+def test_first_within_watermark(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(1, "2024-01-01 00:00:00"), (1, "2024-01-01 01:00:00"), (2, "2024-01-01 02:00:00")], "id int, ts string").coalesce(1).write.json(path)
+    rows = streams.first_within_watermark(spark.readStream.schema("id int, ts string").json(path), ["id"])
+    rows.writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    assert sorted(r["id"] for r in spark.table("firsts").collect()) == [1, 2]
 
 
 def test_stream_twins(spark, tmp_path, sf_dir):
