@@ -274,12 +274,13 @@ def _shared(signed: DataFrame) -> DataFrame:
     bit each in a filter of at most ``FILTER_BITS``; with ever more of them it
     lets more other rows pass, which are alone in their buckets later.
     """
-    part, at = F.pmod("sig", F.lit(FILTER_PARTS)).alias("part"), F.xxhash64("sig")
     shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
-    bits = min(FILTER_BITS, max(1 << 12, 1 << (max(1, shared.count()) * 16 - 1).bit_length())) // FILTER_PARTS
+    bits = min(FILTER_BITS, max(1 << 13, 1 << (max(1, shared.count()) * 32 - 1).bit_length())) // FILTER_PARTS
+    part = F.pmod("sig", F.lit(FILTER_PARTS)).alias("part")
+    first, second = F.pmod(F.xxhash64("sig"), F.lit(bits)), F.pmod(F.xxhash64("sig", F.lit(7)), F.lit(bits))
     parts = shared.sparkSession.range(FILTER_PARTS).select(F.col("id").alias("part"))
-    arrays = cut(bit_arrays(shared.select(part, F.pmod(at, F.lit(bits)).alias("at")), parts, "part", bits // 64))
-    return signed.withColumn("part", part).join(F.broadcast(arrays), "part").where(has_bit("words", F.pmod(at, F.lit(bits)))).select("id", "sig")
+    arrays = cut(bit_arrays(shared.select(part, F.explode(F.array(first, second)).alias("at")), parts, "part", bits // 64))
+    return signed.withColumn("part", part).join(F.broadcast(arrays), "part").where(has_bit("words", first) & has_bit("words", second)).select("id", "sig")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
