@@ -270,9 +270,9 @@ def _bounded(keys: DataFrame) -> DataFrame:
 def _shared(signed: DataFrame) -> DataFrame:
     """The rows whose signature two sets or more have, and few others.
 
-    Signatures are counted from partial counts.  Those that are shared set a
-    bit each in a filter of at most ``FILTER_BITS``; with ever more of them it
-    lets more other rows pass, which are alone in their buckets later.
+    Signatures are counted from partial counts.  Those that are shared set
+    two bits each in a filter of at most ``FILTER_BITS``; with ever more of them
+    it lets more other rows pass, which are alone in their buckets later.
     """
     shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
     bits = min(FILTER_BITS, max(1 << 13, 1 << (max(1, shared.count()) * 32 - 1).bit_length())) // FILTER_PARTS
