@@ -236,7 +236,8 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
             for part in blocks(batch, limit=SHINGLE_BYTES):
                 code, second, sizes = shingle(part["text"])
                 h1, h2 = sign.classes(code, second, sizes)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes), pa.array(h1), pa.array(h2), *(pa.array(np.ascontiguousarray(s)) for s in sign.sketches(code, sizes).T), sign.wide_sketches(code, sizes)], [*names, "wide"])
+                numbers = [sizes, h1, h2, *map(np.ascontiguousarray, sign.sketches(code, sizes).T)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *map(pa.array, numbers), sign.wide_sketches(code, sizes)], [*names, "wide"])
 
     return docs.mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", wide array<long>")
 
@@ -335,7 +336,8 @@ def components(links: DataFrame) -> DataFrame:
         # large star: larger neighbours are tied to the smallest of the neighbourhood
         edges = cut(with_least(both, 2 * n_links).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         # small star: smaller neighbours and the node itself are, too
-        edges = cut(with_least(edges, n_links).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct())
+        ends = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+        edges = cut(with_least(edges, n_links).select(F.explode(ends).alias("e")).select("e.a", "e.b").where("a <> b").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == before:
             break
@@ -397,7 +399,9 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
         met = spread_join(spread_join(pairs, left, ["a"], hot_a), right, ["b"], hot_b)
         return met.where(both * den >= num * (F.size("a1") + F.size("b1") - both)).select("a", "b").distinct()
 
-    stars = spread_join(members, buckets.select("sig", "lo", "hi"), ["sig"], hot_buckets).select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
+    with_both = F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("hi").alias("b")))
+    met = spread_join(members, buckets.select("sig", "lo", "hi"), ["sig"], hot_buckets)
+    stars = met.select(F.explode(with_both).alias("p")).select("p.a", "p.b").where("a < b")
     # an id with several texts ties their classes together
     ties = None
     several = copies.where("lo < hi")

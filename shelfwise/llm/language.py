@@ -199,7 +199,9 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.string(), pa.binary()))], ["doc_id", "lang", "data"])
 
-    rows = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInArrow(windows, "doc_id long, lang string, data binary").toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending"), ("data", "ascending")])
+    drawn_texts = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    rows = drawn_texts.mapInArrow(windows, "doc_id long, lang string, data binary").toArrow()
+    rows = rows.sort_by([(c, "ascending") for c in ("lang", "doc_id", "data")])
     languages = sorted(set(rows["lang"].to_pylist()))
     network = Network.fresh(languages)
     if languages:

@@ -309,19 +309,23 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
     """One row per row of ``docs``: doc_id, n_words, phrase places and covered template spans, in the order of the text.
 
     Null and empty texts have no words, places or spans; repeated rows are
-    scanned again; other columns play no part.
+    scanned again; texts of any length are scanned whole; other columns play
+    no part.  An empty table gives no rows.
     """
     phrases, templates, marks = phrases or PHRASES, templates or all_templates(), MARKS if marks is None else marks
     key = hash((tuple(phrases.items()), repr(templates), repr(marks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanners.get(key) or _scanners.setdefault(key, Scanner(phrases, templates, marks))
-        types = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64())]))), ("spans", pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("covered", pa.int64()), ("share", pa.float64())])))])
+        place = pa.struct([("label", pa.string()), ("first_word", pa.int64())])
+        span = pa.struct([*place, ("last_word", pa.int64()), ("covered", pa.int64()), ("share", pa.float64())])
+        types = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(place)), ("spans", pa.list_(span))])
         for batch in batches:
             for part in blocks(batch):
                 found = scanner(part["text"])
                 places = [[{"label": scanner.phrase_labels[p], "first_word": w} for p, w in sorted(x[1], key=lambda y: (y[1], y[0]))] for x in found]
-                spans = [[{"label": s.label, "first_word": s.first, "last_word": s.last, "covered": s.covered, "share": s.share} for s in sorted(x[2], key=lambda s: (s.first, s.label))] for x in found]
+                row = lambda s: {"label": s.label, "first_word": s.first, "last_word": s.last, "covered": s.covered, "share": s.share}
+                spans = [[row(s) for s in sorted(x[2], key=lambda s: (s.first, s.label))] for x in found]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(v, t) for v, t in zip(([x[0] for x in found], places, spans), types.types[1:]))], schema=types)
 
     return texts(docs).mapInArrow(run, SCHEMA)
@@ -332,7 +336,16 @@ def summary(found: DataFrame) -> DataFrame:
     join = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     base, spans = F.col("places.label"), F.col("spans.label")
     score = F.when(F.size("places") > 0, 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(F.array_max("spans.share"), F.lit(0.0))))
-    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places.first_word").alias("first_word"), F.array_max("places.first_word").alias("last_word"), join(base).alias("base_labels"), join(F.concat(base, spans)).alias("labels"), score.alias("score"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.first_word").alias("first_word"),
+        F.array_max("places.first_word").alias("last_word"),
+        join(base).alias("base_labels"),
+        join(F.concat(base, spans)).alias("labels"),
+        score.alias("score"),
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

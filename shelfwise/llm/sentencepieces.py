@@ -174,8 +174,9 @@ def encode_decode(docs: DataFrame, model_path: str, check: bool = True, digest:
     """doc_id, n_tokens, ids (decimal, joined by commas) and decoded text of every row; with ``digest``, SHA-256 of the last two.
 
     Equal to the sentencepiece library without begin and end ids.  A null or
-    empty text has no ids; repeated rows are encoded again; ids and other
-    columns play no part.
+    empty text has no ids; repeated rows are encoded again; texts of any length
+    count whole; ids and other columns play no part.  An empty table gives no
+    rows.
     """
     model = Path(model_path).read_bytes()
     key = hash((model, check))

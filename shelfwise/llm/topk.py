@@ -83,7 +83,16 @@ def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, vectors: np.ndarray, ids: np.ndarray, pivots: np.ndarray, k: int = K, counts: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search_block(
+    queries: np.ndarray,
+    query_ids: np.ndarray,
+    floors: np.ndarray,
+    vectors: np.ndarray,
+    ids: np.ndarray,
+    pivots: np.ndarray,
+    k: int = K,
+    counts: dict | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each query's k best vectors but its own that reach its floor, as (query number, id, score).
 
     ``counts``, if given, learns how many candidates were there and evaluated.
@@ -236,7 +245,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
                     at = rows[np.repeat(np.arange(len(rows)), [len(g) for g in goals])]
                     some = batch.take(pa.array(at))
                     q = (mix64(some["vec_id"].to_numpy(zero_copy_only=False).astype(np.uint64) + np.uint64(1)) % np.uint64(q_blocks)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), width)), pa.array(np.concatenate([*goals, np.zeros(0, np.int64)]).astype(np.int64)), pa.array(q), some["vec_id"], some["v"], some["floor"]], ["w", "block", "q", "vec_id", "v", "floor"])
+                    block = np.concatenate([*goals, np.zeros(0, np.int64)]).astype(np.int64)
+                    numbers = [np.full(len(at), width), block, q]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, numbers), some["vec_id"], some["v"], some["floor"]], ["w", "block", "q", "vec_id", "v", "floor"])
 
         return run
 

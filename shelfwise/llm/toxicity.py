@@ -58,7 +58,8 @@ def _choose(sample: DataFrame, n_categories: int, max_features: int) -> list[str
             for part in blocks(batch, limit=1 << 20):
                 found = [sorted(features(t)) for t in part["text"].to_pylist()]
                 rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays([pa.array([x for f in found for x in f], pa.string()), *(part[f"y{k}"].take(pa.array(rows)) for k in range(n_categories))], ["feature", *(f"y{k}" for k in range(n_categories))])
+                every, names = pa.array([x for f in found for x in f], pa.string()), [f"y{k}" for k in range(n_categories)]
+                yield pa.RecordBatch.from_arrays([every, *(part[y].take(pa.array(rows)) for y in names)], ["feature", *names])
 
     ys = [f"y{k}" for k in range(n_categories)]
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *(F.sum(y).alias(y) for y in ys)).first()
