@@ -177,7 +177,11 @@ def pack_bytes(numbers: Column) -> Column:
 
 def contrast_stretch(vector: Column, low: Column, high: Column) -> Column:
     """low .. high to 0 .. 255, cut off and truncated; unchanged unless high is above low."""
-    return F.when(high <= low, F.transform(vector, lambda x: x.cast("double"))).otherwise(F.transform(vector, lambda x: F.floor(F.least(F.greatest((x.cast("double") - low) * 255.0 / (high - low), F.lit(0.0)), F.lit(255.0))).cast("double")))
+
+    def stretched(x: Column) -> Column:
+        return F.floor(F.least(F.greatest((x.cast("double") - low) * 255.0 / (high - low), F.lit(0.0)), F.lit(255.0))).cast("double")
+
+    return F.when(high <= low, F.transform(vector, lambda x: x.cast("double"))).otherwise(F.transform(vector, stretched))
 
 
 #: Brightness and contrast variants, as |a * x + b| cut off at 255.

@@ -117,8 +117,12 @@ def fan_out_prices(cards: DataFrame, prices: DataFrame, at: Column) -> DataFrame
     have = cards.withColumns({c: F.lit(None).cast(t) for c, t in (("prices", prices.schema["prices"].dataType), ("scraped_at", "timestamp")) if c not in cards.columns})
     joined = have.where("product_id IS NOT NULL").join(new, "product_id", "left")
     hit = F.col("_price").isNotNull()
-    changed = joined.withColumns({"price": F.coalesce("_price", "price"), "prices": F.when(hit, F.col("_prices")).otherwise(F.col("prices")), "scraped_at": F.when(hit, at).otherwise(F.col("scraped_at"))})
-    return changed.select(*have.columns).unionByName(have.where("product_id IS NULL"))
+    changed = {
+        "price": F.coalesce("_price", "price"),
+        "prices": F.when(hit, F.col("_prices")).otherwise(F.col("prices")),
+        "scraped_at": F.when(hit, at).otherwise(F.col("scraped_at")),
+    }
+    return joined.withColumns(changed).select(*have.columns).unionByName(have.where("product_id IS NULL"))
 
 
 def english_names(cards: DataFrame, names: DataFrame, numbers: str = "dex_ids") -> DataFrame:
@@ -181,7 +185,9 @@ def backlog(sets: DataFrame, cards: DataFrame, completed: Sequence[int] | None =
     joined = sets.join(counts, "set_id", "left").withColumn("existing", F.coalesce("existing", F.lit(0)).cast("long"))
     from ..functions.scalars import set_done
 
-    return joined.withColumn("done", set_done(F.col("card_count"), F.col("existing"), F.col("set_no"), listed)).withColumn("remaining", F.greatest(F.col("card_count") - F.col("existing"), F.lit(0)).cast("long"))
+    done = set_done(F.col("card_count"), F.col("existing"), F.col("set_no"), listed)
+    remaining = F.greatest(F.col("card_count") - F.col("existing"), F.lit(0)).cast("long")
+    return joined.withColumn("done", done).withColumn("remaining", remaining)
 
 
 def classify_incoming(incoming: DataFrame, existing: DataFrame, force: bool = False) -> DataFrame:

@@ -34,7 +34,8 @@ def first_priced_variant(latest: DataFrame) -> DataFrame:
 
 def price_maps(variants: DataFrame) -> DataFrame:
     """product_id, prices (variant to market and low, in the order of the results) and best_price.  A product has few variants."""
-    entries = F.transform(F.array_sort(F.collect_list(F.struct("result_pos", "variant_key", "market", "low"))), lambda e: F.struct(e["variant_key"], F.struct(e["market"].alias("market"), e["low"].alias("low"))))
+    in_order = F.array_sort(F.collect_list(F.struct("result_pos", "variant_key", "market", "low")))
+    entries = F.transform(in_order, lambda e: F.struct(e["variant_key"], F.struct(e["market"].alias("market"), e["low"].alias("low"))))
     return variants.groupBy("product_id").agg(F.map_from_entries(entries).alias("prices")).withColumn("best_price", S.best_history_price(F.col("prices")))
 
 

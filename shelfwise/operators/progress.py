@@ -21,7 +21,12 @@ def run_summary(classified: DataFrame, existing: DataFrame) -> DataFrame:
     there = existing.select(F.col("id").alias("_id")).distinct()
     joined = classified.join(there, F.col("id") == F.col("_id"), "left")
     accepted = F.col("status") == "accepted"
-    found = joined.agg(F.count_if(accepted & F.col("_id").isNull()).alias("created"), F.count_if(accepted & F.col("_id").isNotNull()).alias("updated"), F.count_if(F.col("status") == "skipped").alias("skipped"), F.count_if(F.col("status") == "failed").alias("failed"))
+    found = joined.agg(
+        F.count_if(accepted & F.col("_id").isNull()).alias("created"),
+        F.count_if(accepted & F.col("_id").isNotNull()).alias("updated"),
+        F.count_if(F.col("status") == "skipped").alias("skipped"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+    )
     return found.withColumn("changed", F.col("created") + F.col("updated") > 0)
 
 
@@ -53,7 +58,11 @@ def coverage(backlog: DataFrame) -> DataFrame:
 def links_by_href(links: DataFrame, *within: str) -> DataFrame:
     """Of each href (``within`` columns such as a page) the first text that isn't empty and the last image; only hrefs with both."""
     text, image = F.when(F.col("text") != "", F.col("text")), F.when(F.col("img") != "", F.col("img"))
-    grouped = links.groupBy(*within, "href").agg(F.min_by(text, F.when(text.isNotNull(), F.col("pos"))).alias("name"), F.max_by(image, F.when(image.isNotNull(), F.col("pos"))).alias("image"), F.min("pos").alias("position"))
+    grouped = links.groupBy(*within, "href").agg(
+        F.min_by(text, F.when(text.isNotNull(), F.col("pos"))).alias("name"),
+        F.max_by(image, F.when(image.isNotNull(), F.col("pos"))).alias("image"),
+        F.min("pos").alias("position"),
+    )
     return grouped.where("name IS NOT NULL AND image IS NOT NULL")
 
 

@@ -61,7 +61,9 @@ def first_within_watermark(rows: DataFrame, keys: Sequence[str], at: str = "ts",
 
 def stream_credits(calls: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Credits of each key and UTC day; a day is given out when the watermark passes it, later calls are dropped."""
-    windowed = calls.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).groupBy("key_id", F.window("ts", "1 day").alias("w")).agg(F.sum(F.col("credits").cast("long")).alias("credits"), F.count(F.lit(1)).alias("calls"))
+    timed = calls.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    by_day = timed.groupBy("key_id", F.window("ts", "1 day").alias("w"))
+    windowed = by_day.agg(F.sum(F.col("credits").cast("long")).alias("credits"), F.count(F.lit(1)).alias("calls"))
     return windowed.select("key_id", F.to_date("w.start").alias("day"), "credits", "calls")
 
 
