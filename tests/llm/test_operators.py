@@ -567,6 +567,67 @@ def test_license_labels_need_more_than_ordinary_words():
     assert [(s.label, s.first, s.share) for s in found(notice * 3)] == [("mit", 25 * k, 1.0) for k in range(3)]
 
 
+def longest_run(words, template):
+    """The length of the longest run of words that stands in the template."""
+    best, row = 0, [0] * (len(template) + 1)
+    for w in words:
+        row = [0] + [row[k] + 1 if w == t else 0 for k, t in enumerate(template)]
+        best = max(best, *row)
+    return best
+
+
+def test_license_spans_by_brute_force():
+    """Every planted excerpt is found, every span is one, and skipping what no template has loses nothing."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    templates = {f"t{k}": " ".join(f"w{x}" for x in rng.integers(0, 400, 60)) for k in range(4)}
+    phrases = {"w1 w2": "p"}
+    scanner = licenses.Scanner(phrases, templates, {"t0": [" ".join(templates["t0"].split()[:3])]})
+    for _ in range(60):
+        parts, planted = [], []
+        for _ in range(rng.integers(1, 5)):
+            parts += [f"x{x}" for x in rng.integers(0, 50, rng.integers(8, 40))] + [f"w{x}" for x in rng.integers(0, 400, rng.integers(0, 3))] + [f"x{x}" for x in range(8)]
+            label, at, n = f"t{rng.integers(0, 4)}", int(rng.integers(0, 40)), int(rng.integers(3, 20))
+            words = templates[label].split()[at : at + n]
+            planted.append((label, len(parts), len(parts) + n - 1, n, at))
+            parts += words
+        n_words, places, spans = scanner(pa.array([" ".join(parts) + " y"]))[0]
+        assert n_words == len(parts) + 1
+        assert [w for _, w in places] == [k for k in range(len(parts) - 1) if parts[k : k + 2] == ["w1", "w2"]]
+        found = {(s.label, s.first, s.last) for s in spans}
+        for label, first, last, n, at in planted:
+            marked = label == "t0" and at == 0 and n >= licenses.LEAST_COVERED
+            if n >= licenses.LEAST_LONG or marked:
+                assert any(a == label and f <= first and g >= last for a, f, g in found)
+        for s in spans:
+            assert s.covered >= licenses.LEAST_COVERED and longest_run(parts[s.first : s.last + 1], templates[s.label].split()) >= licenses.LEAST_RUN
+            assert s.covered >= licenses.LEAST_LONG or s.covered >= licenses.LEAST_SHARE * 60 or s.label == "t0"
+        coded, _ = scanner.words(*common.flat_utf8(pa.array([" ".join(parts) + " y"])))
+        assert sorted(map(repr, scanner.spans(coded, 0))) == sorted(map(repr, spans))
+
+
+def test_long_texts_and_empty_tables(spark, odd):
+    """A megabyte in one row, and no row at all."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(14)
+    words = [f"w{x}" for x in rng.integers(0, 30_000, 150_000)]
+    text = " ".join(words)
+    n_words, _, spans = licenses.Scanner(licenses.PHRASES, licenses.all_templates())(pa.array([text + " released under the MIT License."]))[0]
+    assert n_words == len(words) + 5 and [s.label for s in spans] == ["mit"]
+    first, second, sizes = jaccard.Shingler(3)(pa.array([text, None, text]))
+    assert sizes.tolist() == [len({tuple(words[k : k + 3]) for k in range(len(words) - 2)})] * 1 + [0] + [sizes[0]]
+    network = language.Network.fresh(["a", "b"])
+    names, score = language.label_texts(network, pa.array([text, text[: language.WINDOW]]))
+    assert names[0] in ("a", "b") and 0 < score[0] <= 1
+    got = jaccard.near_groups(spark.createDataFrame([(1, text), (2, text + " end"), (3, "short")], "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.select("doc_id", "component_id").collect()) == [(1, 1), (2, 1), (3, 3)]
+    path = public_tokenizers.path
+    assert licenses.scan(empty(odd)).count() == sentencepieces.encode_decode(empty(odd), path(sentencepieces.VOCABULARY)).count() == 0
+    assert licenses.summary(licenses.scan(empty(odd))).count() == token_counts.count_tokens(empty(odd), path(token_counts.VOCABULARY)).count() == 0
+
+
 def test_matching_statistics():
     rng = np.random.default_rng(2)
     for _ in range(30):
