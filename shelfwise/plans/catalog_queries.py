@@ -39,7 +39,10 @@ def s3_name_list(spark, d):
 LOG = "concat('page=', cast(o_orderkey as string), ' cards=250 created=', cast(o_custkey%7 as string), ' updated=', cast(o_custkey%5 as string), ' skipped=0 failed=', cast(o_orderkey%3 as string))"
 
 
-@registered("SELECT o_orderkey AS page, o_custkey%7 AS created, o_custkey%5 AS updated, CAST(0 AS BIGINT) AS skipped, o_orderkey%3 AS failed FROM orders WHERE o_orderstatus <> 'P'")
+@registered(
+    """SELECT o_orderkey AS page, o_custkey%7 AS created, o_custkey%5 AS updated, CAST(0 AS BIGINT) AS skipped, o_orderkey%3 AS failed
+FROM orders WHERE o_orderstatus <> 'P'"""
+)
 def s5_progress_log(spark, d):
     lines = read(spark, d, "orders").select(F.expr(f"case when o_orderstatus = 'P' then 'done' else {LOG} end").alias("value"))
     return landing.parse_progress_log(lines)
@@ -59,7 +62,9 @@ SELECT run_id, CASE WHEN run_id % 7 = 0 THEN 'running' WHEN run_id % 2 = 0 THEN
 )
 def s8_run_log(spark, d):
     """Runs opened, all but some closed, and the state of each."""
-    runs = view(spark, d, "calls").groupBy((F.col("event_id") % 500).alias("run_id")).agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.count(F.lit(1)).alias("n"), F.sum("credits").cast("long").alias("credits"))
+    by_run = view(spark, d, "calls").groupBy((F.col("event_id") % 500).alias("run_id"))
+    sums = F.count(F.lit(1)).alias("n"), F.sum("credits").cast("long").alias("credits")
+    runs = by_run.agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), *sums)
     opened = runs.selectExpr("run_id", "'cards' AS job_name", "CASE WHEN run_id % 3 = 0 THEN 'ja' ELSE 'en' END AS language", "'/cards' AS endpoint", "cast(first as string) AS params", "'2024-01-01' AS started_at")
     closed = runs.where("run_id % 7 <> 0").selectExpr(
         "run_id", "CASE WHEN run_id % 2 = 0 THEN 'completed' ELSE 'stopped' END AS status", "n AS rows_fetched", "n - 1 AS rows_upserted", "credits AS api_calls_consumed",
@@ -128,7 +133,11 @@ def f4_one_set(spark, d):
     return merging.numbered_sets(_numbered(spark, d), "japanese", 12).select("set_id", "numeric_id")
 
 
-@registered("SELECT cond, count(*) AS n FROM price_history WHERE lower(cond) LIKE '%near mint%' OR lower(cond) LIKE '%nm%' OR lower(cond) LIKE '%unplayed%' GROUP BY cond", "price_history")
+@registered(
+    """SELECT cond, count(*) AS n
+FROM price_history WHERE lower(cond) LIKE '%near mint%' OR lower(cond) LIKE '%nm%' OR lower(cond) LIKE '%unplayed%' GROUP BY cond""",
+    "price_history",
+)
 def f5_near_mint(spark, d):
     return view(spark, d, "price_history").where(S.near_mint(F.col("cond"))).groupBy("cond").agg(F.count(F.lit(1)).alias("n"))
 
@@ -207,7 +216,11 @@ def a8_price_maps(spark, d):
     return prices.current_prices(_history(spark, d)).select("product_id", F.array_join(F.map_keys("prices"), ",").alias("variants"), "best_price")
 
 
-@registered("SELECT product_id, line_no, variant, cond, max(bucket_date) AS bucket_date, arg_max(market, {'d': bucket_date, 'o': ord, 'm': market, 'l': low}) AS market FROM price_history GROUP BY 1,2,3,4", "price_history")
+@registered(
+    """SELECT product_id, line_no, variant, cond, max(bucket_date) AS bucket_date, arg_max(market, {'d': bucket_date, 'o': ord, 'm': market, 'l': low}) AS market
+FROM price_history GROUP BY 1,2,3,4""",
+    "price_history",
+)
 def w1_latest_bucket(spark, d):
     return prices.latest_buckets(_history(spark, d)).select("product_id", F.floor(F.col("result_pos") / 64).cast("int").alias("line_no"), "variant", "cond", "bucket_date", "market")
 
@@ -246,7 +259,14 @@ def j7_patch_columns(spark, d):
 LAST = f"last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS r FROM ({INCOMING})) WHERE r = 1)"
 
 
-@registered(f"WITH {LAST}, base AS (SELECT * FROM cards WHERE id%10<>0) SELECT coalesce(base.id, last.id) AS id, base.name, CASE WHEN last.id IS NOT NULL THEN last.price ELSE base.price END AS price FROM base FULL JOIN last ON base.id=last.id", "cards")
+@registered(
+    f"""WITH {LAST}, base AS (SELECT *
+FROM cards WHERE id%10<>0) SELECT coalesce(base.id, last.id) AS id, base.name,
+ CASE WHEN last.id IS NOT NULL THEN last.price ELSE base.price END AS price
+FROM base
+FULL JOIN last ON base.id=last.id""",
+    "cards",
+)
 def u1_merge_upsert(spark, d):
     last = merging.keep_last(_incoming(spark, d), ["id"], "seq").select("id", "price")
     return merging.merge_upsert(_base(spark, d), last, ["id"]).select("id", "name", "price")
@@ -263,7 +283,11 @@ def u3_replace_rows(spark, d):
     return merging.replace_rows(_base(spark, d), last, ["id"]).select("id", "rarity", "price")
 
 
-@registered(f"WITH st AS ({KEY_STATES}) SELECT key_id, CASE WHEN remaining>0 AND status='rate_limited' THEN 'active' ELSE status END AS status FROM st", "calls")
+@registered(
+    f"""WITH st AS ({KEY_STATES}) SELECT key_id, CASE WHEN remaining>0 AND status='rate_limited' THEN 'active' ELSE status END AS status
+FROM st""",
+    "calls",
+)
 def u4_conditional_update(spark, d):
     states = _key_states(spark, d)
     return merging.conditional_update(states, (F.coalesce("remaining", F.lit(0)) > 0) & (F.col("status") == "rate_limited"), {"status": F.lit("active")}).select("key_id", "status")
@@ -293,9 +317,14 @@ def a3_sets_with_cards(spark, d):
     return merging.sets_with_cards(view(spark, d, "cards"))
 
 
-@registered("SELECT count(*) AS n_rows, count(embedding) AS n_vectors, 64.0::DOUBLE AS avg_bytes, count(vec_id)-count(DISTINCT vec_id) AS repeated_ids, count(*) FILTER (label IS NULL) AS null_names FROM embeddings")
+@registered(
+    """SELECT count(*) AS n_rows, count(embedding) AS n_vectors, 64.0::DOUBLE AS avg_bytes, count(vec_id)-count(DISTINCT vec_id) AS repeated_ids,
+ count(*) FILTER (label IS NULL) AS null_names
+FROM embeddings"""
+)
 def a4_validate_package(spark, d):
-    return publishing.validate_package(read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), S.pack_bytes(S.quantize(F.col("embedding"))).alias("tflite_emb_q")))
+    packed = S.pack_bytes(S.quantize(F.col("embedding"))).alias("tflite_emb_q")
+    return publishing.validate_package(read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), packed))
 
 
 @registered(f"""WITH inc AS ({INCOMING}) SELECT count(*) FILTER (coalesce(image_url,'')<>'' AND id%10=0) AS created, count(*) FILTER (coalesce(image_url,'')<>'' AND id%10<>0) AS updated, CAST(0 AS BIGINT) AS skipped, count(*) FILTER (coalesce(image_url,'')='') AS failed, true AS changed FROM inc""", "cards")
@@ -303,13 +332,20 @@ def a5_run_summary(spark, d):
     return progress.run_summary(merging.classify_incoming(_incoming(spark, d), _base(spark, d), force=True), _base(spark, d))
 
 
-@registered("SELECT key_id, cast(ts as date) AS day, CAST(sum(CASE WHEN credits=0 THEN 5 ELSE credits END) AS BIGINT) AS credits, count(*) AS calls FROM calls GROUP BY 1,2", "calls")
+@registered(
+    """SELECT key_id, cast(ts as date) AS day, CAST(sum(CASE WHEN credits=0 THEN 5 ELSE credits END) AS BIGINT) AS credits, count(*) AS calls
+FROM calls GROUP BY 1,2""",
+    "calls",
+)
 def a6_credits_per_day(spark, d):
     calls = view(spark, d, "calls").withColumn("credits", progress.call_credits(F.col("credits"), F.lit(None).cast("int"), F.lit(5)))
     return progress.credits_per_day(calls)
 
 
-@registered("SELECT label, i AS pos, CAST(round(avg(CAST(embedding[i] AS DOUBLE))*1000) AS BIGINT) AS mean_milli FROM embeddings, generate_series(1, 64) s(i) GROUP BY label, i")
+@registered(
+    """SELECT label, i AS pos, CAST(round(avg(CAST(embedding[i] AS DOUBLE))*1000) AS BIGINT) AS mean_milli
+FROM embeddings, generate_series(1, 64) s(i) GROUP BY label, i"""
+)
 def a7_mean_vectors(spark, d):
     means = progress.mean_vectors(read(spark, d, "embeddings"), "label", "embedding")
     return means.select("label", F.posexplode("mean").alias("p", "m")).select("label", (F.col("p") + 1).cast("long").alias("pos"), F.round(F.col("m") * 1000).cast("long").alias("mean_milli"))
@@ -326,7 +362,14 @@ def a10_percentile_bounds(spark, d):
     return progress.percentile_bounds(read(spark, d, "lineitem"), "l_suppkey", "l_quantity")
 
 
-@registered(BACKLOG + " SELECT count(*) FILTER (done) AS sets_done, count(*) FILTER (NOT done) AS sets_open, CAST(sum(CASE WHEN done THEN existing ELSE least(existing, card_count) END) AS BIGINT) AS rows_skipped, bool_and(done) AS complete FROM b", "sets", "cards")
+@registered(
+    BACKLOG
+    + """ SELECT count(*) FILTER (done) AS sets_done,
+ count(*) FILTER (NOT done) AS sets_open,
+ CAST(sum(CASE WHEN done THEN existing ELSE least(existing, card_count) END) AS BIGINT) AS rows_skipped, bool_and(done) AS complete
+FROM b""",
+    "sets", "cards",
+)
 def a12_coverage(spark, d):
     return progress.coverage(_backlog(spark, d))
 
@@ -374,7 +417,14 @@ def w4_reserve(spark, d):
     return progress.within_budget(_run(spark, d), "page_size", F.lit(10**9), remaining=F.lit(500), reserve=100).select("set_id", "page_no", "used")
 
 
-@registered(RUN + " SELECT count(*) AS asked, count(*) FILTER (before + page_size <= 700) AS made, CASE WHEN bool_and(before + page_size <= 700) THEN 'completed' ELSE 'stopped' END AS status FROM run", "sets", "cards")
+@registered(
+    RUN
+    + """ SELECT count(*) AS asked,
+ count(*) FILTER (before + page_size <= 700) AS made,
+ CASE WHEN bool_and(before + page_size <= 700) THEN 'completed' ELSE 'stopped' END AS status
+FROM run""",
+    "sets", "cards",
+)
 def w4_run_status(spark, d):
     run = _run(spark, d)
     return progress.run_status(run, progress.within_budget(run, "page_size", F.lit(700)))
@@ -402,7 +452,12 @@ def o1_release_order(spark, d):
     return progress.in_release_order(view(spark, d, "sets")).select("set_id", "release_year")
 
 
-@registered("SELECT DISTINCT product_id FROM (SELECT product_id FROM cards WHERE product_id IS NOT NULL ORDER BY image_url ASC NULLS FIRST, id LIMIT 30000)", "cards")
+@registered(
+    """SELECT DISTINCT product_id
+FROM (SELECT product_id
+FROM cards WHERE product_id IS NOT NULL ORDER BY image_url ASC NULLS FIRST, id LIMIT 30000)""",
+    "cards",
+)
 def o2_stalest_products(spark, d):
     return progress.stalest_products(view(spark, d, "cards"), "image_url")
 
@@ -412,7 +467,11 @@ def o3_first_by_id(spark, d):
     return view(spark, d, "cards").select("id").orderBy("id").limit(100)
 
 
-@registered("SELECT id, c.set_id, CAST(row_number() OVER (PARTITION BY c.set_id ORDER BY CAST(number AS INT), number, id) AS INTEGER) AS place FROM cards c JOIN sets s ON c.set_id=s.set_id", "sets", "cards")
+@registered(
+    """SELECT id, c.set_id, CAST(row_number() OVER (PARTITION BY c.set_id ORDER BY CAST(number AS INT), number, id) AS INTEGER) AS place
+FROM cards c JOIN sets s ON c.set_id=s.set_id""",
+    "sets", "cards",
+)
 def o5_catalog_order(spark, d):
     return progress.catalog_order(view(spark, d, "cards"), view(spark, d, "sets")).select("id", "set_id", "place")
 
@@ -428,7 +487,12 @@ def x2_id_difference(spark, d):
     return view(spark, d, "cards").select("id").subtract(_base(spark, d).select("id"))
 
 
-@registered("SELECT set_id, CASE WHEN set_no < 15 THEN concat(cast(set_no as varchar), ',15,22') WHEN set_no IN (15,22) THEN '15,22' WHEN set_no < 22 THEN concat('15,', cast(set_no as varchar), ',22') ELSE concat('15,22,', cast(set_no as varchar)) END AS completed FROM sets", "sets")
+@registered(
+    """SELECT set_id,
+ CASE WHEN set_no < 15 THEN concat(cast(set_no as varchar), ',15,22') WHEN set_no IN (15,22) THEN '15,22' WHEN set_no < 22 THEN concat('15,', cast(set_no as varchar), ',22') ELSE concat('15,22,', cast(set_no as varchar)) END AS completed
+FROM sets""",
+    "sets",
+)
 def x3_add_to_set(spark, d):
     return view(spark, d, "sets").select("set_id", F.array_join(progress.add_to_set(F.array(F.lit(15), F.lit(22)), F.col("set_no")).cast("array<string>"), ",").alias("completed"))
 
@@ -436,7 +500,12 @@ def x3_add_to_set(spark, d):
 # ---------------------------------------------------------------- scalar functions
 
 
-@registered("SELECT variant, CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key, count(*) AS n FROM price_history GROUP BY 1,2", "price_history")
+@registered(
+    """SELECT variant,
+ CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key, count(*) AS n
+FROM price_history GROUP BY 1,2""",
+    "price_history",
+)
 def m3_normalize_variant(spark, d):
     return view(spark, d, "price_history").groupBy("variant", S.normalize_variant(F.col("variant")).alias("variant_key")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -453,12 +522,21 @@ def m5_display_number(spark, d):
     return view(spark, d, "cards").select("id", S.display_number(number, F.expr("case when id%3<>0 then 180 end")).alias("shown"))
 
 
-@registered("SELECT page_id, CASE WHEN length(e)=0 OR length(e)>4 THEN 'png' ELSE e END AS extension FROM (SELECT page_id, split_part(list_last(string_split(url, '.')), '?', 1) AS e FROM pages)")
+@registered(
+    """SELECT page_id, CASE WHEN length(e)=0 OR length(e)>4 THEN 'png' ELSE e END AS extension
+FROM (SELECT page_id, split_part(list_last(string_split(url, '.')), '?', 1) AS e
+FROM pages)"""
+)
 def m7_asset_names(spark, d):
     return read(spark, d, "pages").select("page_id", S.asset_extension(F.col("url")).alias("extension"))
 
 
-@registered("SELECT p_partkey, CASE WHEN p_partkey%3=0 THEN CAST(p_size AS INTEGER) END AS strict, CASE WHEN p_partkey%3<2 THEN CAST(p_size AS INTEGER) END AS lenient FROM part")
+@registered(
+    """SELECT p_partkey,
+ CASE WHEN p_partkey%3=0 THEN CAST(p_size AS INTEGER) END AS strict,
+ CASE WHEN p_partkey%3<2 THEN CAST(p_size AS INTEGER) END AS lenient
+FROM part"""
+)
 def m8_to_int(spark, d):
     text = F.expr("case p_partkey%3 when 0 then concat(' ', p_size, ' ') when 1 then concat(p_size, '.7hp') else concat('x', p_size) end")
     return read(spark, d, "part").select("p_partkey", S.to_int_strict(text).alias("strict"), S.to_int_lenient(text).alias("lenient"))
@@ -470,19 +548,35 @@ def m9_text_array(spark, d):
     return read(spark, d, "part").select("p_partkey", F.array_join(S.text_array(json), "|").alias("listed"))
 
 
-@registered(BACKLOG + " SELECT set_id, CAST(CASE WHEN set_no%3=0 THEN 7 ELSE 0 END AS BIGINT) AS by_checkpoint, CAST(CASE WHEN set_no%3=0 AND set_no%2=0 THEN greatest(existing, 7) ELSE existing END AS BIGINT) AS by_existing FROM b", "sets", "cards")
+@registered(
+    BACKLOG
+    + """ SELECT set_id,
+ CAST(CASE WHEN set_no%3=0 THEN 7 ELSE 0 END AS BIGINT) AS by_checkpoint,
+ CAST(CASE WHEN set_no%3=0 AND set_no%2=0 THEN greatest(existing, 7) ELSE existing END AS BIGINT) AS by_existing
+FROM b""",
+    "sets", "cards",
+)
 def m11_start_offset(spark, d):
     at, today = F.expr("case when set_no%3=0 then 7 end"), F.expr("set_no%2=0")
-    return _backlog(spark, d).select("set_id", S.start_offset("checkpoint", F.col("existing"), at, today).alias("by_checkpoint"), S.start_offset("existing", F.col("existing"), at, today).alias("by_existing"))
+    offsets = [S.start_offset(policy, F.col("existing"), at, today).alias(f"by_{policy}") for policy in ("checkpoint", "existing")]
+    return _backlog(spark, d).select("set_id", *offsets)
 
 
-@registered("SELECT event_id, CASE WHEN event_id%4=1 THEN 'disabled' WHEN event_id%3=0 THEN 'rate_limited' ELSE 'failed' END AS class FROM events WHERE event_type='error'")
+@registered(
+    """SELECT event_id, CASE WHEN event_id%4=1 THEN 'disabled' WHEN event_id%3=0 THEN 'rate_limited' ELSE 'failed' END AS class
+FROM events WHERE event_type='error'"""
+)
 def m12_classify_failure(spark, d):
     errors = read(spark, d, "events").where("event_type = 'error'")
     return errors.select("event_id", S.classify_failure(F.expr("case when event_id%3=0 then 429 else 500 end"), F.expr("case when event_id%4=1 then 'Bad API Key' end")).alias("class"))
 
 
-@registered(f"WITH st AS ({KEY_STATES}) SELECT key_id, CASE WHEN remaining <= 10 THEN 'rate_limited' ELSE 'active' END AS status, greatest(remaining-10, 0) AS may_spend FROM st", "calls")
+@registered(
+    f"""WITH st AS ({KEY_STATES}) SELECT key_id,
+ CASE WHEN remaining <= 10 THEN 'rate_limited' ELSE 'active' END AS status, greatest(remaining-10, 0) AS may_spend
+FROM st""",
+    "calls",
+)
 def m13_key_state(spark, d):
     return _key_states(spark, d).select("key_id", S.key_status_after_call(F.col("remaining"), 10).alias("status"), S.grantable(F.col("remaining"), 10).alias("may_spend"))
 
@@ -507,10 +601,16 @@ def m15_normalize_link(spark, d):
     return parts.select("p_partkey", S.normalize_link(F.col("text")).alias("name"), S.absolute_url(src, "https://base").alias("url"), S.is_item_link(href).alias("is_link"))
 
 
-@registered("SELECT vec_id, CAST(round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))*1000) AS BIGINT) AS norm_milli, true AS unit FROM embeddings")
+@registered(
+    """SELECT vec_id,
+ CAST(round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))*1000) AS BIGINT) AS norm_milli, true AS unit
+FROM embeddings"""
+)
 def m16_l2_normalize(spark, d):
     square = lambda v: F.aggregate(v, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return read(spark, d, "embeddings").select("vec_id", F.round(F.sqrt(square(F.col("embedding"))) * 1000).cast("long").alias("norm_milli"), (F.abs(square(S.l2_normalize(F.col("embedding"))) - 1.0) < 1e-9).alias("unit"))
+    norm = F.round(F.sqrt(square(F.col("embedding"))) * 1000).cast("long")
+    unit = F.abs(square(S.l2_normalize(F.col("embedding"))) - 1.0) < 1e-9
+    return read(spark, d, "embeddings").select("vec_id", norm.alias("norm_milli"), unit.alias("unit"))
 
 
 @registered(f"SELECT vec_id, list_sum({QUANTIZED})::BIGINT AS total FROM embeddings")
@@ -523,7 +623,9 @@ SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: floor(least(gre
 def m18_contrast_stretch(spark, d):
     vectors = read(spark, d, "embeddings")
     bounds = progress.percentile_bounds(vectors.select("label", F.explode("embedding").alias("x")).withColumn("x", F.col("x").cast("double")), "label", "x")
-    return vectors.join(bounds, "label").select("vec_id", F.aggregate(S.contrast_stretch(F.col("embedding"), F.col("low"), F.col("high")), F.lit(0.0).cast("double"), lambda s, x: s + x).cast("long").alias("total"))
+    stretched = S.contrast_stretch(F.col("embedding"), F.col("low"), F.col("high"))
+    total = F.aggregate(stretched, F.lit(0.0).cast("double"), lambda s, x: s + x).cast("long")
+    return vectors.join(bounds, "label").select("vec_id", total.alias("total"))
 
 
 @registered("""SELECT vec_id, variant, CAST(list_sum(list_transform(embedding, lambda x: floor(least(abs((CAST(x AS DOUBLE)*255.0)*a+b), 255.0)))) AS BIGINT) AS total FROM embeddings, (VALUES ('original',1.0::DOUBLE,0.0::DOUBLE),('brighter',1.0,30.0),('darker',1.0,-30.0),('contrast',1.2,0.0)) v(variant,a,b)""")
@@ -533,14 +635,22 @@ def m19_photometric_variants(spark, d):
     return variants.select("vec_id", "v.variant", F.aggregate("v.vector", F.lit(0.0).cast("double"), lambda s, x: s + F.floor(x)).cast("long").alias("total"))
 
 
-@registered("SELECT p_partkey AS id FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), split_part((SELECT lower(min(p_name)) FROM part), ' ', 1))")
+@registered(
+    """SELECT p_partkey AS id
+FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), split_part((SELECT lower(min(p_name))
+FROM part), ' ', 1))"""
+)
 def m20_search_tokens(spark, d):
     parts = read(spark, d, "part")
     word = parts.agg(F.split(F.lower(F.min("p_name")), " ")[0].alias("w")).first()["w"]
     return progress.search_tokens(progress.token_index(parts, "p_partkey", "p_name"), [word])
 
 
-@registered("SELECT token, count(*) AS n FROM (SELECT DISTINCT p_partkey, unnest(string_split_regex(lower(p_name), '[^a-z0-9]+')) AS token FROM part) WHERE token <> '' GROUP BY token")
+@registered(
+    """SELECT token, count(*) AS n
+FROM (SELECT DISTINCT p_partkey, unnest(string_split_regex(lower(p_name), '[^a-z0-9]+')) AS token
+FROM part) WHERE token <> '' GROUP BY token"""
+)
 def m20_token_index(spark, d):
     return progress.token_index(read(spark, d, "part"), "p_partkey", "p_name").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
@@ -552,7 +662,9 @@ def m20_token_index(spark, d):
 def v1_blob_codec(spark, d):
     """To a float32 blob, back, and to one byte each; the bytes' sum equals that of m17."""
     blob = read(spark, d, "embeddings").select("vec_id", blobs.encode_blob("embedding").alias("b")).select("vec_id", blobs.pack_quantized(blobs.decode_blob(64)("b")).alias("q"))
-    return blob.select("vec_id", F.aggregate(F.sequence(F.lit(1), F.length("q")), F.lit(0).cast("long"), lambda s, k: s + F.conv(F.hex(F.substring("q", k, F.lit(1))), 16, 10).cast("long")).alias("total"))
+    value = lambda k: F.conv(F.hex(F.substring("q", k, F.lit(1))), 16, 10).cast("long")
+    total = F.aggregate(F.sequence(F.lit(1), F.length("q")), F.lit(0).cast("long"), lambda s, k: s + value(k))
+    return blob.select("vec_id", total.alias("total"))
 
 
 #: Anchors of pages, whose hrefs and texts are plain: some get an image, some pages a second anchor without a text.
