@@ -171,11 +171,12 @@ def match_names(left: DataFrame, right: DataFrame, k: int = 5) -> DataFrame:
     forward = _holding(names_a, names_b, k).withColumnsRenamed({"needle": "needle_a", "hay": "b"})
     backward = _holding(firsts.select(F.col("b").alias("needle")), a.select(F.col("a").alias("hay")), k).withColumnsRenamed({"needle": "b", "hay": "a"})
     by_name = a.select("left_id", F.explode(F.array_distinct(F.array("a", "bare"))).alias("needle_a")).join(forward, "needle_a").select("left_id", "b")
-    pairs = by_name.unionByName(a.join(backward, "a").select("left_id", "b")).join(firsts, "b").select("left_id", "first")
-    # an empty name, or one of colons alone, lies in every name: it takes the first candidate
-    first = b.agg(F.min(order).alias("first")).where("first IS NOT NULL")
-    empty = a.where("bare = ''").select("left_id").crossJoin(F.broadcast(first))  # one row
-    return pairs.unionByName(empty).groupBy("left_id").agg(F.min("first").alias("m")).select("left_id", F.col("m.right_id").alias("right_id"))
+    # an empty name, or one of colons alone, lies in every name: it takes the first candidate, which stands under ''
+    empty = a.where("bare = ''").select("left_id", F.col("bare").alias("b"))
+    first = b.agg(F.min(order).alias("first")).where("first IS NOT NULL").select(F.lit("").alias("b"), "first")
+    met = by_name.unionByName(a.join(backward, "a").select("left_id", "b")).unionByName(empty)
+    best = met.join(firsts.unionByName(first), "b").groupBy("left_id").agg(F.min("first").alias("m"))
+    return best.select("left_id", F.col("m.right_id").alias("right_id"))
 
 
 def backlog(sets: DataFrame, cards: DataFrame, completed: Sequence[int] | None = None) -> DataFrame:
