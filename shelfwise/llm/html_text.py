@@ -164,7 +164,7 @@ def _tokens(page: str, containers: Containers, spared: frozenset[int]) -> tuple[
     out: list[Token] = []
     stack: list[Open] = []
     opened: Counter[str] = Counter()
-    left_out: list[int] = []  # places on the stack of elements that are left out
+    left_out: list[int] = []  # places on the stack of elements that are left out, and not yet in ``around``
     around: set[int] = set()
     ends: dict[str, re.Match | None] = {}  # of RAW elements, the last one looked up
     place, articles = 0, 0
@@ -204,6 +204,7 @@ def _tokens(page: str, containers: Containers, spared: frozenset[int]) -> tuple[
                 never = name in ("html", "body", "main") or name == "article" and articles == 1
                 if never:
                     around.update(stack[k].place for k in left_out)
+                    left_out.clear()
                 if name not in VOID and not attributes.endswith("/"):
                     left = not never and m.start() not in spared and containers.outside(name, attributes)
                     if not outside and not never:

@@ -438,6 +438,7 @@ def test_html_time_is_linear_in_nesting():
     for n in (20_000, 80_000):
         began = time.perf_counter()
         assert len(html_text.tokens("<b>" * n + "<div>x" * n + "</b>" * n + "</i>" * n)) == 5 * n
+        assert len(html_text.tokens("<nav>" * n + "<main>x" * n)) == 3 * n
         took.append(time.perf_counter() - began)
     assert took[1] < 12 * took[0]
 
