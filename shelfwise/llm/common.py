@@ -42,6 +42,7 @@ def blocks(batch: pa.RecordBatch, column: str | int = "text", limit: int = BLOCK
         hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, side="right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()  # workers of one executor share its memory
 
 
 def flat_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -41,7 +41,7 @@ WORDS = 3
 NUM, DEN = 90, 100
 SKETCH_LONGS = 8
 #: Tasks shingle blocks of about so many bytes of text.
-SHINGLE_BYTES = 1 << 19
+SHINGLE_BYTES = 1 << 18
 
 
 def bands(limit: int, num: int = NUM, den: int = DEN) -> np.ndarray:

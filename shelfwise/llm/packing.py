@@ -263,7 +263,6 @@ class WordIds:
         return out
 
 
-_encoders: dict[int, WordIds] = {}
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -277,10 +276,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, w
     """
     source = Path(tokenizer_path).read_text()
     kinds = character_classes()
-    key, tail = hash(source), np.array([end_id], "<u4").tobytes()
+    tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoders.get(key) or _encoders.setdefault(key, WordIds(source, kinds))
+        encode = WordIds(source, kinds)  # half a second; kept for the task alone, since a worker goes on to other operators
         packer, sequence_id = Packer(window, held), TaskContext.get().partitionId() << 40
         out: list[tuple] = []
 
