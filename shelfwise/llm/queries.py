@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, filter_audit, html_text, jaccard, language, licenses, packing, sentencepieces, token_counts, topk, toxicity
+from . import collocations, exact_dedup, filter_audit, html_text, jaccard, language, licenses, packing, sentencepieces, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_sentencepiece": sentencepieces.query,
     "op9_ngram_jaccard": jaccard.query,
     "op10_toxicity": toxicity.query,
+    "op11_collocations": collocations.query,
     "op12_filter_audit": filter_audit.query,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op6_top_k": topk.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
 }
