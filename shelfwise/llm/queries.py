@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import collocations, exact_dedup, filter_audit, html_text, jaccard, language, licenses, packing, sentencepieces, token_counts, topk, toxicity
+from . import collocations, exact_dedup, filter_audit, html_text, jaccard, language, licenses, packing, quality, sentencepieces, token_counts, topk, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.query,
     "op11_collocations": collocations.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_quality": quality.query,
 }
 
 ORACLES = {
