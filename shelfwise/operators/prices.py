@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .merging import fan_out_prices
 
 
 def latest_buckets(history: DataFrame) -> DataFrame:
@@ -42,3 +43,59 @@ def price_maps(variants: DataFrame) -> DataFrame:
 def current_prices(history: DataFrame) -> DataFrame:
     """All three steps; products without a usable price have no row."""
     return price_maps(first_priced_variant(latest_buckets(history)))
+
+
+#: A landed price history, as its source names the fields.  Prices are numbers or text, so they are read as text.
+BUCKET = "struct<bucketStartDate:string, marketPrice:string, lowSalePrice:string>"
+HISTORY = f"struct<result: array<struct<variant: string, condition: string, buckets: array<{BUCKET}>>>>"
+
+
+def read_histories(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """``bodies`` with ``results`` (array of variant, condition, buckets) in place of each response's text; no results where it has none or is no JSON."""
+    results = F.from_json(body, HISTORY)["result"]
+    return bodies.withColumn("results", F.coalesce(results, F.array().cast(f"array<struct<variant:string,condition:string,buckets:array<{BUCKET}>>>"))).drop(body)
+
+
+def _price(text: Column) -> Column:
+    """A price as a number: missing, empty and unreadable ones are 0, as no price is."""
+    return F.coalesce(F.trim(text).try_cast("double"), F.lit(0.0))
+
+
+def _last_bucket(buckets: Column) -> Column:
+    """The last bucket with a readable date, of equal dates the one that stands later: (date, pos, market, low), or null."""
+    dated = F.transform(buckets, lambda b, at: F.struct(F.try_to_date(b["bucketStartDate"], "yyyy-M-d").alias("date"), at.alias("pos"), _price(b["marketPrice"]).alias("market"), _price(b["lowSalePrice"]).alias("low")))
+    return F.array_max(F.filter(dated, lambda b: b["date"].isNotNull()))
+
+
+def latest_nested(histories: DataFrame) -> DataFrame:
+    """A row per product and result, with its last bucket: the rows of ``latest_buckets`` straight from nested ``results``.
+
+    Higher-order functions work within a product's row, so nothing shuffles;
+    results without a readable bucket have no row.
+    """
+    last = F.transform("results", lambda r, at: F.struct((at + 1).alias("result_pos"), r["variant"].alias("variant"), r["condition"].alias("cond"), _last_bucket(r["buckets"]).alias("last")))
+    rows = histories.select("product_id", F.explode(F.filter(last, lambda r: r["last"].isNotNull())).alias("r"))
+    return rows.select("product_id", "r.result_pos", "r.variant", "r.cond", F.col("r.last.date").alias("bucket_date"), "r.last.market", "r.last.low")
+
+
+def nested_prices(histories: DataFrame) -> DataFrame:
+    """product_id, prices, best_price and bad_buckets (buckets without a readable date) from nested ``results``, one row per row and without a shuffle.
+
+    The near-mint results come in their order; the first of each normalised
+    variant whose last bucket has a price counts.  A product without any has an
+    empty map and a best price of 0.
+    """
+    near = F.filter("results", lambda r: S.near_mint(r["condition"]))
+    keyed = F.transform(near, lambda r: F.struct(S.normalize_variant(r["variant"]).alias("key"), _last_bucket(r["buckets"]).alias("last")))
+    rows = histories.withColumn("_priced", F.filter(keyed, lambda r: r["key"].isNotNull() & (r["last"]["market"] > 0)))
+    keys = F.transform("_priced", lambda r: r["key"])
+    firsts = F.filter("_priced", lambda r, at: F.array_position(keys, r["key"]) == at + 1)
+    entries = F.transform(firsts, lambda r: F.struct(r["key"], F.struct(r["last"]["market"].alias("market"), F.when(r["last"]["low"] > 0, r["last"]["low"]).alias("low"))))
+    bad = F.aggregate("results", F.lit(0).cast("long"), lambda s, r: s + F.size(F.filter(F.coalesce(r["buckets"], F.array()), lambda b: F.try_to_date(b["bucketStartDate"], "yyyy-M-d").isNull())))
+    found = rows.select("product_id", F.map_from_entries(entries).alias("prices"), bad.alias("bad_buckets"))
+    return found.select("product_id", "prices", S.best_history_price(F.col("prices")).alias("best_price"), "bad_buckets")
+
+
+def refresh_from_histories(cards: DataFrame, histories: DataFrame, at: Column) -> DataFrame:
+    """The whole refresh of cards from nested histories, one a product: only the fan-out to the cards joins anything."""
+    return fan_out_prices(cards, nested_prices(histories).where(F.size("prices") > 0), at)

@@ -50,11 +50,24 @@ def add_to_set(array: Column, value: Column) -> Column:
 
 
 def coverage(backlog: DataFrame) -> DataFrame:
-    """Sets done and open, rows skipped (existing ones of done sets, and the part already fetched of others), and whether all are done."""
-    skipped = F.when(F.col("done"), F.col("existing")).otherwise(F.least("existing", "card_count"))
+    """Sets done and open, rows skipped, and whether all sets are done.
+
+    Skipped are the existing rows of done sets and, of an open one, those
+    before its start offset where that is above 0 and, with a known count,
+    below it.  ``start_offset`` is the existing rows unless there is such a column.
+    """
+    offset = F.col("start_offset") if "start_offset" in backlog.columns else F.col("existing")
+    partly = (offset > 0) & (F.coalesce(F.col("card_count") <= 0, F.lit(True)) | (offset < F.col("card_count")))
+    skipped = F.when(F.col("done"), F.col("existing")).when(partly, offset).otherwise(0)
     return backlog.agg(F.count_if("done").alias("sets_done"), F.count_if(~F.col("done")).alias("sets_open"), F.sum(skipped).cast("long").alias("rows_skipped"), F.every("done").alias("complete"))
 
 
+def against_server(groups: DataFrame) -> DataFrame:
+    """One row over ``completeness`` of all groups: items that are there, the server's total, and whether they reach it."""
+    sums = groups.agg(F.sum("items").alias("local_items"), F.sum("server_total").alias("server_total"))
+    return sums.withColumn("complete", F.col("local_items") >= F.col("server_total"))
+
+
 def links_by_href(links: DataFrame, *within: str) -> DataFrame:
     """Of each href (``within`` columns such as a page) the first text that isn't empty and the last image; only hrefs with both."""
     text, image = F.when(F.col("text") != "", F.col("text")), F.when(F.col("img") != "", F.col("img"))

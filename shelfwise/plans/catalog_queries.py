@@ -8,7 +8,7 @@ from ..functions import blobs
 from ..functions import scalars as S
 from ..operators import html_links, mapping, merging, prices, progress
 from ..sources import landing, publishing
-from . import mapping_queries  # noqa: F401, registers its own
+from . import landing_queries, mapping_queries  # noqa: F401, register their own
 from .registry import ORACLES, QUERIES, read, registered  # noqa: F401
 from .views import view
 
@@ -366,7 +366,7 @@ def a10_percentile_bounds(spark, d):
     BACKLOG
     + """ SELECT count(*) FILTER (done) AS sets_done,
  count(*) FILTER (NOT done) AS sets_open,
- CAST(sum(CASE WHEN done THEN existing ELSE least(existing, card_count) END) AS BIGINT) AS rows_skipped, bool_and(done) AS complete
+ CAST(sum(CASE WHEN done THEN existing WHEN existing > 0 AND (card_count <= 0 OR existing < card_count) THEN existing ELSE 0 END) AS BIGINT) AS rows_skipped, bool_and(done) AS complete
 FROM b""",
     "sets", "cards",
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 COUNTERS = ("created", "updated", "skipped", "failed")
@@ -54,3 +54,40 @@ def parse_progress_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """Counters of lines such as ``page=3 cards=250 created=750 updated=0 skipped=0 failed=2``; other lines are left out."""
     kept = lines.where(F.col(column).rlike(r"\bcreated=\d+"))
     return kept.select(*(F.nullif(F.regexp_extract(column, rf"\b{name}=(\d+)", 1), F.lit("")).try_cast("long").alias(name) for name in ("page", *COUNTERS)))
+
+
+def page_totals(pages: DataFrame, body: str = "body") -> DataFrame:
+    """``pages`` with ``items`` (how many its ``data`` holds) and ``total_count`` (what the server says there is; 0 if it doesn't) in place of the text."""
+    data = F.get_json_object(body, "$.data")
+    first = F.substring(F.ltrim(data), 1, 1)
+    items = F.when(first == "[", F.size(F.array_compact(F.from_json(data, "array<string>")))).when(first == "{", 1).otherwise(0)
+    total = F.coalesce(F.get_json_object(body, "$.totalCount").try_cast("long"), F.lit(0).cast("long"))
+    return pages.withColumns({"items": items.cast("long"), "total_count": total}).drop(body)
+
+
+def missing_pages(totals: DataFrame, page_size: int, group: str = "set_id", page: str = "page") -> DataFrame:
+    """(group, first_missing, last_missing): the gaps between the pages that landed and those that the server's total asks for.
+
+    Pages count from 1.  A page without items hasn't landed.  Of differing
+    totals the largest counts.  A group's pages form islands; a gap stands
+    before each island and after the last, so nothing is expanded, and a page
+    landed twice changes nothing.
+    """
+    ends = totals.groupBy(group).agg(F.ceil(F.max("total_count") / page_size).cast("long").alias("_last"))
+    there = totals.where("items > 0").select(group, F.col(page).cast("long").alias("_page")).distinct()
+    marks = there.unionByName(ends.select(group, (F.col("_last") + 1).alias("_page")))
+    before = F.coalesce(F.lag("_page").over(Window.partitionBy(group).orderBy("_page")), F.lit(0))
+    gaps = marks.withColumn("_before", before).join(ends, group)
+    last = F.least(F.col("_page") - 1, F.col("_last"))
+    return gaps.select(group, (F.col("_before") + 1).alias("first_missing"), last.alias("last_missing")).where("first_missing <= last_missing")
+
+
+def completeness(totals: DataFrame, page_size: int, group: str = "set_id", page: str = "page") -> DataFrame:
+    """A row per group: pages expected and landed, items landed (a page landed twice counts its largest), the server's total, and whether all is there.
+
+    A page that is neither the last nor full is short: where there is one, the
+    group isn't complete even if all its pages landed.
+    """
+    by_page = totals.groupBy(group, F.col(page).cast("long").alias("_page")).agg(F.max("items").alias("items"), F.max("total_count").alias("total_count"))
+    sums = by_page.groupBy(group).agg(F.max("total_count").alias("server_total"), F.sum("items").alias("items"), F.count_if(F.col("items") > 0).alias("landed_pages"))
+    return sums.select(group, F.ceil(F.col("server_total") / page_size).cast("long").alias("expected_pages"), "landed_pages", "items", "server_total", (F.col("items") >= F.col("server_total")).alias("complete"))
