@@ -101,6 +101,11 @@ def asset_path(url: Column, item_id: Column) -> Column:
     return F.concat(item_id, F.lit("."), asset_extension(url))
 
 
+def public_url(store: str, bucket: str, path: Column) -> Column:
+    """Where a stored asset can be fetched by anyone."""
+    return F.concat(F.lit(f"{store}/storage/v1/object/public/{bucket}/"), path)
+
+
 def to_int_strict(text: Column) -> Column:
     """Null unless the whole text, trimmed, is a whole number."""
     return F.when(F.trim(text).rlike(r"^[+-]?\d+$"), F.trim(text).try_cast("int"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,34 @@ def run_summary(classified: DataFrame, existing: DataFrame) -> DataFrame:
     return found.withColumn("changed", F.col("created") + F.col("updated") > 0)
 
 
+def write_observed(classified: DataFrame, existing: DataFrame, path: str) -> dict[str, int]:
+    """Write the accepted rows and count all of them on the way: ``run_summary`` of what was written, without a second scan.
+
+    ``classified`` has id and status.  A task that is repeated counts once.
+    """
+    there = existing.select(F.col("id").alias("_id")).distinct()
+    joined = classified.join(there, F.col("id") == F.col("_id"), "left")
+    accepted, counters = F.col("status") == "accepted", Observation()
+    observed = joined.observe(
+        counters,
+        F.count_if(accepted & F.col("_id").isNull()).alias("created"),
+        F.count_if(accepted & F.col("_id").isNotNull()).alias("updated"),
+        F.count_if(F.col("status") == "skipped").alias("skipped"),
+        F.count_if(F.col("status") == "failed").alias("failed"),
+        F.count(F.lit(1)).alias("fetched"),
+    )
+    observed.where(accepted).drop("_id", "status").write.mode("overwrite").parquet(path)
+    return dict(counters.get)
+
+
+def close_observed(spark: SparkSession, run_id: int | str, counters: dict[str, int], finished_at: str, stopped: bool = False, **rest: int | str | None) -> DataFrame:
+    """The event that closes a run, from counters taken while it wrote; ``rest`` are other columns of RUN_CLOSED."""
+    found = {"rows_fetched": counters["fetched"], "rows_upserted": counters["created"] + counters["updated"], "finished_at": finished_at} | rest
+    values = [F.lit(found.get(c)).alias(c) for c in RUN_CLOSED]
+    one = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("stopped" if stopped else "completed").alias("status"), *values)
+    return close_runs(one)
+
+
 def call_credits(body_total: Column, header: Column, requested: Column) -> Column:
     """A call's credits: the body's total, else the header's, else 0; and 0 falls back to what was requested."""
     return F.coalesce(F.nullif(F.coalesce(body_total, header, F.lit(0)), F.lit(0)), requested)

@@ -8,7 +8,7 @@ from ..functions import blobs
 from ..functions import scalars as S
 from ..operators import html_links, mapping, merging, prices, progress
 from ..sources import landing, publishing
-from . import landing_queries, mapping_queries  # noqa: F401, register their own
+from . import landing_queries, mapping_queries, run_queries  # noqa: F401, register their own
 from .registry import ORACLES, QUERIES, read, registered  # noqa: F401
 from .views import view
 
@@ -318,7 +318,7 @@ def a3_sets_with_cards(spark, d):
 
 
 @registered(
-    """SELECT count(*) AS n_rows, count(embedding) AS n_vectors, 64.0::DOUBLE AS avg_bytes, count(vec_id)-count(DISTINCT vec_id) AS repeated_ids,
+    """SELECT count(*) AS n_rows, count(embedding) AS n_vectors, avg(len(embedding))::DOUBLE AS avg_bytes, count(vec_id)-count(DISTINCT vec_id) AS repeated_ids,
  count(*) FILTER (label IS NULL) AS null_names
 FROM embeddings"""
 )
@@ -603,14 +603,15 @@ def m15_normalize_link(spark, d):
 
 @registered(
     """SELECT vec_id,
- CAST(round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))*1000) AS BIGINT) AS norm_milli, true AS unit
+ CAST(round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))*1000) AS BIGINT) AS norm_milli,
+ CAST(round(100 * embedding[1] / sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)*CAST(x AS DOUBLE))))) AS BIGINT) AS first_percent
 FROM embeddings"""
 )
 def m16_l2_normalize(spark, d):
     square = lambda v: F.aggregate(v, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double"))
     norm = F.round(F.sqrt(square(F.col("embedding"))) * 1000).cast("long")
-    unit = F.abs(square(S.l2_normalize(F.col("embedding"))) - 1.0) < 1e-9
-    return read(spark, d, "embeddings").select("vec_id", norm.alias("norm_milli"), unit.alias("unit"))
+    first = F.round(F.element_at(S.l2_normalize(F.col("embedding")), 1) * 100).cast("long")
+    return read(spark, d, "embeddings").select("vec_id", norm.alias("norm_milli"), first.alias("first_percent"))
 
 
 @registered(f"SELECT vec_id, list_sum({QUANTIZED})::BIGINT AS total FROM embeddings")
@@ -635,15 +636,9 @@ def m19_photometric_variants(spark, d):
     return variants.select("vec_id", "v.variant", F.aggregate("v.vector", F.lit(0.0).cast("double"), lambda s, x: s + F.floor(x)).cast("long").alias("total"))
 
 
-@registered(
-    """SELECT p_partkey AS id
-FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), split_part((SELECT lower(min(p_name))
-FROM part), ' ', 1))"""
-)
+@registered("SELECT p_partkey AS id FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), 'small')")
 def m20_search_tokens(spark, d):
-    parts = read(spark, d, "part")
-    word = parts.agg(F.split(F.lower(F.min("p_name")), " ")[0].alias("w")).first()["w"]
-    return progress.search_tokens(progress.token_index(parts, "p_partkey", "p_name"), [word])
+    return progress.search_tokens(progress.token_index(read(spark, d, "part"), "p_partkey", "p_name"), ["Small"])
 
 
 @registered(

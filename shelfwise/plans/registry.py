@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,5 +26,15 @@ def registered(sql: str | None, *views: str):
     return add
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the folder that the session's executors share; a local session without one gets a temporary folder."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.gettempdir()
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
 def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")

@@ -32,9 +32,10 @@ from events"""),
 }
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame | None = None) -> DataFrame:
+    """A derived table over its source table, or over ``rows`` of the same columns, such as a stream."""
     source, sql = VIEWS[name]
-    return spark.sql(sql.replace(f"from {source}", "from {source}"), source=spark.read.parquet(f"{sf_dir}/{source}.parquet"))
+    return spark.sql(sql.replace(f"from {source}", "from {source}"), source=spark.read.parquet(f"{sf_dir}/{source}.parquet") if rows is None else rows)
 
 
 def with_views(sql: str, *names: str) -> str:

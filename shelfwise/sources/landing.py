@@ -44,10 +44,41 @@ def read_name_list(spark: SparkSession, path: str) -> DataFrame:
     return name_list(spark.read.text(path, wholetext=True))
 
 
+#: An asset's id is its file's name without ending, or else the value of the last folder ``key=value``.
+ASSET_ID = r"([^/=]+?)(?:\.[^./]*|/part-[^/]*)$"
+
+
+def list_assets(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(item_id, path, length) of binary files; no content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return files.select(F.regexp_extract("path", ASSET_ID, 1).alias("item_id"), "path", "length")
+
+
 def read_assets(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, content, item_id) of binary files; the id is the file's name without its ending."""
+    """(path, content, item_id) of all binary files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content", F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("item_id"))
+    return files.select("path", "content", F.regexp_extract("path", ASSET_ID, 1).alias("item_id"))
+
+
+def pending_assets(spark: SparkSession, pending: DataFrame, path: str, glob: str = "*", limit: int | None = None) -> DataFrame:
+    """(item_id, path, length) of the files of pending items, by ids alone; the first ``limit`` of them by item."""
+    found = list_assets(spark, path, glob).join(pending.select(F.col("item_id").cast("string").alias("item_id")).distinct(), "item_id", "left_semi")
+    return found if limit is None else found.orderBy("item_id", "path").limit(limit)
+
+
+def asset_contents(spark: SparkSession, assets: DataFrame, most: int = 100_000) -> DataFrame:
+    """(item_id, path, content) of listed files, and of no others: their paths are the scan's input.
+
+    The driver holds the paths, so one call takes at most ``most`` of them;
+    longer lists go in several calls, as ``embedding.embed_pending`` does.
+    """
+    paths = [r["path"] for r in assets.select("path").limit(most + 1).collect()]
+    if len(paths) > most:
+        raise ValueError(f"more than {most} files at once")
+    if not paths:
+        return spark.createDataFrame([], "item_id string, path string, content binary")
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(F.regexp_extract("path", ASSET_ID, 1).alias("item_id"), "path", "content")
 
 
 def parse_progress_log(lines: DataFrame, column: str = "value") -> DataFrame:
