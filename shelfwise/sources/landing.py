@@ -49,7 +49,7 @@ ASSET_ID = r"([^/=]+?)(?:\.[^./]*|/part-[^/]*)$"
 
 
 def list_assets(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(item_id, path, length) of binary files; no content is read."""
+    """(item_id, path, length) of binary files; no content is read.  Spark's reader leaves empty files out."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     return files.select(F.regexp_extract("path", ASSET_ID, 1).alias("item_id"), "path", "length")
 

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import blobs
 from shelfwise.functions import scalars as S
-from shelfwise.operators import embedding, html_links, merging, prices, progress
+from shelfwise.operators import html_links, merging, prices, progress
 from shelfwise.sources import landing, publishing
-from shelfwise.streaming import streams
 
 
 def values(spark, column, rows, schema):
@@ -150,26 +149,6 @@ def test_sources_and_sinks(spark, tmp_path):
     publishing.write_compact(cards, str(tmp_path / "c"))
     check = publishing.validate_package(spark.read.parquet(str(tmp_path / "c"))).first()
     assert (check["n_rows"], check["avg_bytes"], check["repeated_ids"]) == (20, 2.0, 0)
-    twice = cards.withColumn("updated_at", F.lit("w")).unionByName(cards.withColumn("updated_at", F.lit("y")))
-    publishing.write_compact(twice, str(tmp_path / "c2"), 3)
-    assert {r["updated_at"] for r in spark.read.parquet(str(tmp_path / "c2")).collect()} == {"y"}
-    quiet, loud = (spark.createDataFrame([(c,)], "changed boolean") for c in (False, True))
-    assert not publishing.publish_if_changed(quiet, cards, str(tmp_path / "never")) and not (tmp_path / "never").exists()
-    assert publishing.publish_if_changed(loud, cards, str(tmp_path / "published")) and spark.read.parquet(str(tmp_path / "published")).count() == 20
-
-
-def test_embedding_errors_are_rows(spark, tmp_path):
-    for name, content in (("a.bin", b"\x01\x02\x02"), ("b.bin", b"\xff")):
-        (tmp_path / name).write_bytes(content)
-
-    def histogram(contents):
-        if any(c == b"\xff" for c in contents):
-            raise ValueError("not an image")
-        return np.stack([np.bincount(np.frombuffer(c, np.uint8), minlength=4)[:4] for c in contents]).astype(float)
-
-    rows = {r["item_id"]: r for r in embedding.embed_assets(landing.read_assets(spark, str(tmp_path), "*.bin"), histogram).collect()}
-    assert rows["a"]["ok"] and abs(sum(x * x for x in rows["a"]["vector"]) - 1) < 1e-6
-    assert not rows["b"]["ok"] and "not an image" in rows["b"]["error"]
 
 
 def test_anchors(spark):
@@ -179,53 +158,3 @@ def test_anchors(spark):
     more = spark.createDataFrame([(3, "<!-- <a href='/no'>x</a> --><A class=b HREF='/a?x=1&amp;y=2'>A &lt;B&gt;<img src=1.png><IMG alt='' src='2.png'></A><abbr>z</abbr><a data-href='n'>no</a><a href=/c>open<a name=k href=\"/d\">Line\nbreak</a >")], "page_id long, html string")
     assert [tuple(r)[1:] for r in html_links.extract_anchors(more).orderBy("pos").collect()] == [(1, "/a?x=1&y=2", "A <B>", "2.png"), (2, "/c", "open", ""), (3, "/d", "Line\nbreak", "")]
     assert tuple(progress.links_by_href(links).select("href", "name", "image").first()) == ("/card/x", "Name", "/l.png")
-
-
-def test_streams(spark, tmp_path):
-    landed, target, state = (str(tmp_path / n) for n in ("in", "out", "cp"))
-    schema = "id int, price double, seq int"
-    spark.createDataFrame([(1, 1.0, 1), (1, 2.0, 2), (2, 3.0, 1)], schema).coalesce(1).write.json(landed)
-    for _ in range(2):  # a second run adds nothing
-        streams.ingest_landed(spark, landed, schema, target, state)
-    assert spark.read.parquet(target).count() == 3
-    rows = spark.readStream.schema(schema).json(landed)
-    up, first = str(tmp_path / "up"), str(tmp_path / "ii")
-    both = lambda: [sorted((r["id"], r["price"]) for r in read(spark, path, ["id"], "seq").collect()) for path, read in ((up, streams.upserted), (first, streams.first_inserted))]
-    for _ in range(2):  # a second run adds nothing
-        streams.stream_upsert(rows, up, str(tmp_path / "cp2"), ["id"], "seq")
-        streams.stream_insert_ignore(rows, first, str(tmp_path / "cp3"), ["id"], "seq")
-        assert both() == [[(1, 2.0), (2, 3.0)], [(1, 1.0), (2, 3.0)]]
-    spark.createDataFrame([(2, 9.0, 0), (3, 7.0, 5)], schema).coalesce(1).write.mode("append").json(landed)
-    streams.stream_upsert(rows, up, str(tmp_path / "cp2"), ["id"], "seq")
-    streams.stream_insert_ignore(rows, first, str(tmp_path / "cp3"), ["id"], "seq")
-    assert both() == [[(1, 2.0), (2, 9.0), (3, 7.0)], [(1, 1.0), (2, 3.0), (3, 7.0)]]
-    streams.compact_batches(spark, up, str(tmp_path / "up2"), lambda s, p: streams.upserted(s, p, ["id"], "seq"))
-    assert spark.read.parquet(str(tmp_path / "up2")).count() == 3
-
-
-def test_first_within_watermark(spark, tmp_path):
-    path = str(tmp_path / "in")
-    spark.createDataFrame([(1, "2024-01-01 00:00:00"), (1, "2024-01-01 01:00:00"), (2, "2024-01-01 02:00:00")], "id int, ts string").coalesce(1).write.json(path)
-    rows = streams.first_within_watermark(spark.readStream.schema("id int, ts string").json(path), ["id"])
-    rows.writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
-    assert sorted(r["id"] for r in spark.table("firsts").collect()) == [1, 2]
-
-
-def test_stream_twins(spark, tmp_path, sf_dir):
-    """Credits and streaks as streams equal their batch twins."""
-    from shelfwise.plans.views import view
-
-    calls = view(spark, sf_dir, "calls")
-    path = str(tmp_path / "calls")
-    calls.coalesce(1).write.parquet(path)
-    stream = spark.readStream.schema(calls.schema).parquet(path)
-    q = streams.stream_streaks(stream, 3).writeStream.format("memory").queryName("streaks").outputMode("update").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c1")).start()
-    q.awaitTermination()
-    got = {r["key_id"]: r["streak"] for r in spark.table("streaks").collect()}
-    last = merging.keep_last(progress.failure_streaks(calls, 3).select("key_id", F.struct("ts", "event_id").alias("at"), "streak"), ["key_id"], "at")
-    assert got == {r["key_id"]: r["streak"] for r in last.collect()}
-    q = streams.stream_credits(stream).writeStream.format("memory").queryName("credits").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c2")).start()
-    q.awaitTermination()
-    batch = {(r["key_id"], r["day"]): r["credits"] for r in progress.credits_per_day(calls).collect()}
-    got = {(r["key_id"], r["day"]): r["credits"] for r in spark.table("credits").collect()}
-    assert got and all(batch[k] == v for k, v in got.items())
