@@ -131,51 +131,60 @@ def english_names(cards: DataFrame, names: DataFrame, numbers: str = "dex_ids")
     return cards.join(listed, F.try_element_at(F.col(numbers), F.lit(1)) == F.col("_position"), "left").drop("_position")
 
 
-def _grams(name: str, size: int) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(name) - size + 1), lambda i: F.substring(F.col(name), i, F.lit(size))))
+def _grams(name: str, sizes: Sequence[int]) -> Column:
+    """A name's distinct parts of the given lengths."""
+    part = lambda n: F.when(F.length(name) >= n, F.transform(F.sequence(F.lit(1), F.length(name) - n + 1), lambda i: F.substring(F.col(name), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*map(part, sizes)))
+
+
+#: Names that hold a short needle may be very many: they are dealt over so many tasks.
+DEALS = 16
 
 
 def _holding(needles: DataFrame, hays: DataFrame, k: int) -> DataFrame:
-    """(needle, hay): distinct names in which the hay holds the needle; no empty ones.
+    """(needle, first, hay) of distinct needles that aren't empty and the distinct hays that hold them, with what stands beside either.
 
-    A needle of k characters or more meets the hays that share its rarest
-    k-gram, a shorter one those that share it as a gram of its own length.
+    A needle of k characters or more meets the hays that have its rarest
+    k-gram, a shorter one those of which it is a gram itself.  The grams of the
+    hays are built once; those that no needle has are never counted.
     """
-    needles = needles.where("needle <> ''").distinct()
-    short = [r[0] for r in needles.select(F.length("needle")).where(F.length("needle") < k).distinct().collect()]  # at most k - 1 numbers
-    found = None
-    for size in [*sorted(short), k]:
-        grams = hays.where(F.length("hay") >= size).distinct().select("hay", F.explode(_grams("hay", size)).alias("gram"))
-        if size < k:
-            picked = needles.where(F.length("needle") == size).select("needle", F.col("needle").alias("gram"))
-        else:
-            counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-            asked = needles.where(F.length("needle") >= size).select("needle", F.explode(_grams("needle", size)).alias("gram"))
-            picked = asked.join(counts, "gram").groupBy("needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-        part = picked.join(grams, "gram").where(F.contains("hay", "needle")).select("needle", "hay")
-        found = part if found is None else found.unionByName(part)
-    return found
+    short = F.length("gram") < k
+    whole = F.when(F.length("needle") < k, F.array("needle")).otherwise(_grams("needle", [k]))
+    pieces = needles.where("needle <> ''").select("needle", F.explode(whole).alias("gram"))
+    grams = hays.withColumn("gram", F.explode(_grams("hay", list(range(1, k + 1)))))
+    counts = grams.join(pieces.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    probes = pieces.join(counts, "gram").groupBy("needle").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    dealt = grams.withColumn("deal", F.when(short, F.pmod(F.xxhash64("hay"), F.lit(DEALS))).otherwise(0))
+    copied = probes.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.when(short, F.lit(DEALS - 1)).otherwise(0).cast("long"))))
+    return copied.join(dealt, ["gram", "deal"]).where(F.contains("hay", "needle")).drop("gram", "deal")
 
 
 def match_names(left: DataFrame, right: DataFrame, k: int = 5) -> DataFrame:
     """(left_id, right_id): loose matches of lower-case names, at most one for each left row, the first in the right's order.
 
     a matches b if either holds the other, or b holds a without its colons.
-    Left has (left_id, name), right has (right_id, position, name).
+    Left has (left_id, name), right has (right_id, position, name).  Names
+    shorter than k, which very many others may hold, are never paired with all
+    of them: of a short a only the first b that has it counts, which is a
+    minimum over the grams of all b, and a short b is looked up once for each
+    of an a's grams.
     """
     a = left.select("left_id", F.lower("name").alias("a")).withColumn("bare", F.replace("a", F.lit(":"), F.lit("")))
     b = right.select("right_id", "position", F.lower("name").alias("b"))
     order = F.struct("position", "right_id")
     firsts = b.groupBy("b").agg(F.min(order).alias("first"))  # of candidates with one name only the first can win
-    names_a, names_b = a.select(F.explode(F.array("a", "bare")).alias("needle")), firsts.select(F.col("b").alias("hay"))
-    forward = _holding(names_a, names_b, k).withColumnsRenamed({"needle": "needle_a", "hay": "b"})
-    backward = _holding(firsts.select(F.col("b").alias("needle")), a.select(F.col("a").alias("hay")), k).withColumnsRenamed({"needle": "b", "hay": "a"})
-    by_name = a.select("left_id", F.explode(F.array_distinct(F.array("a", "bare"))).alias("needle_a")).join(forward, "needle_a").select("left_id", "b")
-    # an empty name, or one of colons alone, lies in every name: it takes the first candidate, which stands under ''
-    empty = a.where("bare = ''").select("left_id", F.col("bare").alias("b"))
-    first = b.agg(F.min(order).alias("first")).where("first IS NOT NULL").select(F.lit("").alias("b"), "first")
-    met = by_name.unionByName(a.join(backward, "a").select("left_id", "b")).unionByName(empty)
-    best = met.join(firsts.unionByName(first), "b").groupBy("left_id").agg(F.min("first").alias("m"))
+    forms = a.select("left_id", F.explode(F.array_distinct(F.array("a", "bare"))).alias("needle"))
+    # a, or a without colons, within b: of the b that hold it only the first counts
+    ahead = _holding(forms.select("needle").distinct(), firsts.select(F.col("b").alias("hay"), "first"), k).groupBy("needle").agg(F.min("first").alias("first"))
+    by_form = forms.join(ahead, "needle").select("left_id", "first")
+    # b within a
+    back = _holding(firsts.select(F.col("b").alias("needle")), a.select(F.col("a").alias("hay")).distinct(), k)
+    within = back.join(firsts, F.col("needle") == F.col("b")).groupBy("hay").agg(F.min("first").alias("first"))
+    by_name = a.join(within, F.col("a") == F.col("hay")).select("left_id", "first")
+    # an empty name, or one of colons alone, lies in every name: it takes the first candidate
+    every = b.agg(F.min(order).alias("first")).where("first IS NOT NULL")
+    empty = a.where("bare = ''").select("left_id").crossJoin(F.broadcast(every))  # one row
+    best = by_form.unionByName(by_name).unionByName(empty).groupBy("left_id").agg(F.min("first").alias("m"))
     return best.select("left_id", F.col("m.right_id").alias("right_id"))
 
 
