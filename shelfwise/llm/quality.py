@@ -19,6 +19,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,8 +221,8 @@ def _sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     """A model from at most ``limit`` labelled documents that aren't held out; without any, all scores are 0.5.
 
-    The driver gets the known units, their vectors summed by each of
-    TRAIN_TASKS tasks, and the sample's unit counts.
+    The driver gets the known units with their vectors, and one vector for
+    each sampled document.
     """
     sample = cut(_sample(docs, labels, limit).repartition(TRAIN_TASKS, "doc_id"))
 
@@ -244,27 +246,29 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Mode
     index = index_vectors(len(units))
 
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(index.shape)
         for batch in batches:
             for part in blocks(batch):
                 unit, text = units(part["text"])
-                sums += neighbour_sums(unit, text, index)
-                keys, times = np.unique(text * len(units) + unit, return_counts=True)
-                at = np.searchsorted(keys, np.arange(part.num_rows + 1) * len(units))
-                have, many = (pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x.astype(np.int64))) for x in (keys % len(units), times))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["y"], have, many, pa.nulls(part.num_rows, pa.binary())], ["doc_id", "y", "units", "times", "sums"])
-        yield pa.RecordBatch.from_pylist([{"doc_id": None, "y": None, "units": None, "times": None, "sums": sums.astype("<f8").tobytes()}], ROWS)
-
-    ROWS = pa.schema([("doc_id", pa.int64()), ("y", pa.int32()), ("units", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())), ("sums", pa.binary())])
-    rows = sample.mapInArrow(learned, "doc_id long, y int, units array<long>, times array<long>, sums binary").toArrow()
-    vectors = sum((np.frombuffer(b, "<f8").reshape(index.shape) for b in rows["sums"].drop_null().to_pylist()), np.zeros(index.shape))  # whole numbers: any order gives the same
+                sums, there = neighbour_sums(unit, text, index), np.unique(unit)
+                rows = pa.FixedSizeListArray.from_arrays(pa.array(sums[there].ravel()), WIDTH).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(there), rows], ["unit", "sums"])
+
+    # whole numbers, so any order of summing gives the same
+    summed = sample.mapInArrow(learned, "unit long, sums array<double>").groupBy("unit").agg(Summarizer.sum(array_to_vector("sums")).alias("s")).select("unit", vector_to_array("s").alias("s")).toArrow()
+    vectors = np.zeros(index.shape)
+    if summed.num_rows:
+        vectors[summed["unit"].to_numpy()] = summed["s"].combine_chunks().flatten().to_numpy().reshape(-1, WIDTH)
     vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]).astype(np.float32)
-    known = rows.filter(pc.is_valid(rows["doc_id"])).sort_by("doc_id")
-    x = np.zeros((known.num_rows, WIDTH + 1))
-    for row, have, many in zip(x, known["units"].to_pylist(), known["times"].to_pylist()):
-        if have:
-            row[:-1] = np.array(many) @ vectors[have].astype(float) / sum(many)
-            row[-1] = np.log1p(sum(many))
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in blocks(batch):
+                unit, text = units(part["text"])
+                x = pooled(unit, text, part.num_rows, vectors)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["y"], pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), WIDTH + 1).cast(pa.list_(pa.float64()))], ["doc_id", "y", "x"])
+
+    known = sample.mapInArrow(described, "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id")
+    x = known["x"].combine_chunks().flatten().to_numpy().reshape(-1, WIDTH + 1) if known.num_rows else np.zeros((0, WIDTH + 1))
     return Model(units, vectors, Network.train(x, known["y"].to_numpy().astype(float)))
 
 
