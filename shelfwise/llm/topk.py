@@ -5,14 +5,18 @@ largest difference of their distances to any pivot, and with the norms that
 bounds the inner product from above.  Candidates stand in cells, by their
 nearest pivot, and cells in blocks.
 
-A query first meets its own block, which gives it a floor: the score of its
-k-th best so far.  A cell is left out if its range of distances says that none
-of its vectors can reach the floor; the query is sent to the other blocks only.
-There the pivots are looked at a few at a time, as long as they eliminate
-candidates; the remaining ones are evaluated in the order of their bounds,
-until no bound reaches the k-th best score.  Where the pivots eliminate hardly
-anything, as among vectors that lie evenly in many dimensions, all of a block's
-candidates are evaluated at once.
+A query first meets its own block, where the candidates that are about as far
+from its nearest pivot as itself give it a floor: the score of its k-th best so
+far.  A cell is left out if its range of distances says that none of its
+vectors can reach the floor; the query is sent to the other blocks only.  In
+every block, its own included, the pivots are looked at a few at a time, as
+long as they eliminate candidates; the remaining ones are evaluated in the
+order of their bounds, until no bound reaches the k-th best score.  Where the
+pivots eliminate hardly anything, as among vectors that lie evenly in many
+dimensions, what they leave is evaluated at once.
+
+Floors and scores are whole numbers.  Distances and bounds are floats, so they
+are given what rounding can take from them (``unsure``, ``slack``).
 """
 
 from __future__ import annotations
@@ -34,10 +38,11 @@ K = 20
 EVERY = 20
 #: Pivots of each width of vectors, and how many are looked at together.
 PIVOTS, STEP = 64, 8
-#: About so many candidates and queries of one block.
-CANDIDATES, QUERIES = 8192, 2048
-#: Bounds are floats, scores whole numbers.
-SLACK = 1e-6
+#: About so many candidates and queries of one block, and how many give a first floor.
+CANDIDATES, QUERIES, FIRST = 2048, 2048, 64
+#: A query without a floor.
+NO_FLOOR = -(1 << 63)
+EPS = float(np.finfo(float).eps)
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -67,6 +72,16 @@ def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, (v * v).sum(1)[:, None] + (pivots * pivots).sum(1)[None] - 2 * v @ pivots.T))
 
 
+def unsure(width: int, *norms: float) -> float:
+    """How far a distance may be off, for vectors and pivots of such squared norms: the root of what rounding does to its square."""
+    return float(np.sqrt(8 * (width + 4) * EPS * sum(norms)))
+
+
+def slack(width: int, norms):
+    """How far a bound on a score, half a sum of ``norms`` less a square, may be off."""
+    return 1e-6 + 4 * (width + 4) * EPS * norms
+
+
 def exact(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers; in floats only where those are exact."""
     if vectors.size and queries.size and float(np.abs(vectors).max()) * float(np.abs(queries).max()) * max(1, vectors.shape[1]) < 2**53:
@@ -95,55 +110,67 @@ def search_block(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each query's k best vectors but its own that reach its floor, as (query number, id, score).
 
-    ``counts``, if given, learns how many candidates were there and evaluated.
+    ``counts``, if given, learns how many candidates were there, how many the pivots left, and how many were evaluated.
     """
-    t_v, t_q = distances(vectors, pivots), distances(queries, pivots)
+    t_v, t_q, width = distances(vectors, pivots), distances(queries, pivots), vectors.shape[1]
     n_v, n_q = (vectors.astype(float) ** 2).sum(1), (queries.astype(float) ** 2).sum(1)
+    off = 2 * unsure(width, max(n_v.max(initial=0.0), n_q.max(initial=0.0)), float((pivots * pivots).sum(1).max(initial=0.0)))
+    floors = floors.astype(np.int64)
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    whole, evaluated = [], 0
+    whole, evaluated, left_over = [], 0, 0
 
     def give(q: int, rows: np.ndarray, score: np.ndarray) -> None:
         out.append((np.full(len(rows), q), ids[rows], score))
 
+    def others(q: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows = rows[ids[rows] != query_ids[q]]
+        return rows, exact(vectors[rows], queries[q : q + 1])[:, 0]
+
     for q in range(len(queries)):
-        rows, gap = np.arange(len(ids)), np.zeros(len(ids))
-        if floors[q] > -np.inf:
+        floor = int(floors[q])
+        if floor == NO_FLOOR and len(ids) > 4 * FIRST and FIRST > k:
+            p = int(t_q[q].argmin())
+            _, score = others(q, np.argpartition(np.abs(t_v[:, p] - t_q[q, p]), FIRST)[:FIRST])
+            evaluated += FIRST
+            floor = int(np.partition(score, len(score) - k)[len(score) - k]) if len(score) >= k else NO_FLOOR
+        rows, gap, most = np.arange(len(ids)), np.zeros(len(ids)), n_q[q] + n_v + slack(width, n_q[q] + n_v)
+        if floor != NO_FLOOR:
             for at in range(0, len(pivots), STEP):
-                gap = np.maximum(gap, np.abs(t_v[rows, at : at + STEP] - t_q[q, at : at + STEP]).max(axis=1))
-                keep = (n_q[q] + n_v[rows] - gap * gap) / 2 + SLACK >= floors[q]
+                gap = np.maximum(gap, np.abs(t_v[rows, at : at + STEP] - t_q[q, at : at + STEP]).max(axis=1) - off)
+                keep = (most[rows] - gap * gap) / 2 >= floor
                 few = np.count_nonzero(keep) > 0.98 * len(rows)
                 rows, gap = rows[keep], gap[keep]
                 if few:
                     break
+        left_over += len(rows)
         if 2 * len(rows) > len(ids):
-            whole.append(q)
+            whole.append((q, floor))
             continue
-        bound = (n_q[q] + n_v[rows] - gap * gap) / 2
+        bound = (most[rows] - gap * gap) / 2
         order = np.argsort(-bound, kind="stable")
-        rows, bound, floor = rows[order], bound[order], floors[q]
+        rows, bound = rows[order], bound[order]
         kept, scores, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 64
-        while at < len(rows) and bound[at] + SLACK >= floor:
-            now = rows[at : at + step]
+        while at < len(rows) and bound[at] >= floor:
+            now, score = others(q, rows[at : at + step])
             evaluated += len(now)
             at, step = at + step, step * 2
-            score = exact(vectors[now], queries[q : q + 1])[:, 0]
-            other = ids[now] != query_ids[q]
-            kept, scores = np.concatenate([kept, now[other]]), np.concatenate([scores, score[other]])
+            kept, scores = np.concatenate([kept, now]), np.concatenate([scores, score])
             top = best(scores, ids[kept], k)
             kept, scores = kept[top], scores[top]
             if len(scores) == k:
-                floor = max(floor, float(scores.min()))
+                floor = max(floor, int(scores.min()))
         give(q, kept, scores)
     for lo in range(0, len(whole), 256):
         part = whole[lo : lo + 256]
-        score = exact(vectors, queries[part])
+        score = exact(vectors, queries[[q for q, _ in part]])
         evaluated += score.size
-        for q, column in zip(part, score.T):
-            rows = np.flatnonzero((ids != query_ids[q]) & (column >= floors[q]))
+        for (q, floor), column in zip(part, score.T):
+            rows = np.flatnonzero((ids != query_ids[q]) & (column >= floor))
             top = best(column[rows], ids[rows], k)
             give(q, rows[top], column[rows[top]])
     if counts is not None:
-        counts["there"], counts["evaluated"] = counts.get("there", 0) + len(ids) * len(queries), counts.get("evaluated", 0) + evaluated
+        for name, n in (("there", len(ids) * len(queries)), ("left", left_over), ("evaluated", evaluated)):
+            counts[name] = counts.get(name, 0) + n
     return tuple(np.concatenate([o[j] for o in out]).astype(np.int64) if out else np.zeros(0, np.int64) for j in range(3))
 
 
@@ -174,10 +201,13 @@ class Cells:
     def block(self, cell: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return self.first[cell] + (mix64(ids.astype(np.uint64)) % np.maximum(self.parts[cell], 1).astype(np.uint64)).astype(np.int64)
 
-    def reach(self, t: np.ndarray, norm: float, floor: float) -> np.ndarray:
+    def reach(self, t: np.ndarray, norm: float, floor: int, pivots: np.ndarray) -> np.ndarray:
         """The blocks of cells that may hold a vector that reaches the floor; ``t``: a query's distances to the pivots."""
-        gap = np.maximum(0.0, np.maximum(t[: len(self.low)] - self.high, self.low - t[: len(self.low)]))
-        some = np.flatnonzero((self.parts > 0) & ((norm + self.heavy - gap * gap) / 2 + SLACK >= floor))
+        width = pivots.shape[1]
+        off = 2 * unsure(width, max(norm, float(self.heavy.max())), float((pivots * pivots).sum(1).max(initial=0.0)))
+        gap = np.maximum(0.0, np.maximum(t[: len(self.low)] - self.high, self.low - t[: len(self.low)]) - off)
+        sums = norm + self.heavy
+        some = np.flatnonzero((self.parts > 0) & ((sums + slack(width, sums) - gap * gap) / 2 >= floor))
         return np.unique(np.concatenate([self.first[c] + np.arange(self.parts[c]) for c in some] or [np.zeros(0, np.int64)]))
 
 
@@ -220,15 +250,14 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     head = "w long, block long, q long, "
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Candidates at their block, once for each block of queries."""
+        """Candidates with their block."""
         for batch in batches:
             w, cell, ids = (batch[c].to_numpy(zero_copy_only=False) for c in ("w", "cell", "vec_id"))
             block = np.zeros(len(w), np.int64)
             for width in np.unique(w).tolist():
                 at = np.flatnonzero(w == width)
                 block[at] = cells[width].block(cell[at], ids[at])
-            for q in range(q_blocks):
-                yield pa.RecordBatch.from_arrays([batch["w"], pa.array(block), pa.array(np.full(len(w), q)), batch["vec_id"], batch["v"]], ["w", "block", "q", "vec_id", "v"])
+            yield pa.RecordBatch.from_arrays([batch["w"], pa.array(block), batch["vec_id"], batch["v"]], ["w", "block", "vec_id", "v"])
 
     def travel(own: bool):
         """Queries at their own block, or at all others that their floor doesn't rule out."""
@@ -241,10 +270,11 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
                     home = cells[width].block(cell[rows], ids)
                     t = distances(v, pivots[width]) if width in pivots else np.zeros((len(v), 1))
                     norm = (v.astype(float) ** 2).sum(1)
-                    goals = [np.array([h]) if own else np.setdiff1d(cells[width].reach(t[k], norm[k], floor[rows[k]]), [h]) for k, h in enumerate(home.tolist())]
+                    goals = [np.array([h]) if own else np.setdiff1d(cells[width].reach(t[k], norm[k], int(floor[rows[k]]), pivots.get(width, np.zeros((1, width)))), [h]) for k, h in enumerate(home.tolist())]
                     at = rows[np.repeat(np.arange(len(rows)), [len(g) for g in goals])]
                     some = batch.take(pa.array(at))
-                    q = (mix64(some["vec_id"].to_numpy(zero_copy_only=False).astype(np.uint64) + np.uint64(1)) % np.uint64(q_blocks)).astype(np.int64)
+                    parts = np.uint64(1 if own else q_blocks)  # a block has few queries of its own
+                    q = (mix64(some["vec_id"].to_numpy(zero_copy_only=False).astype(np.uint64) + np.uint64(1)) % parts).astype(np.int64)
                     block = np.concatenate([*goals, np.zeros(0, np.int64)]).astype(np.int64)
                     numbers = [np.full(len(at), width), block, q]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, numbers), some["vec_id"], some["v"], some["floor"]], ["w", "block", "q", "vec_id", "v", "floor"])
@@ -259,17 +289,22 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
         q, found, score = search_block(stack(left["v"]), ids, left["floor"].to_numpy(), stack(right["v"]), right["vec_id"].to_numpy(), pivots.get(width, np.zeros((1, width))), k)
         return pd.DataFrame({"query_id": ids[q], "vec_id": found, "score": score})
 
-    candidates = located.select("w", "cell", "vec_id", "v").mapInArrow(settle, head + "vec_id long, v array<long>")
+    candidates = located.select("w", "cell", "vec_id", "v").mapInArrow(settle, "w long, block long, vec_id long, v array<long>")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def search(queries: DataFrame, own: bool) -> DataFrame:
-        sent = queries.select("vec_id", "v", "cell", "floor").mapInArrow(travel(own), head + "vec_id long, v array<long>, floor double")
-        met = sent.groupBy("w", "block", "q").cogroup(candidates.groupBy("w", "block", "q")).applyInPandas(meet, "query_id long, vec_id long, score long")
+        sent = queries.select("vec_id", "v", "cell", "floor").mapInArrow(travel(own), head + "vec_id long, v array<long>, floor long")
+        if own:
+            there = candidates.withColumn("q", F.lit(0).cast("long"))
+        else:  # a block goes only where queries have been sent to it
+            sent = cut(sent)
+            there = candidates.join(sent.select(*(F.col(c).alias(c) for c in ("w", "block", "q"))).distinct(), ["w", "block"])
+        met = sent.groupBy("w", "block", "q").cogroup(there.groupBy("w", "block", "q")).applyInPandas(meet, "query_id long, vec_id long, score long")
         return met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
-    first = cut(search(chosen.withColumn("floor", F.lit(float("-inf"))), own=True))
-    floors = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
-    again = chosen.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    first = cut(search(chosen.withColumn("floor", F.lit(NO_FLOOR)), own=True))
+    floors = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    again = chosen.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NO_FLOOR)))
     both = first.drop("rank").unionByName(search(again, own=False).drop("rank"))
     return both.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
