@@ -33,6 +33,16 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same rows with columns c0, c1, ...: names with dots, or in any case, then do no harm."""
+    return docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
+
+
+def place_of(docs: DataFrame, column: str) -> int:
+    """Where a column stands, its name in any case, as Spark finds it."""
+    return [c.lower() for c in docs.columns].index(column.lower())
+
+
 def blocks(batch: pa.RecordBatch, column: str | int = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``limit`` bytes in ``column``, or a single longer row."""
     sizes = np.cumsum(np.nan_to_num(np.asarray(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), float)))

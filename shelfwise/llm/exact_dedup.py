@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_arrays, cut, ensure_checkpoint_dir, fresh, has_bit, table
+from .common import bit_arrays, cut, ensure_checkpoint_dir, fresh, has_bit, numbered, place_of, table
 
 #: Bits of the filter for each row; two positions a row give about 1.4 % false positives.
 BITS_PER_ROW = 16
@@ -42,13 +42,20 @@ def filter_bits(n_rows: int) -> int:
 
 
 def settled(rows: DataFrame, place: str) -> DataFrame:
-    """``rows`` as a table in the shared folder, bucketed by ``place``, the partition that holds them: no row moves for it, or for a join on it."""
+    """``rows`` as files in the shared folder, bucketed by ``place``, the partition that holds them: no row moves for it, or for a join on it.
+
+    Spark knows buckets of tables only, so the files are registered, read, and
+    the catalog's entry dropped at once; the files stay.
+    """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     name = f"settled_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows.write.bucketBy(buckets, place).format("parquet").option("path", f"{spark.sparkContext.getCheckpointDir()}/{name}").saveAsTable(name)
-    return spark.table(name)
+    found = spark.table(name)
+    found.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def at_place(rows: DataFrame, side: DataFrame, place: str) -> DataFrame:
@@ -94,14 +101,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int | None = None) -> DataFrame:
     """``docs`` with one row of each text, that of the largest doc_id, and all its columns.
 
-    Of rows that repeat both, or of a group without ids, one stays.  The whole
+    Of rows that repeat both, or of a group without ids, one stays.  A null
+    text equals the empty one; texts of any length count whole; an empty table
+    stays empty; other columns, whatever their names, play no part.  The whole
     rows are written once and never shuffle: each partition gets a bit for
     every row that it has to drop.
     """
-    sha, place, row, gone = (fresh(docs, c) for c in (SHA, PLACE, ROW, "gone_"))
+    plain, id_, text = numbered(docs), f"c{place_of(docs, id_col)}", f"c{place_of(docs, text_col)}"
+    sha, place, row, gone = SHA, PLACE, ROW, "gone_"
     number = F.monotonically_increasing_id() % (1 << 33)  # within the partition
-    whole = settled(docs.withColumns({sha: digest(F.col(text_col)), place: F.spark_partition_id(), row: number}), place)
-    rows = whole.select(F.col(id_col).cast("long").alias("id"), F.col(row).alias(ROW), F.col(sha).alias(SHA), F.col(place).alias(PLACE))
+    whole = settled(plain.withColumns({sha: digest(F.col(text)), place: F.spark_partition_id(), row: number}), place)
+    rows = whole.select(F.col(id_).cast("long").alias("id"), F.col(row).alias(ROW), F.col(sha).alias(SHA), F.col(place).alias(PLACE))
     # within a partition, then over all of them: the largest id (null before any), and of its rows one
     shared = possible(rows, SHA, PLACE, "maybe", bits).where("maybe").select(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), ROW, SHA, PLACE)
     mine = shared.groupBy(PLACE, SHA).agg(F.max("id").alias("id"), F.max_by(ROW, "id").alias("of"))
@@ -111,7 +121,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     most = rows.agg(F.max(ROW)).first()[0] or 0
     arrays = cut(bit_arrays(drop.select(PLACE, F.col(ROW).alias("at")), rows.select(PLACE).distinct(), PLACE, most // 64 + 1))
     marked = at_place(whole, arrays.select(F.col(PLACE).alias(place), F.col("words").alias(gone)), place)
-    return marked.where(~has_bit(gone, F.col(row))).select(*docs.columns)
+    return marked.where(~has_bit(gone, F.col(row))).select(*plain.columns).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

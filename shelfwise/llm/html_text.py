@@ -3,7 +3,10 @@
 A page is a sequence of words and tags.  Words score by the element they stand
 in, tags by their name; the weights are log-odds learned from labelled pages,
 which mark their article themselves with one <article> or <main> element.  One
-linear scan finds the contiguous region with the highest sum.
+linear scan finds the contiguous region with the highest sum.  Where a page has
+one <article>, or one <main> and no <article>, what stands there and isn't left
+out never costs more than a tag's least: lists, links and titles at its ends
+belong to it.
 
 Within the region, menus, adverts, comments, forms and the like are left out.
 Whether an element is one of these is a linear model over its name and the words
@@ -46,6 +49,11 @@ BIAS = 1.0
 NAME_WEIGHTS = {"article": 6.0, "main": 6.0, "h1": 3.0, "h2": 1.5, "h3": 1.5, "h4": 1.5, "h5": 1.5, "h6": 1.5, "p": 1.0, "nav": -7.0, "footer": -5.0, "header": -5.0, "aside": -5.0, "form": -7.0, "button": -7.0, "select": -7.0, "dialog": -7.0, "menu": -7.0, "head": -9.0}
 WORD_WEIGHTS = {w: -3.0 for w in "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies disqus footer menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion related share sharing sidebar social sponsor sponsored subscribe widget".split()} | {"header": -2.0}
 PLACE_WORDS = frozenset("area bar block body bottom box btn button buttons column container fixed form global group holder inner item items left link links list main mobile outer overlay page panel placeholder post posts primary right row secondary section signup site slot sticky text title toolbar top unit wrap wrapper zone".split())
+#: Beginnings of words that say what an element is, whatever stands beside them in a class, and whole words of that kind; and
+#: words that turn a class into a statement about a layout (``no-sidebar``, ``has-comments``).
+SAYING_STEMS = {"comment": "comments", "sponsor": "sponsored", "cookie": "cookie", "consent": "cookie", "gdpr": "cookie", "advert": "advert", "adsby": "ads", "newslet": "newsletter", "disqus": "disqus", "subscri": "subscribe", "breadcrumb": "breadcrumb", "promo": "promo"}
+SAYING_WORDS = {"ad": "ads", "ads": "ads", "replies": "comments", "reply": "comments", "respond": "comments", "related": "related", "share": "share", "sharing": "share", "social": "social", "taboola": "ads", "outbrain": "ads", "doubleclick": "ads"}
+LAYOUT_WORDS = frozenset("no has with without is not hide hidden show enabled disabled open closed count single".split())
 #: How firmly weights of names, and of words, hold to their start while they are fitted.
 FIRM_NAME, FIRM_WORD = 200.0, 1.0
 #: Elements whose end tag is often left out: a new one of the second group ends an open one of the first.
@@ -65,7 +73,7 @@ class Token:
     text: str = ""
     block: bool = False  # a block ends here
     inside: bool = True  # not within an element that is never part of an article
-    marked: bool = False  # within the page's own <article> or <main>
+    marked: int = 0  # within the page's own <main> (1) or <article> (2)
     features: tuple[str, ...] = ()  # of an element that opens and isn't within one that is left out
 
 
@@ -74,27 +82,35 @@ class Containers:
 
     def __init__(self, weights: dict[str, float] | None = None) -> None:
         self.weights = weights or {}
-        self.known: dict[tuple[str, str], bool] = {}
+        self.known: dict[tuple[str, str, bool], bool] = {}
 
     @staticmethod
     def start(feature: str) -> float:
         return NAME_WEIGHTS.get(feature[5:], 0.0) if feature.startswith("name:") else WORD_WEIGHTS.get(feature[5:], 0.0)
 
     @staticmethod
-    def features(name: str, attributes: str) -> tuple[str, ...]:
+    def features(name: str, attributes: str, within: bool = False) -> tuple[str, ...]:
         """The element's name, and what its class, id and role say that it is.
 
         A class counts by its parts if each says what or where an element is,
-        one of them what: so ``site-footer`` gives ``footer``.  Any other, such
-        as ``no-sidebar``, is a word of its own.
+        one of them what: so ``site-footer`` gives ``footer``.  Some words say
+        it beside any other (``reader-comments``, ``adsbygoogle``).  Any other
+        class, such as ``no-sidebar``, is a word of its own.  ``within`` an
+        article a header holds its title, so no name or word of it says a thing.
         """
-        found = {f"name:{name}"}
+        found = {f"name:inner {name}" if within and name == "header" else f"name:{name}"}
         if "=" in attributes:
             for m in NAMED.finditer(attributes):
                 for said in "".join(m.groups("")).lower().split():
                     parts = {p for p in re.split(r"[^a-z]+", said) if p}
-                    what = parts & WORD_WEIGHTS.keys()
-                    found |= {f"word:{p}" for p in what} if what and parts <= WORD_WEIGHTS.keys() | PLACE_WORDS else {f"word:{said}"}
+                    what = (parts & WORD_WEIGHTS.keys()) - ({"header"} if within else set())
+                    loud = {SAYING_WORDS[p] for p in parts if p in SAYING_WORDS} | {w for p in parts for stem, w in SAYING_STEMS.items() if p.startswith(stem)}
+                    if loud and not parts & LAYOUT_WORDS:
+                        found |= {f"word:{p}" for p in loud}
+                    elif what and parts <= WORD_WEIGHTS.keys() | PLACE_WORDS:
+                        found |= {f"word:{p}" for p in what}
+                    else:
+                        found.add(f"word:{said}")
         return tuple(sorted(found))
 
     def score(self, features: tuple[str, ...]) -> float:
@@ -103,12 +119,12 @@ class Containers:
         names = [self.weights.get(f, self.start(f)) for f in features if f.startswith("name:")]
         return BIAS + sum(names) + (max(words, key=abs) if words else 0.0)
 
-    def outside(self, name: str, attributes: str) -> bool:
-        key = (name, attributes)
+    def outside(self, name: str, attributes: str, within: bool = False) -> bool:
+        key = (name, attributes, within)
         if key not in self.known:
             if len(self.known) > 50_000:
                 self.known.clear()
-            self.known[key] = self.score(self.features(name, attributes)) < 0.0
+            self.known[key] = self.score(self.features(name, attributes, within)) < 0.0
         return self.known[key]
 
     @staticmethod
@@ -150,7 +166,7 @@ class Open:
 
     name: str
     outside: bool
-    marked: bool
+    marked: int
     place: int  # in the page, if it is left out, or else -1
     block: int
     inner: str  # the nearest block element or anchor
@@ -183,15 +199,15 @@ def _tokens(page: str, containers: Containers, spared: frozenset[int]) -> tuple[
             top = stack[-1] if stack else None
             outside = top is not None and top.outside
             inner = top.inner if top else "body"
-            out.append(Token(f"word:{'outside' if outside else inner}", len(text.split()), text, False, not outside, top is not None and top.marked))
+            out.append(Token(f"word:{'outside' if outside else inner}", len(text.split()), text, False, not outside, top.marked if top else 0))
         elif name:
             name, features = name.lower(), ()
-            outside, marked = (stack[-1].outside, stack[-1].marked) if stack else (False, False)
+            outside, marked = (stack[-1].outside, stack[-1].marked) if stack else (False, 0)
             if closing:
                 if opened[name]:
                     while pop() != name:
                         pass
-                marked = stack[-1].marked if stack else False
+                marked = stack[-1].marked if stack else 0
             else:
                 while stack and name in IMPLIED.get(stack[-1].name, ()):
                     pop()
@@ -199,17 +215,17 @@ def _tokens(page: str, containers: Containers, spared: frozenset[int]) -> tuple[
                     at = stack[-1].block  # an open <p> ends even below inline elements that were never closed
                     while len(stack) > at:
                         pop()
-                outside, marked = (stack[-1].outside, stack[-1].marked) if stack else (False, False)
+                outside, marked = (stack[-1].outside, stack[-1].marked) if stack else (False, 0)
                 articles += name == "article"
                 never = name in ("html", "body", "main") or name == "article" and articles == 1
                 if never:
                     around.update(stack[k].place for k in left_out)
                     left_out.clear()
                 if name not in VOID and not attributes.endswith("/"):
-                    left = not never and m.start() not in spared and containers.outside(name, attributes)
+                    left = not never and m.start() not in spared and containers.outside(name, attributes, marked == 2)
                     if not outside and not never:
-                        features = containers.features(name, attributes)
-                    marked = marked or name in ("article", "main")
+                        features = containers.features(name, attributes, marked == 2)
+                    marked = 2 if name == "article" else max(marked, int(name == "main"))
                     block = len(stack) if name in BLOCK else stack[-1].block if stack else -1
                     inner = name if name in BLOCK or name == "a" else stack[-1].inner if stack else "body"
                     if left:
@@ -277,10 +293,23 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return region
 
 
+def scores(found: list[Token], weights: Weights) -> list[float]:
+    """Each token's score; within a page's only <article>, or its only <main> where it has none, a word always gains and a tag hardly costs."""
+    opened = Counter(t.feature for t in found if t.feature in ("tag:article", "tag:main"))
+    own = 2 if opened["tag:article"] == 1 else 1 if opened["tag:main"] == 1 and not opened["tag:article"] else 3
+    out = []
+    for t in found:
+        score = weights(t)
+        if t.inside and t.marked >= own:
+            score = max(score, LEAST_GAIN * t.words if t.words else TAG_COST)
+        out.append(score)
+    return out
+
+
 def extract(page: str, weights: Weights) -> str:
     """The main text of a page: blocks joined by a line break, white space within a block turned into one blank."""
     found = tokens(page, weights.containers)
-    lo, hi = best_region([weights(t) for t in found])
+    lo, hi = best_region(scores(found, weights))
     lines: list[str] = []
     parts: list[str] = []
 

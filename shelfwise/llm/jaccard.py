@@ -429,7 +429,13 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``docs``, all columns, with one document of each component: the one with the smallest id.  Rows without id stay."""
+    """``docs``, all columns, with one document of each component: the one with the smallest id.
+
+    Rows without id stay, and so do null and empty texts and those without a
+    word, which link with nothing.  Rows that repeat the id that stays all
+    stay.  Texts of any length count whole, an empty table stays empty, and
+    other columns, whatever their names, play no part.
+    """
     key = fresh(docs, "_gone")
     gone = cut(near_groups(docs, words, num, den).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct())
     return docs.join(_bounded(gone), docs["doc_id"] == F.col(key), "left_anti")

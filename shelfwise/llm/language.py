@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, flat_utf8, table, texts
+from .common import blocks, flat_utf8, numbered, place_of, table, texts
 from .merging import ranges
 
 WINDOW = 256
@@ -180,7 +180,7 @@ def train(docs: DataFrame, steps: int = STEPS) -> Network:
     driver gets grows with the number of languages, not with the documents.
     Without any such document the network knows no language.
     """
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = usable.select("lang", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id").alias("h"))
     drawn = ids.groupBy("lang", F.pmod("h", F.lit(BUCKETS)).alias("b")).agg(F.min_by("doc_id", "h").alias("doc_id")).select(F.col("doc_id").alias("_drawn"))
     sample = usable.join(F.broadcast(drawn), F.col("doc_id").cast("long") == F.col("_drawn"), "left_semi")
@@ -242,8 +242,13 @@ def identify(docs: DataFrame, network: Network) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, network: Network, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose language is known with probability ``least`` or more."""
-    place, schema = docs.columns.index("text"), docs.schema
+    """The rows of ``docs``, with all columns, whose language is known with probability ``least`` or more.
+
+    Null and empty texts, and those without a letter, go.  Texts of any length
+    count whole, repeated rows share one fate, an empty table stays empty, and
+    other columns, whatever their names, play no part.
+    """
+    place, plain = place_of(docs, "text"), numbered(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,7 +256,7 @@ def keep_identified(docs: DataFrame, network: Network, least: float = 0.5) -> Da
                 _, score = label_texts(network, part.column(place))
                 yield part.filter(pa.array(score >= least))
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

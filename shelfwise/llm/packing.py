@@ -271,7 +271,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, w
 
     A document's ids are its text's and then ``end_id``; a null or empty text
     has the end id alone.  Repeated rows are packed once each, rows without id
-    keep null.  An empty table gives no rows.  Sequence ids are unique, not
+    keep null.  A text of any length is packed whole, in pieces of one window
+    and a rest.  Columns other than id and text play no part.  An empty table
+    gives no rows.  Sequence ids are unique, not
     gapless; how documents meet in sequences depends on the input's partitions.
     """
     source = Path(tokenizer_path).read_text()

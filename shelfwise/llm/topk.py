@@ -226,7 +226,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec
     Unsound vectors (see ``quantised``) are neither queries nor candidates.  A
     query never meets its own id, so repeated rows of one id don't find each
     other; a repeated candidate row counts once per row, and a repeated query
-    row brings no second result.  Vectors meet those of their own width only.
+    row brings no second result.  Of equal scores the smaller id ranks first.  Vectors meet those of their own width only.
     Scores are exact as long as they fit into 64 bits.  Other columns play no
     part; an empty table gives no rows.
     """

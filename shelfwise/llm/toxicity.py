@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, cut, table, texts
+from .common import blocks, cut, numbered, place_of, table, texts
 
 #: Categories in the order of the chain, as conditions over the labels' columns.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1", "severe": "toxic = 1 AND quality = 0"}
@@ -184,17 +184,21 @@ def score(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD, deciding:
 
 
 def reject_toxic(docs: DataFrame, chain: Chain, threshold: float = THRESHOLD, deciding: str = DECIDING) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose text isn't toxic."""
-    at, columns = chain.names.index(deciding), docs.columns
+    """The rows of ``docs``, with all columns, whose text isn't toxic.
+
+    A null or empty text has no feature and is judged by the intercepts alone.
+    Texts of any length count whole, repeated rows share one fate, an empty
+    table stays empty, and other columns, whatever their names, play no part.
+    """
+    at, place, plain = chain.names.index(deciding), place_of(docs, "text"), numbered(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = columns.index("text")
         for batch in batches:
             for part in blocks(batch, column=place):
                 p = chain([t or "" for t in part.column(place).to_pylist()])
                 yield part.filter(pa.array(p[:, at] < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
