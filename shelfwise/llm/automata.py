@@ -122,6 +122,36 @@ class Counts:
             states = self.parent[d][states]
         return out
 
+    def sequences(self) -> tuple[np.ndarray, np.ndarray]:
+        """All counted sequences in order, as ``of_sorted`` takes them, and how often each occurs."""
+        depth, rows, counts = len(self.label), [], []
+        for d, ends in enumerate(self.ends):
+            states = np.flatnonzero(ends)
+            padded = np.full((len(states), depth), -1, np.int64)
+            padded[:, : d + 1] = self.paths(d, states)
+            rows.append(padded)
+            counts.append(ends[states])
+        every = np.concatenate(rows)
+        order = np.lexsort(every.T[::-1])
+        return every[order], np.concatenate(counts)[order]
+
+    def cut(self, splitters: Sequence[tuple[bytes, ...]]) -> list[tuple[int, Counts]]:
+        """(number, automaton) of the ranges between ascending splitters that hold any sequence; a splitter begins its range."""
+        extra = pa.array([x for s in splitters for x in s], pa.large_binary())
+        symbols, place = sorted_symbols(pa.concat_arrays([self.symbols, extra]))
+        rows, counts = self.sequences()
+        rows = np.where(rows >= 0, place[rows], -1)
+        at, bounds = len(self.symbols), []
+        for s in splitters:
+            lo, hi = 0, len(rows)
+            for d in range(rows.shape[1]):  # those that are below it, one symbol after the other
+                want = place[at + d] if d < len(s) else -1
+                lo, hi = lo + np.searchsorted(rows[lo:hi, d], want), lo + np.searchsorted(rows[lo:hi, d], want, side="right")
+            bounds.append(lo)
+            at += len(s)
+        edges = [0, *bounds, len(rows)]
+        return [(k, with_own_symbols(symbols, rows[lo:hi], counts[lo:hi])) for k, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+
     def dump(self) -> bytes:
         """Compressed bytes: the symbols, and by level the number of arcs of each state, the arcs' symbols and ``ends``."""
         lengths = pc.binary_length(self.symbols).to_numpy(zero_copy_only=False)

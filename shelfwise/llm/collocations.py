@@ -3,7 +3,9 @@
 Every word of a corpus begins one sequence: its language, itself and up to
 three words that follow it in its piece.  A task sorts the sequences of a shard
 and makes them an automaton with counts; it is cut where ranges of sequences
-begin, and each range's parts of all shards are united in one task.  A phrase
+begin, and each range's parts of all shards are united in one task.  Where the
+corpus needs more ranges than the driver chooses, each is cut into finer ones
+in a second step.  A phrase
 occurs as often as sequences begin with it, so one sum over each state's
 continuations gives the counts of phrases of all lengths.  A phrase that spans
 two ranges is first or last of its length in each, and is summed over them.
@@ -30,8 +32,12 @@ from .merging import distinct_words
 LONGEST, LEAST, TOP = 4, 30, 2000
 #: A shard's automaton is cut and sent after so many words; a range gets about so many of all shards' words.
 SHARD_WORDS, RANGE_WORDS = 1_000_000, 1_500_000
-#: Ranges are chosen from sequences of about so many documents, so many a document; only their balance depends on it.
-SAMPLE_DOCS, SAMPLE_WORDS = 2000, 32
+#: Ranges are chosen from sequences of a sample, so many a document and so many a range; only their balance depends on it.
+SAMPLE_WORDS, SAMPLE_RANGE = 32, 16
+#: At least so many documents are in the sample, and the driver chooses so many ranges at most; beyond, each is cut once more where it lies.
+SAMPLE_DOCS, MAX_RANGES = 2000, 1 << 15
+#: What a range is cut by comes from its first parts, until they have so many states.
+CUT_STATES = 1_000_000
 #: A united automaton is made whenever so many states wait for it.
 MERGE_STATES = 4_000_000
 #: Rows (asked parts and frequent phrases) of a bucket.
@@ -134,10 +140,11 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def boundaries(docs: DataFrame, partitions: int, range_words: int = RANGE_WORDS) -> list[tuple[bytes, ...]]:
-    """Sequences at which ranges begin, so that each holds about ``range_words`` words, as a sample of the documents lets expect.
+def boundaries(docs: DataFrame, partitions: int, range_words: int = RANGE_WORDS, most: int = MAX_RANGES) -> tuple[list[tuple[bytes, ...]], int]:
+    """Sequences at which ranges begin, so that each holds about ``range_words`` words, and into how many finer ones each must be cut (1: none).
 
-    The driver gets at most about SAMPLE_DOCS * SAMPLE_WORDS sequences.
+    A sample of the documents tells.  The driver gets some SAMPLE_RANGE
+    sequences a range, so at most about ``most`` * SAMPLE_RANGE of them.
     """
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,20 +164,27 @@ def boundaries(docs: DataFrame, partitions: int, range_words: int = RANGE_WORDS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.list_(pa.binary())), pa.array(weights, pa.float64())], ["key", "weight"])
 
     n = docs.count()
-    share = min(1.0, SAMPLE_DOCS / max(1, n))
-    rows = prepared(docs).sample(share, seed=11).mapInArrow(some, "key array<binary>, weight double").toArrow()
-    found = sorted(zip((tuple(k) for k in rows["key"].to_pylist()), rows["weight"].to_pylist()))
-    total = sum(w for _, w in found)
-    ranges = max(partitions, int(total / share / range_words) + 1)
+
+    def drawn(size: int) -> tuple[list, float]:
+        share = min(1.0, size / max(1, n))
+        rows = prepared(docs).sample(share, seed=11).mapInArrow(some, "key array<binary>, weight double").toArrow()
+        found = sorted(zip((tuple(k) for k in rows["key"].to_pylist()), rows["weight"].to_pylist()))
+        return found, sum(w for _, w in found) / share
+
+    found, words = drawn(SAMPLE_DOCS)
+    wanted = max(partitions, int(words / range_words) + 1)
+    ranges = min(wanted, most)
+    if ranges * SAMPLE_RANGE > SAMPLE_DOCS * SAMPLE_WORDS:
+        found, _ = drawn(ranges * SAMPLE_RANGE // SAMPLE_WORDS)
     up_to = list(accumulate(w for _, w in found))
-    wanted = np.searchsorted(up_to, total * np.arange(1, ranges) / ranges) if found else []
-    return sorted({found[min(k, len(found) - 1)][0] for k in wanted})
+    at = np.searchsorted(up_to, up_to[-1] * np.arange(1, ranges) / ranges) if found else []
+    return sorted({found[min(k, len(found) - 1)][0] for k in at}), -(-wanted // ranges)
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS, range_words: int = RANGE_WORDS) -> DataFrame:
+def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS, range_words: int = RANGE_WORDS, most: int = MAX_RANGES) -> DataFrame:
     """(lang, words, phrase, f): all phrases of 1 to LONGEST words with f of at least ``least``; with 0 words, a language's number of words."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    splitters = boundaries(docs, partitions, range_words)
+    splitters, fine = boundaries(docs, partitions, range_words, most)
     ranges = len(splitters) + 1
 
     def cut_up(shard: Shard) -> Iterator[pa.RecordBatch]:
@@ -179,7 +193,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHA
         for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
             if hi > lo:
                 data = with_own_symbols(symbols, rows[lo:hi], counts[lo:hi]).dump()
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([data], pa.binary())], ["range", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([data], pa.binary())], ["range", "data"])
         pa.default_memory_pool().release_unused()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,10 +207,48 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHA
         if shard.size:
             yield from cut_up(shard)
 
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cuts the parts of one range at sequences that its first parts give; they come in a fixed order, so a repeated task cuts alike."""
+        first, states, cuts = [], 0, None
+
+        def give(part: Counts) -> Iterator[pa.RecordBatch]:
+            for k, piece in part.cut(cuts):
+                yield pa.RecordBatch.from_arrays([pa.array([number * fine + k], pa.int64()), pa.array([piece.dump()], pa.binary())], ["range", "data"])
+
+        def chosen() -> list[tuple[bytes, ...]]:
+            together = Counts.union(first)
+            rows, counts = together.sequences()
+            at = np.unique(np.searchsorted(np.cumsum(counts), counts.sum() * np.arange(1, fine) / fine))
+            return [tuple(together.symbols[int(x)].as_py() for x in rows[k] if x >= 0) for k in at]
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                number, part = batch["range"][k].as_py(), Counts.load(batch["data"][k].as_py())
+                if cuts is None:
+                    first.append(part)
+                    states += sum(map(len, part.label))
+                    if states >= CUT_STATES:
+                        cuts = chosen()
+                        for x in first:
+                            yield from give(x)
+                        first.clear()
+                else:
+                    yield from give(part)
+        if first:
+            cuts = chosen()
+            for x in first:
+                yield from give(x)
+
     def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, states, limit = [], 0, MERGE_STATES
+        """The parts of a range stand one after the other."""
+        waiting, states, limit, now = [], 0, MERGE_STATES, None
         for batch in batches:
             for k in range(batch.num_rows):
+                number = batch["range"][k].as_py()
+                if waiting and number != now:
+                    yield from _reported(Counts.union(waiting), least)
+                    waiting, states, limit = [], 0, MERGE_STATES
+                now = number
                 waiting.append(Counts.load(batch["data"][k].as_py()))
                 states += sum(map(len, waiting[-1].label))
                 if states > limit:
@@ -206,7 +258,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, shard_words: int = SHA
         if waiting:
             yield from _reported(Counts.union(waiting), least)
 
-    parts = prepared(docs).mapInArrow(shards, "range int, data binary").repartitionById(ranges, F.col("range"))
+    parts = prepared(docs).mapInArrow(shards, "range long, data binary").repartitionById(ranges, F.col("range").cast("int"))
+    if fine > 1:
+        cut_again = parts.sortWithinPartitions("data").mapInArrow(finer, "range long, data binary")
+        parts = cut_again.repartition(max(partitions, min(ranges * fine, 8 * ranges)), "range").sortWithinPartitions("range")
     found = parts.mapInArrow(united, "lang string, words int, phrase string, f long")
     return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
 
@@ -284,7 +339,7 @@ def _wide(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(20,0)")
 
 
-def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_words: int = SHARD_WORDS, range_words: int = RANGE_WORDS) -> DataFrame:
+def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_words: int = SHARD_WORDS, range_words: int = RANGE_WORDS, most: int = MAX_RANGES) -> DataFrame:
     """The ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score, and k, the words before the cut.
 
     Whole texts count, however long; a null text is the empty one, a null
@@ -293,7 +348,7 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, shard_words: int =
     ranked by a, then by the phrase's bytes.  Columns other than text and lang
     play no part.
     """
-    frequent = cut(frequent_phrases(docs, least, shard_words, range_words))
+    frequent = cut(frequent_phrases(docs, least, shard_words, range_words, most))
     candidates = frequent.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
     words = F.split("phrase", " ")
     piece = lambda first, n: F.array_join(F.slice(words, first, n), " ")

@@ -66,6 +66,15 @@ def test_many_small_shards_and_ranges(spark, monkeypatch):
     check(spark, some_rows(2, 300), shard_words=200, range_words=100)
 
 
+def test_ranges_are_cut_again(spark, monkeypatch):
+    """More ranges than the driver may choose: a second step cuts each, by its first parts alone."""
+    monkeypatch.setattr(collocations, "CUT_STATES", 30)
+    docs = spark.createDataFrame(some_rows(3, 300), "text string, lang string")
+    splitters, fine = collocations.boundaries(docs, 1, 100, 3)
+    assert 1 <= len(splitters) <= 2 and fine >= 10
+    check(spark, some_rows(3, 300), shard_words=200, range_words=100, most=3)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([("a b", "en")], "text string, lang string")
     assert collocations.mine(docs.where("false")).count() == 0 and collocations.mine(docs).count() == 0
@@ -107,6 +116,11 @@ def test_automata(parts, asked):
     for d, w in enumerate(weights):
         paths = united.paths(d, np.arange(len(w)))
         assert {tuple(united.symbols[int(s)].as_py() for s in p): n for p, n in zip(paths, w.tolist())} == {k: n for k, n in begins.items() if len(k) == d + 1}
+    pieces = united.cut(sorted(asked))
+    edges = [None, *sorted(asked), None]
+    inside = lambda k, lo, hi: (lo is None or k >= lo) and (hi is None or k < hi)
+    want = [(j, {k: n for k, n in total.items() if inside(k, lo, hi)}) for j, (lo, hi) in enumerate(zip(edges, edges[1:]))]
+    assert [(j, listed(p)) for j, p in pieces] == [(j, found) for j, found in want if found]
     acceptor = build(dict.fromkeys(asked, 1))
     for d, values in enumerate(united.compose(acceptor, weights)):
         paths = acceptor.paths(d, np.arange(len(values)))
