@@ -61,10 +61,18 @@ def _price(text: Column) -> Column:
     return F.coalesce(F.trim(text).try_cast("double"), F.lit(0.0))
 
 
+def _day(bucket: Column) -> Column:
+    """The day on which a bucket starts, or null where that can't be read."""
+    return F.try_to_date(bucket["bucketStartDate"], "yyyy-M-d")
+
+
 def _last_bucket(buckets: Column) -> Column:
     """The last bucket with a readable date, of equal dates the one that stands later: (date, pos, market, low), or null."""
-    dated = F.transform(buckets, lambda b, at: F.struct(F.try_to_date(b["bucketStartDate"], "yyyy-M-d").alias("date"), at.alias("pos"), _price(b["marketPrice"]).alias("market"), _price(b["lowSalePrice"]).alias("low")))
-    return F.array_max(F.filter(dated, lambda b: b["date"].isNotNull()))
+
+    def dated(bucket: Column, at: Column) -> Column:
+        return F.struct(_day(bucket).alias("date"), at.alias("pos"), _price(bucket["marketPrice"]).alias("market"), _price(bucket["lowSalePrice"]).alias("low"))
+
+    return F.array_max(F.filter(F.transform(buckets, dated), lambda b: b["date"].isNotNull()))
 
 
 def latest_nested(histories: DataFrame) -> DataFrame:
@@ -73,7 +81,11 @@ def latest_nested(histories: DataFrame) -> DataFrame:
     Higher-order functions work within a product's row, so nothing shuffles;
     results without a readable bucket have no row.
     """
-    last = F.transform("results", lambda r, at: F.struct((at + 1).alias("result_pos"), r["variant"].alias("variant"), r["condition"].alias("cond"), _last_bucket(r["buckets"]).alias("last")))
+
+    def with_last(r: Column, at: Column) -> Column:
+        return F.struct((at + 1).alias("result_pos"), r["variant"].alias("variant"), r["condition"].alias("cond"), _last_bucket(r["buckets"]).alias("last"))
+
+    last = F.transform("results", with_last)
     rows = histories.select("product_id", F.explode(F.filter(last, lambda r: r["last"].isNotNull())).alias("r"))
     return rows.select("product_id", "r.result_pos", "r.variant", "r.cond", F.col("r.last.date").alias("bucket_date"), "r.last.market", "r.last.low")
 
@@ -91,7 +103,7 @@ def nested_prices(histories: DataFrame) -> DataFrame:
     keys = F.transform("_priced", lambda r: r["key"])
     firsts = F.filter("_priced", lambda r, at: F.array_position(keys, r["key"]) == at + 1)
     entries = F.transform(firsts, lambda r: F.struct(r["key"], F.struct(r["last"]["market"].alias("market"), F.when(r["last"]["low"] > 0, r["last"]["low"]).alias("low"))))
-    bad = F.aggregate("results", F.lit(0).cast("long"), lambda s, r: s + F.size(F.filter(F.coalesce(r["buckets"], F.array()), lambda b: F.try_to_date(b["bucketStartDate"], "yyyy-M-d").isNull())))
+    bad = F.aggregate("results", F.lit(0).cast("long"), lambda s, r: s + F.size(F.filter(F.coalesce(r["buckets"], F.array()), lambda b: _day(b).isNull())))
     found = rows.select("product_id", F.map_from_entries(entries).alias("prices"), bad.alias("bad_buckets"))
     return found.select("product_id", "prices", S.best_history_price(F.col("prices")).alias("best_price"), "bad_buckets")
 

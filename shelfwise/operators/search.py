@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .progress import token_index
@@ -14,21 +14,17 @@ SPAN = 1 << 12
 
 
 def postings(df: DataFrame, id_col: str, text_col: str, span: int = SPAN) -> DataFrame:
-    """(token, block, first_id, last_id, n, gaps): the ids of a token in a block, as the first and the distances between neighbours.
+    """(token, block, first_id, last_id, n, offsets): the ids of a token in a block, as the first and the distances of all to it.
 
     Blocks are spans of ids, so a token that all rows have fills many rows of
     at most ``span`` ids, in as many tasks; a token never gathers in one place.
+    Distances are small numbers, which Parquet packs into a few bits each.
     """
     pairs = token_index(df, id_col, text_col).where("id IS NOT NULL").select("token", F.col("id").cast("long").alias("id"))
     blocks = pairs.groupBy("token", F.floor(F.col("id") / span).cast("long").alias("block")).agg(F.array_sort(F.collect_set("id")).alias("ids"))
-    gaps = F.zip_with(F.slice("ids", 2, F.size("ids")), F.slice("ids", 1, F.size("ids") - 1), lambda b, a: (b - a).cast("int"))
-    return blocks.select("token", "block", F.element_at("ids", 1).alias("first_id"), F.element_at("ids", -1).alias("last_id"), F.size("ids").alias("n"), gaps.alias("gaps"))
-
-
-def unpacked(first_id: Column, gaps: Column) -> Column:
-    """The ids of a block again, in order: the first one, and then each gap further."""
-    offsets = F.aggregate(gaps, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("all")), lambda s, gap: F.struct((s["at"] + gap).alias("at"), F.concat(s["all"], F.array(s["at"] + gap)).alias("all")), lambda s: s["all"])
-    return F.concat(F.array(first_id), F.transform(offsets, lambda o: o + first_id))
+    first = F.element_at("ids", 1)
+    offsets = F.transform("ids", lambda i: (i - first).cast("int"))
+    return blocks.select("token", "block", first.alias("first_id"), F.element_at("ids", -1).alias("last_id"), F.size("ids").alias("n"), offsets.alias("offsets"))
 
 
 def write_index(df: DataFrame, id_col: str, text_col: str, path: str, span: int = SPAN, partitions: int | None = None) -> None:
@@ -46,9 +42,11 @@ def search_index(spark: SparkSession, path: str, words: Sequence[str]) -> DataFr
     """
     wanted = sorted({w.lower() for w in words})
     rows = spark.read.parquet(path).where(F.col("token").isin(*wanted) if wanted else F.lit(False))
-    met = rows.groupBy("block").agg(F.count(F.lit(1)).alias("tokens"), F.max("first_id").alias("low"), F.min("last_id").alias("high"), F.collect_list(F.struct("n", "first_id", "gaps")).alias("lists"))
+    posting = F.struct("n", "first_id", "offsets")
+    met = rows.groupBy("block").agg(F.count(F.lit(1)).alias("tokens"), F.max("first_id").alias("low"), F.min("last_id").alias("high"), F.collect_list(posting).alias("lists"))
     met = met.where((F.col("tokens") == len(wanted)) & (F.col("low") <= F.col("high")))
     # within a block: the rarest token's ids that stand in all other lists
-    lists = F.transform(F.array_sort("lists"), lambda p: F.filter(unpacked(p["first_id"], p["gaps"]), lambda i: i.between(F.col("low"), F.col("high"))))
+    ids = lambda p: F.filter(F.transform(p["offsets"], lambda o: p["first_id"] + o), lambda i: i.between(F.col("low"), F.col("high")))
+    lists = F.transform(F.array_sort("lists"), ids)
     common = F.aggregate(F.slice(lists, 2, len(wanted)), F.element_at(lists, 1), lambda a, b: F.array_intersect(a, b))
     return met.select(F.explode(common).alias("id"))
