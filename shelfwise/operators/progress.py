@@ -53,7 +53,7 @@ def write_observed(classified: DataFrame, existing: DataFrame, path: str) -> dic
 def close_observed(spark: SparkSession, run_id: int | str, counters: dict[str, int], finished_at: str, stopped: bool = False, **rest: int | str | None) -> DataFrame:
     """The event that closes a run, from counters taken while it wrote; ``rest`` are other columns of RUN_CLOSED."""
     found = {"rows_fetched": counters["fetched"], "rows_upserted": counters["created"] + counters["updated"], "finished_at": finished_at} | rest
-    values = [F.lit(found.get(c)).alias(c) for c in RUN_CLOSED]
+    values = [F.lit(found.get(c)).cast("string" if c in ("error_message", "finished_at") else "long").alias(c) for c in RUN_CLOSED]
     one = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit("stopped" if stopped else "completed").alias("status"), *values)
     return close_runs(one)
 
