@@ -124,14 +124,19 @@ def percentile_bounds(df: DataFrame, key: str, value: str, low: float = 0.02, hi
 def running_cost(requests: DataFrame, cost: str, group: str, group_order: Sequence[Column], order: Sequence[Column]) -> DataFrame:
     """``requests`` with ``before``, what all requests before cost: groups in their order, requests in theirs within a group.
 
-    Sums are made in two levels: within each group, and over the groups' sums,
-    of which there is one row a group (a set of a catalog).
+    Sums are made level by level: within each group, over the groups that
+    share the first column of their order (the sets of a release year), and
+    over that column's values; only these values meet in one task.
     """
-    columns = {f"_o{k}": c for k, c in enumerate(group_order)}
-    marked = requests.withColumns(columns)
-    sums = marked.groupBy(group, *columns).agg(F.sum(cost).alias("_sum"))
-    over_groups = Window.orderBy(*(F.asc_nulls_last(n) for n in columns), group).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col(group).alias("_group"), F.coalesce(F.sum("_sum").over(over_groups), F.lit(0)).alias("_offset"))
+    columns = {f"_o{k}": c for k, c in enumerate(group_order)} or {"_o0": F.lit(0)}
+    sums = requests.withColumns(columns).groupBy(group, *columns).agg(F.sum(cost).alias("_sum"))
+    first, *later = columns
+    upto = lambda w: F.coalesce(F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    values = sums.groupBy(F.col(first).alias("_first")).agg(F.sum("_sum").alias("_sum"))
+    bases = values.select("_first", upto(Window.orderBy(F.asc_nulls_last("_first"))).alias("_base"))
+    sharing = Window.partitionBy(first).orderBy(*(F.asc_nulls_last(n) for n in later), group)
+    placed = sums.withColumn("_upto", upto(sharing)).join(bases, F.col(first).eqNullSafe(F.col("_first")))
+    offsets = placed.select(F.col(group).alias("_group"), (F.col("_base") + F.col("_upto")).alias("_offset"))
     inside = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = requests.join(offsets, F.col(group) == F.col("_group")).drop("_group")
     return joined.withColumn("before", (F.col("_offset") + F.coalesce(F.sum(cost).over(inside), F.lit(0))).cast("long")).drop("_offset")
