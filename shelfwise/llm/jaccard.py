@@ -256,6 +256,40 @@ def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, sig long")
 
 
+#: So many signatures are counted within a Python task at once.
+COUNTED = 1 << 20
+
+
+def _counted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(sig, n): how many sets have each signature.
+
+    Tasks count a bounded number of signatures at a time and send each once
+    for that, so a signature that very many sets share stays small, and no
+    table of all of a task's signatures is held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, sign, held, size = Shingler(words), Signer(num, den), [], 0
+
+        def counted() -> pa.RecordBatch:
+            sigs, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(n)], ["sig", "n"])
+
+        for batch in batches:
+            for part in blocks(batch, limit=SHINGLE_BYTES):
+                code, _, sizes = shingle(part["text"])
+                held.append(sign.signatures(code, sizes)[0])
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield counted()
+                    size = 0
+        if held:
+            yield counted()
+
+    return docs.mapInArrow(run, "sig long, n long").repartition("sig").groupBy("sig").agg(F.sum("n").alias("n"))
+
+
 #: Lists of ids with at most so many rows are broadcast (some 40 bytes a row in memory, and one in a job); longer ones are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Bits of the filter of shared signatures, at most; it is broadcast, in so many parts.
@@ -268,14 +302,15 @@ def _bounded(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def _shared(signed: DataFrame) -> DataFrame:
-    """The rows whose signature two sets or more have, and few others.
+def _shared(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(id, sig) of the signatures that two sets or more have, and few others.
 
     Signatures are counted from partial counts.  Those that are shared set
     two bits each in a filter of at most ``FILTER_BITS``; with ever more of them
     it lets more other rows pass, which are alone in their buckets later.
     """
-    shared = cut(signed.groupBy("sig").count().where("count > 1").select("sig"))
+    shared = cut(_counted(docs, words, num, den).where("n > 1").select("sig"))
+    signed = _signed(docs, words, num, den)
     bits = min(FILTER_BITS, max(1 << 13, 1 << (max(1, shared.count()) * 32 - 1).bit_length())) // FILTER_PARTS
     part = F.pmod("sig", F.lit(FILTER_PARTS)).alias("part")
     first, second = F.pmod(F.xxhash64("sig"), F.lit(bits)), F.pmod(F.xxhash64("sig", F.lit(7)), F.lit(bits))
@@ -365,9 +400,9 @@ def near_groups(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     homes_of = spread_join(real.select("doc_id", *same), groups.drop("copies"), same, hot_sets).select("doc_id", "id")
     copies = cut(homes_of.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("id")).alias("own"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("NOT own OR lo < hi"))
     # signatures are made twice, for the counts and for the members: as a table they take as much disk as the texts
-    signed = _signed(plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti"), words, num, den)
+    firsts = plain.where("doc_id IS NOT NULL").join(_bounded(copies.where("NOT own").select("doc_id")), "doc_id", "left_anti")
     # buckets with two members or more
-    members = cut(_shared(signed).distinct())
+    members = cut(_shared(firsts, words, num, den).distinct())
     buckets = cut(members.groupBy("sig").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi"))
     hot_buckets = hot_keys(buckets, ["sig"], "size", members.count())
     used = cut(members.select("id").distinct())
