@@ -55,8 +55,10 @@ RUNS = "SELECT event_id % 500 AS run_id, min(event_id) AS first, max(event_id) A
     f"""WITH r AS ({RUNS})
 SELECT run_id, CASE WHEN run_id % 7 = 0 THEN 'running' WHEN run_id % 2 = 0 THEN 'completed' ELSE 'stopped' END AS status, 'cards' AS job_name,
  CASE WHEN run_id % 3 = 0 THEN 'ja' ELSE 'en' END AS language, '/cards' AS endpoint, cast(first as varchar) AS params, '2024-01-01' AS started_at,
- CASE WHEN run_id % 7 <> 0 THEN n END AS rows_fetched, CASE WHEN run_id % 7 <> 0 THEN n - 1 END AS rows_upserted, CAST(CASE WHEN run_id % 7 <> 0 THEN credits END AS BIGINT) AS api_calls_consumed,
- CAST(NULL AS BIGINT) AS daily_remaining, CASE WHEN run_id % 7 <> 0 THEN 60 END AS minute_remaining, CASE WHEN run_id % 7 <> 0 AND run_id % 2 = 1 THEN 'budget' END AS error_message,
+ CASE WHEN run_id % 7 <> 0 THEN n END AS rows_fetched, CASE WHEN run_id % 7 <> 0 THEN n - 1 END AS rows_upserted, CAST(CASE
+  WHEN run_id % 7 <> 0 THEN credits END AS BIGINT) AS api_calls_consumed,
+ CAST(NULL AS BIGINT) AS daily_remaining, CASE WHEN run_id % 7 <> 0 THEN 60 END AS minute_remaining, CASE WHEN run_id % 7 <> 0
+  AND run_id % 2 = 1 THEN 'budget' END AS error_message,
  CASE WHEN run_id % 7 <> 0 THEN cast(last as varchar) END AS finished_at FROM r""",
     "calls",
 )
@@ -99,7 +101,8 @@ def _incoming(spark, d):
 
 
 @registered(f"""WITH inc AS ({INCOMING}), base AS (SELECT * FROM cards WHERE id%10<>0)
-SELECT inc.id, seq, CASE WHEN base.id IS NOT NULL THEN 'skipped' WHEN coalesce(inc.image_url,'')='' THEN 'failed' ELSE 'accepted' END AS status FROM inc LEFT JOIN base ON inc.id=base.id""", "cards")
+SELECT inc.id, seq, CASE WHEN base.id IS NOT NULL THEN 'skipped' WHEN coalesce(inc.image_url,'')='' THEN 'failed' ELSE 'accepted' END AS status FROM inc LEFT
+  JOIN base ON inc.id=base.id""", "cards")
 def f1_classify_incoming(spark, d):
     return merging.classify_incoming(_incoming(spark, d), _base(spark, d)).select("id", "seq", "status")
 
@@ -143,7 +146,8 @@ def f5_near_mint(spark, d):
 
 
 @registered(f"""WITH inc AS ({INCOMING}), c AS (SELECT id, count(*) AS n FROM inc GROUP BY id)
-SELECT inc.id, seq, concat_ws(',', CASE WHEN coalesce(image_url,'')='' THEN 'not-null:image_url' END, CASE WHEN set_id NOT IN ('Brand#11','Brand#12') THEN 'enum:set_id' END, CASE WHEN n>1 THEN 'duplicate' END) AS reasons FROM inc JOIN c ON inc.id=c.id""", "cards")
+SELECT inc.id, seq, concat_ws(',', CASE WHEN coalesce(image_url,'')='' THEN 'not-null:image_url' END, CASE
+  WHEN set_id NOT IN ('Brand#11','Brand#12') THEN 'enum:set_id' END, CASE WHEN n>1 THEN 'duplicate' END) AS reasons FROM inc JOIN c ON inc.id=c.id""", "cards")
 def f6_constraints(spark, d):
     checked = merging.check_constraints(_incoming(spark, d), ["image_url"], {"set_id": ["Brand#11", "Brand#12"]}, ["id"])
     return checked.select("id", "seq", F.concat_ws(",", "reasons").alias("reasons"))
@@ -157,7 +161,8 @@ def _key_states(spark, d):
 
 
 @registered(f"""WITH st AS ({KEY_STATES}), k AS (SELECT DISTINCT key_id FROM calls)
-SELECT k.key_id, CASE WHEN state_day <> date '2024-01-02' THEN NULL ELSE remaining END AS remaining FROM k LEFT JOIN st ON k.key_id=st.key_id WHERE status IS NULL OR (status<>'disabled' AND (state_day<>date '2024-01-02' OR status='active'))""", "calls")
+SELECT k.key_id, CASE WHEN state_day <> date '2024-01-02' THEN NULL ELSE remaining END AS remaining FROM k LEFT JOIN st ON k.key_id=st.key_id
+  WHERE status IS NULL OR (status<>'disabled' AND (state_day<>date '2024-01-02' OR status='active'))""", "calls")
 def f7_usable_keys(spark, d):
     keys = view(spark, d, "calls").select("key_id").distinct()
     return merging.usable_keys(keys, _key_states(spark, d), F.lit("2024-01-02").cast("date"))
@@ -177,10 +182,13 @@ def j2_new_ids(spark, d):
 
 
 #: The price refresh in SQL: last bucket, near mint, first priced result of a variant, best price.
-REFRESH = """WITH lb AS (SELECT product_id, line_no, variant, cond, arg_max({'m': market, 'l': low}, {'d': bucket_date, 'o': ord, 'm': market, 'l': low}) AS b FROM price_history GROUP BY 1,2,3,4),
+REFRESH = """WITH lb AS (SELECT product_id, line_no, variant, cond, arg_max({'m': market, 'l': low}, {'d': bucket_date, 'o': ord, 'm': market, 'l': low}) AS b
+  FROM price_history GROUP BY 1,2,3,4),
 k AS (SELECT product_id, line_no, line_no*64 + list_position(['1st Edition Holofoil','Foil','Non-Holo','Normal','Reverse Holofoil','Unlimited'], variant)*8 + list_position(['Lightly Played','Near Mint','Unopened NM','Unplayed'], cond) AS pos, b.m AS market, b.l AS low, CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key FROM lb WHERE cond <> 'Lightly Played' AND b.m > 0),
-f AS (SELECT product_id, variant_key, line_no AS result_pos, pos, market, CASE WHEN low > 0 THEN low END AS low FROM (SELECT *, row_number() OVER (PARTITION BY product_id, variant_key ORDER BY pos) AS r FROM k) WHERE r = 1),
-best AS (SELECT product_id, coalesce(max(CASE WHEN variant_key='holofoil' THEN market END), max(CASE WHEN variant_key='normal' THEN market END), max(CASE WHEN variant_key='reverseholofoil' THEN market END), max(CASE WHEN variant_key='1steditionholofoil' THEN market END), arg_min(market, pos), 0.0) AS best_price,
+f AS (SELECT product_id, variant_key, line_no AS result_pos, pos, market, CASE WHEN low > 0 THEN low END AS low FROM (SELECT *, row_number()
+  OVER (PARTITION BY product_id, variant_key ORDER BY pos) AS r FROM k) WHERE r = 1),
+best AS (SELECT product_id, coalesce(max(CASE WHEN variant_key='holofoil' THEN market END), max(CASE WHEN variant_key='normal' THEN market END), max(CASE
+  WHEN variant_key='reverseholofoil' THEN market END), max(CASE WHEN variant_key='1steditionholofoil' THEN market END), arg_min(market, pos), 0.0) AS best_price,
   string_agg(variant_key, ',' ORDER BY pos) AS variants FROM f GROUP BY product_id)"""
 
 
@@ -230,8 +238,10 @@ def w2_first_priced_variant(spark, d):
     return prices.first_priced_variant(prices.latest_buckets(_history(spark, d))).withColumn("result_pos", F.floor(F.col("result_pos") / 64).cast("int"))
 
 
-@registered("""WITH r AS (SELECT p_name AS name, min(p_partkey) AS right_id FROM part WHERE p_size > 30 GROUP BY p_name), l AS (SELECT set_no AS left_id, CASE set_no%3 WHEN 0 THEN lower(name) WHEN 1 THEN concat(substr(lower(name), 5, 4), ':', substr(lower(name), 9)) ELSE substr(lower(name), 5, 3) END AS a FROM sets)
-SELECT left_id, arg_min(right_id, right_id) AS right_id FROM l JOIN r ON contains(lower(r.name), a) OR contains(a, lower(r.name)) OR contains(lower(r.name), replace(a, ':', '')) GROUP BY left_id""", "sets")
+@registered("""WITH r AS (SELECT p_name AS name, min(p_partkey) AS right_id FROM part WHERE p_size > 30 GROUP BY p_name), l AS (SELECT set_no AS left_id, CASE set_no%3
+  WHEN 0 THEN lower(name) WHEN 1 THEN concat(substr(lower(name), 5, 4), ':', substr(lower(name), 9)) ELSE substr(lower(name), 5, 3) END AS a FROM sets)
+SELECT left_id, arg_min(right_id, right_id) AS right_id FROM l
+  JOIN r ON contains(lower(r.name), a) OR contains(a, lower(r.name)) OR contains(lower(r.name), replace(a, ':', '')) GROUP BY left_id""", "sets")
 def j5_match_names(spark, d):
     right = read(spark, d, "part").where("p_size > 30").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("right_id")).withColumn("position", F.col("right_id"))
     name = F.expr("CASE set_no%3 WHEN 0 THEN name WHEN 1 THEN concat(substr(name, 5, 4), ':', substr(name, 9)) ELSE substr(name, 5, 3) END")
@@ -327,7 +337,8 @@ def a4_validate_package(spark, d):
     return publishing.validate_package(read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("name"), packed))
 
 
-@registered(f"""WITH inc AS ({INCOMING}) SELECT count(*) FILTER (coalesce(image_url,'')<>'' AND id%10=0) AS created, count(*) FILTER (coalesce(image_url,'')<>'' AND id%10<>0) AS updated, CAST(0 AS BIGINT) AS skipped, count(*) FILTER (coalesce(image_url,'')='') AS failed, true AS changed FROM inc""", "cards")
+@registered(f"""WITH inc AS ({INCOMING}) SELECT count(*) FILTER (coalesce(image_url,'')<>'' AND id%10=0) AS created, count(*) FILTER (coalesce(image_url,'')<>''
+  AND id%10<>0) AS updated, CAST(0 AS BIGINT) AS skipped, count(*) FILTER (coalesce(image_url,'')='') AS failed, true AS changed FROM inc""", "cards")
 def a5_run_summary(spark, d):
     return progress.run_summary(merging.classify_incoming(_incoming(spark, d), _base(spark, d), force=True), _base(spark, d))
 
@@ -383,7 +394,8 @@ def w3_keep_last(spark, d):
 
 
 PAGES = BACKLOG + """, p AS (SELECT set_id, card_count, least(existing, 40) AS start_offset FROM b WHERE NOT done),
-pages AS (SELECT set_id, start_offset + 50*i AS page_start, i+1 AS page_no, CASE WHEN card_count<=0 THEN 50 ELSE least(50, card_count - (start_offset + 50*i)) END AS page_size
+pages AS (SELECT set_id, start_offset + 50*i AS page_start, i+1 AS page_no, CASE
+  WHEN card_count<=0 THEN 50 ELSE least(50, card_count - (start_offset + 50*i)) END AS page_size
  FROM p, generate_series(0, 2000) s(i) WHERE CASE WHEN card_count<=0 THEN i=0 ELSE start_offset + 50*i < card_count END)"""
 
 
@@ -435,7 +447,8 @@ def w5_granted(spark, d):
     return progress.granted(_run(spark, d), "page_size", F.lit(700)).select("set_id", "page_no", "granted")
 
 
-@registered("""WITH i AS (SELECT *, sum(CASE WHEN outcome='ok' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM calls),
+@registered("""WITH i AS (SELECT *, sum(CASE WHEN outcome='ok' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g
+  FROM calls),
 s AS (SELECT *, sum(CASE WHEN outcome='network' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id, g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM i)
 SELECT event_id, key_id, CAST(streak AS BIGINT) AS streak, streak >= 3 AS abort FROM s""", "calls")
 def w6_failure_streaks(spark, d):
@@ -489,7 +502,8 @@ def x2_id_difference(spark, d):
 
 @registered(
     """SELECT set_id,
- CASE WHEN set_no < 15 THEN concat(cast(set_no as varchar), ',15,22') WHEN set_no IN (15,22) THEN '15,22' WHEN set_no < 22 THEN concat('15,', cast(set_no as varchar), ',22') ELSE concat('15,22,', cast(set_no as varchar)) END AS completed
+ CASE WHEN set_no < 15 THEN concat(cast(set_no as varchar), ',15,22') WHEN set_no IN (15,22) THEN '15,22'
+  WHEN set_no < 22 THEN concat('15,', cast(set_no as varchar), ',22') ELSE concat('15,22,', cast(set_no as varchar)) END AS completed
 FROM sets""",
     "sets",
 )
@@ -502,7 +516,8 @@ def x3_add_to_set(spark, d):
 
 @registered(
     """SELECT variant,
- CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key, count(*) AS n
+ CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal'
+  WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key, count(*) AS n
 FROM price_history GROUP BY 1,2""",
     "price_history",
 )
@@ -585,14 +600,17 @@ STALE = "status='rate_limited' AND state_day<>date '2024-01-02'"
 
 
 @registered(f"""WITH st AS ({KEY_STATES}), k AS (SELECT DISTINCT key_id FROM calls)
-SELECT k.key_id, CASE WHEN st.key_id IS NULL OR ({STALE}) THEN 'active' ELSE status END AS status, date '2024-01-02' AS state_day, CAST(CASE WHEN st.key_id IS NULL OR ({STALE}) THEN 0 ELSE remaining*2 END AS BIGINT) AS credits_used,
- CASE WHEN NOT ({STALE}) THEN remaining END AS remaining, CASE WHEN NOT ({STALE}) THEN 'then' END AS rate_limited_at, CASE WHEN NOT ({STALE}) THEN 'error' END AS last_error FROM k LEFT JOIN st ON k.key_id = st.key_id""", "calls")
+SELECT k.key_id, CASE WHEN st.key_id IS NULL OR ({STALE}) THEN 'active' ELSE status END AS status, date '2024-01-02' AS state_day, CAST(CASE
+  WHEN st.key_id IS NULL OR ({STALE}) THEN 0 ELSE remaining*2 END AS BIGINT) AS credits_used,
+ CASE WHEN NOT ({STALE}) THEN remaining END AS remaining, CASE WHEN NOT ({STALE}) THEN 'then' END AS rate_limited_at, CASE
+  WHEN NOT ({STALE}) THEN 'error' END AS last_error FROM k LEFT JOIN st ON k.key_id = st.key_id""", "calls")
 def m14_rollover_keys(spark, d):
     states = _key_states(spark, d).selectExpr("*", "cast(remaining*2 as bigint) AS credits_used", "'then' AS rate_limited_at", "'error' AS last_error")
     return merging.rollover_keys(view(spark, d, "calls").select("key_id").distinct(), states, F.lit("2024-01-02").cast("date"))
 
 
-@registered("""SELECT p_partkey, replace(p_name, '  ', ' ') AS name, CASE WHEN p_partkey%2=0 THEN 'https://x/a' ELSE concat('https://base/', p_brand) END AS url, p_partkey%3=0 AS is_link
+@registered("""SELECT p_partkey, replace(p_name, '  ', ' ') AS name, CASE
+  WHEN p_partkey%2=0 THEN 'https://x/a' ELSE concat('https://base/', p_brand) END AS url, p_partkey%3=0 AS is_link
 FROM (SELECT p_partkey, p_brand, replace(p_name, ' ', '  ') AS p_name FROM part)""")
 def m15_normalize_link(spark, d):
     parts = read(spark, d, "part").withColumn("text", F.concat(F.lit("\n\t "), F.replace("p_name", F.lit(" "), F.lit("  ")), F.lit(" \r\n")))
@@ -619,8 +637,10 @@ def m17_quantize(spark, d):
     return read(spark, d, "embeddings").select("vec_id", F.aggregate(S.quantize(F.col("embedding")), F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))
 
 
-@registered("""WITH b AS (SELECT label, quantile_cont(CAST(x AS DOUBLE), 0.02) AS low, quantile_cont(CAST(x AS DOUBLE), 0.98) AS high FROM (SELECT label, unnest(embedding) AS x FROM embeddings) GROUP BY label)
-SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: floor(least(greatest((CAST(x AS DOUBLE)-low)*255.0/(high-low), 0.0), 255.0)))) AS BIGINT) AS total FROM embeddings e JOIN b ON e.label=b.label""")
+@registered("""WITH b AS (SELECT label, quantile_cont(CAST(x AS DOUBLE), 0.02) AS low, quantile_cont(CAST(x AS DOUBLE), 0.98) AS high
+  FROM (SELECT label, unnest(embedding) AS x FROM embeddings) GROUP BY label)
+SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: floor(least(greatest((CAST(x AS DOUBLE)-low)*255.0/(high-low), 0.0), 255.0)))) AS BIGINT) AS total
+  FROM embeddings e JOIN b ON e.label=b.label""")
 def m18_contrast_stretch(spark, d):
     vectors = read(spark, d, "embeddings")
     bounds = progress.percentile_bounds(vectors.select("label", F.explode("embedding").alias("x")).withColumn("x", F.col("x").cast("double")), "label", "x")
@@ -629,7 +649,8 @@ def m18_contrast_stretch(spark, d):
     return vectors.join(bounds, "label").select("vec_id", total.alias("total"))
 
 
-@registered("""SELECT vec_id, variant, CAST(list_sum(list_transform(embedding, lambda x: floor(least(abs((CAST(x AS DOUBLE)*255.0)*a+b), 255.0)))) AS BIGINT) AS total FROM embeddings, (VALUES ('original',1.0::DOUBLE,0.0::DOUBLE),('brighter',1.0,30.0),('darker',1.0,-30.0),('contrast',1.2,0.0)) v(variant,a,b)""")
+@registered("""SELECT vec_id, variant, CAST(list_sum(list_transform(embedding, lambda x: floor(least(abs((CAST(x AS DOUBLE)*255.0)*a+b), 255.0)))) AS BIGINT) AS total
+  FROM embeddings, (VALUES ('original',1.0::DOUBLE,0.0::DOUBLE),('brighter',1.0,30.0),('darker',1.0,-30.0),('contrast',1.2,0.0)) v(variant,a,b)""")
 def m19_photometric_variants(spark, d):
     pixels = F.transform("embedding", lambda x: x.cast("double") * 255.0)
     variants = read(spark, d, "embeddings").select("vec_id", F.explode(S.photometric_variants(pixels)).alias("v"))
@@ -666,7 +687,8 @@ def v1_blob_codec(spark, d):
 IMAGED = "regexp_replace(html, '<a href=\"([^\"]*)\">', '<a href=\"{0}\"><img alt=x src=\"{0}.png\"></a><a href=\"/card{0}\"><img src=\"/last{0}.png\"> '{1})"
 ANCHORS = """anchors AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) AS INTEGER) AS pos, href, text, img FROM (
  SELECT page_id, i, regexp_extract(a, '^<a href="([^"]*)"', 1) AS href, regexp_replace(a, '<[^>]*>', '', 'g') AS text, regexp_extract(a, 'src="([^"]*)"', 1) AS img
- FROM (SELECT page_id, generate_subscripts(l, 1) AS i, unnest(l) AS a FROM (SELECT page_id, regexp_extract_all({0}, '<a href="[^"]*">.*?</a>', 0, 's') AS l FROM pages))))"""
+ FROM (SELECT page_id, generate_subscripts(l, 1) AS i, unnest(l) AS a FROM (SELECT page_id, regexp_extract_all({0}, '<a href="[^"]*">.*?</a>', 0, 's') AS l
+  FROM pages))))"""
 
 
 @registered("WITH " + ANCHORS.format("html") + " SELECT page_id, pos, href, text, img FROM anchors")
@@ -675,8 +697,10 @@ def v3_anchors(spark, d):
 
 
 @registered("WITH " + ANCHORS.format(IMAGED.format("\\1", ", 'g'")) + """,
- links AS (SELECT page_id, pos, href, replace(trim(text), '  ', ' ') AS text, CASE WHEN img LIKE 'http%' OR img = '' THEN img ELSE 'https://base' || img END AS img FROM anchors WHERE contains(href, '/card/') AND NOT starts_with(href, 'http'))
-SELECT page_id, href, arg_min(text, pos) FILTER (text <> '') AS name, arg_max(img, pos) FILTER (img <> '') AS image FROM links GROUP BY page_id, href HAVING count(*) FILTER (text <> '') > 0 AND count(*) FILTER (img <> '') > 0""")
+ links AS (SELECT page_id, pos, href, replace(trim(text), '  ', ' ') AS text, CASE WHEN img LIKE 'http%' OR img = '' THEN img ELSE 'https://base' || img END AS img
+  FROM anchors WHERE contains(href, '/card/') AND NOT starts_with(href, 'http'))
+SELECT page_id, href, arg_min(text, pos) FILTER (text <> '') AS name, arg_max(img, pos) FILTER (img <> '') AS image FROM links GROUP BY page_id, href HAVING
+  count(*) FILTER (text <> '') > 0 AND count(*) FILTER (img <> '') > 0""")
 def a11_links_by_href(spark, d):
     """M15 and A11 over V3: of each item link of a page its first text and last image."""
     pages = read(spark, d, "pages").select("page_id", F.expr(IMAGED.format("$1", "")).alias("html"))

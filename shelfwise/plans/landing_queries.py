@@ -49,9 +49,15 @@ def w1_bad_dates(spark, d):
 
 
 NESTED_REFRESH = "WITH " + LATEST + """,
-k AS (SELECT product_id, row_number() OVER (PARTITION BY product_id ORDER BY line_no, variant, cond) AS pos, b.m AS market, b.l AS low, CASE variant WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal' WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key FROM latest WHERE cond <> 'Lightly Played' AND b.m > 0),
-f AS (SELECT product_id, variant_key, pos, market, CASE WHEN low > 0 THEN low END AS low FROM (SELECT *, row_number() OVER (PARTITION BY product_id, variant_key ORDER BY pos) AS r FROM k) WHERE r = 1),
-best AS (SELECT product_id, coalesce(max(CASE WHEN variant_key='holofoil' THEN market END), max(CASE WHEN variant_key='normal' THEN market END), max(CASE WHEN variant_key='reverseholofoil' THEN market END), max(CASE WHEN variant_key='1steditionholofoil' THEN market END), arg_min(market, pos)) AS best_price, string_agg(variant_key, ',' ORDER BY pos) AS variants FROM f GROUP BY product_id)"""
+k AS (SELECT product_id, row_number() OVER (PARTITION BY product_id ORDER BY line_no, variant, cond) AS pos, b.m AS market, b.l AS low, CASE variant
+  WHEN 'Reverse Holofoil' THEN 'reverseholofoil' WHEN 'Foil' THEN 'foil' WHEN 'Normal' THEN 'normal' WHEN 'Unlimited' THEN 'normal'
+  WHEN '1st Edition Holofoil' THEN '1steditionholofoil' ELSE 'holofoil' END AS variant_key FROM latest WHERE cond <> 'Lightly Played' AND b.m > 0),
+f AS (SELECT product_id, variant_key, pos, market, CASE WHEN low > 0 THEN low END AS low FROM (SELECT *, row_number()
+  OVER (PARTITION BY product_id, variant_key ORDER BY pos) AS r FROM k) WHERE r = 1),
+best AS (SELECT product_id, coalesce(max(CASE WHEN variant_key='holofoil' THEN market END), max(CASE WHEN variant_key='normal' THEN market END), max(CASE
+  WHEN variant_key='reverseholofoil' THEN market END), max(CASE
+  WHEN variant_key='1steditionholofoil' THEN market END), arg_min(market, pos)) AS best_price, string_agg(variant_key, ',' ORDER BY pos) AS variants FROM f
+  GROUP BY product_id)"""
 
 
 @registered(
@@ -70,7 +76,8 @@ def w1_nested_refresh(spark, d):
 #: Pages of 20 cards of each set as they land; some are missing, some are empty, one is landed twice, and totals are text now and then.
 TOTALS = """t AS (SELECT set_id, set_no, count(*) AS total FROM (SELECT s.set_id, s.set_no, c.id FROM sets s JOIN cards c ON s.set_id = c.set_id) GROUP BY ALL),
 p AS (SELECT set_id, set_no, total, i AS page, least(20, total - 20 * (i - 1)) AS held FROM t, generate_series(1, 2000) s(i) WHERE 20 * (i - 1) < total),
-landed AS (SELECT set_id, set_no, total, page, CASE WHEN (set_no + page) % 7 = 2 THEN 0 ELSE held END AS items FROM p WHERE (set_no * 3 + page) % 5 <> 1 AND NOT (set_no % 6 = 1 AND page BETWEEN 2 AND 4))"""
+landed AS (SELECT set_id, set_no, total, page, CASE WHEN (set_no + page) % 7 = 2 THEN 0 ELSE held END AS items FROM p WHERE (set_no * 3 + page) % 5 <> 1
+  AND NOT (set_no % 6 = 1 AND page BETWEEN 2 AND 4))"""
 
 
 def _landed_pages(spark, d):
@@ -87,7 +94,8 @@ def _landed_pages(spark, d):
 
 @registered(
     "WITH " + TOTALS + """, e AS (SELECT set_id, max(ceil(total / 20.0)) AS last FROM landed GROUP BY set_id),
-x AS (SELECT e.set_id, i AS page FROM e, generate_series(1, 2000) s(i) WHERE i <= last AND NOT EXISTS (SELECT 1 FROM landed l WHERE l.set_id = e.set_id AND l.page = i AND l.items > 0)),
+x AS (SELECT e.set_id, i AS page FROM e, generate_series(1, 2000) s(i) WHERE i <= last AND NOT EXISTS (SELECT 1 FROM landed l WHERE l.set_id = e.set_id AND l.page = i
+  AND l.items > 0)),
 g AS (SELECT set_id, page, page - row_number() OVER (PARTITION BY set_id ORDER BY page) AS island FROM x)
 SELECT set_id, min(page) AS first_missing, max(page) AS last_missing FROM g GROUP BY set_id, island""",
     "sets", "cards",
@@ -98,7 +106,8 @@ def s1_missing_pages(spark, d):
 
 
 @registered(
-    "WITH " + TOTALS + """ SELECT set_id, CAST(max(ceil(total / 20.0)) AS BIGINT) AS expected_pages, count(*) FILTER (items > 0) AS landed_pages, CAST(sum(items) AS BIGINT) AS items, max(total) AS server_total, sum(items) >= max(total) AS complete
+    "WITH " + TOTALS + """ SELECT set_id, CAST(max(ceil(total / 20.0)) AS BIGINT) AS expected_pages, count(*) FILTER (items > 0) AS landed_pages,
+  CAST(sum(items) AS BIGINT) AS items, max(total) AS server_total, sum(items) >= max(total) AS complete
 FROM landed GROUP BY set_id""",
     "sets", "cards",
 )

@@ -382,7 +382,8 @@ VARIANTS = {
 }
 
 
-@registered(f"""SELECT 'english' AS language, {KEY} AS card_tcg_player_id, 'Normal' AS printing, CAST(p_size AS DOUBLE) AS market_price, 1.5::DOUBLE AS low_price, CAST(NULL AS VARCHAR) AS condition_used, {NORMAL} AS raw
+@registered(f"""SELECT 'english' AS language, {KEY} AS card_tcg_player_id, 'Normal' AS printing, CAST(p_size AS DOUBLE) AS market_price, 1.5::DOUBLE AS low_price,
+  CAST(NULL AS VARCHAR) AS condition_used, {NORMAL} AS raw
 FROM part WHERE p_partkey%7<>0 AND p_partkey%5<>0
 UNION ALL SELECT 'english', {KEY}, 'Foil', NULL, NULL, 'NM', {FOIL} FROM part WHERE p_partkey%7<>0 AND p_partkey%5<>0 AND p_partkey%2<>0""")
 def p9_price_variants(spark, d):

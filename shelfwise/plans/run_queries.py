@@ -77,8 +77,10 @@ INCOMING = "SELECT id, image_url, 1 AS seq FROM cards WHERE id%4=0 UNION ALL SEL
 
 
 @registered(
-    f"""WITH inc AS ({INCOMING}), s AS (SELECT count(*) AS n, count(*) FILTER (id % 10 <> 0 AND id % 3 <> 1) AS skipped, count(*) FILTER (NOT (id % 10 <> 0 AND id % 3 <> 1) AND coalesce(image_url, '') <> '') AS accepted FROM inc)
-SELECT 1 AS run_id, 'cards' AS job_name, 'completed' AS status, n AS rows_fetched, accepted AS rows_upserted, '2024-06-01' AS finished_at, accepted AS rows_written FROM s""",
+    f"""WITH inc AS ({INCOMING}), s AS (SELECT count(*) AS n, count(*) FILTER (id % 10 <> 0 AND id % 3 <> 1) AS skipped, count(*) FILTER (NOT (id % 10 <> 0
+  AND id % 3 <> 1) AND coalesce(image_url, '') <> '') AS accepted FROM inc)
+SELECT 1 AS run_id, 'cards' AS job_name, 'completed' AS status, n AS rows_fetched, accepted AS rows_upserted, '2024-06-01' AS finished_at, accepted AS rows_written
+  FROM s""",
     "cards",
 )
 def s8_observed_run(spark, d):
@@ -125,7 +127,8 @@ def _byte_kinds():
 
 @registered(
     r"""WITH c AS (SELECT page_id, [length(regexp_replace(html, '[^a-z]', '', 'g')), length(regexp_replace(html, '[^A-Z]', '', 'g')), length(regexp_replace(html, '[^0-9]', '', 'g')), length(regexp_replace(html, '[^ ]', '', 'g')), octet_length(encode(html))] AS v FROM pages WHERE html IS NOT NULL)
-SELECT page_id, list_transform(v, lambda x: CAST(round_even(100 * x / sqrt(list_sum(list_transform(v, lambda y: y * y::DOUBLE))), 0) AS INTEGER))::VARCHAR AS vector FROM c"""
+SELECT page_id, list_transform(v, lambda x: CAST(round_even(100 * x / sqrt(list_sum(list_transform(v, lambda y: y * y::DOUBLE))), 0) AS INTEGER))::VARCHAR AS vector
+  FROM c"""
 )
 def v2_embed(spark, d):
     """Vectors of pages' bytes from a model that each worker loads once."""
@@ -215,9 +218,11 @@ def t4_stream_credits(spark, d):
     return _drained(streams.stream_credits(_calls(spark, d)), scratch(spark, "credits"), "append")
 
 
-@registered("""WITH i AS (SELECT *, sum(CASE WHEN outcome='ok' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM calls),
+@registered("""WITH i AS (SELECT *, sum(CASE WHEN outcome='ok' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g
+  FROM calls),
 s AS (SELECT *, sum(CASE WHEN outcome='network' THEN 1 ELSE 0 END) OVER (PARTITION BY key_id, g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS streak FROM i)
-SELECT key_id, CAST(arg_max(streak, {'t': ts, 'e': event_id}) AS INTEGER) AS streak, bool_or(streak = 3 AND outcome = 'network') AS abort FROM s GROUP BY key_id""", "calls")
+SELECT key_id, CAST(arg_max(streak, {'t': ts, 'e': event_id}) AS INTEGER) AS streak, bool_or(streak = 3 AND outcome = 'network') AS abort FROM s
+  GROUP BY key_id""", "calls")
 def t5_stream_streaks(spark, d):
     """Each key's streak, from state in the RocksDB store."""
     return _drained(streams.stream_streaks(_calls(spark, d), 3, ttl="3650 days"), scratch(spark, "streaks"), "update")
@@ -227,7 +232,8 @@ def t5_stream_streaks(spark, d):
 
 
 @registered("""SELECT page_id, concat(cast(page_id as varchar), '.', e) AS path, concat('https://store.example/storage/v1/object/public/logos/', cast(page_id as varchar), '.', e) AS public_url
-FROM (SELECT page_id, CASE WHEN length(x)=0 OR length(x)>4 THEN 'png' ELSE x END AS e FROM (SELECT page_id, split_part(list_last(string_split(url, '.')), '?', 1) AS x FROM pages))""")
+FROM (SELECT page_id, CASE WHEN length(x)=0 OR length(x)>4 THEN 'png' ELSE x END AS e FROM (SELECT page_id, split_part(list_last(string_split(url, '.')), '?', 1) AS x
+  FROM pages))""")
 def m7_public_urls(spark, d):
     path = S.asset_path(F.col("url"), F.col("page_id").cast("string"))
     return read(spark, d, "pages").select("page_id", path.alias("path"), S.public_url("https://store.example", "logos", path).alias("public_url"))
