@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 from collections.abc import Iterator
@@ -43,6 +44,14 @@ def place_of(docs: DataFrame, column: str) -> int:
     return [c.lower() for c in docs.columns].index(column.lower())
 
 
+def release_memory() -> None:
+    """Give freed memory back: the workers of an executor share its memory, and stay when their tasks have ended."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def blocks(batch: pa.RecordBatch, column: str | int = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``limit`` bytes in ``column``, or a single longer row."""
     sizes = np.cumsum(np.nan_to_num(np.asarray(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), float)))
@@ -52,7 +61,7 @@ def blocks(batch: pa.RecordBatch, column: str | int = "text", limit: int = BLOCK
         hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, side="right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
-    pa.default_memory_pool().release_unused()  # workers of one executor share its memory
+    release_memory()
 
 
 def flat_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -257,7 +257,7 @@ def _signed(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
 
 
 #: So many signatures are counted within a Python task at once.
-COUNTED = 1 << 20
+COUNTED = 1 << 17
 
 
 def _counted(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
