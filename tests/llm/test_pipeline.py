@@ -95,10 +95,11 @@ def test_stages_take_empty_tables_and_odd_rows(spark, sf_dir):
         kept = stage(spark, odd, sf_dir)
         rows = sorted(kept.collect(), key=repr)
         if name == "packing":
-            pieces = sorted((r["doc_id"] or 0, r["start"], r["length"], r["doc_tokens"]) for r in rows)
-            whole = [p for p in pieces if p[0] != 3]
-            assert [p[0] for p in whole] == [0, 1, 1, 2, 2] and all(start == 0 and length == n for _, start, length, n in whole)
-            assert sum(p[2] for p in pieces if p[0] == 3) == pieces[-1][3] > 20_000
+            total, whole = defaultdict(int), {}
+            for r in rows:  # documents may be cut anywhere
+                total[r["doc_id"]] += r["length"]
+                whole[r["doc_id"]] = r["doc_tokens"]
+            assert total == {1: 2, None: whole[None], 2: 2 * whole[None], 3: whole[3]} and whole[1] == 1 and whole[3] > 20_000
             continue
         assert kept.columns == docs.columns
         by_text = {"toxicity": [None, "", "some words here", "some words here", "some words here", "word " * 20_000], "exact_dedup": ["", "some words here", "word " * 20_000]}
