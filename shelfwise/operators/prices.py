@@ -13,13 +13,13 @@ def latest_buckets(history: DataFrame) -> DataFrame:
     """The last bucket of each (product, result): by date, and of equal dates the later place.
 
     History has product_id, result_pos, variant, cond, bucket_date, bucket_pos
-    (0 to 2^44 - 1), market, low.  Date and place make one number, so that hash
-    aggregates keep the maxima, before and after the shuffle; bad dates (null)
-    are no buckets.
+    (any value with an order, a struct too), market, low.  Date and place are
+    compared as they are, so no place reaches into the next date, however
+    large; bad dates (null) are no buckets.
     """
-    days = F.unix_date("bucket_date").cast("long")
-    rows = history.where("bucket_date IS NOT NULL").withColumn("_at", days * (1 << 44) + F.col("bucket_pos"))
-    grouped = rows.groupBy("product_id", "result_pos", "variant", "cond").agg(F.max("bucket_date").alias("bucket_date"), F.max_by("market", "_at").alias("market"), F.max_by("low", "_at").alias("low"))
+    rows = history.where("bucket_date IS NOT NULL")
+    last = F.max_by(F.struct("bucket_date", "market", "low"), F.struct("bucket_date", "bucket_pos"))
+    grouped = rows.groupBy("product_id", "result_pos", "variant", "cond").agg(last.alias("_last")).select("*", "_last.*")
     return grouped.select("product_id", "result_pos", "variant", "cond", "bucket_date", "market", "low")
 
 

@@ -198,10 +198,10 @@ CONDITIONS = ("Lightly Played", "Near Mint", "Unopened NM", "Unplayed")
 
 
 def _history(spark, d):
-    """Places of results, and of buckets: of equal dates the later order, and then the higher price, is later."""
+    """Places of results, and of buckets: of equal dates the later order, then the higher price, then the higher low price is later."""
     place = lambda column, values: F.array_position(F.array(*map(F.lit, values)), F.col(column))
     result = F.col("line_no") * 64 + place("variant", PLACES) * 8 + place("cond", CONDITIONS)
-    bucket = F.col("ord") * (1 << 25) + F.floor(F.col("market") * 100).cast("long")
+    bucket = F.struct("ord", "market", "low")
     return view(spark, d, "price_history").withColumn("result_pos", result).withColumn("bucket_pos", bucket)
 
 
