@@ -238,7 +238,12 @@ def token_index(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.explode(tokens(F.col(text_col))).alias("token"), F.col(id_col).alias("id"))
 
 
-def search_tokens(index: DataFrame, words: Sequence[str]) -> DataFrame:
-    """Ids that have all words."""
+def search_tokens(index: DataFrame, words: Sequence[str] | DataFrame) -> DataFrame:
+    """Ids that have all words: given ones in any case, or the few tokens of a table's column ``token``, which stay in Spark."""
+    if isinstance(words, DataFrame):
+        wanted = words.select("token").distinct()
+        number = F.broadcast(wanted.agg(F.count(F.lit(1)).alias("_wanted")))  # one row; a null is a token that no row has
+        found = index.join(F.broadcast(wanted), "token").groupBy("id").agg(F.count_distinct("token").alias("n"))
+        return found.crossJoin(number).where(F.col("n") == F.col("_wanted")).select("id")
     wanted = sorted({w.lower() for w in words})
     return index.where(F.col("token").isin(*wanted)).groupBy("id").agg(F.count_distinct("token").alias("n")).where(F.col("n") == len(wanted)).select("id")

@@ -657,9 +657,16 @@ def m19_photometric_variants(spark, d):
     return variants.select("vec_id", "v.variant", F.aggregate("v.vector", F.lit(0.0).cast("double"), lambda s, x: s + F.floor(x)).cast("long").alias("total"))
 
 
-@registered("SELECT p_partkey AS id FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), 'small')")
+@registered(
+    """SELECT p_partkey AS id
+FROM part WHERE list_contains(string_split_regex(lower(p_name), '[^a-z0-9]+'), split_part((SELECT lower(min(p_name))
+FROM part), ' ', 1))"""
+)
 def m20_search_tokens(spark, d):
-    return progress.search_tokens(progress.token_index(read(spark, d, "part"), "p_partkey", "p_name"), ["Small"])
+    """Parts whose names have the first word of the first name; the word is found in the same run."""
+    parts = read(spark, d, "part")
+    word = parts.agg(F.split(F.lower(F.min("p_name")), " ")[0].alias("token"))
+    return progress.search_tokens(progress.token_index(parts, "p_partkey", "p_name"), word)
 
 
 @registered(
