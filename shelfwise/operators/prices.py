@@ -90,6 +90,11 @@ def latest_nested(histories: DataFrame) -> DataFrame:
     return rows.select("product_id", "r.result_pos", "r.variant", "r.cond", F.col("r.last.date").alias("bucket_date"), "r.last.market", "r.last.low")
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is worked out once a row: through a generator, neither filters nor later columns copy its expression, as they do through a projection."""
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def nested_prices(histories: DataFrame) -> DataFrame:
     """product_id, prices, best_price and bad_buckets (buckets without a readable date) from nested ``results``, one row per row and without a shuffle.
 
@@ -99,12 +104,11 @@ def nested_prices(histories: DataFrame) -> DataFrame:
     """
     near = F.filter("results", lambda r: S.near_mint(r["condition"]))
     keyed = F.transform(near, lambda r: F.struct(S.normalize_variant(r["variant"]).alias("key"), _last_bucket(r["buckets"]).alias("last")))
-    rows = histories.withColumn("_priced", F.filter(keyed, lambda r: r["key"].isNotNull() & (r["last"]["market"] > 0)))
-    keys = F.transform("_priced", lambda r: r["key"])
-    firsts = F.filter("_priced", lambda r, at: F.array_position(keys, r["key"]) == at + 1)
+    rows = _once(histories, "_priced", F.filter(keyed, lambda r: r["key"].isNotNull() & (r["last"]["market"] > 0)))
+    firsts = F.filter("_priced", lambda r, at: F.array_position(F.col("_priced.key"), r["key"]) == at + 1)
     entries = F.transform(firsts, lambda r: F.struct(r["key"], F.struct(r["last"]["market"].alias("market"), F.when(r["last"]["low"] > 0, r["last"]["low"]).alias("low"))))
     bad = F.aggregate("results", F.lit(0).cast("long"), lambda s, r: s + F.size(F.filter(F.coalesce(r["buckets"], F.array()), lambda b: _day(b).isNull())))
-    found = rows.select("product_id", F.map_from_entries(entries).alias("prices"), bad.alias("bad_buckets"))
+    found = _once(rows.withColumn("bad_buckets", bad), "prices", F.map_from_entries(entries))
     return found.select("product_id", "prices", S.best_history_price(F.col("prices")).alias("best_price"), "bad_buckets")
 
 
