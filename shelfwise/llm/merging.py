@@ -16,13 +16,18 @@ from .common import mix64, word_array
 NONE = np.int64(1) << 40
 
 
+def pair_arrays(pairs: dict[tuple[int, int], tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Both ids of each pair in one number, and its rank and merged id in another."""
+    n = len(pairs)
+    return np.fromiter((a << 32 | b for a, b in pairs), np.int64, n), np.fromiter((r << 32 | m for r, m in pairs.values()), np.int64, n)
+
+
 class BatchMerger:
-    """``pairs`` maps two symbol ids to (rank, merged id)."""
+    """``pairs`` maps two symbol ids to (rank, merged id), or holds them as ``pair_arrays`` gives them."""
 
-    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]]) -> None:
-        n = len(pairs)
-        keys = np.fromiter((a << 32 | b for a, b in pairs), np.int64, n)
-        values = np.fromiter((r << 32 | m for r, m in pairs.values()), np.int64, n)
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]] | tuple[np.ndarray, np.ndarray]) -> None:
+        keys, values = pair_arrays(pairs) if isinstance(pairs, dict) else pairs
+        n = len(keys)
         self.mask = np.int64((1 << (max(n, 1) * 4).bit_length()) - 1)
         self.keys = np.full(int(self.mask) + 1, -1, np.int64)
         self.values = np.full(int(self.mask) + 1, NONE << 20, np.int64)
@@ -100,7 +105,7 @@ class BatchMerger:
         lo = 0
         for hi in (4, 8, 12, 16, 24, 40, 100, 1000, int(lengths.max(initial=0))):
             group = np.flatnonzero((lengths > lo) & (lengths <= hi))
-            size = max(1, (1 << 18) // (hi + 1))
+            size = max(1, (1 << 16) // (hi + 1))
             for part in (group[j : j + size] for j in range(0, len(group), size)):
                 rows = np.full((len(part), hi + 1), -1, np.int64)
                 rows[np.arange(hi + 1)[None, :] < lengths[part][:, None]] = flat[ranges(starts[part], lengths[part])]

@@ -17,7 +17,9 @@ import json
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, table, texts
-from .merging import BatchMerger, distinct_words, ranges
+from .common import BLOCK_BYTES, blocks, table, texts
+from .merging import BatchMerger, distinct_words, pair_arrays, ranges
 from .token_counts import NUMBER, SPACE, byte_alphabet, character_classes
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,6 +39,9 @@ HELD = 8192
 #: Lengths of which three may make up a combination: the most frequent ones.
 FREQUENT = 64
 
+#: Sequences that a batch of results holds, of a window of ids each: 1 MB.
+SENT = 128
+
 Piece = tuple[int | None, int, bytes, int]  # document, place in it, ids (4 bytes each), the document's ids
 
 
@@ -177,31 +182,41 @@ class Packer:
         self.rests = []
 
 
+class WordTables(NamedTuple):
+    """What a task needs of a vocabulary to encode common texts: some 0.8 MB, where the parsed file takes some 25."""
+
+    symbol: np.ndarray  # a byte's id
+    last: np.ndarray  # its id at a word's end
+    pairs: tuple[np.ndarray, np.ndarray]
+    special: list[str]
+
+
+def word_tables(tokenizer_json: str) -> WordTables:
+    spec = json.loads(tokenizer_json)
+    model, vocab = spec["model"], spec["model"]["vocab"]
+    alphabet = {b: c for c, b in byte_alphabet().items()}
+    pairs = {}
+    for rank, pair in enumerate(model["merges"]):
+        left, right = pair.split(" ") if isinstance(pair, str) else pair
+        pairs[vocab[left], vocab[right]] = (rank, vocab[left + right])
+    symbol = np.array([vocab[alphabet[b]] for b in range(256)])
+    last = np.array([vocab[alphabet[b] + model["end_of_word_suffix"]] for b in range(256)])
+    return WordTables(symbol, last, pair_arrays(pairs), [t["content"] for t in spec["added_tokens"]])
+
+
 class WordIds:
     """Ids of whole texts as the library gives them.
 
     Texts of common characters, which the normaliser can only lower-case, are
     cut into pre-tokens by the vocabulary's pattern, evaluated over arrays of
     character classes; each distinct pre-token of a block is merged once, all
-    of them together.  The library encodes all other texts.
+    of them together.  The library encodes all other texts, and is loaded when
+    the first of them comes.
     """
 
-    def __init__(self, tokenizer_json: str, kinds: bytes) -> None:
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(tokenizer_json)
-        self.library.no_truncation()
-        self.library.no_padding()
-        spec = json.loads(tokenizer_json)
-        model, vocab = spec["model"], spec["model"]["vocab"]
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        alphabet = {b: c for c, b in byte_alphabet().items()}
-        self.symbol = np.array([vocab[alphabet[b]] for b in range(256)])
-        self.last = np.array([vocab[alphabet[b] + model["end_of_word_suffix"]] for b in range(256)])
-        pairs = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            pairs[vocab[left], vocab[right]] = (rank, vocab[left + right])
+    def __init__(self, tokenizer_json: str, kinds: bytes, tables: WordTables | None = None) -> None:
+        self.source = tokenizer_json
+        self.symbol, self.last, pairs, self.special = tables or word_tables(tokenizer_json)
         self.merge = BatchMerger(pairs)
         self.kinds = np.frombuffer(kinds, np.uint8)
         # Latin letters, dashes and quotes, and Han characters compose with nothing of their own kind
@@ -209,6 +224,15 @@ class WordIds:
         for lo, hi in ((0x01, 0x130), (0x131, 0x300), (0x2010, 0x2028), (0x2030, 0x205F), (0x4E00, 0xA000)):
             self.lower[lo:hi] = [ord(chr(c).lower()) for c in range(lo, hi)]
 
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(self.source)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def _starts(self, points: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where pre-tokens start, and where characters belong to any."""
         kind, n = self.kinds[points], len(points)
@@ -235,10 +259,13 @@ class WordIds:
         start, inside = self._starts(points, first[:-1])
         at = np.flatnonzero(start)
         stop = np.flatnonzero(inside & np.concatenate([start[1:] | ~inside[1:] | first[1:-1], [True]])) + 1
-        width = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF)
-        place = np.concatenate([[0], np.cumsum(width)])
-        flat = np.frombuffer(points.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
-        lo, hi = place[at], place[stop]
+        held = np.searchsorted(at, np.concatenate([[0], ends]))
+        flat = np.frombuffer(points.astype("<u4", copy=False).tobytes().decode("utf-32-le").encode(), np.uint8)
+        width = 1 + (points > 0x7F).astype(np.uint8) + (points > 0x7FF)
+        place = np.zeros(len(points) + 1, np.int32 if len(flat) < 1 << 31 else np.int64)
+        np.cumsum(width, dtype=place.dtype, out=place[1:])
+        lo, hi = place[at].astype(np.int64), place[stop].astype(np.int64)
+        del points, first, start, inside, at, stop, width, place  # merging has large arrays of its own
         one, number, _ = distinct_words(flat, lo, hi)
         lo, size = lo[one], (hi - lo)[one]
         symbols = self.symbol[flat[ranges(lo, size)]]
@@ -246,8 +273,8 @@ class WordIds:
         symbols[tails] = self.last[flat[lo + size - 1]]
         ids, counts = self.merge(symbols, size)
         begin = np.cumsum(counts) - counts
-        every = ids[ranges(begin[number], counts[number])].astype("<u4")
-        before = np.concatenate([[0], np.cumsum(counts[number])])[np.searchsorted(at, np.concatenate([[0], ends]))]
+        every = ids.astype("<u4")[ranges(begin[number], counts[number])]
+        before = np.concatenate([[0], np.cumsum(counts[number])])[held]
         return [every[a:b].tobytes() for a, b in zip(before[:-1].tolist(), before[1:].tolist())]
 
     def __call__(self, documents: list[str]) -> list[bytes]:
@@ -255,11 +282,15 @@ class WordIds:
         points = [self.lower[np.frombuffer(d.encode("utf-32-le"), np.uint32)] for d in documents]
         common = [k for k, p in enumerate(points) if len(p) and p.all() and not any(s in documents[k] for s in self.special)]
         if common:
-            for k, ids in zip(common, self._common(np.concatenate([points[k] for k in common]), np.array([len(points[k]) for k in common]))):
+            lengths = np.array([len(points[k]) for k in common])
+            joined = [np.concatenate([points[k] for k in common])]
+            del points
+            for k, ids in zip(common, self._common(joined.pop(), lengths)):
                 out[k] = ids
         other = [k for k in sorted(set(range(len(documents))) - set(common)) if documents[k]]
-        for k, code in zip(other, self.library.encode_batch_fast([documents[k] for k in other], add_special_tokens=False)):
-            out[k] = np.array(code.ids, "<u4").tobytes()
+        if other:
+            for k, code in zip(other, self.library.encode_batch_fast([documents[k] for k in other], add_special_tokens=False)):
+                out[k] = np.array(code.ids, "<u4").tobytes()
         return out
 
 
@@ -277,38 +308,38 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, w
     gapless; how documents meet in sequences depends on the input's partitions.
     """
     source = Path(tokenizer_path).read_text()
-    kinds = character_classes()
+    kinds, tables = character_classes(), word_tables(source)
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(source, kinds)  # half a second; kept for the task alone, since a worker goes on to other operators
+        encode = WordIds(source, kinds, tables)  # kept for the task alone, since a worker goes on to other operators
         packer, sequence_id = Packer(window, held), TaskContext.get().partitionId() << 40
         out: list[tuple] = []
 
-        def place(sequence: list[Piece]) -> None:
-            nonlocal sequence_id
-            offset = 0
-            for document, start, ids, n in sequence:
-                length = len(ids) // 4
-                out.append((document, start, length, n, sequence_id, offset, ids))
-                offset += length
-            sequence_id += 1
-
         def ready() -> pa.RecordBatch:
             kinds = [pa.int64()] * 6 + [pa.binary()]
             batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], SCHEMA.replace(" long", "").replace(" binary", "").split(", "))
             out.clear()
             return batch
 
+        def place(sequences: Iterator[list[Piece]]) -> Iterator[pa.RecordBatch]:
+            """Batches of about ``SENT`` sequences' pieces; packing what is held gives thousands at once."""
+            nonlocal sequence_id
+            for sequence in sequences:
+                offset = 0
+                for document, start, ids, n in sequence:
+                    length = len(ids) // 4
+                    out.append((document, start, length, n, sequence_id, offset, ids))
+                    offset += length
+                sequence_id += 1
+                if sequence_id % SENT == 0 or len(out) >= HELD:
+                    yield ready()
+
         for batch in batches:
-            for part in blocks(batch):
+            for part in blocks(batch, limit=BLOCK_BYTES // 2):
                 for document, ids in zip(part["doc_id"].to_pylist(), encode(part["text"].to_pylist())):
-                    for sequence in packer.add(document, ids + tail):
-                        place(sequence)
-                if out:
-                    yield ready()
-        for sequence in packer.finish():
-            place(sequence)
+                    yield from place(packer.add(document, ids + tail))
+        yield from place(packer.finish())
         if out:
             yield ready()
 

@@ -6,9 +6,11 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +135,34 @@ def test_packing_round_trip(spark, odd, docs):
     assert packing.pack_documents(empty(odd), path).count() == 0
 
 
+def test_packing_tasks_hold_little(monkeypatch):
+    """Common texts need neither the parsed vocabulary nor the library, and what is held is given in batches of some MB."""
+    import tracemalloc
+
+    source, kinds = open(public_tokenizers.path(packing.VOCABULARY)).read(), packing.character_classes()
+    tables, seen = packing.word_tables(source), []
+    tracemalloc.start()
+    encode = packing.WordIds(source, kinds, tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6
+    encode(["Plain words, and 12 more."])
+    assert "library" not in vars(encode)
+    assert encode(["word e\u0301"]) == [np.array(encode.library.encode("word e\u0301", add_special_tokens=False).ids, "<u4").tobytes()]
+
+    class Table:
+        def mapInArrow(self, function, schema):
+            seen.append(function)
+
+    monkeypatch.setattr(packing, "texts", lambda *_: Table())
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    packing.pack_documents(None, public_tokenizers.path(packing.VOCABULARY), held=3000)
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": [f"word {k} " * (200 + k % 50) for k in range(3000)]})
+    sent = list(seen[0](iter([docs])))
+    assert max(b.nbytes for b in sent) < 2e6 and sum(b.nbytes for b in sent) > 6e6
+    assert sorted(set(pa.Table.from_batches(sent)["doc_id"].to_pylist())) == list(range(3000))
+
+
 def test_combinations_fill_the_window():
     rng = np.random.default_rng(0)
     histogram = np.bincount(rng.integers(1, 128, 3000), minlength=128)
