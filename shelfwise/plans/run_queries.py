@@ -115,7 +115,7 @@ def s4_pending_assets(spark, d):
     path = _landed_assets(spark, d)
     pending = read(spark, d, "supplier").where("s_nationkey < 10").select(F.col("s_suppkey").alias("item_id"))
     listed = landing.pending_assets(spark, pending, path)
-    return landing.asset_contents(spark, listed).select("item_id", F.length("content").cast("long").alias("length"), F.md5("content").alias("content"))
+    return landing.all_contents(spark, listed).select("item_id", F.length("content").cast("long").alias("length"), F.md5("content").alias("content"))
 
 
 def _byte_kinds():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +72,7 @@ def asset_contents(spark: SparkSession, assets: DataFrame, most: int = 100_000)
     """(item_id, path, content) of listed files, and of no others: their paths are the scan's input.
 
     The driver holds the paths, so one call takes at most ``most`` of them;
-    longer lists go in several calls, as ``embedding.embed_pending`` does.
+    longer lists go in several calls, as in ``all_contents``.
     """
     paths = [r["path"] for r in assets.select("path").limit(most + 1).collect()]
     if len(paths) > most:
@@ -81,6 +83,21 @@ def asset_contents(spark: SparkSession, assets: DataFrame, most: int = 100_000)
     return files.select(F.regexp_extract("path", ASSET_ID, 1).alias("item_id"), "path", "content")
 
 
+def all_contents(spark: SparkSession, assets: DataFrame, wave: int = 50_000) -> DataFrame:
+    """As ``asset_contents``, for lists of any length: one scan for about ``wave`` files, all of them united.
+
+    The list is worked out once.  The driver knows every file, as for any scan
+    of so many, but never holds the paths of more than some ``wave`` as rows.
+    """
+    listed = assets.persist()
+    try:
+        waves = max(1, -(-listed.count() // wave))
+        scans = [asset_contents(spark, listed.where(F.pmod(F.xxhash64("path"), F.lit(waves)) == k), 2 * wave + 1000) for k in range(waves)]
+    finally:
+        listed.unpersist()
+    return reduce(DataFrame.unionByName, scans)
+
+
 def parse_progress_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """Counters of lines such as ``page=3 cards=250 created=750 updated=0 skipped=0 failed=2``; other lines are left out."""
     kept = lines.where(F.col(column).rlike(r"\bcreated=\d+"))

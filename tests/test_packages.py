@@ -1,5 +1,6 @@
 """Packages: layout, publication in two phases, manifests; the stored index; assets and embedding."""
 
+import re
 from pathlib import Path
 
 import numpy as np
@@ -162,6 +163,15 @@ def test_contents_are_read_for_pending_items_alone(spark, tmp_path):
         landing.asset_contents(spark, listed, most=1)
 
 
+def test_contents_of_long_lists_come_in_waves(spark, tmp_path):
+    write_assets(tmp_path / "a", {f"i{k}": bytes([k]) * (k + 1) for k in range(40)})
+    listed = landing.list_assets(spark, str(tmp_path / "a"))
+    contents = landing.all_contents(spark, listed, wave=10)
+    assert len(re.findall(r"Relation \[.*binaryFile|Relation.*binaryfile", contents._jdf.queryExecution().analyzed().toString(), re.I)) > 1
+    assert sorted((r["item_id"], bytes(r["content"])) for r in contents.collect()) == sorted((f"i{k}", bytes([k]) * (k + 1)) for k in range(40))
+    assert landing.all_contents(spark, listed.where("false")).count() == 0
+
+
 def failing(first, last):
     """A model whose network is down for items of one of these sizes."""
 
